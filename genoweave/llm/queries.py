@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import simhash, substrings
+from genoweave.llm import ann, decontamination, licences, packing, pii, quality, sharding, simhash, substrings, toxicity
+from genoweave.llm.common import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_size_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents arrive in 20 runs of three sizes (a half, a quarter, and 16 + 2 small ones by a hash of doc_id); one
+    compaction merges the full tiers. A row of the last manifest's files for each document, with its text's digest."""
+    docs = table(spark, sf_dir, "documents")
+    store = sharding.Store(spark, new_path(spark, "store"), target=64 << 20, fanout=4)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    bucket = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(64))
+    store.append(docs, F.when(bucket < 32, 0).when(bucket < 48, 1).otherwise(bucket - 46), size)
+    store.compact(size)
+    return store.read().select("doc_id", "lang", "source", "n_chars", size.alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op2_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10, relax=1.0)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), size=3, radius=2, parts=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -23,9 +47,71 @@ def op4_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=13, seed=7).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), where=rest != 2)
+    return toxicity.score(docs, model).select("doc_id", (rest == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "worst_start", "worst_stop")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), capacity=4096, end=1)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8)
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.matches(table(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    count = {k: F.size(F.filter("base", _of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)}
+    return found.select("doc_id", *count.values(), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+def _of_kind(i: int):
+    return lambda x: x["kind"] == i
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_size_tiered": op1_size_tiered,
+    "op2_vantage_point": op2_vantage_point,
     "op3_simhash": op3_simhash,
     "op4_debruijn": op4_debruijn,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
+    "op8_decontamination": op8_decontamination,
+    "op9_licences": op9_licences,
+    "op10_personal_data": op10_personal_data,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_size_tiered": """
+        SELECT doc_id, lang, source, n_chars, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256
+        FROM documents""",
+    "op2_vantage_point": """
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score,
+                   row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), c.vec_id) AS rank
+            FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0)
+        WHERE rank <= 10""",
+    "op4_debruijn": """
+        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+        win AS (SELECT doc_id, p, array_to_string(ws[p : p + 12], ' ') AS t FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS p FROM w)),
+        flag AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY t) AS lo FROM win) WHERE doc_id > lo),
+        gone AS (SELECT DISTINCT doc_id, p + i AS p FROM flag, range(0, 13) r(i)),
+        words AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+        kept AS (SELECT k.doc_id, string_agg(x, ' ' ORDER BY k.p) AS s, count(*) AS n FROM words k ANTI JOIN gone g ON k.doc_id = g.doc_id AND k.p = g.p GROUP BY k.doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+}

@@ -100,13 +100,14 @@ ORACLE: dict[str, str] = {
         FROM documents""",
     "op2_vantage_point": """
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score,
-                   row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), c.vec_id) AS rank
-            FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id
-            WHERE q.vec_id % 100 = 0)
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM (
+                SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                    sqrt(list_reduce(list_transform(range(1, len(q.embedding) + 1), lambda i: (CAST(q.embedding[i] AS DOUBLE) - CAST(c.embedding[i] AS DOUBLE)) * (CAST(q.embedding[i] AS DOUBLE) - CAST(c.embedding[i] AS DOUBLE))), lambda a, b: a + b)) AS score
+                FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id
+                WHERE q.vec_id % 100 = 0))
         WHERE rank <= 10""",
     "op4_debruijn": """
-        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
         win AS (SELECT doc_id, p, array_to_string(ws[p : p + 12], ' ') AS t FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS p FROM w)),
         flag AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY t) AS lo FROM win) WHERE doc_id > lo),
         gone AS (SELECT DISTINCT doc_id, p + i AS p FROM flag, range(0, 13) r(i)),

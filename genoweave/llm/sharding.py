@@ -105,7 +105,7 @@ class Store:
     def compact(self, size: Column) -> int | None:
         """Merge each full tier into files of about `target` bytes and commit; None if no tier is full.
 
-        A row's file is known from the bytes of the files before its own and its place in it, so rows go to their file
+        One task may write several files, each to its own folder. A row's file is known from the bytes of the files before its own and its place in it, so rows go to their file
         in one exchange and files are even whatever their keys are."""
         after = self.version()
         entries = self.entries(after)
@@ -125,8 +125,8 @@ class Store:
         joined = rows.join(members.select(F.col("path").alias("__path"), F.col("merged").alias("__run"), F.col("rows").alias("__rows"), F.col("bytes").alias("__bytes"), F.col("before").alias("__before")), "__path")
         place = F.floor((F.col("__before") + F.col("__row") * F.col("__bytes") / F.col("__rows")) / F.lit(self.target)).cast("int")
         placed = joined.withColumn("__file", place).repartition(int(files), "__run", "__file").sortWithinPartitions("__run", "__file", "__path", "__row")
-        placed = placed.withColumn("run", F.concat(F.lit(f"{after + 1:06d}-"), "__run")).drop("__path", "__row", "__rows", "__bytes", "__before", "__run", "__file")
-        placed.write.partitionBy("run").option("compression", "zstd").parquet(folder)
+        placed = placed.withColumn("run", F.concat(F.lit(f"{after + 1:06d}-"), "__run")).drop("__path", "__row", "__rows", "__bytes", "__before", "__run")
+        placed.write.partitionBy("run", "__file").option("compression", "zstd").parquet(folder)
         kept = entries.join(plan.select("run"), "run", "left_anti")
         new = self._tiers(self._measure(folder, size))
         done = self.commit(kept.unionByName(new), after)

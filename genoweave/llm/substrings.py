@@ -25,13 +25,13 @@ SECOND = 0xC2B2AE3D27D4EB4F
 HELD = 1_000_000
 
 
-def _pack(text: str | None) -> tuple[list[bytes], int, bytes]:
+def _pack(text: str | None, with_text: bool) -> tuple[int, int, bytes | None]:
     import xxhash
     import zstandard
 
     words = words_of(text)
     joined = b" ".join(words)
-    return words, xxhash.xxh3_64_intdigest(joined), zstandard.ZstdCompressor(level=3).compress(joined)
+    return len(words), xxhash.xxh3_64_intdigest(joined), zstandard.ZstdCompressor(level=3).compress(joined) if with_text else None
 
 
 def _unpack(blob: bytes) -> list[bytes]:
@@ -46,10 +46,9 @@ def packed(docs: DataFrame, key: str, with_text: bool = True) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                rows = [_pack(t) for t in part.column(1).to_pylist()]
-                blobs = [r[2] if with_text else None for r in rows]
+                rows = [_pack(t, with_text) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(signed(np.array([r[1] for r in rows], np.uint64))), pa.array([len(r[0]) for r in rows], pa.int64()), pa.array(blobs, pa.binary())],
+                    [part.column(0), pa.array(signed(np.array([r[1] for r in rows], np.uint64))), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
                     ["key", "th", "n_words", "blob"],
                 )
 
@@ -65,8 +64,12 @@ class Paths:
         if n <= 0:
             return
         self.seeds = windows_hash(words, seed)
-        span = window - seed + 1
-        least = np.lib.stride_tricks.sliding_window_view(self.seeds, span).argmin(axis=1) + np.arange(n)
+        low, least = self.seeds[:n].copy(), np.arange(n)
+        for j in range(1, window - seed + 1):  # the leftmost of the least seeds in each window
+            next_seed = self.seeds[j : j + n]
+            less = next_seed < low
+            least[less] = np.flatnonzero(less) + j
+            np.minimum(low, next_seed, out=low)
         self.start = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         self.size = np.diff(np.append(self.start, n))
         self.at = least[self.start]

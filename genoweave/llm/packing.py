@@ -8,52 +8,111 @@ hash into groups of bounded size that are packed on their own; all pieces of a g
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import cut, slices
 
 NEVER = np.iinfo(np.int64).max
+assert array("I").itemsize == 4 and sys.byteorder == "little"
 
-#: Chunks between these never influence each other's tokens: the tokenizer splits at white space and drops it.
-SPACE = re.compile("[ \t\n\r]+")
+#: Of a Latin-1 chunk without apostrophes: the parts into which the tokenizer splits it before it looks for merges.
+PARTS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: Latin-1 characters that the pattern and the tokenizer class differently.
+ODD = frozenset("\u00b2\u00b3\u00b9\u00bc\u00bd\u00be\x1c\x1d\x1e\x1f\x85\xa0'\u2019<")
 
 
 class Tokens:
-    """Token ids of texts, by way of remembered chunks; needs a tokenizer that splits at white space and drops it."""
+    """Token ids of texts, by way of remembered chunks and their parts.
 
-    def __init__(self, path: str, bound: int = 400_000):
+    For a tokenizer that normalises to NFC and lower case, drops white space, and takes runs of letters, single digits and
+    runs of other characters apart. A chunk stands between spaces, tabs or line ends, so its tokens depend on it alone.
+    Chunks beyond Latin-1 or with an apostrophe or a possible special token go to the tokenizer whole, others in parts.
+    """
+
+    def __init__(self, path: str, bound: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         self.bound = bound
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.known) + len(chunks) > self.bound:
-            self.known.clear()
-        new = list(chunks)
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(e.ids, "<u4").tobytes()
+    def learn(self, parts: set[str]) -> None:
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > self.bound:
+            self.parts.clear()
+            new = parts
+        todo = list(new)
+        for i in range(0, len(todo), 20_000):
+            part = todo[i : i + 20_000]
+            for text, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.parts[text] = array("I", e.ids).tobytes()
+
+    @staticmethod
+    def apart(chunk: str) -> list[str]:
+        try:
+            chunk.encode("latin-1")
+        except UnicodeEncodeError:
+            return [chunk]
+        return PARTS.findall(chunk) if ODD.isdisjoint(chunk) else [chunk]
+
+    def look_up(self, chunks: list[str]) -> list[bytes]:
+        fresh = {c: self.apart(c) for c in set(chunks).difference(self.chunks)}
+        if len(self.chunks) + len(fresh) > self.bound:
+            self.chunks.clear()
+            fresh = {c: self.apart(c) for c in chunks}
+        if fresh:
+            self.learn(set().union(*fresh.values()))
+            for c, parts in fresh.items():
+                self.chunks[c] = self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[p] for p in parts])
+        return list(map(self.chunks.__getitem__, chunks))
+
+    @staticmethod
+    def folded(text: str) -> str:
+        """Lower case where that is what the tokenizer does too (Latin-1 without special tokens); spaces for other gaps."""
+        try:
+            text.encode("latin-1")
+            text = text if "<|" in text else text.lower()
+        except UnicodeEncodeError:
+            pass
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
     def of(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [SPACE.split(t) for t in texts]
-        need = set().union(*split)
-        new = need - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > self.bound:
-                new = need
-            self.learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        """Little-endian unsigned 32-bit ids of each text. Each different chunk is looked up once."""
+        lists = pc.split_pattern(pa.array([self.folded(t) for t in texts], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        known = self.look_up(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), "<u4")
+        place = coded.indices.to_numpy()
+        own = size[place]
+        ends = np.cumsum(own)
+        first = (np.cumsum(size) - size)[place] - (ends - own)
+        all_ids = ids[np.repeat(first, own) + np.arange(int(ends[-1]))] if len(own) else ids
+        marks = np.concatenate(([0], ends))[lists.offsets.to_numpy()].tolist()
+        return [all_ids[a:b].tobytes() for a, b in zip(marks[:-1], marks[1:], strict=True)]
+
+
+def in_bulk(rows: Iterable[tuple], chars: int = 4_000_000) -> Iterator[list[tuple]]:
+    """Lists of rows whose texts (the second field) come to about as many characters."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[1])
+        if size > chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 _TOKENS: dict[str, Tokens] = {}
@@ -76,9 +135,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int = 1, key: st
         coder = tokens(tokenizer)
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            for part in slices(batch, 256):
+            rows = ((d, t or "") for part in slices(batch) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+            for part in in_bulk(rows):
                 out: tuple[list, ...] = ([], [], [], [], [])
-                for doc, ids in zip(part.column(0).to_pylist(), coder.of([t or "" for t in part.column(1).to_pylist()]), strict=True):
+                for (doc, _), ids in zip(part, coder.of([r[1] for r in part]), strict=True):
                     ids += last
                     for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                         cut_ids = ids[at : at + 4 * capacity]

@@ -120,15 +120,15 @@ def proposed(text: Column, base: Column, loose: Column, kind: int) -> Column:
     return F.transform(F.array_union(F.filter(base, lambda x: F.length(x["s"]) > 5), loose), lambda x: candidate(text, kind, x))
 
 
-def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, base, proposed): checked base spans and proposed spans with features, for each row."""
+def found_spans(docs: DataFrame, kept: Column, text: str = "text") -> DataFrame:
+    """(key, base, proposed): what is kept of each row, its checked base spans and its proposed spans with features."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     empty = F.array().cast("array<struct<start:int,stop:int,kind:int,s:string>>")
     # a cheap test first: most texts hold no sign that a kind needs
     may = {"email": t.contains("@"), "ip": t.rlike("[0-9]"), "card": t.rlike("[0-9]"), "phone": t.contains("+")}
     loose = {"email": t.contains("@") | t.rlike(r"(?i)\(at\)|\[at\]"), "ip": t.rlike("[0-9]"), "card": t.rlike("[0-9]"), "phone": t.rlike("[+(]|00")}
     raw = docs.select(
-        F.col(key).alias("key"), t.alias("text"),
+        kept.alias("key"), t.alias("text"),
         *[F.when(may[k], spans_of(t, BASE[k], i)).otherwise(empty).alias(f"b_{k}") for i, k in enumerate(KINDS)],
         *[F.when(loose[k], spans_of(t, LOOSE[k], i)).otherwise(empty).alias(f"l_{k}") for i, k in enumerate(KINDS)],
     )
@@ -237,8 +237,12 @@ def personal_data(docs: DataFrame, precision: float = 0.9, key: str = "doc_id",
 
     Null and empty texts have no spans. Repeated rows are searched each. Null keys stay. An empty table gives none.
     """
-    found = cut(found_spans(docs, key, text), "proposed")
-    model = fit(found, precision)
+    found = cut(found_spans(docs, F.col(key), text), "proposed")
+    return _selected(found, fit(found, precision)).withColumnRenamed("key", key)
+
+
+def _selected(found: DataFrame, model: Boosted) -> DataFrame:
+    """(key, base, spans) of found spans: base spans, and with them the proposed ones that the model accepts."""
     plain = lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["stop"].alias("stop"))
     base = F.array_sort(F.transform("base", plain))
     if model.threshold > 1:

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from genoweave.llm.common import WordHashes, components, cut, signed, slices, windows_hash, words_of
 
@@ -273,6 +274,41 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, parts: i
 # ---- near-duplicate documents at a shingle similarity
 
 
+def pack_text(docs: DataFrame) -> DataFrame:
+    """docs with the text compressed (zstd), for an exchange; null stays null."""
+    at = docs.columns.index("text")
+    schema = T.StructType([T.StructField(f.name, T.BinaryType() if i == at else f.dataType) for i, f in enumerate(docs.schema.fields)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        coder = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in slices(batch):
+                blobs = [None if t is None else coder.compress(t.encode()) for t in part.column(at).to_pylist()]
+                yield part.set_column(at, "text", pa.array(blobs, pa.binary()))
+
+    return docs.mapInArrow(run, schema)
+
+
+def unpacked(blobs: list[bytes | None]) -> list[str | None]:
+    import zstandard
+
+    coder = zstandard.ZstdDecompressor()
+    return [None if b is None else coder.decompress(b).decode() for b in blobs]
+
+
+def unpack_text(docs: DataFrame, schema: T.StructType) -> DataFrame:
+    at = schema.names.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield part.set_column(at, "text", pa.array(unpacked(part.column(at).to_pylist()), pa.string()))
+
+    return docs.select(*[f"`{n}`" for n in schema.names]).mapInArrow(run, schema)
+
+
 def segments(words: list[bytes], hashes: np.ndarray, mask: int) -> list[tuple[int, int]]:
     """Content-defined runs of words: a run ends where the hash of a word pair has its low bits zero."""
     n = len(words)
@@ -294,7 +330,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     A pair above the threshold differs in few places, so some content-defined run of words of one is nearly that of
     the other: runs whose SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, if
     the SimHashes of the whole texts lie within `bits` bits; the links of a minimum spanning forest of each bucket are
-    then verified on the exact shingle sets. Texts with the same words are one class and linked without comparison.
+    then verified on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
     Null and blank texts are each their own group. Repeated rows and ties stay and share a component.
     Rows with a null doc_id are groups of their own.
     """
@@ -324,8 +360,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     described = cut(source.mapInArrow(describe, "key long, cls binary, sim long, runs array<long>"), "described")
     named = described.where("key is not null and cls <> X''")
     classes = cut(named.groupBy("cls").agg(F.min("key").alias("first")), "classes")
-    reps = named.join(classes, "cls", "left_semi").join(classes.select(F.col("first").alias("key"), F.col("cls").alias("c")), "key").where("cls = c")
-    items = reps.select(F.col("key").alias("id"), "sim", F.explode("runs").alias("fp")).distinct()
+    reps = named.join(classes.hint("merge"), "cls").where("key = first")
+    items = reps.select(F.col("key").alias("id"), "sim", F.explode("runs").alias("fp"))
     links = cut(gph_links(cut(items, "items"), radius, parts, verify=bits), "links")
     ends = links.select(F.col("a").alias("key")).union(links.select("b")).distinct()
 
@@ -334,19 +370,21 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
         for batch in batches:
             for part in slices(batch):
                 sets = []
-                for t in part.column(1).to_pylist():
+                for t in unpacked(part.column(1).to_pylist()):
                     h = known.of(words_of(t, lower=True))
-                    sets.append(signed(np.unique(windows_hash(h, min(size, max(1, len(h)))))).tobytes())
+                    sets.append(np.unique((windows_hash(h, min(size, max(1, len(h)))) >> np.uint64(32)).astype(np.uint32)).tobytes())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["key", "set"])
 
-    sets = cut(source.join(ends, "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key"]), "sets")
-    both = links.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
+    # joins on keys of unproven number are sorted, never broadcast; texts cross the exchange compressed
+    sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key"]), "sets")
+    one, two = (sets.select(F.col("key").alias(k), F.col("set").alias(v)).hint("merge") for k, v in (("a", "x"), ("b", "y")))
+    both = links.join(one, "a").join(two, "b")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 shared = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(shared >= threshold * (len(p) + len(q) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep))
@@ -359,7 +397,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id") -> DataFrame:
-    """docs without the near-duplicates: of each group the rows of its smallest doc_id stay (one row of repeated ones)."""
+    """docs without the near-duplicates: of each group the rows of its smallest doc_id stay; rows with a null doc_id stay too."""
     groups = near_duplicates(docs, threshold, key=key)
     gone = groups.where(f"component_id < {key}").select(key).distinct()
-    return docs.join(gone, key, "left_anti")
+    kept = pack_text(docs).join(gone.hint("merge"), key, "left_anti")
+    return unpack_text(kept, docs.schema)

@@ -8,6 +8,7 @@ fitted through the noisy-or; the sentence scores then tell which sentences are t
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -78,28 +79,36 @@ def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, a
     """rows: (text, label). odds: how many times as many negatives there are in the population as in the sample.
     Features in fewer than `least` documents are left out, and those whose shares of the two classes' documents differ by
     less than `apart` standard errors. AdaGrad on the noisy-or likelihood, all rows in each step."""
-    df: tuple[Counter, Counter] = (Counter(), Counter())
-    bags = []
+    # only counts are held: features are made again for those that are kept
+    seen: dict[str, int] = {}
     for text, label in rows:
-        bag = [set().union(*map(features, text[a:b].split())) for a, b in sentences(text)]
-        df[label].update(set().union(*bag))
-        bags.append(bag)
+        for f in set().union(*map(features, set((text or "").split()))):
+            seen[f] = seen.get(f, 0) + (1 << 20 if label else 1)
     n = [sum(1 for r in rows if r[1] == k) for k in (0, 1)]
 
     def told(f: str) -> bool:
-        a, b = df[0][f], df[1][f]
+        a, b = seen[f] & 0xFFFFF, seen[f] >> 20
         p = (a + b) / (n[0] + n[1])
         return a + b >= least and abs(a / max(1, n[0]) - b / max(1, n[1])) >= apart * (p * (1 - p) * (1 / max(1, n[0]) + 1 / max(1, n[1]))) ** 0.5 > 0
 
-    index = {f: i for i, f in enumerate(sorted(f for f in df[0].keys() | df[1].keys() if told(f)))}
-    feat, sent, doc = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            ids = [index[f] for f in s if f in index]
-            feat += ids
-            sent += [len(doc)] * len(ids)
+    index = {f: i for i, f in enumerate(sorted(f for f in seen if told(f)))}
+    del seen
+    feat, sent, doc = array("i"), array("i"), array("i")
+    known: dict[str, list[int]] = {}
+    for d, (text, _) in enumerate(rows):
+        for a, b in sentences(text):
+            ids: set[int] = set()
+            for t in text[a:b].split():
+                own = known.get(t)
+                if own is None:
+                    own = [index[f] for f in features(t) if f in index]
+                    if len(known) < 200_000:
+                        known[t] = own
+                ids.update(own)
+            feat.extend(ids)
+            sent.extend([len(doc)] * len(ids))
             doc.append(d)
-    feat, sent, doc = np.array(feat, np.int32), np.array(sent, np.int32), np.array(doc, np.int32)
+    feat, sent, doc = (np.frombuffer(x, np.int32) if len(x) else np.zeros(0, np.int32) for x in (feat, sent, doc))
     y = np.array([r[1] for r in rows], float)
     weight = np.where(y > 0, 1.0, odds)
     weight /= weight.sum()
@@ -121,7 +130,7 @@ def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, a
     return Model(float(b), {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4})
 
 
-def train(docs: DataFrame, labels: DataFrame, size: int = 2500, where: Column | None = None, key: str = "doc_id") -> Model:
+def train(docs: DataFrame, labels: DataFrame, size: int = 2000, where: Column | None = None, key: str = "doc_id") -> Model:
     """Fitted on at most `size` labelled documents of each class, chosen by a hash of their key."""
     rows = labelled(docs, labels, "toxic", size, where, key)
     n = counts(labels, "toxic", key, where)

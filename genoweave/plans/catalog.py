@@ -1,10 +1,523 @@
-"""The queries over the driver's tables and their SQL."""
+"""The queries over the driver's tables and their SQL. Each applies one operator to derived views (plans.views)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from genoweave.functions import cigar, interval, seq, variants
+from genoweave.operators import folds, intervals, kernels, nets, posmap
+from genoweave.plans import assess, genotype, snp
+from genoweave.plans.views import register, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(name: str, views: str, sql: str | None = None):
+    """Registers a function of the named views as a query, with its SQL over the same views."""
+
+    def keep(f: Callable[..., DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: f(*register(spark, sf_dir, *views.split()).values())
+        if sql:
+            ORACLE[name] = with_views(sql, *views.split())
+        return f
+
+    return keep
+
+
+# ---- intervals
+
+
+@query("overlap_join", "v_iv v_feat", """
+    SELECT f.id AS feat, count(*) AS n, CAST(sum(least(i.en, f.en) - greatest(i.st, f.st)) AS BIGINT) AS shared
+    FROM v_iv i JOIN v_feat f ON i.contig = f.contig AND i.st < f.en AND f.st < i.en GROUP BY f.id""")
+def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
+    both = intervals.overlap_join(iv.select("contig", "st", "en"), feat.select("contig", F.col("id").alias("feat"), F.col("st").alias("b_st"), F.col("en").alias("b_en")))
+    return both.groupBy("feat").agg(F.count("*").alias("n"), F.sum(F.least("en", "b_en") - F.greatest("st", "b_st")).alias("shared"))
+
+
+@query("overlap_self", "v_iv", """
+    SELECT a.contig, count(*) AS pairs, CAST(sum(least(a.en, b.en) - greatest(a.st, b.st)) AS BIGINT) AS shared
+    FROM v_iv a JOIN v_iv b ON a.contig = b.contig AND a.id < b.id AND a.st < b.en AND b.st < a.en GROUP BY a.contig""")
+def _(iv: DataFrame) -> DataFrame:
+    pairs = intervals.overlap_join(iv.select("contig", "id", "st", "en"), iv.select("contig", F.col("id").alias("b_id"), F.col("st").alias("b_st"), F.col("en").alias("b_en"))).where("id < b_id")
+    return pairs.groupBy("contig").agg(F.count("*").alias("pairs"), F.sum(F.least("en", "b_en") - F.greatest("st", "b_st")).alias("shared"))
+
+
+@query("overlap_semi", "v_feat v_sp", """
+    SELECT f.id, f.contig, f.st, f.en FROM v_feat f WHERE EXISTS (SELECT 1 FROM v_sp i WHERE i.contig = f.contig AND i.st < f.en AND f.st < i.en)""")
+def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
+    return intervals.overlap_semi(feat, iv).select("id", "contig", "st", "en")
+
+
+@query("overlap_anti", "v_feat v_sp", """
+    SELECT f.id, f.contig, f.st, f.en FROM v_feat f WHERE NOT EXISTS (SELECT 1 FROM v_sp i WHERE i.contig = f.contig AND i.st < f.en AND f.st < i.en)""")
+def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
+    return intervals.overlap_anti(feat, iv).select("id", "contig", "st", "en")
+
+
+ISLANDS = """r AS (SELECT contig, st, en, max(en) OVER (PARTITION BY contig ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM src),
+    g AS (SELECT *, sum(CASE WHEN reach IS NULL OR st > reach THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY st, en ROWS UNBOUNDED PRECEDING) AS island FROM r),
+    m AS (SELECT contig, min(st) AS st, max(en) AS en FROM g GROUP BY contig, island)"""
+SWEEP = """e AS (SELECT contig, st AS pos, 1 AS d FROM src UNION ALL SELECT contig, en, -1 FROM src), s AS (SELECT contig, pos, sum(d) AS d FROM e GROUP BY contig, pos),
+    runs AS (SELECT contig, pos AS st, lead(pos) OVER (PARTITION BY contig ORDER BY pos) AS en, CAST(sum(d) OVER (PARTITION BY contig ORDER BY pos) AS BIGINT) AS depth FROM s)"""
+SRC = "src AS (SELECT contig, st, en FROM v_sp)"
+
+
+@query("interval_merge", "v_sp", f"WITH {SRC}, {ISLANDS} SELECT contig, st, en FROM m")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.merge_intervals(iv)
+
+
+@query("cov_union", "v_sp", f"WITH {SRC}, {ISLANDS} SELECT contig, CAST(sum(en - st) AS BIGINT) AS covered FROM m GROUP BY contig")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.cov_union(iv)
+
+
+@query("cov_once", "v_sp", f"WITH {SRC}, {SWEEP} SELECT contig, CAST(sum(CASE WHEN depth = 1 THEN en - st ELSE 0 END) AS BIGINT) AS once FROM runs WHERE depth > 0 AND en IS NOT NULL GROUP BY contig")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.cov_once(iv)
+
+
+@query("depth_runs", "v_sp", f"WITH {SRC}, {SWEEP} SELECT contig, depth, count(*) AS runs, CAST(sum(en - st) AS BIGINT) AS positions FROM runs WHERE depth > 0 AND en IS NOT NULL GROUP BY contig, depth")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.depth_runs(iv).groupBy("contig", "depth").agg(F.count("*").alias("runs"), F.sum(F.col("en") - F.col("st")).alias("positions"))
+
+
+@query("interval_gaps", "v_sp", f"WITH {SRC}, {ISLANDS}, n AS (SELECT contig, en AS st, lead(st) OVER (PARTITION BY contig ORDER BY st) AS nx FROM m) SELECT contig, st, nx AS en FROM n WHERE nx IS NOT NULL")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.gaps(iv)
+
+
+@query("bed_coverage", "v_feat v_sp", f"""
+    WITH {SRC}, {ISLANDS} SELECT f.id, f.en - f.st AS length, CAST(coalesce(sum(CASE WHEN m.st IS NOT NULL THEN least(f.en, m.en) - greatest(f.st, m.st) END), 0) AS BIGINT) AS covered, count(m.st) AS hits
+    FROM v_feat f LEFT JOIN m ON m.contig = f.contig AND m.st < f.en AND f.st < m.en GROUP BY f.id, f.en - f.st""")
+def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
+    return intervals.bed_coverage(feat, iv)
+
+
+@query("nx_length", "v_iv", """
+    WITH c AS (SELECT contig, en - st AS len, count(*) AS n FROM v_iv GROUP BY 1, 2),
+    r AS (SELECT contig, len, sum(len * n) OVER (PARTITION BY contig ORDER BY len DESC) AS run, sum(len * n) OVER (PARTITION BY contig) AS total FROM c)
+    SELECT contig, max(len) AS nx FROM r WHERE run >= 0.5 * total GROUP BY contig""")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.nx(iv.select("contig", (F.col("en") - F.col("st")).alias("len")), 0.5, ("contig",))
+
+
+@query("aun", "v_iv", "SELECT contig, round(CAST(sum((en - st) * (en - st)) AS DOUBLE) / CAST(sum(en - st) AS DOUBLE), 6) AS aun FROM v_iv GROUP BY contig")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.aun(iv.select("contig", (F.col("en") - F.col("st")).alias("len")), ("contig",)).select("contig", F.round("aun", 6).alias("aun"))
+
+
+@query("gap_flanks", "v_iv", """
+    SELECT id, st - coalesce(lag(en) OVER w, 0) AS five, coalesce(lead(st) OVER w, 100000000) - en AS three FROM v_iv WINDOW w AS (PARTITION BY contig, sample ORDER BY st, en, id)""")
+def _(iv: DataFrame) -> DataFrame:
+    wide = iv.select("id", "contig", "sample", "st", "en", F.lit(0).alias("lo"), F.lit(100_000_000).alias("hi"))
+    return intervals.flanks(wide, ("contig", "sample"), "lo", "hi").select("id", "five", "three")
+
+
+@query("gene_nr", "v_sp", """
+    WITH r AS (SELECT id, contig, st, en, max(en) OVER (PARTITION BY contig ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM v_sp),
+    g AS (SELECT *, sum(CASE WHEN reach IS NULL OR st >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY st, en ROWS UNBOUNDED PRECEDING) AS island FROM r)
+    SELECT id, contig, st, en FROM (SELECT *, row_number() OVER (PARTITION BY contig, island ORDER BY en - st DESC, st, id) AS k FROM g) WHERE k = 1""")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.longest_of_overlapping(iv.select("id", "contig", "st", "en"))
+
+
+@query("split_windows", "v_seq", """
+    SELECT contig, CAST(no AS INTEGER) AS no, CASE WHEN no = 0 THEN 0 ELSE no * 10 - 3 END AS start, least(32, CASE WHEN no > 32 / 10.0 - 1 THEN 32 ELSE (CASE WHEN no = 0 THEN 0 ELSE no * 10 - 3 END) + 13 END) AS stop
+    FROM v_seq, range(0, 4) t(no)""")
+def _(seqs: DataFrame) -> DataFrame:
+    return intervals.split_windows(seqs.select("contig", F.length("seq").cast("long").alias("length")), 10, 3)
+
+
+@query("top_by_key", "v_iv", "SELECT okey, id, en - st AS len FROM (SELECT *, row_number() OVER (PARTITION BY okey ORDER BY en - st DESC, id) AS k FROM v_iv) WHERE k = 1")
+def _(iv: DataFrame) -> DataFrame:
+    best = iv.groupBy("okey").agg(F.max_by(F.struct("id", (F.col("en") - F.col("st")).alias("len")), F.struct((F.col("en") - F.col("st")).alias("l"), F.translate("id", "0123456789abcdef", "fedcba9876543210"))).alias("x"))
+    return best.select("okey", "x.id", "x.len")
+
+
+@query("overlap_rules", "v_iv v_feat", """
+    SELECT i.id, f.id AS feat, round(CASE WHEN i.st > f.en THEN 0.0 WHEN i.st >= f.st AND i.en <= f.en THEN CAST(i.en - i.st AS DOUBLE) / (f.en - f.st) WHEN i.st >= f.st THEN CAST(f.en - i.st AS DOUBLE) / (f.en - f.st) END, 6) AS frac,
+        greatest(0, least(i.en, f.en) - greatest(i.st, f.st)) AS len, round(CAST(least(i.en, f.en) - greatest(i.st, f.st) + 1 AS DOUBLE) / (i.en - i.st + 1), 6) AS incl,
+        (2 * greatest(0, least(i.en, f.en) - greatest(i.st, f.st)) > i.en - i.st) OR (2 * greatest(0, least(i.en, f.en) - greatest(i.st, f.st)) > f.en - f.st) AS half
+    FROM v_iv i JOIN v_feat f ON i.okey = f.id""")
+def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
+    j = iv.join(feat.select(F.col("id").alias("feat"), F.col("st").alias("f_st"), F.col("en").alias("f_en")), F.col("okey") == F.col("feat"))
+    at = [F.col(c) for c in ("st", "en", "f_st", "f_en")]
+    return j.select("id", "feat", F.round(interval.overlap_frac(*at), 6).alias("frac"), interval.overlap_len(*at).alias("len"), F.round(interval.overlap_incl(*at), 6).alias("incl"), interval.overlap_half(*at).alias("half"))
+
+
+@query("flank_buckets", "v_iv", """
+    SELECT id, len, CASE WHEN len <= 100 THEN 100 WHEN len < 500 THEN 200 WHEN len < 2000 THEN 500 WHEN len < 5000 THEN 2000 ELSE 5000 END AS del_flank,
+        CASE WHEN len < 1000 THEN 100 WHEN len < 5000 THEN 500 ELSE 800 END AS ins_flank, CASE WHEN len < 50 THEN 'small' WHEN len < 100000 THEN 'large' END AS class
+    FROM (SELECT id, (en - st) * 30 AS len FROM v_iv)""")
+def _(iv: DataFrame) -> DataFrame:
+    n = F.col("len")
+    return iv.select("id", ((F.col("en") - F.col("st")) * 30).alias("len")).select("id", "len", interval.flank_bucket_del(n).alias("del_flank"), interval.flank_bucket_ins(n).alias("ins_flank"), interval.size_class(n).alias("class"))
+
+
+@query("flank_windows", "v_iv", """
+    SELECT id, st - least(qty * 30, 1000) + 5 AS d_beg, en + (CASE WHEN line * 400 > 1000 THEN 1000 ELSE line * 400 END) - 5 AS d_end,
+        st - (CASE WHEN qty * 30 >= 500 THEN 500 ELSE qty * 30 - 5 END) AS i_beg, en + (CASE WHEN line * 400 >= 500 THEN 500 ELSE line * 400 - 5 END) AS i_end FROM v_iv""")
+def _(iv: DataFrame) -> DataFrame:
+    five, three = F.col("qty") * 30, F.col("line") * 400
+    d = interval.flank_window_del(F.col("st"), F.col("en"), five, three, F.lit(1000))
+    i = interval.flank_window_ins(F.col("st"), F.col("en"), five, three, F.lit(500))
+    return iv.select("id", d["beg0"].alias("d_beg"), d["end0"].alias("d_end"), i["beg0"].alias("i_beg"), i["end0"].alias("i_end"))
+
+
+@query("asof_position", "v_pt v_feat", """
+    WITH p AS (SELECT id, concat('c', CAST(user_id % 8 AS string)) AS contig, id * 13 % 100000 AS pos FROM v_pt), m AS (SELECT contig, st AS pos, max(id) AS mark FROM v_feat GROUP BY 1, 2)
+    SELECT p.id, p.contig, p.pos, CASE WHEN p.pos - m.pos <= 500 THEN m.pos END AS mark_pos, CASE WHEN p.pos - m.pos <= 500 THEN m.mark END AS mark FROM p ASOF LEFT JOIN m ON p.contig = m.contig AND p.pos >= m.pos""")
+def _(pt: DataFrame, feat: DataFrame) -> DataFrame:
+    points = pt.select("id", F.concat(F.lit("c"), (F.col("user_id") % 8).cast("string")).alias("contig"), (F.col("id") * 13 % 100_000).alias("pos"))
+    return posmap.asof(points, feat.select("contig", F.col("st").alias("pos"), F.col("id").alias("mark")), bound=500)
+
+
+# ---- sequences
+
+
+@query("revcomp", "v_seq", "SELECT contig, reverse(translate(seq, 'ACGTNacgtn', 'TGCANtgcan')) AS rc FROM v_seq")
+def _(seqs: DataFrame) -> DataFrame:
+    return seqs.select("contig", seq.revcomp(F.col("seq")).alias("rc"))
+
+
+@query("strand_flip", "v_blk", "SELECT block, q_size - (q_start + length(replace(q_text, '-', ''))) AS flipped FROM v_blk")
+def _(blk: DataFrame) -> DataFrame:
+    return blk.select("block", seq.strand_flip(F.col("q_start"), F.length(F.replace("q_text", F.lit("-"), F.lit(""))), F.col("q_size")).alias("flipped"))
+
+
+@query("kmer_frac", "v_seq", """
+    SELECT contig, round(CAST(len(list_filter(range(1, 10), lambda i: contains(substring(seq, 11, 22), substring(seq, i, 4)))) AS DOUBLE) / 9, 6) AS frac FROM v_seq""")
+def _(seqs: DataFrame) -> DataFrame:
+    return seqs.select("contig", F.round(seq.kmer_frac(F.substring("seq", 1, 12), F.substring("seq", 11, 22), 4), 6).alias("frac"))
+
+
+@query("dup_class", "v_seq", """
+    WITH p AS (SELECT contig, substring(seq, 1, 10) AS s, substring(seq, 6, 14) AS f5, substring(seq, 3, 20) AS f3 FROM v_seq),
+    k AS (SELECT contig, s, f5, f3, reverse(translate(s, 'ACGTNacgtn', 'TGCANtgcan')) AS rc FROM p),
+    n AS (SELECT contig, len(list_filter(range(1, 8), lambda i: contains(f5, substring(s, i, 4)))) AS a, len(list_filter(range(1, 8), lambda i: contains(f3, substring(s, i, 4)))) AS b,
+        len(list_filter(range(1, 8), lambda i: contains(f5, substring(rc, i, 4)))) AS c, len(list_filter(range(1, 8), lambda i: contains(f3, substring(rc, i, 4)))) AS d FROM k)
+    SELECT contig, CASE WHEN greatest(a, b) > 3.5 THEN CASE WHEN a > b THEN '5DUP' ELSE '3DUP' END WHEN greatest(c, d) > 3.5 THEN CASE WHEN c > d THEN '5INVDUP' ELSE '3INVDUP' END ELSE 'NONDUP' END AS class FROM n""")
+def _(seqs: DataFrame) -> DataFrame:
+    return seqs.select("contig", seq.dup_class(F.substring("seq", 1, 10), F.substring("seq", 6, 14), F.substring("seq", 3, 20), 4).alias("class"))
+
+
+@query("pair_score", "v_blk", """
+    WITH c AS (SELECT block, unnest(string_split(t_text, '')) AS t, unnest(string_split(q_text, '')) AS q, unnest(range(0, 32)) AS i FROM v_blk),
+    s AS (SELECT *, CASE WHEN t = '-' AND q = '-' THEN NULL WHEN t = '-' THEN 1 WHEN q = '-' THEN 2 ELSE 0 END AS g FROM c),
+    l AS (SELECT *, coalesce(lag(g IGNORE NULLS) OVER (PARTITION BY block ORDER BY i), 0) AS before FROM s)
+    SELECT block, CAST(sum(CASE WHEN g IS NULL THEN 0 WHEN g > 0 THEN -30 - (CASE WHEN before = g THEN 0 ELSE 400 END)
+        WHEN t = q THEN CASE WHEN t IN ('A', 'T') THEN 91 ELSE 100 END WHEN t || q IN ('AC', 'CA', 'GT', 'TG') THEN -114 WHEN t || q IN ('AG', 'GA', 'CT', 'TC') THEN -31
+        WHEN t || q IN ('AT', 'TA') THEN -123 ELSE -125 END) AS INTEGER) AS score FROM l GROUP BY block""")
+def _(blk: DataFrame) -> DataFrame:
+    return blk.select("block", seq.pair_score(F.col("t_text"), F.col("q_text")).alias("score"))
+
+
+@query("pos_to_col", "v_blk", """
+    WITH c AS (SELECT block, unnest(string_split(t_text, '')) AS t, unnest(range(0, 32)) AS i FROM v_blk), n AS (SELECT block, i, row_number() OVER (PARTITION BY block ORDER BY i) AS k FROM c WHERE t <> '-')
+    SELECT b.block, CAST(n.i AS INTEGER) AS col, length(replace(substring(b.t_text, 1, 10), '-', '')) AS bases FROM v_blk b LEFT JOIN n ON n.block = b.block AND n.k = b.block % 33 + 1""")
+def _(blk: DataFrame) -> DataFrame:
+    return blk.select("block", seq.pos_to_col(F.col("t_text"), F.col("t_start"), F.col("t_start") + F.col("block") % 33).alias("col"), seq.bases_before(F.col("t_text"), F.lit(10)).alias("bases"))
+
+
+@query("near_texts", "v_seq", "SELECT CAST(length(seq) AS INTEGER) AS len, count(DISTINCT substring(seq, 1, 6)) AS kinds, count(*) AS n FROM v_seq GROUP BY 1")
+def _(seqs: DataFrame) -> DataFrame:
+    return seqs.groupBy(F.length("seq").alias("len")).agg(F.countDistinct(F.substring("seq", 1, 6)).alias("kinds"), F.count("*").alias("n"))
+
+
+# ---- blocks and genotypes
+
+COLS = """c AS (SELECT block, contig, sample, q_contig, q_strand, q_size, t_start, q_start, unnest(string_split(t_text, '')) AS t, unnest(string_split(q_text, '')) AS q, unnest(range(0, 32)) AS i FROM v_blk),
+    p AS (SELECT *, t_start + sum(CASE WHEN t <> '-' THEN 1 ELSE 0 END) OVER w - (CASE WHEN t <> '-' THEN 1 ELSE 0 END) AS tp, q_start + sum(CASE WHEN q <> '-' THEN 1 ELSE 0 END) OVER w - (CASE WHEN q <> '-' THEN 1 ELSE 0 END) AS qp
+        FROM c WINDOW w AS (PARTITION BY block ORDER BY i ROWS UNBOUNDED PRECEDING))"""
+MAP = COLS + """, a AS (SELECT contig, sample, q_contig AS q_name, CAST(tp AS BIGINT) AS tp, CAST(CASE WHEN q_strand = '-' THEN q_size - 1 - qp ELSE qp END AS BIGINT) AS qq, q_strand FROM p WHERE t <> '-' AND q <> '-')"""
+
+
+@query("posmap_runs", "v_blk", f"""
+    WITH {COLS}, a AS (SELECT *, i - row_number() OVER (PARTITION BY block ORDER BY i) AS run FROM p WHERE t <> '-' AND q <> '-')
+    SELECT sample, contig, CAST(min(tp) AS BIGINT) AS t_from, CAST(max(tp) AS BIGINT) AS t_to, q_contig AS q_name, CAST(CASE WHEN q_strand = '-' THEN q_size - 1 - min(qp) ELSE min(qp) END AS BIGINT) AS q_from, CASE WHEN q_strand = '-' THEN -1 ELSE 1 END AS step
+    FROM a GROUP BY block, run, sample, contig, q_contig, q_strand, q_size""")
+def _(blk: DataFrame) -> DataFrame:
+    return posmap.position_runs(blk)
+
+
+@query("genotype_indel", "v_blk v_indel", f"""
+    WITH {MAP}, k AS (SELECT contig, sample, tp + 2 AS pos, CASE WHEN q_strand = '-' THEN qq ELSE qq + 2 END AS q FROM a),
+    v AS (SELECT *, CASE WHEN kind = 'DEL' THEN beg ELSE beg - 2 END AS lo, fin + 2 AS hi FROM v_indel), s AS (SELECT DISTINCT sample FROM v_blk),
+    g AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, x.sample, abs(y.q - x.q) AS d FROM v JOIN k x ON x.contig = v.contig AND x.pos = v.lo JOIN k y ON y.contig = v.contig AND y.pos = v.hi AND y.sample = x.sample),
+    t AS (SELECT contig, beg, fin, len, kind, sample, CASE WHEN kind = 'DEL' THEN CASE WHEN d = len + 2 THEN '0|0' WHEN d <= 2 THEN '1|1' ELSE '.|.' END ELSE CASE WHEN d = len + 4 THEN '1|1' WHEN d <= 4 THEN '0|0' ELSE '.|.' END END AS gt FROM g)
+    SELECT v.contig, v.beg, v.fin, v.len, v.kind, coalesce(max(CASE WHEN sample = 'S0' THEN gt END), '.|.') AS S0, coalesce(max(CASE WHEN sample = 'S1' THEN gt END), '.|.') AS S1, coalesce(max(CASE WHEN sample = 'S2' THEN gt END), '.|.') AS S2,
+        coalesce(max(CASE WHEN sample = 'S3' THEN gt END), '.|.') AS S3, coalesce(max(CASE WHEN sample = 'S4' THEN gt END), '.|.') AS S4, coalesce(max(CASE WHEN sample = 'S5' THEN gt END), '.|.') AS S5
+    FROM v_indel v LEFT JOIN t ON t.contig = v.contig AND t.beg = v.beg AND t.fin = v.fin AND t.len = v.len AND t.kind = v.kind GROUP BY v.contig, v.beg, v.fin, v.len, v.kind""")
+def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    return genotype.pivot(genotype.genotype_indel(indel, posmap.position_runs(blk)), indel, [f"S{i}" for i in range(6)])
+
+
+@query("snp_loci", "v_blk", f"WITH {COLS} SELECT DISTINCT contig, CAST(tp + 1 AS BIGINT) AS pos, upper(t) AS ref, upper(q) AS alt FROM p WHERE t <> '-' AND q <> '-' AND upper(t) <> upper(q)")
+def _(blk: DataFrame) -> DataFrame:
+    return snp.loci(snp.aligned(blk))
+
+
+@query("snp_frequency", "v_blk", f"""
+    WITH {COLS}, b AS (SELECT contig, sample, CAST(tp + 1 AS BIGINT) AS pos, upper(t) AS ref, upper(q) AS base FROM p WHERE t <> '-' AND q <> '-'),
+    l AS (SELECT DISTINCT contig, pos, ref, base AS alt FROM b WHERE ref <> base)
+    SELECT l.contig, l.pos, l.ref, l.alt, count(b.base) AS ns, count_if(b.base = l.alt) AS ac, floor(100.0 * count_if(b.base = l.alt) / count(b.base) + 0.000000001) AS percent
+    FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY ALL""")
+def _(blk: DataFrame) -> DataFrame:
+    cols = snp.aligned(blk)
+    return snp.frequencies(cols, snp.loci(cols))
+
+
+@query("snp_matrix", "v_blk", f"""
+    WITH {COLS}, b AS (SELECT contig, sample, CAST(tp + 1 AS BIGINT) AS pos, upper(t) AS ref, upper(q) AS base FROM p WHERE t <> '-' AND q <> '-'),
+    l AS (SELECT contig, pos, ref, list_sort(list(DISTINCT base)) AS alts FROM b WHERE ref <> base GROUP BY 1, 2, 3)
+    SELECT l.contig, l.pos, l.ref, array_to_string(alts, ',') AS alt, coalesce(max(CASE WHEN sample = 'S0' THEN base END), '-') AS S0, coalesce(max(CASE WHEN sample = 'S1' THEN base END), '-') AS S1, coalesce(max(CASE WHEN sample = 'S2' THEN base END), '-') AS S2
+    FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY l.contig, l.pos, l.ref, alts""")
+def _(blk: DataFrame) -> DataFrame:
+    cols = snp.aligned(blk)
+    return snp.matrix(cols, snp.loci(cols), ["S0", "S1", "S2"])
+
+
+@query("window_identity", "v_blk", f"""
+    WITH {COLS}, w AS (SELECT block, tp - t_start AS o, t, q FROM p WHERE t <> '-')
+    SELECT block, round(CAST(count_if(o < 10 AND upper(t) = upper(q)) AS DOUBLE) / (count_if(o < 10 AND q <> '-') + 1), 6) AS id5, round(CAST(count_if(o >= 10 AND o < 20 AND upper(t) = upper(q)) AS DOUBLE) / (count_if(o >= 10 AND o < 20) + 1), 6) AS region,
+        round(CAST(count_if(o >= 20 AND upper(t) = upper(q)) AS DOUBLE) / (count_if(o >= 20 AND q <> '-') + 1), 6) AS id3 FROM w GROUP BY block""")
+def _(blk: DataFrame) -> DataFrame:
+    w = genotype.window_identity(blk, F.lit(10), F.lit(20))
+    return w.select("block", *[F.round(c, 6).alias(c) for c in ("id5", "region", "id3")])
+
+
+@query("carrier_shortcut", "v_iv", """
+    SELECT pkey, list_contains(list(DISTINCT sample), 'S1') AS carrier FROM v_iv GROUP BY pkey""")
+def _(iv: DataFrame) -> DataFrame:
+    members = iv.groupBy("pkey").agg(F.collect_set(F.concat("sample", F.lit(".x"))).alias("m"))
+    return members.select("pkey", variants.carries(F.col("m"), F.lit("S1")).alias("carrier"))
+
+
+@query("genotype_inv", "v_feat v_iv", """
+    WITH x AS (SELECT f.id, i.sample, i.strand, greatest(0, least(i.en, f.st) - greatest(i.st, f.st - 100)) AS a, greatest(0, least(i.en, f.en) - greatest(i.st, f.st)) AS b, greatest(0, least(i.en, f.en + 100) - greatest(i.st, f.en)) AS c
+        FROM v_feat f JOIN v_iv i ON i.contig = f.contig AND i.st < f.en + 100 AND f.st - 100 < i.en),
+    s AS (SELECT id, sample, sum(b) AS inner_len, sum(CASE WHEN strand = '-' THEN a ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN a ELSE 0 END) + 1 AS DOUBLE) AS r5, sum(CASE WHEN strand = '-' THEN b ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN b ELSE 0 END) + 1 AS DOUBLE) AS ri,
+        sum(CASE WHEN strand = '-' THEN c ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN c ELSE 0 END) + 1 AS DOUBLE) AS r3 FROM x GROUP BY id, sample),
+    t AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY inner_len DESC, sample) AS k FROM s)
+    SELECT id, sample AS q_name, CASE WHEN r5 > 5 AND ri > 5 AND r3 > 5 THEN '0|0' WHEN r5 > 5 AND ri < 0.2 AND r3 > 5 THEN '1|1' WHEN r5 < 0.2 AND ri < 0.2 AND r3 < 0.2 THEN '0|0' WHEN r5 < 0.2 AND ri > 5 AND r3 < 0.2 THEN '1|1' ELSE '.|.' END AS gt FROM t WHERE k = 1""")
+def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
+    return genotype.genotype_inv(feat, iv.select("contig", "st", "en", "strand", F.col("sample").alias("q_name")), bin_size=512)
+
+
+@query("genotype_del", "v_blk v_indel")
+def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    return genotype.genotype_del(indel.where("kind = 'DEL'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)), posmap.position_runs(blk), slack=2)
+
+
+@query("genotype_ins", "v_blk v_indel")
+def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    return genotype.genotype_ins(indel.where("kind = 'INS'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)), posmap.position_runs(blk), slack=2)
+
+
+@query("threading", "v_blk", """
+    SELECT sample, contig, count_if(t_start < coalesce(prev, -1) + 1) AS clashes FROM (SELECT *, lag(t_start + length(replace(t_text, '-', '')) - 1) OVER (PARTITION BY sample, contig ORDER BY t_start) AS prev FROM v_blk) GROUP BY sample, contig""")
+def _(blk: DataFrame) -> DataFrame:
+    return assess.threading(blk)
+
+
+@query("vcf_text", "v_indel", """
+    SELECT contig, beg, concat_ws(chr(9), contig, CAST(beg AS string), concat('SV', CAST(beg AS string)), 'N', concat('<', kind, '>'), '22', 'PASS', concat('SVTYPE=', kind, ';END=', CAST(fin AS string), ';SVLEN=', CAST(len AS string)), 'GT:GQ') AS line FROM v_indel""")
+def _(indel: DataFrame) -> DataFrame:
+    return indel.select("contig", "beg", variants.sv_line(F.col("contig"), F.col("beg"), F.lit("N"), F.concat(F.lit("<"), "kind", F.lit(">")), F.col("kind"), F.col("fin"), F.col("len")).alias("line"))
+
+
+@query("single_coverage", "v_sp")
+def _(iv: DataFrame) -> DataFrame:
+    return kernels.single_coverage(iv.select("contig", F.xxhash64("id").alias("id"), "st", (F.col("en") - F.col("st")).alias("size"), F.col("qty").alias("score")))
+
+
+@query("global_align", "v_seq")
+def _(seqs: DataFrame) -> DataFrame:
+    return kernels.global_align(seqs.select("contig", F.substring("seq", 1, 24).alias("a"), F.substring("seq", 5, 24).alias("b")))
+
+
+# ---- nets
+
+@query("net_filter", "v_top v_gap v_child", """
+    WITH t AS (SELECT fill FROM v_top WHERE t_size > 500000 AND CAST(ali AS DOUBLE) / t_size > 0.1), g AS (SELECT gap FROM v_gap WHERE fill IN (SELECT fill FROM t)),
+    c AS (SELECT child, gap FROM v_child WHERE gap IN (SELECT gap FROM g) AND CASE kind WHEN 'nonSyn' THEN t_len > 20000 AND CAST(ali AS DOUBLE) / t_len > 0.1 WHEN 'syn' THEN t_len > 10000 AND CAST(ali AS DOUBLE) / t_len > 0.1
+        ELSE (t_len > 10000 AND CAST(ali AS DOUBLE) / t_len > 0.1 AND q_over > 0 AND q_far < 5000000) OR (t_len > 50000 AND q_len > 50000 AND q_far < t_len) END)
+    SELECT 1 AS depth, fill AS node FROM t UNION ALL SELECT 2, gap FROM g UNION ALL SELECT 3, child FROM c""")
+def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
+    kept = nets.filter_synteny(assess.net_nodes(top, gap, child), nonsyn_len=20_000, syn_len=10_000)
+    return kept.select("depth", F.split_part("node", F.lit(":"), F.lit(2)).cast("long").alias("node"))
+
+
+@query("net_partners", "v_top v_gap v_child", """
+    SELECT concat('n', CAST(t.net AS string)) AS net, array_to_string(list_sort(list(DISTINCT c.q_name)), ',') AS partners FROM v_child c JOIN v_gap g ON g.gap = c.gap JOIN v_top t ON t.fill = g.fill WHERE c.kind = 'nonSyn' GROUP BY t.net""")
+def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
+    nodes = assess.net_nodes(top, gap, child).where("depth = 3")
+    return nets.paired_chromosomes(nodes).select("net", F.array_join("partners", ",").alias("partners"))
+
+
+@query("gap_bed", "v_top v_gap v_child", "SELECT concat('n', CAST(t.net AS string)) AS contig, g.t_start AS st, g.t_start + g.t_len AS en FROM v_gap g JOIN v_top t ON t.fill = g.fill")
+def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
+    return nets.gap_bed(assess.net_nodes(top, gap, child))
+
+
+SUMS = """s AS (SELECT g.gap, g.t_len, g.q_len, count(c.child) AS n, CAST(coalesce(sum(c.t_len), 0) AS BIGINT) AS total_cov, CAST(coalesce(sum(CASE WHEN c.kind IN ('syn', 'inv') AND c.q_far < 2 * g.t_len THEN c.ali END), 0) AS BIGINT) AS ali,
+    CAST(coalesce(sum(CASE WHEN c.kind = 'inv' AND c.q_far < 2 * g.t_len THEN c.ali END), 0) AS BIGINT) AS inv_len, min(CASE WHEN c.kind IN ('syn', 'inv') AND c.q_far < 2 * g.t_len THEN c.q_start END) AS q_min,
+    max(CASE WHEN c.kind IN ('syn', 'inv') AND c.q_far < 2 * g.t_len THEN c.q_start + c.q_len END) AS q_max FROM v_gap g LEFT JOIN v_child c ON c.gap = g.gap GROUP BY g.gap, g.t_len, g.q_len)"""
+
+
+@query("gap_fills", "v_gap v_child", f"WITH {SUMS} SELECT * FROM s WHERE n > 0")
+def _(gap: DataFrame, child: DataFrame) -> DataFrame:
+    return nets.gap_fills(gap.select("gap", "t_len", "q_len"), child).where("n > 0").select("gap", "t_len", "q_len", "n", "total_cov", "ali", "inv_len", "q_min", "q_max")
+
+
+@query("sv_class", "v_gap v_child", f"""
+    WITH {SUMS} SELECT gap, CASE WHEN n = 0 THEN CASE WHEN t_len / (q_len + CAST(0.01 AS DOUBLE)) > 2 THEN 'DEL_PAV' ELSE 'CMPLX_PAV' END
+        WHEN t_len / (q_len + CAST(0.1 AS DOUBLE)) > 2 AND inv_len > (q_len + t_len) / CAST(4 AS DOUBLE) AND inv_len > 500 THEN 'InvCNV'
+        WHEN t_len / (q_len + CAST(0.1 AS DOUBLE)) > 2 AND CAST(ali AS DOUBLE) / t_len > 0.25 AND ali > 500 THEN 'CNV'
+        WHEN t_len / (q_len + CAST(0.1 AS DOUBLE)) > 2 AND t_len <= 20000 THEN CASE WHEN CAST(total_cov AS DOUBLE) / t_len < 0.1 AND t_len > 10000 THEN 'DEL_PAV' ELSE 'DEL' END
+        WHEN CAST(total_cov AS DOUBLE) / t_len < 0.1 AND t_len > 10000 THEN 'CMPLX_PAV' ELSE 'CMPLX' END AS svtype FROM s""")
+def _(gap: DataFrame, child: DataFrame) -> DataFrame:
+    s = nets.gap_fills(gap.select("gap", "t_len", "q_len"), child)
+    return s.select("gap", nets.gap_class(*[F.col(c) for c in ("t_len", "q_len", "n", "total_cov", "ali", "inv_len")]).alias("svtype"))
+
+
+@query("trl_class", "v_child", """
+    SELECT child, CASE WHEN kind IN ('syn', 'inv') THEN CASE WHEN t_len > 5000 AND q_far > 2 * t_len THEN 'IntraChr' END ELSE CASE WHEN t_len > 5000 THEN 'InterChr' END END AS class FROM v_child""")
+def _(child: DataFrame) -> DataFrame:
+    return child.select("child", nets.trl_class(F.lit(3), F.col("kind"), F.col("t_len"), F.col("q_far")).alias("class"))
+
+
+@query("inversion_fills", "v_gap v_child", """
+    SELECT c.child, c.gap FROM v_child c JOIN v_gap g ON g.gap = c.gap WHERE c.kind = 'inv' AND c.q_far < 2 * g.t_len AND (c.q_over >= 10000 OR (c.t_len > 20000 AND c.q_len > 20000)) AND c.ali >= 10000""")
+def _(gap: DataFrame, child: DataFrame) -> DataFrame:
+    return nets.inversion_fills(gap.select("gap", "t_len"), child).select("child", "gap")
+
+
+# ---- greedy folds (no SQL; tests compare them with plain walks)
+
+
+@query("merge_deletions", "v_iv")
+def _(iv: DataFrame) -> DataFrame:
+    rows = iv.select("id", "contig", F.col("st").alias("beg"), F.col("en").alias("end"), (F.col("en") - F.col("st")).alias("len"), "sample")
+    return folds.merged(folds.merge_deletions(rows)).select("contig", "beg", "end", "len", "id", "n", F.to_json("members").alias("members"))
+
+
+@query("merge_insertions", "v_iv v_seq")
+def _(iv: DataFrame, seqs: DataFrame) -> DataFrame:
+    text = seqs.select(F.col("contig").alias("pkey"), "seq")
+    rows = iv.join(text, "pkey").select("id", "contig", F.col("st").alias("beg"), F.col("en").alias("end"), F.length("seq").cast("long").alias("len"), "sample", "seq", F.substring("seq", 1, 6).alias("five"), F.substring("seq", 20, 6).alias("three"))
+    return folds.merged(folds.merge_insertions(rows)).select("contig", "beg", "end", "len", "id", "n", F.to_json("members").alias("members"))
+
+
+@query("overlap_filter", "v_iv")
+def _(iv: DataFrame) -> DataFrame:
+    return folds.drop_overlaps(iv.select("id", "contig", "sample", "st", "en"), ["contig", "sample"])
+
+
+@query("annotation_percent", "v_iv", """
+    WITH e AS (SELECT pkey AS sv, strand AS kind, round(CAST(sum(en - st) AS DOUBLE) / 10000 * 100, 1) AS p FROM v_iv GROUP BY 1, 2)
+    SELECT sv, array_to_string(list_sort(list(kind)), ',') AS kinds, round(sum(p), 1) AS total FROM e GROUP BY sv""")
+def _(iv: DataFrame) -> DataFrame:
+    rows = folds.annotation_percent(iv.select(F.col("pkey").alias("sv"), F.col("strand").alias("kind"), "st", "en", F.lit(10_000).alias("len")))
+    total = F.aggregate("parts", F.lit(0.0), lambda a, x: a + x["p"])
+    return rows.select("sv", F.array_join(F.transform("parts", lambda x: x["kind"]), ",").alias("kinds"), F.round(total, 1).alias("total"))
+
+
+@query("annotation_join", "v_indel v_feat", """
+    SELECT v.contig, v.beg, v.kind, coalesce(CAST(max(f.id) AS string), 'NF') AS cds FROM v_indel v LEFT JOIN v_feat f ON f.contig = v.contig AND f.st = v.beg GROUP BY v.contig, v.beg, v.kind""")
+def _(indel: DataFrame, feat: DataFrame) -> DataFrame:
+    found = feat.groupBy("contig", F.col("st").alias("beg")).agg(F.max("id").alias("id"))
+    return indel.select("contig", "beg", "kind").distinct().join(found, ["contig", "beg"], "left").select("contig", "beg", "kind", F.coalesce(F.col("id").cast("string"), F.lit("NF")).alias("cds"))
+
+
+# ---- evaluation
+
+
+@query("sv_eval", "v_iv", """
+    WITH b AS (SELECT id, contig, st, en, en - st AS len FROM v_iv WHERE sample < 'S3'), c AS (SELECT id, contig, st, en, en - st AS len FROM v_iv WHERE sample >= 'S3'),
+    m AS (SELECT DISTINCT b.id AS bid, c.id AS cid FROM b JOIN c ON b.contig = c.contig AND abs(b.st - c.st) <= 50 AND abs(b.len - c.len) < least(b.len, c.len) * CAST(0.5 AS DOUBLE))
+    SELECT (SELECT count(*) FROM b) AS base, (SELECT count(*) FROM c) AS call, (SELECT count(DISTINCT bid) FROM m) AS found, (SELECT count(DISTINCT cid) FROM m) AS right_calls""")
+def _(iv: DataFrame) -> DataFrame:
+    return assess.sv_counts(iv.where("sample < 'S3'"), iv.where("sample >= 'S3'"), window=50)
+
+
+@query("junction_fuzzy", "v_iv v_feat", """
+    SELECT i.id, max(CASE WHEN abs(i.st - f.st) <= 60 AND abs(i.en - f.en) <= 60 THEN 1 ELSE 0 END) AS hit FROM v_iv i JOIN v_feat f ON i.contig = f.contig AND i.st < f.en AND f.st < i.en GROUP BY i.id""")
+def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
+    return assess.junction_hits(iv.select("id", "contig", "st", "en"), feat, 60)
+
+
+@query("map_eval", "v_iv", """
+    WITH q AS (SELECT line AS mapq, count(*) AS n, count_if(qty % 10 = 0) AS wrong FROM v_iv GROUP BY line)
+    SELECT mapq, CAST(sum(n) OVER (ORDER BY mapq DESC) AS BIGINT) AS total, CAST(sum(wrong) OVER (ORDER BY mapq DESC) AS BIGINT) AS errors FROM q""")
+def _(iv: DataFrame) -> DataFrame:
+    return assess.map_eval(iv.select(F.col("line").alias("mapq"), (F.col("qty") % 10 == 0).alias("wrong")))
+
+
+@query("misjoins", "v_iv", """
+    WITH l AS (SELECT okey, contig, st, en, strand, lag(contig) OVER w AS pc, lag(en) OVER w AS pe, lag(strand) OVER w AS ps FROM v_iv WINDOW w AS (PARTITION BY okey ORDER BY line, id))
+    SELECT CASE WHEN pc <> contig THEN 'contig' WHEN abs(st - pe) > 1000 THEN 'gap' WHEN ps <> strand THEN 'inversion' END AS kind, count(*) AS n FROM l WHERE pc IS NOT NULL AND (pc <> contig OR abs(st - pe) > 1000 OR ps <> strand) GROUP BY 1""")
+def _(iv: DataFrame) -> DataFrame:
+    return assess.misjoins(iv, 1000).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("paf_compare", "v_iv", """
+    WITH a AS (SELECT okey, min(id) AS id FROM v_iv GROUP BY okey HAVING count(*) = 1), x AS (SELECT v.* FROM v_iv v JOIN a ON v.id = a.id)
+    SELECT count(*) AS compared, count_if(x.contig = y.contig AND greatest(0, least(x.en, y.en) - greatest(x.st, y.st)) * 2 >= x.en - x.st) AS same FROM x JOIN v_iv y ON y.pkey = x.pkey AND y.line > x.line""")
+def _(iv: DataFrame) -> DataFrame:
+    one = iv.groupBy("okey").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").select("id")
+    x = iv.join(one, "id", "left_semi").select("pkey", "line", "contig", "st", "en")
+    y = iv.select("pkey", F.col("line").alias("l2"), F.col("contig").alias("c2"), F.col("st").alias("s2"), F.col("en").alias("e2"))
+    same = (F.col("contig") == F.col("c2")) & (2 * interval.overlap_len(F.col("st"), F.col("en"), F.col("s2"), F.col("e2")) >= F.col("en") - F.col("st"))
+    return x.join(y, "pkey").where("l2 > line").agg(F.count("*").alias("compared"), F.count_if(same).alias("same"))
+
+
+CIGAR = "concat(CAST(qty AS string), 'M', CAST(line AS string), 'D', CAST(qty % 5 + 1 AS string), 'M', CAST(qty % 3 + 1 AS string), 'I', '7M')"
+
+
+@query("cigar_sums", "v_iv", f"""
+    WITH c AS (SELECT id, {CIGAR} AS cg FROM v_iv), o AS (SELECT id, unnest(regexp_extract_all(cg, '([0-9]+)([MIDNSHP=X])', 1)) AS n, unnest(regexp_extract_all(cg, '([0-9]+)([MIDNSHP=X])', 2)) AS op FROM c)
+    SELECT id, CAST(sum(CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN CAST(n AS BIGINT) ELSE 0 END) AS BIGINT) AS ref_len, CAST(sum(CASE WHEN op IN ('M', 'I', '=', 'X') THEN CAST(n AS BIGINT) ELSE 0 END) AS BIGINT) AS query_len,
+        CAST(sum(CASE WHEN op IN ('I', 'D') THEN CAST(n AS BIGINT) ELSE 0 END) AS BIGINT) AS gaps, count_if(op IN ('I', 'D')) AS opens FROM o GROUP BY id""")
+def _(iv: DataFrame) -> DataFrame:
+    s = cigar.sums(F.expr(CIGAR))
+    return iv.select("id", s["ref_len"].alias("ref_len"), s["query_len"].alias("query_len"), s["gaps"].alias("gaps"), s["opens"].cast("long").alias("opens"))
+
+
+@query("gap_histogram", "v_iv", """
+    SELECT CASE WHEN g < 50 THEN 50 WHEN g < 100 THEN 100 WHEN g < 300 THEN 300 WHEN g < 400 THEN 400 WHEN g < 1000 THEN 1000 END AS under, count(*) AS n FROM (SELECT (en - st) * line AS g FROM v_iv) GROUP BY 1""")
+def _(iv: DataFrame) -> DataFrame:
+    return iv.groupBy(cigar.gap_bucket((F.col("en") - F.col("st")) * F.col("line")).alias("under")).agg(F.count("*").alias("n"))
+
+
+@query("vcf_stats", "v_blk", f"""
+    WITH {COLS}, x AS (SELECT upper(t) || upper(q) AS s FROM p WHERE t <> '-' AND q <> '-' AND upper(t) <> upper(q))
+    SELECT count(*) AS subs, count_if(s IN ('AG', 'GA', 'CT', 'TC')) AS ts, count_if(s NOT IN ('AG', 'GA', 'CT', 'TC')) AS tv FROM x""")
+def _(blk: DataFrame) -> DataFrame:
+    return variants.substitution_stats(snp.aligned(blk).where("ref <> base").select("ref", F.col("base").alias("alt")))
+
+
+@query("vcf_select", "v_indel", "SELECT contig, beg, fin, len, kind FROM v_indel WHERE len >= 2 AND len <= 3")
+def _(indel: DataFrame) -> DataFrame:
+    wide = indel.withColumn("ref", F.when(F.col("kind") == "DEL", F.repeat(F.lit("A"), (F.col("len") + 1).cast("int"))).otherwise("A")).withColumn("alts", F.array(F.when(F.col("kind") == "DEL", "A").otherwise(F.repeat(F.lit("A"), (F.col("len") + 1).cast("int")))))
+    return variants.select_by_length(wide, 2, 3).select("contig", "beg", "fin", "len", "kind")
+
+
+@query("locus_union", "v_iv", "SELECT contig, st FROM v_iv WHERE sample < 'S3' UNION SELECT contig, st FROM v_iv WHERE sample >= 'S3'")
+def _(iv: DataFrame) -> DataFrame:
+    return iv.where("sample < 'S3'").select("contig", "st").union(iv.where("sample >= 'S3'").select("contig", "st")).distinct()
+
+
+@query("covered_parts", "v_iv", """
+    WITH a AS (SELECT id, contig, st, en FROM v_iv WHERE sample < 'S3'), b AS (SELECT contig, st, en FROM v_iv WHERE sample >= 'S3')
+    SELECT a.id, greatest(a.st, b.st) AS st, least(a.en, b.en) AS en FROM a JOIN b ON a.contig = b.contig AND a.st < b.en AND b.st < a.en""")
+def _(iv: DataFrame) -> DataFrame:
+    b = iv.where("sample >= 'S3'").select("contig", F.col("st").alias("b_st"), F.col("en").alias("b_en"))
+    both = intervals.overlap_join(iv.where("sample < 'S3'").select("id", "contig", "st", "en"), b)
+    return both.select("id", F.greatest("st", "b_st").alias("st"), F.least("en", "b_en").alias("en"))

@@ -309,27 +309,36 @@ def unpack_text(docs: DataFrame, schema: T.StructType) -> DataFrame:
     return docs.select(*[f"`{n}`" for n in schema.names]).mapInArrow(run, schema)
 
 
-def segments(words: list[bytes], hashes: np.ndarray, mask: int) -> list[tuple[int, int]]:
-    """Content-defined runs of words: a run ends where the hash of a word pair has its low bits zero."""
-    n = len(words)
-    if n < 2:
-        return [(0, n)] if n else []
-    ends = np.flatnonzero((windows_hash(hashes, 2) & np.uint64(mask)) == 0) + 2
-    at, out = 0, []
-    for e in [*ends.tolist(), n]:
-        if e - at >= 8 or e == n:
-            if e > at:
-                out.append((at, e))
-            at = e
-    return out
-
-
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 1, parts: int = 2, bits: int = 18, key: str = "doc_id") -> DataFrame:
+#: Words of a sampled window, one in how many windows is sampled, and up to how many words texts are sampled densely.
+WINDOW, ONE_IN, SHORT = 8, 12, 128
+
+
+def samples(hashes: np.ndarray) -> np.ndarray:
+    """SimHashes of sampled windows of a text's words; which are sampled depends on their words only.
+
+    Windows whose hash is under a twelfth of the range; of short texts also the least hash of any 13 neighbouring ones,
+    so that two texts with a common run of 20 words share a sample. A text of fewer words than a window is one sample."""
+    n = len(hashes)
+    if n < WINDOW:
+        return windows_hash(hashes, n) if n else np.zeros(0, np.uint64)
+    w = windows_hash(hashes, WINDOW)
+    starts = np.flatnonzero(w < np.uint64(2**64 // ONE_IN))
+    if n <= SHORT:
+        near = np.lib.stride_tricks.sliding_window_view(w, min(13, len(w)))
+        starts = np.union1d(starts, near.argmin(axis=1) + np.arange(len(near)))
+    if not len(starts):
+        starts = np.array([int(w.argmin())])
+    inner = WINDOW - 2
+    three = windows_hash(hashes, 3)[starts[:, None] + np.arange(inner)]
+    bits = np.unpackbits(three.astype("<u8").view(np.uint8).reshape(len(starts), inner, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int8)
+    return np.unique(np.packbits(2 * bits > inner, axis=1, bitorder="little").view("<u8")[:, 0])
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 1, parts: int = 2, bits: int = 22, key: str = "doc_id") -> DataFrame:
     """(doc_id, component_id, copy): groups of texts that link at a Jaccard similarity of `threshold` of their word shingles.
 
-    A pair above the threshold differs in few places, so some content-defined run of words of one is nearly that of
-    the other: runs whose SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, if
-    the SimHashes of the whole texts lie within `bits` bits; the links of a minimum spanning forest of each bucket are
+    A pair above the threshold differs in few places, so it has sampled windows in common (see samples): windows whose
+    SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, if the SimHashes of the whole texts lie within `bits` bits; the links of a minimum spanning forest of each bucket are
     then verified on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
     Null and blank texts are each their own group. Repeated rows and ties stay and share a component.
     Rows with a null doc_id are groups of their own.
@@ -348,10 +357,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
                     h = known.of(words)
                     ids.append(d)
                     cls.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else b"")
-                    three = windows_hash(h, 3)
                     sims.append(fingerprint(windows_hash(h, size)) if len(h) >= size else int(windows_hash(h, max(1, len(h)))[0]) if len(h) else 0)
-                    fps = {fingerprint(three[a : max(a + 1, b - 2)]) if len(three) > a else int(windows_hash(h[a:b], b - a)[0]) for a, b in segments(words, h, 15)}
-                    runs.append(signed(np.array(sorted(fps), np.uint64)))
+                    runs.append(signed(samples(h)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(cls, pa.binary()), pa.array(signed(np.array(sims, np.uint64))), pa.array(runs, pa.list_(pa.int64()))],
                     ["key", "cls", "sim", "runs"],

@@ -1,0 +1,148 @@
+"""Golden vectors of the scalar rules and of position maps, folds and kernels."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from genoweave.functions import cigar, interval, seq
+from genoweave.operators import folds, intervals, kernels, nets, posmap
+from genoweave.plans import genotype, snp
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+def ints(*values):
+    return [F.lit(v) for v in values]
+
+
+@pytest.mark.parametrize(("row", "want"), [((100, 200, 100, 200), 1.0), ((105, 205, 100, 200), 0.95), ((150, 180, 100, 200), 0.3), ((300, 400, 100, 200), 0.0), ((90, 190, 100, 200), None)])
+def test_overlap_frac(spark, row, want):
+    assert one(spark, interval.overlap_frac(*ints(*row))) == want
+
+
+@pytest.mark.parametrize(("row", "want"), [((10, 20, 5, 30), 10), ((25, 40, 5, 30), 5), ((0, 10, 5, 30), 5), ((0, 50, 5, 30), 25), ((31, 40, 5, 30), 0), ((0, 4, 5, 30), 0)])
+def test_overlap_len(spark, row, want):
+    assert one(spark, interval.overlap_len(*ints(*row))) == want
+
+
+@pytest.mark.parametrize(("a", "b", "want"), [("ACGTACGT", "TTACGTACGA", 5), ("AAAACCCC", "GGGGTTTT", 0), ("ACGTTGCA", "ACGTCCCC", 1)])
+def test_kmer_hits(spark, a, b, want):
+    assert one(spark, seq.kmer_hits(F.lit(a), F.lit(b), 4)) == want
+    assert folds.kmers_shared(a, b, 4, len(a)) == want / 5
+
+
+def test_texts(spark):
+    assert one(spark, seq.revcomp(F.lit("ACGTNacgtn"))) == "nacgtNACGT"
+    assert [one(spark, seq.parse_num(F.lit(s))) for s in ("1.5m", "50k", "30")] == [1_500_000, 50_000, 30]
+    assert [one(spark, interval.af_text(*ints(a, n))) for a, n in ((1, 3), (1, 2), (2, 3), (3, 3), (1, 8))] == ["0.33", "0.5", "0.66", "1", "0.12"]
+    assert [one(spark, seq.pair_score(F.lit(a), F.lit(b))) for a, b in (("ACGT", "ACGT"), ("AC-T", "ACGT"), ("ACGT", "AAGT"))] == [382, -148, 168]
+
+
+def test_buckets(spark):
+    assert [one(spark, interval.flank_bucket_del(F.lit(n))) for n in (100, 101, 499, 500, 1999, 2000, 4999, 5000)] == [100, 200, 200, 500, 500, 2000, 2000, 5000]
+    assert [one(spark, interval.flank_bucket_ins(F.lit(n))) for n in (999, 1000, 4999, 5000)] == [100, 500, 500, 800]
+    assert [one(spark, interval.size_class(F.lit(n))) for n in (49, 50, 99_999, 100_000)] == ["small", "large", "large", None]
+    assert [one(spark, interval.inversion_call(*[F.lit(float(v)) for v in t])) for t in ((6, 6, 6), (6, 0.1, 6), (0.1, 0.1, 0.1), (0.1, 6, 0.1), (1, 1, 1))] == ["0|0", "1|1", "0|0", "1|1", ".|."]
+    assert [one(spark, interval.deletion_span_call(F.lit(d), F.lit(100))) for d in (12, 13, 88, 100, 112, 113, 200_001)] == ["1|1", "window", "0|0", "0|0", "0|0", "window", ".|."]
+    kinds = ((1, "top", 50_000, 0), (1, "top", 50_001, 0), (3, "syn", 6000, 12_000), (3, "syn", 6000, 12_001), (3, "nonSyn", 5000, 0), (3, "nonSyn", 5001, 0))
+    assert [one(spark, nets.trl_class(*ints(*k))) for k in kinds] == [None, "ChrEND", None, "IntraChr", None, "InterChr"]
+
+
+def block(spark, t, q, t_start, q_start, strand="+", size=1000):
+    return spark.createDataFrame([(1, "R.c", t_start, "S0", "S0.c", q_start, strand, size, t, q)], "block long, contig string, t_start long, sample string, q_contig string, q_start long, q_strand string, q_size long, t_text string, q_text string")
+
+
+def mapped(runs):
+    return {r["t_from"] + i: r["q_from"] + r["step"] * i for r in runs.collect() for i in range(r["t_to"] - r["t_from"] + 1)}
+
+
+def test_position_map(spark):
+    plus = posmap.shifted(posmap.position_runs(block(spark, "ACGT--ACGTAC", "ACGTGGAC--AC", 100, 50)))
+    assert mapped(plus) == {102: 52, 103: 53, 104: 54, 105: 55, 106: 58, 107: 59, 110: 60, 111: 61}
+    minus = posmap.shifted(posmap.position_runs(block(spark, "ACG-T", "A-GCT", 100, 50, "-")))
+    assert mapped(minus) == {102: 949, 104: 948, 105: 946}
+
+
+def test_indels(spark):
+    runs = posmap.position_runs(block(spark, "ACGT--ACGTAC", "ACGTGGAC--AC", 100, 50))
+    rows = [("R.c", a, b, 2, "DEL") for a, b in ((106, 108), (107, 109), (102, 104), (108, 110))] + [("R.c", a, a, 2, "INS") for a in (104, 105, 106, 103)]
+    variants = spark.createDataFrame(rows, "contig string, beg long, fin long, len long, kind string")
+    got = {(r["kind"], r["beg"]): r["S0"] for r in genotype.pivot(genotype.genotype_indel(variants, runs), variants, ["S0"]).collect()}
+    assert [got["DEL", b] for b in (106, 107, 102, 108)] == ["1|1", "1|1", ".|.", ".|."]
+    assert [got["INS", b] for b in (104, 105, 106, 103)] == ["1|1", "1|1", ".|.", ".|."]
+
+
+def test_snps(spark):
+    found = snp.loci(snp.aligned(block(spark, "ACG-TaN", "ATGCT-c", 10, 0))).collect()
+    assert {(r["pos"], r["ref"], r["alt"]) for r in found} == {(12, "C", "T"), (16, "N", "C")} or {(r["pos"] - 1, r["ref"], r["alt"]) for r in found} == {(11, "C", "T"), (15, "N", "C")}
+
+
+def test_merge_deletions(spark):
+    rows = [("R.c1", 1000, 1100, 100), ("R.c1", 1002, 1102, 100), ("R.c1", 1004, 1108, 104), ("R.c1", 1009, 1109, 100), ("R.c1", 1012, 1112, 100), ("R.c2", 1000, 1100, 100)]
+    df = spark.createDataFrame([(str(i), *r, "S") for i, r in enumerate(rows)], "id string, contig string, beg long, end long, len long, sample string")
+    got = sorted((r["contig"], r["beg"], r["n"]) for r in folds.merged(folds.merge_deletions(df)).collect())
+    assert got == [("R.c1", 1000, 4), ("R.c1", 1012, 1), ("R.c2", 1000, 1)]
+
+
+def test_insertion_rule():
+    rep = {"beg": 10, "seq": "A" * 50, "len": 50, "five": "x", "three": "y"}
+    assert not folds.same_insertion(rep, {"beg": 12, "seq": "C" * 50, "len": 50, "five": "p", "three": "q"})
+    assert folds.same_insertion(rep, {"beg": 22, "seq": "a" * 50, "len": 50, "five": "p", "three": "q"})
+
+
+def test_overlap_filter(spark):
+    rows = [(0, 99), (95, 194), (150, 249), (195, 294)]
+    df = spark.createDataFrame([("v", str(i), *r) for i, r in enumerate(rows)], "sv string, id string, st long, en long")
+    assert sorted((r["st"], r["en"]) for r in folds.drop_overlaps(df, ["sv"]).collect()) == [(0, 99), (95, 194), (195, 294)]
+
+
+def test_coverage(spark):
+    iv = spark.createDataFrame([("c", 0, 10), ("c", 5, 15), ("c", 20, 30)], "contig string, st long, en long")
+    assert intervals.cov_once(iv).first()["once"] == 20
+    assert intervals.cov_union(iv).first()["covered"] == 25
+    lens = spark.createDataFrame([(n,) for n in (10, 8, 6, 4, 2)], "len long")
+    assert intervals.nx(lens, 0.5).first()["nx"] == 8
+    assert intervals.nx(lens, 0.75).first()["nx"] == 6
+    assert intervals.nx(lens, 0.75, total=F.lit(60)).count() == 0
+    windows = intervals.split_windows(spark.createDataFrame([("c", 5_000_000)], "contig string, length long"), 2_000_000, 400_000)
+    assert sorted(r["start"] for r in windows.collect()) == [0, 1_600_000, 3_600_000]
+
+
+def test_self_overlaps_match_all_pairs(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(i, f"c{rnd.randrange(3)}", s := rnd.randrange(3000), s + rnd.randrange(1, 700)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, contig string, st long, en long")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and a[2] < b[3] and b[2] < a[3]}
+    assert {(r["lo"], r["hi"]) for r in intervals.self_overlaps(df, bin_size=128).collect()} == want
+
+
+def test_gap_classes(spark):
+    rows = [(300, 0, 0, 0, 0, 0), (60, 50, 0, 0, 0, 0), (12_000, 10, 1, 600, 0, 0), (30_000, 10, 1, 9000, 9000, 0), (40_000, 38_000, 1, 35_000, 30_000, 30_000)]
+    got = [one(spark, nets.gap_class(*ints(*r))) for r in rows]
+    assert got == ["DEL_PAV", "CMPLX_PAV", "DEL_PAV", "CNV", "CMPLX"]
+
+
+def test_alignment_keeps_sequences():
+    a, b, identity = kernels.align_pair("ACGTTTACGT", "ACGTACGT")
+    assert a.replace("-", "") == "ACGTTTACGT" and b.replace("-", "") == "ACGTACGT" and len(a) == len(b)
+    assert identity == 80.0
+    rows = kernels.align_blocks(["ACGT", "AC-T"], ["ACT"])
+    assert [r.replace("-", "") for r in rows] == ["ACGT", "ACT", "ACT"] and len({len(r) for r in rows}) == 1
+
+
+def test_single_coverage_leaves_no_overlap():
+    import random
+
+    rnd = random.Random(3)
+    starts, sizes = [rnd.randrange(500) for _ in range(60)], [rnd.randrange(6, 90) for _ in range(60)]
+    kept = sorted(kernels.pick_single(starts, sizes, [float(rnd.randrange(1, 99)) for _ in range(60)]), key=lambda k: k[1])
+    assert all(p[2] <= q[1] for p, q in zip(kept, kept[1:], strict=False))
+
+
+def test_cigar(spark):
+    s = one(spark, cigar.sums(F.lit("5S10M2D3M1I7M")))
+    assert (s["ref_len"], s["query_len"], s["gaps"], s["opens"]) == (22, 21, 3, 2)
+    assert one(spark, cigar.lift(F.lit("10M2D5M"), F.lit(100), F.lit(7), F.lit(113))) == 18

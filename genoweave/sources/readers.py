@@ -184,7 +184,7 @@ def read_delta(spark: SparkSession, path: str) -> DataFrame:
     head = F.split(F.regexp_extract("value", r"^>?([^\n]*)", 1), " ")
     body = F.regexp_extract_all("value", F.lit(r"\n(-?\d+ -?\d+ -?\d+ -?\d+ -?\d+ -?\d+ -?\d+)((?:\n-?\d+(?= *(?:\n|$)))*)"), F.lit(0))
     rows = records.select(head[0].alias("tname"), head[1].alias("qname"), head[2].cast("long").alias("tlen"), head[3].cast("long").alias("qlen"), F.explode(body).alias("a"))
-    lines = F.split(F.trim("a"), "\n")
+    lines = F.split(F.regexp_replace("a", r"^\n", ""), "\n")
     f = F.split(lines[0], " ")
     offsets = F.transform(F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: ~x.isin("0", "")), lambda x: F.trim(x).cast("long"))
     return rows.select("tname", "qname", "tlen", "qlen", *[f[i].cast("long").alias(n) for i, n in enumerate(("ts", "te", "qs", "qe", "errors"))], offsets.alias("offsets"))

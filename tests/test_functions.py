@@ -75,7 +75,7 @@ def test_indels(spark):
 
 def test_snps(spark):
     found = snp.loci(snp.aligned(block(spark, "ACG-TaN", "ATGCT-c", 10, 0))).collect()
-    assert {(r["pos"], r["ref"], r["alt"]) for r in found} == {(12, "C", "T"), (16, "N", "C")} or {(r["pos"] - 1, r["ref"], r["alt"]) for r in found} == {(11, "C", "T"), (15, "N", "C")}
+    assert {(r["pos"], r["ref"], r["alt"]) for r in found} == {(12, "C", "T"), (16, "N", "C")}
 
 
 def test_merge_deletions(spark):
@@ -104,7 +104,7 @@ def test_coverage(spark):
     lens = spark.createDataFrame([(n,) for n in (10, 8, 6, 4, 2)], "len long")
     assert intervals.nx(lens, 0.5).first()["nx"] == 8
     assert intervals.nx(lens, 0.75).first()["nx"] == 6
-    assert intervals.nx(lens, 0.75, total=F.lit(60)).count() == 0
+    assert intervals.nx(lens, 0.75, total=F.lit(60)).first()["nx"] is None
     windows = intervals.split_windows(spark.createDataFrame([("c", 5_000_000)], "contig string, length long"), 2_000_000, 400_000)
     assert sorted(r["start"] for r in windows.collect()) == [0, 1_600_000, 3_600_000]
 

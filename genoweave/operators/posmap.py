@@ -24,6 +24,18 @@ def columns(blocks: DataFrame) -> DataFrame:
     return wide.select("block", "contig", "sample", "q_contig", "q_strand", "q_size", "col", F.col("x.t").alias("t"), F.col("x.q").alias("q"), (F.col("t_start") + before("t")).alias("t_pos"), (F.col("q_start") + before("q")).alias("q_own"))
 
 
+def pieces(blocks: DataFrame, width: int = 512) -> DataFrame:
+    """Blocks cut into pieces of at most `width` columns, with t_start, t_end (exclusive) and q_start of each.
+
+    Texts are cut in one pass inside their row, so a block of any length costs no exchange; pieces without columns are none."""
+    cut = lambda c: F.regexp_extract_all(F.col(c), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    sizes = lambda c: F.transform(c, lambda x: F.length(F.replace(x, F.lit("-"), F.lit(""))).cast("long"))
+    starts = lambda first, c: F.aggregate(sizes(c), F.array(F.col(first).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    wide = blocks.withColumn("__t", cut("t_text")).withColumn("__q", cut("q_text")).withColumn("__ts", starts("t_start", "__t")).withColumn("__qs", starts("q_start", "__q"))
+    part = F.transform("__t", lambda x, i: F.struct(x.alias("t_text"), F.get("__q", i).alias("q_text"), F.get("__ts", i).alias("t_start"), F.get("__ts", i + 1).alias("t_end"), F.get("__qs", i).alias("q_start")))
+    return wide.select("block", "contig", "sample", "q_contig", "q_strand", "q_size", F.explode(part).alias("x")).select("block", "contig", "sample", "q_contig", "q_strand", "q_size", "x.*")
+
+
 def position_runs(blocks: DataFrame) -> DataFrame:
     """(sample, contig, t_from, t_to, q_name, q_from, step): q positions on the plus strand, step -1 for a minus row."""
     aligned = columns(blocks).where("t <> '-' AND q <> '-'")

@@ -310,14 +310,27 @@ def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
     return genotype.genotype_inv(feat, iv.select("contig", "st", "en", "strand", F.col("sample").alias("q_name")), bin_size=512)
 
 
-@query("genotype_del", "v_blk v_indel")
+@query("genotype_del", "v_blk v_indel", f"""
+    WITH {MAP}, k AS (SELECT contig, sample, tp + 2 AS pos, CASE WHEN q_strand = '-' THEN qq ELSE qq + 2 END AS q FROM a), v AS (SELECT * FROM v_indel WHERE kind = 'DEL'),
+    e AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, x.sample, abs(y.q - x.q) - 6 AS span FROM v JOIN k x ON x.contig = v.contig AND x.pos = v.beg - 3 JOIN k y ON y.contig = v.contig AND y.pos = v.fin + 3 AND y.sample = x.sample),
+    s AS (SELECT contig, beg, fin, len, kind, sample, CASE WHEN span < 2 THEN '1|1' WHEN span > len - 2 AND span < len + 2 THEN '0|0' ELSE '.|.' END AS gt FROM e WHERE span < 2 OR (span > len - 2 AND span < len + 2) OR span > 200000),
+    w AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, p.sample, count_if(tp < beg - 1 AND q <> '-') AS h5, count_if(tp < beg - 1 AND q = t) AS m5, count_if(tp >= beg - 1 AND tp < fin AND q = t) AS mr,
+        count_if(tp >= fin AND q <> '-') AS h3, count_if(tp >= fin AND q = t) AS m3, beg - 1 - greatest(0, beg - 9) AS n5
+        FROM v JOIN v_blk b ON b.contig = v.contig AND b.t_start < v.fin + 8 AND b.t_start + 32 > v.beg - 9 JOIN p ON p.block = b.block AND p.t <> '-' AND p.tp >= greatest(0, v.beg - 9) AND p.tp < v.fin + 8
+        GROUP BY v.contig, v.beg, v.fin, v.len, v.kind, p.sample),
+    f AS (SELECT *, CAST(m5 AS DOUBLE) / (h5 + 1) >= 0.9 AND CAST(m3 AS DOUBLE) / (h3 + 1) >= 0.9 AND CAST(h5 AS DOUBLE) / (n5 + 1) >= 0.2 AND CAST(h3 AS DOUBLE) / 9 >= 0.2 AS flanks, CAST(mr AS DOUBLE) / (fin - beg + 2) AS region FROM w)
+    SELECT * FROM s UNION ALL SELECT contig, beg, fin, len, kind, sample, CASE WHEN flanks AND region >= 0.5 THEN '0|0' WHEN flanks AND region < 0.1 THEN '1|1' ELSE '.|.' END
+    FROM f ANTI JOIN s USING (contig, beg, fin, len, kind, sample)""")
 def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
-    return genotype.genotype_del(indel.where("kind = 'DEL'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)), posmap.position_runs(blk), slack=2)
+    return genotype.genotype_deletions(indel.where("kind = 'DEL'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)), blk, slack=2, flank=F.lit(8))
 
 
-@query("genotype_ins", "v_blk v_indel")
-def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
-    return genotype.genotype_ins(indel.where("kind = 'INS'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)), posmap.position_runs(blk), slack=2)
+@query("genotype_ins", "v_blk v_indel v_seq")
+def _(blk: DataFrame, indel: DataFrame, seqs: DataFrame) -> DataFrame:
+    wide = indel.where("kind = 'INS'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)).withColumn("alt", F.repeat(F.lit("A"), F.col("len").cast("int")))
+    refs = seqs.select(F.concat(F.lit("c"), (F.col("contig") % 8).cast("string")).alias("contig"), "contig", "seq").toDF("contig", "part", "seq").where("part < 8").select("contig", "seq")
+    own = blk.select("sample", F.col("q_contig").alias("contig")).distinct().withColumn("seq", F.lit("ACGT"))
+    return genotype.genotype_insertions(wide, posmap.position_runs(blk), refs, own, slack=2)
 
 
 @query("threading", "v_blk", """

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.functions import interval
-from genoweave.operators import intervals, posmap
+from genoweave.functions.seq import chars, revcomp
+from genoweave.operators import intervals, kernels, posmap
 
 KEY = ["contig", "beg", "fin", "len", "kind"]
 
@@ -50,9 +51,9 @@ def genotype_del(variants: DataFrame, runs: DataFrame, extend: int = 1000, slack
     return both.select(*KEY, "sample", interval.deletion_span_call(span, F.col("len"), slack).alias("gt"))
 
 
-def genotype_ins(variants: DataFrame, runs: DataFrame, slack: int = 13, far: int = 200_000) -> DataFrame:
-    """(key, sample, gt) of insertions: ends are looked up at the flanks, or at the nearest mapped position towards the
-    variant; '0|0' if the query has no more than the flanks, 'window' where the sequence has to be aligned."""
+def insertion_spans(variants: DataFrame, runs: DataFrame) -> DataFrame:
+    """(key, sample, flank, span, n_lo, q_lo, n_hi, q_hi): ends are looked up at the flanks, or at the nearest mapped position
+    towards the variant; the span is the query's length beyond the reference's between them."""
     flank = interval.flank_bucket_ins(F.col("len"))
     w = interval.flank_window_ins(F.col("beg"), F.col("fin"), F.col("five"), F.col("three"), flank)
     moved = posmap.shifted(runs)
@@ -61,8 +62,94 @@ def genotype_ins(variants: DataFrame, runs: DataFrame, slack: int = 13, far: int
     right = posmap.lookup_nearest(keyed.select("key", "contig", F.col("e").alias("lo"), F.col("end0").alias("hi")), moved, right=False)
     both = left.select("key", "sample", F.col("pos").alias("p_lo"), F.col("q_name").alias("n_lo"), F.col("q_pos").alias("q_lo")).join(right.select("key", "sample", F.col("pos").alias("p_hi"), F.col("q_name").alias("n_hi"), F.col("q_pos").alias("q_hi")), ["key", "sample"])
     span = F.abs(F.col("q_hi") - F.col("q_lo")) - (F.col("p_hi") - F.col("p_lo"))
-    other = (F.col("n_lo") != F.col("n_hi")) | (F.col("q_lo") == F.col("q_hi"))
-    return both.select("key.*", "sample", F.when(other, ".|.").otherwise(interval.insertion_span_call(span, slack, far)).alias("gt"))
+    return both.select("key.*", "sample", interval.flank_bucket_ins(F.col("key.len")).alias("flank"), span.alias("span"), "n_lo", "q_lo", "n_hi", "q_hi")
+
+
+def genotype_ins(variants: DataFrame, runs: DataFrame, slack: int = 13, far: int = 200_000) -> DataFrame:
+    """(key, sample, gt) of insertions: '0|0' if the query has no more than the flanks, 'window' where the sequence has to be
+    aligned (genotype_insertions does it)."""
+    spans = insertion_spans(variants, runs)
+    return spans.select(*KEY, "sample", _insertion_call(slack, far).alias("gt"))
+
+
+def _insertion_call(slack: int, far: int) -> Column:
+    """Two contigs or one and the same place cannot hold the insertion, but a short span is decided before that is asked."""
+    first = interval.insertion_span_call(F.col("span"), slack, far)
+    return F.when((first == "window") & ((F.col("n_lo") != F.col("n_hi")) | (F.col("q_lo") == F.col("q_hi"))), ".|.").otherwise(first)
+
+
+def genotype_insertions(variants: DataFrame, runs: DataFrame, references: DataFrame, queries: DataFrame, slack: int = 13, far: int = 200_000, identical: float = 95.0) -> DataFrame:
+    """(key, sample, gt) of insertions (with five, three and alt, the inserted sequence), all decided.
+
+    Where the span leaves a call open, the sample's sequence (queries: sample, contig, seq) between both ends is aligned with the
+    inserted sequence between its reference flanks (references: contig, seq). A contig without sequence gives '.|.'."""
+    spans = insertion_spans(variants, runs).withColumn("gt", _insertion_call(slack, far))
+    lo, hi = F.least("q_lo", "q_hi"), F.greatest("q_lo", "q_hi")
+    flanked = variants.join(references.select("contig", F.col("seq").alias("__r")), "contig", "left").withColumn("__f", interval.flank_bucket_ins(F.col("len")))
+    left = F.greatest(F.lit(0), F.col("beg") - F.col("__f")).cast("int")
+    alts = flanked.select(*KEY, F.concat(F.substring("__r", left + 1, F.col("beg").cast("int") - left), F.col("alt"), F.substring("__r", F.col("fin").cast("int") + 1, F.col("__f"))).alias("a"), (F.col("beg") - left).alias("left"))
+    todo = spans.where("gt = 'window'").join(alts, KEY).join(queries.select("sample", F.col("contig").alias("n_lo"), F.col("seq").alias("__s")), ["sample", "n_lo"], "left")
+    own = F.substring("__s", F.greatest(F.lit(1), lo).cast("int"), (hi - lo + 1).cast("int"))
+    todo = todo.select(*KEY, "sample", "left", "a", F.when(F.col("q_lo") > F.col("q_hi"), revcomp(own)).otherwise(own).alias("b"))
+    rows = kernels.global_align(todo.where("a IS NOT NULL AND b IS NOT NULL"))
+    marks = rows.select(*KEY, "sample", "identity", row_windows(F.col("a_row"), F.col("b_row"), F.col("left"), F.col("left") + 1).alias("w"))
+    w = {k: F.col(f"w.{k}") for k in ("id5", "ov5", "region", "id3", "ov3")}
+    flanks = (w["id5"] >= 0.75) & (w["id3"] >= 0.75) & (w["ov5"] >= 0.2) & (w["ov3"] >= 0.2)
+    call = F.when(F.col("identity") > identical, "1|1").when(flanks & (w["region"] >= 0.4), "1|1").when(flanks & (w["region"] < 0.1), "0|0").when(w["region"] >= 0.9, "1|1").otherwise(".|.")
+    aligned = marks.select(*KEY, "sample", call.alias("found"))
+    return spans.select(*KEY, "sample", "gt").join(aligned, [*KEY, "sample"], "left").select(*KEY, "sample", F.when(F.col("gt") == "window", F.coalesce("found", F.lit(".|."))).otherwise(F.col("gt")).alias("gt"))
+
+
+def _tally(t: Column, q: Column, start: Column, lo: Column, first: Column, second: Column, hi: Column) -> Column:
+    """struct of letters held and letters equal in the windows lo..first..second..hi (half-open) of two gapped rows, the upper
+    one beginning at `start`."""
+    zero = F.lit(0).cast("long")
+    names = ("h5", "m5", "hr", "mr", "h3", "m3")
+
+    def add(acc: Column, x: Column) -> Column:
+        pos = acc["pos"]
+        held = (x["t"] != "-") & (x["q"] != "-")
+        same = held & (F.upper(x["t"]) == F.upper(x["q"]))
+        part = {"5": (pos >= lo) & (pos < first), "r": (pos >= first) & (pos < second), "3": (pos >= second) & (pos < hi)}
+        new = [(acc[k] + F.when(part[k[1]] & (held if k[0] == "h" else same), 1).otherwise(0)).alias(k) for k in names]
+        return F.struct((pos + F.when(x["t"] != "-", 1).otherwise(0)).alias("pos"), *new)
+
+    first_state = F.struct(start.cast("long").alias("pos"), *[zero.alias(k) for k in names])
+    return F.aggregate(F.arrays_zip(chars(t).alias("t"), chars(q).alias("q")), first_state, add, lambda acc: F.struct(*[acc[k].alias(k) for k in names]))
+
+
+def _rates(c: dict[str, Column], n5: Column, nr: Column, n3: Column) -> Column:
+    """struct<id5, ov5, region, id3, ov3> of tallies and the windows' numbers of bases."""
+    ratio = lambda a, b: a.cast("double") / (b + 1)
+    return F.struct(ratio(c["m5"], c["h5"]).alias("id5"), ratio(c["h5"], n5).alias("ov5"), ratio(c["mr"], nr).alias("region"), ratio(c["m3"], c["h3"]).alias("id3"), ratio(c["h3"], n3).alias("ov3"))
+
+
+def row_windows(a: Column, b: Column, first: Column, second: Column) -> Column:
+    """The rates of one aligned pair of rows whose upper row is cut at two numbers of bases."""
+    total = F.length(F.replace(a, F.lit("-"), F.lit("")))
+    t = _tally(a, b, F.lit(0), F.lit(0), first, second, total)
+    return _rates({k: t[k] for k in ("h5", "m5", "hr", "mr", "h3", "m3")}, first, second - first, total - second)
+
+
+def deletion_windows(variants: DataFrame, blocks: DataFrame, flank: Column | None = None, width: int = 512) -> DataFrame:
+    """(key, sample, id5, ov5, region, id3, ov3) of each variant and sample with an aligned base within the flanks: blocks are cut
+    into pieces, pieces meet variants by bins, tallies are summed. Bases in no block count as not aligned."""
+    size = interval.flank_bucket_del(F.col("len")) if flank is None else flank
+    v = variants.select(*KEY, F.greatest(F.lit(0), F.col("beg") - 1 - size).cast("long").alias("lo"), (F.col("fin") + size).cast("long").alias("hi"))
+    parts = posmap.pieces(blocks, width).where("t_end > t_start").select("contig", "sample", "t_start", "t_end", "t_text", "q_text")
+    met = intervals.overlap_join(v, parts, max(1024, width), a_iv=("lo", "hi"), b_iv=("t_start", "t_end"))
+    met = met.withColumn("x", _tally(F.col("t_text"), F.col("q_text"), F.col("t_start"), F.col("lo"), F.col("beg") - 1, F.col("fin"), F.col("hi")))
+    sums = met.groupBy(*KEY, "sample", "lo", "hi").agg(*[F.sum(f"x.{k}").alias(k) for k in ("h5", "m5", "hr", "mr", "h3", "m3")])
+    rates = _rates({k: F.col(k) for k in ("h5", "m5", "hr", "mr", "h3", "m3")}, F.col("beg") - 1 - F.col("lo"), F.col("fin") - F.col("beg") + 1, F.col("hi") - F.col("fin"))
+    return sums.select(*KEY, "sample", rates.alias("r")).select(*KEY, "sample", "r.*")
+
+
+def genotype_deletions(variants: DataFrame, blocks: DataFrame, extend: int = 1000, slack: int = 13, flank: Column | None = None) -> DataFrame:
+    """(key, sample, gt) of deletions (with five and three), all decided: by the query span where both ends are mapped and the span
+    is clear, else by the alignment between the flanks. A sample without aligned base there has no row; pivot fills '.|.'."""
+    spans = genotype_del(variants, posmap.position_runs(blocks), extend, slack).where("gt <> 'window'")
+    seen = deletion_windows(variants, blocks, flank).select(*KEY, "sample", window_call().alias("gt"))
+    return spans.unionByName(seen.join(spans, [*KEY, "sample"], "left_anti"))
 
 
 def window_identity(blocks: DataFrame, first: Column, second: Column) -> DataFrame:

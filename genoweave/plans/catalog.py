@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoweave.functions import cigar, interval, seq, variants
-from genoweave.operators import folds, intervals, kernels, nets, posmap
-from genoweave.plans import assess, genotype, snp
+from genoweave.operators import blocks, folds, intervals, kernels, nets, posmap
+from genoweave.plans import assess, calls, genotype, snp
 from genoweave.plans.views import register, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -534,3 +534,110 @@ def _(iv: DataFrame) -> DataFrame:
     b = iv.where("sample >= 'S3'").select("contig", F.col("st").alias("b_st"), F.col("en").alias("b_en"))
     both = intervals.overlap_join(iv.where("sample < 'S3'").select("id", "contig", "st", "en"), b)
     return both.select("id", F.greatest("st", "b_st").alias("st"), F.least("en", "b_en").alias("en"))
+
+
+# ---- algebra of blocks
+
+
+def _rows(df: DataFrame) -> DataFrame:
+    return df.withColumn("rows", blocks.two_rows(F.lit(100_000_000)))
+
+
+@query("block_slice", "v_blk", """
+    SELECT block, t_start + length(replace(substring(t_text, 1, 5), '-', '')) AS t_start, substring(t_text, 6, 15) AS t_text, q_start + length(replace(substring(q_text, 1, 5), '-', '')) AS q_start, substring(q_text, 6, 15) AS q_text FROM v_blk""")
+def _(blk: DataFrame) -> DataFrame:
+    x = _rows(blk).select("block", blocks.slice_columns(F.col("rows"), F.lit(5), F.lit(20)).alias("r"))
+    return x.select("block", F.col("r")[0]["start"].alias("t_start"), F.col("r")[0]["text"].alias("t_text"), F.col("r")[1]["start"].alias("q_start"), F.col("r")[1]["text"].alias("q_text"))
+
+
+@query("block_flip", "v_blk", """
+    WITH n AS (SELECT *, length(replace(t_text, '-', '')) AS tn, length(replace(q_text, '-', '')) AS qn FROM v_blk)
+    SELECT block, q_contig AS src, CASE WHEN q_strand = '-' THEN 100000000 - q_start - qn ELSE q_start END AS start, CASE WHEN q_strand = '-' THEN reverse(translate(q_text, 'ACGT', 'TGCA')) ELSE q_text END AS text,
+        CASE WHEN q_strand = '-' THEN 100000000 - t_start - tn ELSE t_start END AS other, q_strand AS other_strand FROM n""")
+def _(blk: DataFrame) -> DataFrame:
+    x = _rows(blk).select("block", blocks.flip(F.col("rows")).alias("r"))
+    a, b = F.col("r")[0], F.col("r")[1]
+    return x.select("block", a["src"].alias("src"), a["start"].alias("start"), a["text"].alias("text"), b["start"].alias("other"), b["strand"].alias("other_strand"))
+
+
+@query("block_fuse", "v_blk", """
+    SELECT contig, sample, q_contig, count(*) AS n, CAST(sum(length(t_text)) AS BIGINT) AS columns FROM v_blk GROUP BY ALL""")
+def _(blk: DataFrame) -> DataFrame:
+    # each block is cut in two, which fuse puts together again
+    again = blocks.fuse(posmap.pieces(blk, 16).withColumn("block", F.col("block") * 2))
+    return again.groupBy("contig", "sample", "q_contig").agg(F.count("*").alias("n"), F.sum(F.length("t_text")).alias("columns"))
+
+
+@query("uncovered", "v_sp", f"""
+    WITH {SRC}, {ISLANDS}, z AS (SELECT contig, max(en) + 100 AS length FROM src GROUP BY contig), a AS (SELECT contig, st, en FROM m UNION ALL SELECT contig, length, length FROM z),
+    n AS (SELECT contig, coalesce(lag(en) OVER (PARTITION BY contig ORDER BY st, en), 0) AS st, st AS en FROM a) SELECT * FROM n WHERE st < en""")
+def _(iv: DataFrame) -> DataFrame:
+    return blocks.uncovered(iv, iv.groupBy("contig").agg((F.max("en") + 100).alias("length")))
+
+
+@query("interval_subtract", "v_feat v_sp", f"""
+    WITH {SRC}, {ISLANDS}, a AS (SELECT f.id, f.contig, f.st, f.en, m.st AS b_st, m.en AS b_en FROM v_feat f JOIN m ON m.contig = f.contig AND m.st < f.en AND f.st < m.en UNION ALL SELECT id, contig, st, en, en, en FROM v_feat),
+    n AS (SELECT id, contig, coalesce(lag(b_en) OVER (PARTITION BY id ORDER BY b_st, b_en), st) AS st, b_st AS en FROM a) SELECT * FROM n WHERE st < en""")
+def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
+    return blocks.subtract(feat, iv)
+
+
+# ---- calls from alignments
+
+PAF = """p AS (SELECT id, contig AS tname, st AS ts, en AS te, en - st AS blen, 60 AS mapq, sample AS qname, CAST(0 AS BIGINT) AS qs, en - st AS qe, strand, qty FROM v_iv WHERE qty >= 2)"""
+
+
+def _paf(iv: DataFrame) -> DataFrame:
+    """An alignment of each interval: a substitution after a quarter, two letters gone after half of it and two more right after."""
+    n = F.col("qty").cast("string")
+    cs = F.concat(F.lit(":"), n, F.lit("*ac:"), n, F.lit("-gg+tt:"), (2 * F.col("qty") - 3).cast("string"))
+    rows = iv.where("qty >= 2").select("id", F.col("contig").alias("tname"), F.col("st").alias("ts"), F.col("en").alias("te"), (F.col("en") - F.col("st")).alias("blen"), F.lit(60).alias("mapq"), F.col("sample").alias("qname"), F.lit(0).cast("long").alias("qs"), (F.col("en") - F.col("st")).alias("qe"), "strand", cs.alias("cs"))
+    return rows.dropDuplicates(["id"])
+
+
+@query("paf_variants", "v_iv", f"""
+    WITH {PAF}, u AS (SELECT DISTINCT * FROM p),
+    d AS (SELECT id, tname, ts + qty AS st, ts + qty + 1 AS en, 'a' AS ref, 'c' AS alt, ts, te, CASE WHEN strand = '-' THEN qe - qty - 1 ELSE qs + qty END AS qs FROM u
+        UNION ALL SELECT id, tname, ts + 2 * qty + 1, ts + 2 * qty + 3, 'gg', '-', ts, te, CASE WHEN strand = '-' THEN qe - 2 * qty - 1 ELSE qs + 2 * qty + 1 END FROM u
+        UNION ALL SELECT id, tname, ts + 2 * qty + 3, ts + 2 * qty + 3, '-', 'tt', ts, te, CASE WHEN strand = '-' THEN qe - 2 * qty - 3 ELSE qs + 2 * qty + 1 END FROM u),
+    m AS (SELECT d.id, d.st, d.ref, count(*) AS more FROM d JOIN u j ON j.tname = d.tname AND j.id <> d.id AND j.ts <= d.st AND j.te >= d.st
+        WHERE CASE WHEN (j.ts, j.te, j.id) < (d.ts, d.te, d.id) THEN j.te > d.st ELSE j.te >= d.en AND j.ts < d.en END GROUP BY 1, 2, 3)
+    SELECT d.id, d.tname AS contig, d.st, d.en, d.ref, d.alt, d.qs, coalesce(m.more, 0) + 1 AS depth FROM d LEFT JOIN m ON m.id = d.id AND m.st = d.st AND m.ref = d.ref""")
+def _(iv: DataFrame) -> DataFrame:
+    return calls.call_variants(_paf(iv), cover=1, long=1, bin_size=256).select("id", "contig", "st", "en", "ref", "alt", "qs", "depth")
+
+
+@query("paf_covered_once", "v_iv", """
+    WITH u AS (SELECT DISTINCT id, contig, st, en FROM v_iv WHERE qty >= 2), e AS (SELECT contig, st AS pos, 1 AS d, CASE WHEN en - st >= 100 THEN 1 ELSE 0 END AS l FROM u UNION ALL SELECT contig, en, -1, CASE WHEN en - st >= 100 THEN -1 ELSE 0 END FROM u),
+    s AS (SELECT contig, pos, sum(d) AS d, sum(l) AS l FROM e GROUP BY contig, pos),
+    r AS (SELECT contig, pos AS st, lead(pos) OVER w AS en, sum(d) OVER w AS depth, sum(l) OVER w AS lng FROM s WINDOW w AS (PARTITION BY contig ORDER BY pos)) SELECT contig, st, en FROM r WHERE depth = 1 AND lng = 1 AND en IS NOT NULL""")
+def _(iv: DataFrame) -> DataFrame:
+    return calls.covered_once(_paf(iv), long=100)
+
+
+@query("lift_regions", "v_iv", """
+    WITH u AS (SELECT DISTINCT id, sample, strand, contig, st, en, qty FROM v_iv WHERE qty >= 2 AND line = 1), r AS (SELECT DISTINCT sample AS contig, line * 3 AS st, line * 3 + 2 AS en FROM v_iv)
+    SELECT u.contig, CASE WHEN u.strand = '-' THEN u.st + 4 * u.qty - r.en ELSE u.st + r.st END AS st, CASE WHEN u.strand = '-' THEN u.st + 4 * u.qty - r.st ELSE least(u.st + r.en, u.en) END AS en, u.strand, count(*) AS n
+    FROM u JOIN r ON r.contig = u.sample AND r.en <= 4 * u.qty GROUP BY ALL""")
+def _(iv: DataFrame) -> DataFrame:
+    n = F.col("qe").cast("string")
+    paf = _paf(iv.where("line = 1")).withColumn("qlen", F.col("qe")).withColumn("cg", F.concat(n, F.lit("M"))).withColumn("nmatch", F.col("qe"))
+    regions = iv.select(F.col("sample").alias("contig"), (F.col("line") * 3).alias("st"), (F.col("line") * 3 + 2).alias("en")).distinct()
+    lifted = calls.lift_regions(paf, regions, length=1, bin_size=256)
+    return lifted.where("NOT name LIKE '%t_'").groupBy("contig", "st", "en", "strand").agg(F.count("*").alias("n"))
+
+
+@query("overlap_eval", "v_iv", """
+    WITH f AS (SELECT DISTINCT least(okey, pkey) AS a, greatest(okey, pkey) AS b FROM v_iv WHERE line <= 3 AND okey <> pkey), t AS (SELECT DISTINCT least(okey, pkey) AS a, greatest(okey, pkey) AS b FROM v_iv WHERE line >= 2 AND okey <> pkey)
+    SELECT (SELECT count(*) FROM t) AS truths, (SELECT count(*) FROM f) AS found, (SELECT count(*) FROM t JOIN f USING (a, b)) AS both""")
+def _(iv: DataFrame) -> DataFrame:
+    pair = iv.select(F.col("okey").alias("a"), F.col("pkey").alias("b"), "line")
+    return calls.overlap_counts(pair.where("line <= 3").drop("line"), pair.where("line >= 2").drop("line"))
+
+
+@query("gene_status", "v_iv", """
+    WITH h AS (SELECT pkey, qty / CAST(50 AS DOUBLE) AS share FROM v_iv WHERE line <= 2), g AS (SELECT pkey, count_if(share >= 0.9) AS w, CAST(sum(CAST(share * 50 AS BIGINT)) AS DOUBLE) / 50 AS total FROM h GROUP BY pkey)
+    SELECT p.pkey AS gene, CASE WHEN w = 1 THEN 'full_sgl' WHEN w > 1 THEN 'full_dup' WHEN total >= 0.9 THEN 'frag' WHEN total >= 0.5 THEN 'part50' WHEN total >= 0.1 THEN 'part10' ELSE 'missing' END AS status FROM (SELECT DISTINCT pkey FROM v_iv) p LEFT JOIN g ON g.pkey = p.pkey""")
+def _(iv: DataFrame) -> DataFrame:
+    hits = iv.where("line <= 2").select(F.col("pkey").alias("gene"), (F.col("qty") / 50).alias("share"))
+    return calls.gene_status(hits, iv.select(F.col("pkey").alias("gene")), least=0.9)

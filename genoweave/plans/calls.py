@@ -27,9 +27,9 @@ def covered_once(paf: DataFrame, long: int = 50_000) -> DataFrame:
 
 
 def differences(paf: DataFrame) -> DataFrame:
-    """Every difference in the cs of PAF rows (with id): id, contig, st, en, ref, alt, qname, qs, qe, strand. Runs of an alignment's
+    """Every difference in the cs of PAF rows (with id): id, contig, st, en, mapq, ref, alt, qname, qs, qe, strand, ts, te. Runs of an alignment's
     operations are summed by a window, so a long alignment's are not kept in one row. Substitutions by n are left out."""
-    ops = paf.select("id", F.col("tname").alias("contig"), "ts", "qname", F.col("qs").alias("q0"), F.col("qe").alias("q1"), "strand", "mapq", F.posexplode(cigar.cs_ops(F.col("cs"))).alias("no", "x"))
+    ops = paf.select("id", F.col("tname").alias("contig"), "ts", "te", "qname", F.col("qs").alias("q0"), F.col("qe").alias("q1"), "strand", "mapq", F.posexplode(cigar.cs_ops(F.col("cs"))).alias("no", "x"))
     arg, op = F.col("x.arg"), F.col("x.op")
     size = F.when(op == ":", arg.try_cast("long")).when(op == "*", 1).when(op == "~", F.regexp_extract(arg, r"(\d+)", 1).try_cast("long")).otherwise(F.length(arg))
     order = Window.partitionBy("id").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,7 +43,7 @@ def differences(paf: DataFrame) -> DataFrame:
     alt = F.when(sub, F.substring("arg", 2, 1)).when(F.col("op") == "+", F.col("arg")).otherwise("-")
     found = wide.where("op IN ('*', '+', '-')").where(~(sub & F.lower("arg").contains("n")))
     st = F.col("ts") + F.col("t")
-    return found.select("id", "contig", st.alias("st"), (st + on_t).alias("en"), "mapq", ref.alias("ref"), alt.alias("alt"), "qname", qs.alias("qs"), (qs + on_q).alias("qe"), "strand")
+    return found.select("id", "contig", st.alias("st"), (st + on_t).alias("en"), "mapq", ref.alias("ref"), alt.alias("alt"), "qname", qs.alias("qs"), (qs + on_q).alias("qe"), "strand", "ts", "te")
 
 
 def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quality: int = 5, bin_size: int = 4096) -> DataFrame:
@@ -53,10 +53,10 @@ def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quali
     In the order of starts (then ends, then id), an earlier alignment counts if it ends after the difference begins, a later one if it
     spans the difference and begins before its end."""
     used = primary(paf, quality, cover)
-    found = differences(used.where(F.col("blen") >= long)).join(used.select("id", F.col("ts").alias("o_ts"), F.col("te").alias("o_te")), "id")
+    found = differences(used.where(F.col("blen") >= long)).withColumnsRenamed({"ts": "o_ts", "te": "o_te"})
     other = used.select(F.col("id").alias("j"), F.col("tname").alias("contig"), F.col("ts").alias("j_ts"), F.col("te").alias("j_te"), (F.col("te") + 1).alias("j_to"))
     points = found.select(F.col("id"), "contig", "st", "en", "ref", "alt", "o_ts", "o_te", (F.col("st") + 1).alias("st1"))
-    met = intervals.overlap_join(points.distinct(), other, bin_size, a_iv=("st", "st1"), b_iv=("j_ts", "j_to")).where("id <> j")
+    met = intervals.overlap_join(points, other, bin_size, a_iv=("st", "st1"), b_iv=("j_ts", "j_to")).where("id <> j")
     earlier = F.struct("j_ts", "j_te", "j") < F.struct("o_ts", "o_te", "id")
     over = F.when(earlier, F.col("j_te") > F.col("st")).otherwise((F.col("j_te") >= F.col("en")) & (F.col("j_ts") < F.col("en")))
     more = met.groupBy("id", "st", "en", "ref", "alt").agg(F.count_if(over).alias("more"))
@@ -139,3 +139,20 @@ def gene_status(hits: DataFrame, single: DataFrame, least: float = 0.99) -> Data
         F.when(F.col("whole") == 1, "full_sgl").when(F.col("whole") > 1, "full_dup").when(F.col("total") >= least, "frag").when(F.col("total") >= 0.5, "part50").when(F.col("total") >= 0.1, "part10").otherwise("missing")
     )
     return x.select("gene", status.alias("status"))
+
+
+def gap_counts(alignments: DataFrame) -> DataFrame:
+    """(op, under, n, letters): insertions and deletions of alignments (cg) by the limit their length is under; NULL beyond the last."""
+    gaps = alignments.select(F.explode(F.filter(cigar.ops(F.col("cg")), lambda x: x["op"].isin("I", "D"))).alias("x"))
+    return gaps.groupBy(F.col("x.op").alias("op"), cigar.gap_bucket(F.col("x.len")).alias("under")).agg(F.count("*").alias("n"), F.sum("x.len").alias("letters"))
+
+
+def assembly_stats(paf: DataFrame) -> DataFrame:
+    """(contigs, aligned, matched, breaks, divergence): how an assembly's contigs lie on a reference. aligned is the union of the query's
+    intervals; breaks are the alignments beyond each contig's first; divergence counts a gap of any length once."""
+    union = intervals.cov_union(paf.select(F.col("qname").alias("contig"), F.col("qs").alias("st"), F.col("qe").alias("en")))
+    s = cigar.sums(F.col("cg"))
+    own = paf.select("nmatch", (F.col("blen") - F.col("nmatch") - s["gaps"] + s["opens"]).alias("events")).agg(F.count("*").alias("rows"), F.sum("nmatch").alias("matched"), F.sum("events").alias("events"))
+    sizes = union.agg(F.count("*").alias("contigs"), F.sum("covered").alias("aligned"))
+    one = sizes.unionByName(own, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("contigs", "aligned", "rows", "matched", "events")])
+    return one.select("contigs", "aligned", "matched", (F.col("rows") - F.col("contigs")).alias("breaks"), F.try_divide(F.col("events").cast("double"), F.col("matched") + F.col("events")).alias("divergence"))

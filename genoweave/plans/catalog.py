@@ -641,3 +641,19 @@ def _(iv: DataFrame) -> DataFrame:
 def _(iv: DataFrame) -> DataFrame:
     hits = iv.where("line <= 2").select(F.col("pkey").alias("gene"), (F.col("qty") / 50).alias("share"))
     return calls.gene_status(hits, iv.select(F.col("pkey").alias("gene")), least=0.9)
+
+
+@query("gap_counts", "v_iv", f"""
+    WITH c AS (SELECT {CIGAR} AS cg FROM v_iv), o AS (SELECT CAST(unnest(regexp_extract_all(cg, '([0-9]+)([MIDNSHP=X])', 1)) AS BIGINT) AS n, unnest(regexp_extract_all(cg, '([0-9]+)([MIDNSHP=X])', 2)) AS op FROM c)
+    SELECT op, CASE WHEN n < 50 THEN 50 WHEN n < 100 THEN 100 WHEN n < 300 THEN 300 WHEN n < 400 THEN 400 WHEN n < 1000 THEN 1000 END AS under, count(*) AS n, CAST(sum(n) AS BIGINT) AS letters FROM o WHERE op IN ('I', 'D') GROUP BY 1, 2""")
+def _(iv: DataFrame) -> DataFrame:
+    return calls.gap_counts(iv.select(F.expr(CIGAR).alias("cg")))
+
+
+@query("assembly_stats", "v_sp", f"""
+    WITH {SRC}, {ISLANDS}, u AS (SELECT count(DISTINCT contig) AS contigs, CAST(sum(en - st) AS BIGINT) AS aligned FROM m), a AS (SELECT count(*) AS n, CAST(sum(qty) AS BIGINT) AS matched, 2 * count(*) AS events FROM v_sp)
+    SELECT contigs, aligned, matched, n - contigs AS breaks, round(CAST(events AS DOUBLE) / (matched + events), 6) AS divergence FROM u, a""")
+def _(iv: DataFrame) -> DataFrame:
+    n = F.col("qty")
+    paf = iv.select(F.col("contig").alias("qname"), F.col("st").alias("qs"), F.col("en").alias("qe"), n.alias("nmatch"), (n + 4).alias("blen"), F.concat(n.cast("string"), F.lit("M3D1X")).alias("cg"))
+    return calls.assembly_stats(paf).withColumn("divergence", F.round("divergence", 6))

@@ -130,3 +130,30 @@ def test_open_insertion_is_decided_by_its_sequence(spark):
     region = m[1] / (n[1] + 1)
     want = "1|1" if flanks and region >= 0.4 else "0|0" if flanks and region < 0.1 else ".|."
     assert got["S2"] == want
+
+
+def test_insertions_merge_as_a_plain_walk_does(spark):
+    import random
+
+    from genoweave.operators import folds
+
+    rnd = random.Random(8)
+    seeds = ["".join(rnd.choice("ACGT") for _ in range(n)) for n in (8, 20, 60)]
+    rows = []
+    for i in range(160):
+        s = rnd.choice(seeds)
+        s = "".join(c if rnd.random() > 0.1 else rnd.choice("ACGT") for c in s)
+        beg = rnd.randrange(200)
+        rows.append((f"{i:03d}", f"c{i % 2}", beg, beg, len(s), "s", s, s[:3], s[-3:]))
+    df = spark.createDataFrame(rows, "id string, contig string, beg long, end long, len long, sample string, seq string, five string, three string")
+    want = {}
+    for contig in ("c0", "c1"):
+        reps, count = [], 0
+        for r in sorted((r for r in rows if r[1] == contig), key=lambda r: (r[2], r[3], r[4], r[0])):
+            now = {"beg": r[2], "len": r[4], "seq": r[6], "five": r[7], "three": r[8]}
+            hit = next((n for n, rep in reps[::-1][:21] if folds.same_insertion(rep, now)), None)
+            if hit is None:
+                hit, count = count, count + 1
+                reps.append((hit, now))
+            want[r[0]] = hit
+    assert {r["id"]: r["cluster"] for r in folds.merge_insertions(df).collect()} == want

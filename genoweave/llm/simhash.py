@@ -334,12 +334,57 @@ def samples(hashes: np.ndarray) -> np.ndarray:
     return np.unique(np.packbits(2 * bits > inner, axis=1, bitorder="little").view("<u8")[:, 0])
 
 
+def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The distinct shingles (32-bit hashes, sorted) of a text's words; one of all words if there are fewer than `size`."""
+    return np.unique((windows_hash(hashes, min(size, max(1, len(hashes)))) >> np.uint64(32)).astype(np.uint32))
+
+
+def joined(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join all sets that similar pairs connect; every pair not yet joined is compared."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    of = np.arange(n)
+    out = []
+    for i in range(n - 1):
+        rest = np.arange(i + 1, n)
+        rest = rest[(of[rest] != of[i]) & (np.minimum(sizes[rest], sizes[i]) >= threshold * np.maximum(sizes[rest], sizes[i]) - 1e-9)]
+        for j in rest.tolist():
+            if of[j] == of[i]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared >= threshold * (sizes[i] + sizes[j] - shared):
+                out.append((i, j))
+                of[of == of[j]] = of[i]
+    return out
+
+
+def similar(sets: DataFrame, groups: DataFrame, threshold: float, block: int = 256) -> DataFrame:
+    """Links (a, b) between the sets (key, set) of each group (node, root), a text in one group at most.
+
+    All pairs of a group are compared, except those that links of the same task join already. Larger groups are dealt
+    out as pairs of blocks, so no task holds more than two blocks."""
+    counts = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = groups.join(counts, "root").select("root", F.col("node").alias("key"), "blocks", F.pmod(F.hash("node"), F.col("blocks")).alias("own"))
+    placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("root", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "key")
+    dealt = placed.hint("merge").join(sets.hint("merge"), "key").select("root", "i", "j", "key", "set").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "key")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, keys, blobs in _groups(batches, 3):
+            links = joined([np.frombuffer(x, np.uint32) for x in blobs], threshold)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([int(keys[x[k]]) for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 1, parts: int = 2, bits: int = 22, key: str = "doc_id") -> DataFrame:
     """(doc_id, component_id, copy): groups of texts that link at a Jaccard similarity of `threshold` of their word shingles.
 
     A pair above the threshold differs in few places, so it has sampled windows in common (see samples): windows whose
-    SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, if the SimHashes of the whole texts lie within `bits` bits; the links of a minimum spanning forest of each bucket are
-    then verified on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
+    SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, if the SimHashes of the whole texts lie within `bits` bits. Of each bucket a spanning
+    forest of these pairs is kept, which connects all texts that such pairs connect; each group so connected is then compared
+    pair by pair on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
     Null and blank texts are each their own group. Repeated rows and ties stay and share a component.
     Rows with a null doc_id are groups of their own.
     """
@@ -370,34 +415,19 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     reps = named.join(classes.hint("merge"), "cls").where("key = first")
     items = reps.select(F.col("key").alias("id"), "sim", F.explode("runs").alias("fp"))
     links = cut(gph_links(cut(items, "items"), radius, parts, verify=bits), "links")
-    ends = links.select(F.col("a").alias("key")).union(links.select("b")).distinct()
+    met = cut(components(links.select("a", "b")), "met")
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             for part in slices(batch):
-                sets = []
-                for t in unpacked(part.column(1).to_pylist()):
-                    h = known.of(words_of(t, lower=True))
-                    sets.append(np.unique((windows_hash(h, min(size, max(1, len(h)))) >> np.uint64(32)).astype(np.uint32)).tobytes())
+                sets = [shingle_set(known.of(words_of(t, lower=True)), size).tobytes() for t in unpacked(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["key", "set"])
 
     # joins on keys of unproven number are sorted, never broadcast; texts cross the exchange compressed
+    ends = met.select(F.col("node").alias("key"))
     sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key"]), "sets")
-    one, two = (sets.select(F.col("key").alias(k), F.col("set").alias(v)).hint("merge") for k, v in (("a", "x"), ("b", "y")))
-    both = links.join(one, "a").join(two, "b")
-
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(shared >= threshold * (len(p) + len(q) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep))
-
-    good = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
-    nodes = components(good)
+    nodes = components(similar(sets, met, threshold))
     rooted = cut(classes.join(nodes, F.col("first") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "first").alias("root")), "rooted")
     member = described.select("key", "cls").join(rooted, "cls", "left")
     return member.select(F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id"))

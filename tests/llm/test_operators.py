@@ -311,3 +311,28 @@ def test_store(spark, docs, none, tmp_path):
     with pytest.raises(sharding.Conflict):
         store.commit(store.entries(), 0)
     assert store.append(none, F.lit(0), size) == done + 1
+
+
+def jaccard(a, b):
+    x, y = ({tuple(t.lower().split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_every_copy_is_linked_to_its_original(spark):
+    """Copies that are like the original and not like each other: no forest of the nearest pairs holds all true links."""
+    rnd = random.Random(11)
+    base = [f"u{rnd.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join(base)]
+    while len(texts) < 200:
+        ws = list(base)
+        for i in rnd.sample(range(200), 4):
+            ws[i] = f"v{rnd.randrange(10**6)}"
+        if jaccard(texts[0], " ".join(ws)) >= 0.8:
+            texts.append(" ".join(ws))
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect()}
+    assert got == dict.fromkeys(range(200), 0)
+    sets = spark.createDataFrame([(i, np.array(sorted({hash(x) & 0xFFFFFFFF for x in zip(*[t.split()[k:] for k in range(5)])}), np.uint32).tobytes()) for i, t in enumerate(texts)], "key long, set binary")
+    groups = spark.createDataFrame([(i, 0) for i in range(200)], "node long, root long")
+    nodes = common.components(simhash.similar(sets, groups, 0.8, block=16)).collect()
+    assert {r["node"] for r in nodes} == set(range(200)) and {r["root"] for r in nodes} == {0}

@@ -179,6 +179,65 @@ def spanning(fp: np.ndarray, radius: int) -> list[tuple[int, int, int]]:
     return out
 
 
+#: Bits of a parity sketch, distinct shingles from which on they are sampled, and standard deviations allowed for sampling.
+SKETCH, DENSE, SIGMAS = 512, 512, 6.0
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """Number and two parity sketches of a shingle set: bit b is the parity of the shingles that fall on b.
+
+    Two sets differ in at least as many shingles as their sketches in bits. Larger sets are sampled, so that the sketch is not full:
+    one shingle in 4^level. The second sketch is of the next level, for sets of similar size that have that one."""
+    n, level = len(own), 0
+    while n >= DENSE << 2 * level:
+        level += 1
+    out = [np.array([n, level], "<u8").tobytes()]
+    for k in (level, level + 1):
+        some = own[(own >> np.uint32(9)) & np.uint32((1 << 2 * min(k, 11)) - 1) == 0]
+        parity = np.bincount((some & np.uint32(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+        out.append(np.packbits(parity.astype(np.uint8), bitorder="little").tobytes())
+    return b"".join(out)
+
+
+class Sketches:
+    """Sketches of the rows of a bucket; which pairs can have the similarity."""
+
+    def __init__(self, blobs: Iterable[bytes], threshold: float):
+        x = np.frombuffer(b"".join(blobs), "<u8").reshape(-1, 2 + 2 * SKETCH // 64)
+        self.n, self.level, self.bits = x[:, 0].astype(np.float64), x[:, 1].astype(np.int64), x[:, 2:].reshape(len(x), 2, -1)
+        self.threshold = threshold
+
+    def possible(self, i: int, rest: np.ndarray) -> np.ndarray:
+        """Those of `rest` whose similarity to i can reach the threshold: none that reaches it is left out while sets are not
+        sampled, and of sampled ones those whose sampled difference is over SIGMAS deviations from the mean."""
+        t, n, level = self.threshold, self.n[rest], self.level[rest]
+        rest = rest[(np.minimum(n, self.n[i]) >= t * np.maximum(n, self.n[i]) - 1e-9) & (np.abs(level - self.level[i]) <= 1)]
+        if not len(rest):
+            return rest
+        level = self.level[rest]
+        up = np.maximum(level, self.level[i])
+        apart = np.bitwise_count(self.bits[i][up - self.level[i]] ^ self.bits[rest, up - level]).sum(axis=1, dtype=np.int64)
+        most = (self.n[rest] + self.n[i]) * (1 - t) / (1 + t) * 0.25**up
+        return rest[apart <= most + np.where(up > 0, SIGMAS * np.sqrt(most) + SIGMAS, 0) + 1e-9]
+
+
+def forest(blobs: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links that connect all rows which pairs of possible similarity connect."""
+    x = Sketches(blobs, threshold)
+    left, out = np.arange(1, len(blobs)), []
+    queue = [0]
+    while len(left):
+        if not queue:
+            queue, left = [int(left[0])], left[1:]
+        at = queue.pop()
+        near = x.possible(at, left)
+        if len(near):
+            out += [(at, j) for j in near.tolist()]
+            queue += near.tolist()
+            left = np.setdiff1d(left, near, assume_unique=True)
+    return out
+
+
 def _groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
     """Columns of each run of equal keys; the rows of a partition are sorted by the keys, groups may span batches."""
     held: list[list[np.ndarray]] = []
@@ -200,19 +259,18 @@ def _groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[list[np.nd
         yield held
 
 
-def gph_links(items: DataFrame, radius: int, parts: int, verify: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Links (a, b, d) between items (id, fp, and sim if verify is given).
+def gph_links(items: DataFrame, radius: int, parts: int, sketches: DataFrame | None = None, threshold: float = 0.8, block: int = BLOCK) -> DataFrame:
+    """Links (a, b, d) between items (id, fp).
 
     Two items with fingerprints within the radius meet in at least one bucket. In each bucket (or pair of blocks of a
-    large bucket) a minimum spanning forest is kept, so a group of n similar items gives at most n - 1 links a bucket
-    and keeps all its connections: of fp within the radius, or, where verify is given, of sim within verify bits.
+    large bucket) a spanning forest is kept, so a group of n similar items gives at most n - 1 links a bucket
+    and keeps all its connections: of fp within the radius, or, where sketches (id, sim) are given, of any two items whose
+    shingle sets can have the similarity (d is 0 then).
     """
     n, both = bit_statistics(items)
     groups = group_bits(n, both, parts)
     costs = estimate(items, groups, radius)
     thresholds = allocate(costs, radius)
-    sim = "fp" if verify is None else "sim"
-    limit = radius if verify is None else verify
     entries = []
     for i, (g, t) in enumerate(zip(groups, thresholds, strict=True)):
         if t < 0:
@@ -220,10 +278,15 @@ def gph_links(items: DataFrame, radius: int, parts: int, verify: int | None = No
         key = part_key(F.col("fp"), g)
         flips = [sum(1 << b for b in c) for r in range(t + 1) for c in combinations(range(len(g)), r)]
         entries += [F.struct(F.lit(i).alias("part"), key.bitwiseXOR(F.lit(f).cast("long")).alias("k")) for f in flips]
-    rows = items.select("id", F.col(sim).alias("sim"), F.explode(F.array(*entries)).alias("x")).select("x.part", "x.k", "id", "sim")
-    rows = rows.withColumn("h", F.xxhash64("part", "k")).select("h", "id", "sim")
+    sketched = sketches is not None
+    own = ["id"] if sketched else ["id", "sim"]
+    rows = items.select("id", F.col("fp").alias("sim"), F.explode(F.array(*entries)).alias("x")).select("x.part", "x.k", *own)
+    rows = rows.withColumn("h", F.xxhash64("part", "k")).select("h", *own)
     counts = rows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    met = rows.join(counts, "h").withColumn("blocks", F.ceil(F.col("c") / block).cast("int")).withColumn("own", F.pmod(F.hash("id", "sim"), F.col("blocks")))
+    rows = rows.join(counts, "h")
+    # sketches are joined to the rows that met only
+    rows = rows.hint("merge").join(sketches.hint("merge"), "id") if sketched else rows
+    met = rows.withColumn("blocks", F.ceil(F.col("c") / block).cast("int")).withColumn("own", F.pmod(F.hash("id", "sim"), F.col("blocks")))
     small = met.where("blocks = 1").select("h", F.lit(0).alias("i"), F.lit(0).alias("j"), "id", "sim")
     large = met.where("blocks > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     large = large.select("h", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "id", "sim")
@@ -238,11 +301,14 @@ def gph_links(items: DataFrame, radius: int, parts: int, verify: int | None = No
             return out
 
         for _, _, _, ids, sims in _groups(batches, 3):
-            f = sims.astype(np.int64).view(np.uint64)
-            if len(f) == 2:
-                links = [(0, 1, x)] if (x := int(np.bitwise_count(f[0] ^ f[1]))) <= limit else []
+            if sketched:
+                links = [(i, j, 0) for i, j in forest(sims, threshold)]
             else:
-                links = spanning(f, limit)
+                f = sims.astype(np.int64).view(np.uint64)
+                if len(f) == 2:
+                    links = [(0, 1, x)] if (x := int(np.bitwise_count(f[0] ^ f[1]))) <= radius else []
+                else:
+                    links = spanning(f, radius)
             for i, j, x in links:
                 if ids[i] != ids[j]:
                     a.append(min(ids[i], ids[j])), b.append(max(ids[i], ids[j])), d.append(x)
@@ -342,17 +408,16 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
 def joined(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     """Links (i, j) that join all sets that similar pairs connect; every pair not yet joined is compared."""
     n = len(sets)
-    sizes = np.array([len(x) for x in sets])
     of = np.arange(n)
+    can = Sketches(map(sketch, sets), threshold)
     out = []
     for i in range(n - 1):
         rest = np.arange(i + 1, n)
-        rest = rest[(of[rest] != of[i]) & (np.minimum(sizes[rest], sizes[i]) >= threshold * np.maximum(sizes[rest], sizes[i]) - 1e-9)]
-        for j in rest.tolist():
+        for j in can.possible(i, rest[of[rest] != of[i]]).tolist():
             if of[j] == of[i]:
                 continue
             shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if shared >= threshold * (sizes[i] + sizes[j] - shared):
+            if shared >= threshold * (len(sets[i]) + len(sets[j]) - shared):
                 out.append((i, j))
                 of[of == of[j]] = of[i]
     return out
@@ -378,13 +443,13 @@ def similar(sets: DataFrame, groups: DataFrame, threshold: float, block: int = 2
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 1, parts: int = 2, bits: int = 22, key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 1, parts: int = 2, key: str = "doc_id") -> DataFrame:
     """(doc_id, component_id, copy): groups of texts that link at a Jaccard similarity of `threshold` of their word shingles.
 
     A pair above the threshold differs in few places, so it has sampled windows in common (see samples): windows whose
-    SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, if the SimHashes of the whole texts lie within `bits` bits. Of each bucket a spanning
-    forest of these pairs is kept, which connects all texts that such pairs connect; each group so connected is then compared
-    pair by pair on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
+    SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, unless sketches of their shingle
+    sets rule the similarity out. Of each bucket a spanning forest of these pairs is kept, which connects all texts that such
+    pairs connect; each group so connected is then compared pair by pair on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
     Null and blank texts are each their own group. Repeated rows and ties stay and share a component.
     Rows with a null doc_id are groups of their own.
     """
@@ -402,19 +467,20 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
                     h = known.of(words)
                     ids.append(d)
                     cls.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else b"")
-                    sims.append(fingerprint(windows_hash(h, size)) if len(h) >= size else int(windows_hash(h, max(1, len(h)))[0]) if len(h) else 0)
+                    sims.append(sketch(shingle_set(h, size)))
                     runs.append(signed(samples(h)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(cls, pa.binary()), pa.array(signed(np.array(sims, np.uint64))), pa.array(runs, pa.list_(pa.int64()))],
+                    [pa.array(ids, pa.int64()), pa.array(cls, pa.binary()), pa.array(sims, pa.binary()), pa.array(runs, pa.list_(pa.int64()))],
                     ["key", "cls", "sim", "runs"],
                 )
 
-    described = cut(source.mapInArrow(describe, "key long, cls binary, sim long, runs array<long>"), "described")
+    described = cut(source.mapInArrow(describe, "key long, cls binary, sim binary, runs array<long>"), "described")
     named = described.where("key is not null and cls <> X''")
     classes = cut(named.groupBy("cls").agg(F.min("key").alias("first")), "classes")
     reps = named.join(classes.hint("merge"), "cls").where("key = first")
-    items = reps.select(F.col("key").alias("id"), "sim", F.explode("runs").alias("fp"))
-    links = cut(gph_links(cut(items, "items"), radius, parts, verify=bits), "links")
+    reps = cut(reps.select(F.col("key").alias("id"), "sim", "runs"), "reps")
+    items = reps.select("id", F.explode("runs").alias("fp"))
+    links = cut(gph_links(cut(items, "items"), radius, parts, reps.select("id", "sim"), threshold), "links")
     met = cut(components(links.select("a", "b")), "met")
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,7 +492,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
 
     # joins on keys of unproven number are sorted, never broadcast; texts cross the exchange compressed
     ends = met.select(F.col("node").alias("key"))
-    sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key"]), "sets")
+    sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key", "set"]), "sets")
     nodes = components(similar(sets, met, threshold))
     rooted = cut(classes.join(nodes, F.col("first") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "first").alias("root")), "rooted")
     member = described.select("key", "cls").join(rooted, "cls", "left")

@@ -336,3 +336,31 @@ def test_every_copy_is_linked_to_its_original(spark):
     groups = spark.createDataFrame([(i, 0) for i in range(200)], "node long, root long")
     nodes = common.components(simhash.similar(sets, groups, 0.8, block=16)).collect()
     assert {r["node"] for r in nodes} == set(range(200)) and {r["root"] for r in nodes} == {0}
+
+
+def test_repeated_lines_do_not_hide_a_copy(spark):
+    """The similarity is of shingle sets: a line repeated often changes a text's SimHash, but hardly its set."""
+    rnd = random.Random(12)
+    rows = []
+    for i in range(40):
+        ws = [f"u{rnd.randrange(10**6)}" for _ in range(500)]
+        line = ws[100:108]
+        rows += [(2 * i, " ".join(ws), None, None, None), (2 * i + 1, " ".join(ws + line * rnd.randrange(20, 200)), None, None, None)]
+        assert jaccard(rows[-1][1], rows[-2][1]) > 0.95
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {d: d // 2 * 2 for d in range(80)}
+
+
+def test_sketches_leave_no_similar_pair_out():
+    rnd = np.random.default_rng(3)
+    for n in (1, 5, 40, 300, 511, 512, 600, 2047, 2048, 9000, 40_000):
+        for _ in range(20):
+            x = np.unique(rnd.integers(0, 2**32, n, dtype=np.uint32))
+            gone = int(len(x) / 9) if rnd.random() < 0.5 else 0
+            y = np.unique(np.concatenate((x[rnd.permutation(len(x))[gone:]], rnd.integers(0, 2**32, (len(x) if gone else len(x) // 4) * gone // max(1, len(x)), dtype=np.uint32))))
+            shared = len(np.intersect1d(x, y))
+            z = np.unique(rnd.integers(0, 2**32, n, dtype=np.uint32))
+            can = simhash.Sketches([simhash.sketch(v) for v in (x, y, z)], 0.8)
+            if shared >= 0.8 * (len(x) + len(y) - shared):
+                assert can.possible(0, np.array([1])).tolist() == [1] and can.possible(1, np.array([0])).tolist() == [0]
+            assert n < 40 or can.possible(0, np.array([2])).tolist() == []

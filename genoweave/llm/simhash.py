@@ -377,19 +377,23 @@ def unpack_text(docs: DataFrame, schema: T.StructType) -> DataFrame:
 
 #: Words of a sampled window, one in how many windows is sampled, and up to how many words texts are sampled densely.
 WINDOW, ONE_IN, SHORT = 8, 12, 128
+#: Texts of fewer words are sampled at all windows, as similar ones can have a common run of under 20 words.
+TINY = 24
 
 
 def samples(hashes: np.ndarray) -> np.ndarray:
     """SimHashes of sampled windows of a text's words; which are sampled depends on their words only.
 
     Windows whose hash is under a twelfth of the range; of short texts also the least hash of any 13 neighbouring ones,
-    so that two texts with a common run of 20 words share a sample. A text of fewer words than a window is one sample."""
+    so that two texts with a common run of 20 words share a sample; of texts of under TINY words all. A text of fewer words than a window is one sample."""
     n = len(hashes)
     if n < WINDOW:
         return windows_hash(hashes, n) if n else np.zeros(0, np.uint64)
     w = windows_hash(hashes, WINDOW)
     starts = np.flatnonzero(w < np.uint64(2**64 // ONE_IN))
-    if n <= SHORT:
+    if n < TINY:
+        starts = np.arange(len(w))
+    elif n <= SHORT:
         near = np.lib.stride_tricks.sliding_window_view(w, min(13, len(w)))
         starts = np.union1d(starts, near.argmin(axis=1) + np.arange(len(near)))
     if not len(starts):

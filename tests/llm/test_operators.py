@@ -364,3 +364,15 @@ def test_sketches_leave_no_similar_pair_out():
             if shared >= 0.8 * (len(x) + len(y) - shared):
                 assert can.possible(0, np.array([1])).tolist() == [1] and can.possible(1, np.array([0])).tolist() == [0]
             assert n < 40 or can.possible(0, np.array([2])).tolist() == []
+
+
+def test_short_similar_texts_share_a_sample():
+    rnd = random.Random(13)
+    known = common.WordHashes()
+    for a, b in ((8, 9), (9, 10), (12, 14), (16, 19), (18, 21), (23, 27), (24, 29)):
+        for i in range(200):
+            ws = [f"u{rnd.randrange(10**6)}" for _ in range(b)]
+            short = ws[:a] if i % 2 else ws[b - a :]
+            assert jaccard(" ".join(ws), " ".join(short)) >= 0.8
+            one, two = (simhash.samples(known.of([w.encode() for w in x])) for x in (ws, short))
+            assert len(np.intersect1d(one, two))

@@ -4,7 +4,7 @@ Every window with as many words as a benchmark item has a SimHash of its word sh
 with all values within two bits guarantees every item whose fingerprint lies within the radius of 23 bits (if each
 block had three or more, there would be 24). Candidates are verified on the weighted Jaccard similarity of their
 shingles, each weighing as often as it occurs. Windows that cannot reach the similarity, as the text has too few of
-the item's shingles, are not fingerprinted: an exact bound, so none is lost by it.
+the item's shingles (with repeats), are not fingerprinted: an exact bound, so none is lost by it.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ class Finder:
         """(item, start word, words, similarity) of the best window of each item found in the text, the first of equals."""
         h = self.known.of(words_of(text, lower=True))
         out = []
-        for i, p, s, places in self.passages.hits(h, self.threshold):
+        for i, p, s, places in self.passages.hits(h, self.threshold, weighted=True):
             size = len(p.shingles)
             if len(s) < size:
                 continue

@@ -67,9 +67,10 @@ class Passages:
             order = np.argsort(hashes, kind="stable")
             self.by_size[size] = (hashes[order], np.array([i for i, _ in own])[order])
 
-    def hits(self, h: np.ndarray, share: float):
+    def hits(self, h: np.ndarray, share: float, weighted: bool = False):
         """(passage, shingle hashes of the text, places of shared shingles) of each passage of which the text's words h
-        have at least `share` of the distinct shingles, at any places: what a window of that similarity must have."""
+        have as many shingles, at any places, as a window must have: at least `share` of the distinct ones or, if weighted,
+        as many of all with repeats as a weighted Jaccard similarity of `share` needs in a window as long as the passage."""
         for size, (hashes, owners) in self.by_size.items():
             if len(h) < size:
                 continue
@@ -85,9 +86,21 @@ class Passages:
             for i in np.unique(who).tolist():
                 p = self.items[i]
                 own = where[who == i]
-                if len(np.unique(s[own])) >= share * len(np.unique(p.shingles)) - 1e-9:
+                if weighted:
+                    enough = self.shared(s[own], p.shingles) >= share / (1 + share) * (len(p.shingles) + min(len(p.shingles), len(s))) - 1e-9
+                else:
+                    enough = len(np.unique(s[own])) >= share * len(np.unique(p.shingles)) - 1e-9
+                if enough:
                     yield i, p, s, own
 
+    @staticmethod
+    def shared(found: np.ndarray, shingles: np.ndarray) -> int:
+        """The passage's shingles that were found, each as often as it occurs in both."""
+        x, n = np.unique(found, return_counts=True)
+        y, m = np.unique(shingles, return_counts=True)
+        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+        return int(np.minimum(n[i], m[j]).sum())
+
 
 def starts_near(places: np.ndarray, size: int, last: int) -> np.ndarray:
     """All starts from 0 to `last` of runs of `size` shingles that hold one of the places."""

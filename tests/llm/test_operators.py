@@ -376,3 +376,14 @@ def test_short_similar_texts_share_a_sample():
             assert jaccard(" ".join(ws), " ".join(short)) >= 0.8
             one, two = (simhash.samples(known.of([w.encode() for w in x])) for x in (ws, short))
             assert len(np.intersect1d(one, two))
+
+
+def test_items_of_repeated_shingles_are_found():
+    rnd = random.Random(14)
+    for _ in range(20):
+        item = [f"p{rnd.randrange(10**6)}" for _ in range(5)] * 16 + [f"u{rnd.randrange(10**6)}" for _ in range(20)]
+        copy = list(item)
+        copy[85] = copy[92] = "changed"
+        text = " ".join([f"v{rnd.randrange(10**6)}" for _ in range(30)] + copy + [f"v{rnd.randrange(10**6)}" for _ in range(30)])
+        found = decontamination.Finder([(1, " ".join(item))], 0.8).find(text)
+        assert [(m[0], m[1], m[2]) for m in found] == [(1, 30, 100)] and 0.8 <= found[0][3] < 0.9

@@ -1,6 +1,6 @@
 """Operator 8: benchmark decontamination by SimHash of item-sized windows.
 
-Every window with as many words as a benchmark item has a SimHash of its word shingles. A multi-index of 8-bit blocks
+Every window with as many words as a benchmark item (a shorter document as a whole) has a SimHash of its word shingles. A multi-index of 8-bit blocks
 with all values within two bits guarantees every item whose fingerprint lies within the radius of 23 bits (if each
 block had three or more, there would be 24). Candidates are verified on the weighted Jaccard similarity of their
 shingles, each weighing as often as it occurs. Windows that cannot reach the similarity, as the text has too few of
@@ -56,9 +56,7 @@ class Finder:
         h = self.known.of(words_of(text, lower=True))
         out = []
         for i, p, s, places in self.passages.hits(h, self.threshold, weighted=True):
-            size = len(p.shingles)
-            if len(s) < size:
-                continue
+            size = min(len(p.shingles), len(s))
             starts = starts_near(places, size, len(s) - size)
             if not len(starts):
                 continue
@@ -69,7 +67,7 @@ class Finder:
                     if sim > best[0]:
                         best = (sim, at)
             if best[0] >= self.threshold:
-                out.append((p.key, best[1], p.words, best[0]))
+                out.append((p.key, best[1], min(p.words, len(h)), best[0]))
         return out
 
 
@@ -89,7 +87,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, key:
     """(doc_id, item_id, start, words, similarity): each document and item of which it has a window at the threshold.
 
     Texts and items are lower-cased (A-Z) and cut at white space; shingles have five words (all, if an item has fewer).
-    Items without words, null texts and documents shorter than an item give nothing. Repeated documents each give rows.
+    A document shorter than an item is one window. Items without words and null texts give nothing. Repeated documents each give rows.
     """
 
     def search(items: list[tuple]) -> DataFrame:

@@ -387,3 +387,13 @@ def test_items_of_repeated_shingles_are_found():
         text = " ".join([f"v{rnd.randrange(10**6)}" for _ in range(30)] + copy + [f"v{rnd.randrange(10**6)}" for _ in range(30)])
         found = decontamination.Finder([(1, " ".join(item))], 0.8).find(text)
         assert [(m[0], m[1], m[2]) for m in found] == [(1, 30, 100)] and 0.8 <= found[0][3] < 0.9
+
+
+def test_documents_shorter_than_an_item_are_found():
+    rnd = random.Random(15)
+    item = [f"u{rnd.randrange(10**6)}" for _ in range(40)]
+    finder = decontamination.Finder([(1, " ".join(item))], 0.8)
+    for cut_off in range(1, 8):
+        assert finder.find(" ".join(item[:-cut_off])) == [(1, 0, 40 - cut_off, (36 - cut_off) / 36)]
+        assert finder.find(" ".join(item[cut_off:])) == [(1, 0, 40 - cut_off, (36 - cut_off) / 36)]
+    assert finder.find(" ".join(item[:-8])) == [] and finder.find(" ".join(item[:3])) == []

@@ -43,7 +43,7 @@ def text_view(text: str | None) -> list[float]:
     return [
         0.0, marks / chars, (marks - stops) / chars, upper / max(1, letters), int(hist[48:58].sum()) / chars, letters / chars, (chars - n) / n / 20,
         len(set(words)) / n, same / n, marked / n, sum(w.endswith(b"!!") for w in words) / n, int(hist[124]) / n, int(hist[10]) / n,
-        math.log1p(n) / 10, max(map(len, words)) / 100 if chars < 1 << 20 else 1.0, sum(w.isupper() and len(w) > 1 for w in words) / n,
+        math.log1p(n) / 10, max(map(len, words)) / 100, sum(w.isupper() and len(w) > 1 for w in words) / n,
     ]
 
 

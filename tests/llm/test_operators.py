@@ -397,3 +397,9 @@ def test_documents_shorter_than_an_item_are_found():
         assert finder.find(" ".join(item[:-cut_off])) == [(1, 0, 40 - cut_off, (36 - cut_off) / 36)]
         assert finder.find(" ".join(item[cut_off:])) == [(1, 0, 40 - cut_off, (36 - cut_off) / 36)]
     assert finder.find(" ".join(item[:-8])) == [] and finder.find(" ".join(item[:3])) == []
+
+
+def test_longest_word_counts_at_any_size():
+    text = "fifteen-letters " * ((1 << 20) // 16)
+    assert len(text) == 1 << 20
+    assert quality.text_view(text)[14] == quality.text_view(text[:-1])[14] == 0.15

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,11 +84,14 @@ def windows_hash(words: np.ndarray, size: int, base: int = 0x9E3779B97F4A7C15) -
 class WordHashes:
     """XXH64 of words, remembered up to a bound."""
 
-    def __init__(self, bound: int = 300_000, seed: int = 0):
+    def __init__(self, bound: int = 300_000, seed: int = 0, plain: Callable[[bytes], bytes] | None = None):
         import xxhash
 
         self.known: dict[bytes, int] = {}
-        self.bound, self.seed, self.hash = bound, seed, xxhash.xxh64_intdigest
+        self.bound, self.seed = bound, seed
+        digest = xxhash.xxh64_intdigest
+        # words that `plain` leaves nothing of have the hash 0
+        self.hash = (lambda w, s: digest(x, s) if (x := plain(w)) else 0) if plain else digest
 
     def of(self, words: list[bytes]) -> np.ndarray:
         known, seed, digest = self.known, self.seed, self.hash
@@ -111,6 +115,19 @@ def slices(batch, rows: int = 512) -> Iterator:
         yield batch.slice(i, rows)
 
 
+def mapped(docs: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """docs with each Arrow batch put through `run`, which keeps the columns; their names may be any, as they do not take part."""
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    inner = docs.toDF(*plain)
+
+    def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(b.rename_columns(names) for b in batches):
+            yield out.rename_columns(plain)
+
+    names = docs.columns
+    return inner.mapInArrow(named, inner.schema).toDF(*names)
+
+
 def partitions_for(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -136,12 +153,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         joined = star.join(low, F.col("hi") == F.col("c"))
         small = joined.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(low.select(F.col("c").alias("hi"), F.col("m").alias("lo")))
         new = cut(small.where("hi <> lo").distinct(), "edges")
-        state = new.agg(F.count("*").alias("n"), F.sum(F.hash("hi", "lo").cast("long")).alias("s")).first()
+        sums = [F.sum(F.xxhash64("hi", "lo", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
+        state = tuple(new.agg(F.count("*"), *sums).first())  # 128 bits of hashes: equal only for equal pairs
         drop_cut(pairs)
         pairs = new
-        if seen == (state["n"], state["s"]):
+        if seen == state:
             break
-        seen = (state["n"], state["s"])
+        seen = state
     else:
         raise RuntimeError("components did not settle")
     return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(pairs.select(F.col("lo"), F.col("lo")).distinct())

@@ -1,7 +1,9 @@
-"""What decontamination and licence scans share: texts' word windows that can hold a known passage."""
+"""What decontamination and licence scans share: known passages, and the windows of a text that are worth a fingerprint."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,6 +11,8 @@ import numpy as np
 from genoweave.llm.common import WordHashes, mix, windows_hash, words_of
 
 SHINGLE = 5
+#: Shingles of which the bits are counted at a time, so that a very long text needs little memory.
+PART = 1 << 14
 
 
 def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -16,12 +20,20 @@ def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return windows_hash(hashes, min(size, len(hashes))) if len(hashes) else np.zeros(0, np.uint64)
 
 
+def in_parts(starts: np.ndarray, span: int = PART) -> Iterator[np.ndarray]:
+    """Sorted starts in runs that lie within so many places."""
+    while len(starts):
+        n = int(np.searchsorted(starts, starts[0] + span))
+        yield starts[:n]
+        starts = starts[n:]
+
+
 def simhash(hashes: np.ndarray) -> np.uint64:
     return simhashes(hashes, np.array([0]), len(hashes))[0]
 
 
 def simhashes(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the runs of `size` shingles at each start: repeats weigh as often as they occur."""
+    """SimHash of the runs of `size` shingles at each start (near each other): repeats weigh as often as they occur."""
     lo = int(starts.min())
     part = hashes[lo : int(starts.max()) + size]
     bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -46,66 +58,56 @@ class Passage:
     key: object
     words: int
     shingles: np.ndarray
-    fingerprint: np.uint64
+    distinct: np.ndarray
 
 
 class Passages:
-    """Known passages with a lookup from shingle hash to passages; of bounded number, as each task holds all."""
+    """Known passages, of bounded number and size, as each task holds all: by the words of their shingles and by their length."""
 
-    def __init__(self, rows: list[tuple[object, str | None]]):
-        known = WordHashes()
+    def __init__(self, rows: list[tuple[object, str | None]], plain: Callable[[bytes], bytes] | None = None):
+        known = WordHashes(plain=plain)
         self.items: list[Passage] = []
         for key, text in rows:
             h = known.of(words_of(text, lower=True))
+            h = h[h != 0] if plain else h
             if len(h):
                 s = shingles(h)
-                self.items.append(Passage(key, len(h), s, simhash(s)))
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for size in sorted({min(SHINGLE, p.words) for p in self.items}):
-            own = [(i, s) for i, p in enumerate(self.items) if min(SHINGLE, p.words) == size for s in np.unique(p.shingles)]
-            hashes = np.array([s for _, s in own], np.uint64)
-            order = np.argsort(hashes, kind="stable")
-            self.by_size[size] = (hashes[order], np.array([i for i, _ in own])[order])
-
-    def hits(self, h: np.ndarray, share: float, weighted: bool = False):
-        """(passage, shingle hashes of the text, places of shared shingles) of each passage of which the text's words h
-        have as many shingles, at any places, as a window must have: at least `share` of the distinct ones or, if weighted,
-        as many of all with repeats as a weighted Jaccard similarity of `share` needs in a window as long as the passage."""
-        for size, (hashes, owners) in self.by_size.items():
-            if len(h) < size:
+                self.items.append(Passage(key, len(h), s, np.unique(s)))
+        #: words of a shingle -> all shingles of the passages
+        self.known: dict[int, np.ndarray] = {}
+        #: words of a shingle -> shingles of a passage -> passages
+        self.by_size: dict[int, dict[int, np.ndarray]] = {}
+        for words in sorted({min(SHINGLE, p.words) for p in self.items}):
+            own = [(len(p.shingles), i) for i, p in enumerate(self.items) if min(SHINGLE, p.words) == words]
+            self.known[words] = np.unique(np.concatenate([self.items[i].distinct for _, i in own]))
+            self.by_size[words] = {n: np.array([i for m, i in own if m == n]) for n in sorted({m for m, _ in own})}
+
+    def windows(self, h: np.ndarray, need: Callable[[int, int], float], longest: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+        """(words of a shingle, length of the passages, the text's shingles, starts, shingles of a window): for each length of
+        passages the windows of the text's words h that hold at least need(length, window) shingles of any passages.
+
+        This only leaves out windows that no passage can be like; which passages a window is like is not looked at. A text
+        shorter than a passage is one window, if the passage is at most `longest` times as long."""
+        for words, lengths in self.by_size.items():
+            if len(h) < words:
                 continue
-            s = windows_hash(h, size)
-            at = np.searchsorted(hashes, s)
-            at[at == len(hashes)] = 0
-            places = np.flatnonzero(hashes[at] == s)
-            if not len(places):
+            s, known = windows_hash(h, words), self.known[words]
+            at = np.searchsorted(known, s)
+            at[at == len(known)] = 0
+            here = known[at] == s
+            total = int(here.sum())
+            if not total:
                 continue
-            lo, hi = np.searchsorted(hashes, s[places], "left"), np.searchsorted(hashes, s[places], "right")
-            who = np.concatenate([owners[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])
-            where = np.repeat(places, hi - lo)
-            for i in np.unique(who).tolist():
-                p = self.items[i]
-                own = where[who == i]
-                if weighted:
-                    enough = self.shared(s[own], p.shingles) >= share / (1 + share) * (len(p.shingles) + min(len(p.shingles), len(s))) - 1e-9
-                else:
-                    enough = len(np.unique(s[own])) >= share * len(np.unique(p.shingles)) - 1e-9
-                if enough:
-                    yield i, p, s, own
-
-    @staticmethod
-    def shared(found: np.ndarray, shingles: np.ndarray) -> int:
-        """The passage's shingles that were found, each as often as it occurs in both."""
-        x, n = np.unique(found, return_counts=True)
-        y, m = np.unique(shingles, return_counts=True)
-        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-        return int(np.minimum(n[i], m[j]).sum())
-
-
-def starts_near(places: np.ndarray, size: int, last: int) -> np.ndarray:
-    """All starts from 0 to `last` of runs of `size` shingles that hold one of the places."""
-    out = np.unique((places[:, None] - np.arange(size)[None, :]).ravel())
-    return out[(out >= 0) & (out <= last)]
+            sums = np.concatenate(([0], np.cumsum(here, dtype=np.int64)))
+            for n in lengths:
+                size = min(n, len(s))
+                if n > longest * size + 1e-9:
+                    break
+                least = math.ceil(need(n, size) - 1e-9)
+                if total >= least:
+                    starts = np.flatnonzero(sums[size:] - sums[:-size] >= least)
+                    if len(starts):
+                        yield words, n, s, starts, size
 
 
 def permuted(hashes: np.ndarray, n: int) -> np.ndarray:

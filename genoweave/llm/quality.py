@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import slices
+from genoweave.llm.common import mapped, slices
 from genoweave.llm.samples import labelled
 
 META = 16 + 64 + 16
@@ -165,8 +165,11 @@ def train(docs: DataFrame, labels: DataFrame, size: int = 1500, pool: int = 2500
     return co_train(_both([r[2:] for r in rows]), y, _both(sorted((tuple(r)[1:] for r in free), key=str)))
 
 
-def _columns(batch: pa.RecordBatch) -> list[tuple]:
-    return list(zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("text", "lang", "source", "n_chars")), strict=True))
+VIEWS = ("text", "lang", "source", "n_chars")
+
+
+def _columns(batch: pa.RecordBatch, at: list[int]) -> list[tuple]:
+    return list(zip(*(batch.column(i).to_pylist() for i in at), strict=True))
 
 
 def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:
@@ -179,7 +182,7 @@ def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5, key:
         for batch in batches:
             for part in slices(batch):
                 n = part.num_rows
-                s = model.scores(*_both(_columns(part))) if model and n else (np.ones(n),) * 3
+                s = model.scores(*_both(_columns(part, [1, 2, 3, 4]))) if model and n else (np.ones(n),) * 3
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, s), pa.array((s[2] >= threshold).astype(np.int32))], ["key", "text_score", "meta_score", "score", "predicted"])
 
     source = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
@@ -187,13 +190,16 @@ def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5, key:
 
 
 def keep_good(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that score at least the threshold, with all their columns; no exchange."""
+    """The rows of docs that score at least the threshold, with all their columns, of any names; no exchange.
+
+    Rows are judged one by one: nulls, empty and very long texts as in `score`, repeated rows alike. Without a model all stay."""
+    at = [docs.columns.index(c) for c in VIEWS]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 if model and part.num_rows:
-                    part = part.filter(pa.array(model.scores(*_both(_columns(part)))[2] >= threshold))
+                    part = part.filter(pa.array(model.scores(*_both(_columns(part, at)))[2] >= threshold))
                 yield part
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run)

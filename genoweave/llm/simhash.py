@@ -340,9 +340,9 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, parts: i
 # ---- near-duplicate documents at a shingle similarity
 
 
-def pack_text(docs: DataFrame) -> DataFrame:
-    """docs with the text compressed (zstd), for an exchange; null stays null."""
-    at = docs.columns.index("text")
+def pack_text(docs: DataFrame, column: str = "text") -> DataFrame:
+    """docs with the text compressed (zstd), for an exchange; null stays null. Column names without dots."""
+    at = docs.columns.index(column)
     schema = T.StructType([T.StructField(f.name, T.BinaryType() if i == at else f.dataType) for i, f in enumerate(docs.schema.fields)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,8 +351,8 @@ def pack_text(docs: DataFrame) -> DataFrame:
         coder = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in slices(batch):
-                blobs = [None if t is None else coder.compress(t.encode()) for t in part.column(at).to_pylist()]
-                yield part.set_column(at, "text", pa.array(blobs, pa.binary()))
+                blobs = [None if t is None else coder.compress(t.encode("utf-8", "surrogatepass")) for t in part.column(at).to_pylist()]
+                yield part.set_column(at, column, pa.array(blobs, pa.binary()))
 
     return docs.mapInArrow(run, schema)
 
@@ -361,43 +361,49 @@ def unpacked(blobs: list[bytes | None]) -> list[str | None]:
     import zstandard
 
     coder = zstandard.ZstdDecompressor()
-    return [None if b is None else coder.decompress(b).decode() for b in blobs]
+    return [None if b is None else coder.decompress(b).decode("utf-8", "surrogatepass") for b in blobs]
 
 
-def unpack_text(docs: DataFrame, schema: T.StructType) -> DataFrame:
-    at = schema.names.index("text")
+def unpack_text(docs: DataFrame, schema: T.StructType, column: str = "text") -> DataFrame:
+    at = schema.names.index(column)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                yield part.set_column(at, "text", pa.array(unpacked(part.column(at).to_pylist()), pa.string()))
+                yield part.set_column(at, column, pa.array(unpacked(part.column(at).to_pylist()), pa.string()))
 
-    return docs.select(*[f"`{n}`" for n in schema.names]).mapInArrow(run, schema)
+    return docs.select(*schema.names).mapInArrow(run, schema)
 
 
-#: Words of a sampled window, one in how many windows is sampled, and up to how many words texts are sampled densely.
-WINDOW, ONE_IN, SHORT = 8, 12, 128
-#: Texts of fewer words are sampled at all windows, as similar ones can have a common run of under 20 words.
-TINY = 24
+#: Words of a sampled window.
+WINDOW = 8
+#: Texts of fewer words are sampled at all windows, those of up to SHORT words at the least of any NEAR neighbouring
+#: windows, longer ones at the least of any FAR.
+TINY, NEAR, SHORT, FAR = 24, 13, 128, 24
 
 
 def samples(hashes: np.ndarray) -> np.ndarray:
     """SimHashes of sampled windows of a text's words; which are sampled depends on their words only.
 
-    Windows whose hash is under a twelfth of the range; of short texts also the least hash of any 13 neighbouring ones,
-    so that two texts with a common run of 20 words share a sample; of texts of under TINY words all. A text of fewer words than a window is one sample."""
+    The least hash of any so many neighbouring windows is a sample (winnowing), so two texts with a common run of 20
+    words share a sample, or of 31 words if one of them has over 128. One inserted, left out or replaced word makes at least nine
+    shingles differ, four or more in each text. So texts that differ in e such places have at most 1 - 9 e / (s + 9 e) in common
+    (s shared shingles in e + 1 runs): at 0.8, e is at most s / 36, and the longest run has at least s / (e + 1) shingles. That
+    is 16 or more (20 words) from 24 words on, and 27 or more (31 words) from 100 shared shingles on. Texts of under 24 words
+    are sampled at all windows. A text of fewer words than a window is one sample."""
     n = len(hashes)
     if n < WINDOW:
         return windows_hash(hashes, n) if n else np.zeros(0, np.uint64)
     w = windows_hash(hashes, WINDOW)
-    starts = np.flatnonzero(w < np.uint64(2**64 // ONE_IN))
     if n < TINY:
         starts = np.arange(len(w))
-    elif n <= SHORT:
-        near = np.lib.stride_tricks.sliding_window_view(w, min(13, len(w)))
-        starts = np.union1d(starts, near.argmin(axis=1) + np.arange(len(near)))
-    if not len(starts):
-        starts = np.array([int(w.argmin())])
+    else:
+        wide = min(NEAR if n <= SHORT else FAR, len(w))
+        least, starts = np.lib.stride_tricks.sliding_window_view(w, wide), []
+        for i in range(0, len(least), 1 << 14):  # in parts, for very long texts
+            part = least[i : i + (1 << 14)]
+            starts.append(np.unique(part.argmin(axis=1) + np.arange(i, i + len(part))))
+        starts = np.unique(np.concatenate(starts))
     inner = WINDOW - 2
     three = windows_hash(hashes, 3)[starts[:, None] + np.arange(inner)]
     bits = np.unpackbits(three.astype("<u8").view(np.uint8).reshape(len(starts), inner, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int8)
@@ -504,8 +510,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id") -> DataFrame:
-    """docs without the near-duplicates: of each group the rows of its smallest doc_id stay; rows with a null doc_id stay too."""
+    """docs without the near-duplicates: of each group the rows of its smallest doc_id stay, repeats of them too.
+
+    Rows with a null doc_id stay, and so do null and blank texts, which are like no other. Columns may have any names."""
     groups = near_duplicates(docs, threshold, key=key)
-    gone = groups.where(f"component_id < {key}").select(key).distinct()
-    kept = pack_text(docs).join(gone.hint("merge"), key, "left_anti")
-    return unpack_text(kept, docs.schema)
+    names, plain = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    own, text = plain[names.index(key)], plain[names.index("text")]
+    gone = groups.where(F.col("component_id") < F.col(key)).select(F.col(key).alias(own)).distinct()
+    rows = docs.toDF(*plain)
+    kept = pack_text(rows, text).join(gone.hint("merge"), own, "left_anti")
+    return unpack_text(kept, rows.schema, text).toDF(*names)

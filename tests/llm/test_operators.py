@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -37,6 +38,12 @@ def none(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def odd(df):
+    """df with more columns, of names that clash with those used inside."""
+    extra = ("key", "c0", "a.b", "run", "__file", "_metadata", "th", "component_id", "x y", "tick`")
+    return df.select("*", *[F.lit(i).alias(n) for i, n in enumerate(extra)])
+
+
 def test_simhash_components(spark, docs, none):
     import xxhash
 
@@ -116,6 +123,9 @@ def test_near_duplicates(spark, docs, none):
     assert got[80] == got[81] == 3 and got[84] == 84
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and kept.where("doc_id in (80, 81)").count() == 0
+    more = simhash.keep_one(odd(docs))
+    assert more.columns == odd(docs).columns and more.select(docs.columns).exceptAll(kept).count() == 0 == kept.exceptAll(more.select(docs.columns)).count()
+    assert odd(kept).exceptAll(more).count() == 0
     assert simhash.keep_one(none).count() == 0
 
 
@@ -209,16 +219,72 @@ def test_personal_data(spark, none):
         return sum(v if i % 2 == 0 else (2 * v - 9 if v > 4 else 2 * v) for i, v in enumerate(map(int, reversed(d)))) % 10 == 0
 
     test = {"email": lambda s, d: True, "ip": lambda s, d: max(map(int, s.split("."))) <= 255, "card": lambda s, d: 14 <= len(d) <= 19 and luhn(d), "phone": lambda s, d: 10 <= len(d) <= 15}
-    for r in pii.personal_data(df).select("doc_id", pii.listed(F.col("base")).alias("b"), "base", "spans").collect():
+    model = pii.fit(spark)
+    for r in pii.personal_data(odd(df), model).select("doc_id", pii.listed(F.col("base")).alias("b"), "base", "spans").collect():
         text = texts[r["doc_id"]] or ""
         want = sorted((m.start(), k, m.end()) for k, (n, p) in enumerate(pattern.items()) for m in re.finditer(p, text) if test[n](m[0], re.sub("[^0-9]", "", m[0])))
         assert r["b"] == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in want)
         assert set(r["base"]) <= set(r["spans"])
-    out = {r["doc_id"]: r["text"] for r in pii.redacted(df).collect()}
+    out = {r["doc_id"]: r["text"] for r in pii.redacted(df, model).collect()}
+    assert pii.redacted(odd(df), model).exceptAll(odd(pii.redacted(df, model))).count() == 0
     assert out[0] is None and out[1] == "" and out[10] == "call [PHONE] now" and out[6] == "é😀 [EMAIL]"
     assert pii.personal_data(none).count() == 0
 
 
+def plain_candidates(text):
+    """{(start, stop, kind): features} of a text, by Python's regular expressions."""
+    entry = "(?:(?<![A-Za-z0-9._%+-])|\\G)"
+
+    def luhn(d):
+        return 12 <= len(d) <= 19 and sum(v if i % 2 == 0 else (2 * v - 9 if v > 4 else 2 * v) for i, v in enumerate(map(int, reversed(d)))) % 10 == 0
+
+    out = {}
+    for k, kind in enumerate(pii.KINDS):
+        spans = {m.span() for m in re.finditer(pii.BASE[kind].replace(entry, ""), text) if len(m[0]) > 5} if kind != "phone" or "+" in text else set()
+        spans |= {m.span() for m in re.finditer(pii.LOOSE[kind].replace(entry, ""), text)}
+        for a, b in spans:
+            s, d = text[a:b], re.sub("[^0-9]", "", text[a:b])
+            before, after = text[max(0, a - 16) : a], text[b : b + 2]
+            m = re.search(r"([A-Za-z-]+)[^A-Za-z0-9]*$", before)
+            word = m[1].lower() if m else ""
+            cue = 2 if re.fullmatch(pii.CUES[kind], word) else 3 if re.fullmatch(pii.ADVERSE, word) else 1 if re.search(r"[:=#]\s*$", before) else 0
+            parts = re.sub(r"\[\.\]|,", ".", s).split(".")
+            check = {"email": bool(re.search(r"(?i)(\.|dot[\])] ?)[a-z]{2,}$", s)), "ip": all(re.fullmatch("0*[0-9]{1,3}", p) and int(p) <= 255 for p in parts), "card": luhn(d), "phone": 2 if re.match(r"\+|00", s) else int(bool(re.match(r"[(]?0", s)))}[kind]
+            shapes = (r"[0-9]+", r"[0-9]{4}(.[0-9]{4}){3}|[0-9]{4}.[0-9]{6}.[0-9]{5}", r"[(]?[0-9]{3}[)]?[ ./-]{0,2}[0-9]{3}[ ./-][0-9]{4}", r"([0-9]{1,4}[./-][0-9]{1,2}[./-][0-9]{1,4}( .*)?)|97[89].*", r".*[A-Za-z].*")
+            shape = next((i for i, p in enumerate(shapes, 1) if re.fullmatch(p, s)), 0)
+            digits = next((i for i, top in enumerate((4, 9, 12, 14, 15, 16, 17, 20)) if len(d) < top), 8)
+            left = 0 if a == 0 or re.search(r"\s$", before) else 2 if re.search(r"[^\W_]$", before) else 1
+            right = 0 if not after else 2 if re.match(r"[^\W_]|[.,:/-][0-9]", after) else 0 if re.match(r"[\s.,;:!?]", after) else 1
+            loose = bool(re.search(r"(?i)\[at\]|\(at\)|\[dot\]|\(dot\)| @|@ |\[\.\]|[,/_]", s))
+            out[a, b, k] = (k, digits, min(4, len(re.sub("[A-Za-z0-9]", "", s))), int(check), int(loose), shape, cue, left, right)
+    return out
+
+
+def test_added_spans_against_brute_force(spark):
+    """On planted texts of another seed: the spans are the base ones and exactly the candidates that the model accepts; data
+    are found that no base rule finds, and look-alikes are refused."""
+    model = pii.fit(spark)
+    texts = common.cut(pii.planted(spark, 15 * len(pii.FORMS), 77), "texts")
+    rows = {r["id"]: r for r in texts.collect()}
+    hits = base_hits = false = data = 0
+    for r in pii.personal_data(texts, model, key="id").collect():
+        t = rows[r["id"]]
+        accepted = {s for s, x in plain_candidates(t["text"]).items() if 1 / (1 + np.exp(-model.raw(x))) >= model.threshold}
+        base, spans = ({(s["start"], s["stop"], s["kind"]) for s in r[c]} for c in ("base", "spans"))
+        assert spans == base | accepted, t
+        own = (t["start"], t["stop"], t["kind"])
+        data += t["kind"] >= 0
+        hits += any(a <= own[0] and b >= own[1] and k == own[2] for a, b, k in spans)
+        base_hits += own in base
+        false += t["kind"] < 0 and bool(spans - base)
+    assert data > 300 and hits >= 0.95 * data and base_hits < 0.6 * data and false <= 0.02 * len(rows)
+    hand = ["my card 4929 1234 5678 9012 expired", "write to jane [at] uni [dot] edu soon", "call (212) 555-0187 or 0049 30 1234567", "server 10[.]0[.]0[.]7 is down", "order 20230415 of 1,234,567,890 units", "from 2023-04-15 10 until 1999-2003", "ISBN 978-3-16-148410-0"]
+    df = spark.createDataFrame(list(enumerate(hand)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redacted(df, model).collect()}
+    assert [got[i] for i in range(4)] == ["my card [CARD] expired", "write to [EMAIL] soon", "call [PHONE] or [PHONE]", "server [IP] is down"]
+    assert [got[i] for i in range(4, 7)] == hand[4:]
+
+
 def test_toxicity_learns_and_locates():
     rnd = random.Random(4)
 
@@ -254,6 +320,7 @@ def test_quality(spark, none):
     got = {r["doc_id"]: r["predicted"] for r in quality.score(df, model).collect()}
     assert all(got[i] == int(i % 3 > 0) for i in got)
     assert quality.keep_good(df, model).columns == df.columns
+    assert quality.keep_good(odd(df), model).exceptAll(odd(quality.keep_good(df, model))).count() == 0
     assert quality.train(none, known) is None and quality.score(none, None).count() == 0
     assert quality.score(spark.createDataFrame([(None, None, None, None, None)], DOCS), model).count() == 1
 
@@ -285,17 +352,99 @@ def test_decontamination(spark, none):
                 best = max((sum((x & bag(own)).values()) / sum((x | bag(own)).values()) for i in range(len(ws) - len(own) + 1) if (x := bag(ws[i : i + len(own)]))), default=0)
                 if best >= 0.8:
                     want[d, j] = best
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
-    assert {r["doc_id"] for r in decontamination.keep_clean(df, bench).collect()} == {d for d in range(62)} - {d for d, _ in want}
+    assert got.keys() <= want.keys() and all(got[k] <= want[k] + 1e-9 for k in got) and len(got) >= 0.95 * len(want)
+    assert {r["doc_id"] for r in decontamination.keep_clean(df, bench).collect()} == {d for d in range(62)} - {d for d, _ in got}
+    assert decontamination.keep_clean(odd(df), bench).exceptAll(odd(decontamination.keep_clean(df, bench))).count() == 0
     assert decontamination.matches(none, bench).count() == 0 and decontamination.matches(df, bench.limit(0)).count() == 0
 
 
+def test_the_index_retrieves_all_within_the_radius():
+    rnd = random.Random(16)
+    fps = [rnd.getrandbits(64) for _ in range(400)]
+    asked = [rnd.choice(fps) ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(20))) for _ in range(300)] + fps[:3]
+    rows, items = decontamination.BlockIndex(np.array(fps, np.uint64)).near(np.array(asked, np.uint64), chunk=64)
+    assert sorted(zip(rows.tolist(), items.tolist(), strict=True)) == [(i, j) for i, a in enumerate(asked) for j, f in enumerate(fps) if (a ^ f).bit_count() <= decontamination.RADIUS]
+
+
+def test_recall_of_decontamination():
+    """Items with words changed, left out and added, down to the threshold: brute force over all windows against the index."""
+    rnd = random.Random(17)
+    items = [[f"u{rnd.randrange(10**6)}" for _ in range(rnd.randrange(14, 60))] for _ in range(150)]
+    finder = decontamination.Finder([(i, " ".join(x)) for i, x in enumerate(items)], 0.8)
+    found = every = 0
+    for n in range(600):
+        own = items[n % 150]
+        ws = list(own)
+        for _ in range(rnd.randrange(1, 3)):
+            at = rnd.choice((0, 1, len(ws) - 1, rnd.randrange(len(ws))))
+            ws[at : at + 1] = rnd.choice(([], [f"v{n}"], [ws[at], f"v{n}"]))
+        text = [f"w{rnd.randrange(10**6)}" for _ in range(40)]
+        text[20:20] = ws
+        best = 0.0
+        bag = Counter(zip(*[own[k:] for k in range(5)], strict=False))
+        for i in range(len(text) - len(own) + 1):
+            x = Counter(zip(*[text[i : i + len(own)][k:] for k in range(5)], strict=False))
+            best = max(best, sum((x & bag).values()) / sum((x | bag).values()))
+        got = [m for m in finder.find(" ".join(text)) if m[0] == n % 150]
+        assert best >= 0.8 or not got
+        every += best >= 0.8
+        found += bool(got)
+    assert every > 200 and found >= 0.97 * every
+
+
+def test_nothing_is_found_without_the_index(monkeypatch):
+    text = " ".join(f"u{i}" for i in range(40))
+    finder = decontamination.Finder([(1, text)], 0.8)
+    assert finder.find(text) == [(1, 0, 40, 1.0)]
+    none = np.zeros(0, np.int64)
+    monkeypatch.setattr(decontamination.BlockIndex, "near", lambda *_: (none, none))
+    assert finder.find(text) == []
+    scanner = licences.Scanner(list(licences.TEMPLATES), 0.8)
+    assert scanner.find("Released under the MIT License")
+    monkeypatch.setattr(licences.Bands, "near", lambda *_: (none, none))
+    assert scanner.find("Released under the MIT License") == []
+
+
 def test_licences(spark, none):
-    text = "w1 w2 w3 w4 w5 w6\nReleased under the MIT License.\nw7 w8 All rights reserved. w9"
-    df = spark.createDataFrame([(1, text, None, None, None), (2, "w1 w2 w3", None, None, None), (3, None, None, None, None)], DOCS)
-    got = {(r["doc_id"], r["licence"], r["start"], r["containment"]) for r in licences.matches(df).collect()}
-    assert got == {(1, "MIT", 6, 1.0), (1, "All-rights-reserved", 13, 1.0)}
-    assert licences.matches(none).count() == 0
+    text = "w1 w2 w3 w4 w5 w6\nReleased under the MIT License.\nw7 w8 All rights reserved w9"
+    rows = [(1, text), (2, "w1 w2 w3"), (3, None), (4, ""), (5, "// SPDX-License-Identifier: Apache-2.0 */"), (5, "licensed under cc by-nc 4.0"), (None, "(All rights reserved)"), (6, " ".join(["a b c"] * 200_000) + " Released under the MIT License")]
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    got = sorted((r["doc_id"] or 0, r["licence"], r["start"], r["words"], r["containment"]) for r in licences.matches(odd(df)).collect())
+    assert got == [(0, "All-rights-reserved", 0, 3, 1.0), (1, "All-rights-reserved", 13, 3, 1.0), (1, "MIT", 6, 5, 1.0), (5, "Apache-2.0", 1, 2, 1.0), (5, "CC-BY-NC-4.0", 0, 5, 1.0), (6, "MIT", 600_000, 5, 1.0)]
+    assert licences.matches(none).count() == 0 and licences.matches(df, ()).count() == 0
+
+
+def test_licences_against_brute_force():
+    """Every template, with words changed and signs around them, between other words: all windows of all templates are compared."""
+    rnd = random.Random(18)
+    templates = list(licences.TEMPLATES)
+    scanner = licences.Scanner(templates, 0.8)
+    plain = [[w for w in (licences.bare(x) for x in t.lower().encode().split()) if w] for _, t in templates]
+    wanted = 0
+    for n in range(120):
+        ws = templates[n % len(templates)][1].split()
+        for _ in range(rnd.randrange(1 + len(ws) // 60)):
+            ws[rnd.randrange(len(ws))] = rnd.choice(("changed", "*", "(The)"))
+        text = [f"w{rnd.randrange(50)}" for _ in range(30)]
+        text[15:15] = ws
+        own = [w for w in (licences.bare(x) for x in " ".join(text).lower().encode().split()) if w]
+        best: dict[str, float] = {}
+        for (name, _), t in zip(templates, plain, strict=True):
+            k = min(5, len(t))
+            sh = {tuple(t[i : i + k]) for i in range(len(t) - k + 1)}
+            size = min(len(t), len(own))
+            share = max(len(sh & {tuple(own[j : j + k]) for j in range(i, i + size - k + 1)}) / len(sh) for i in range(len(own) - size + 1))
+            if share >= 0.8 - 1e-9:
+                best[name] = max(share, best.get(name, 0))
+        got: dict[str, float] = {}
+        for name, _, _, share in scanner.find(" ".join(text)):
+            got[name] = max(share, got.get(name, 0))
+        # licences that lie in one with a larger share are left out, no others
+        assert all(abs(best[k] - v) < 1e-9 for k, v in got.items()), (n, got, best)
+        assert not best or max(best.values()) in got.values()
+        assert all(k in got or any(v > best[k] for v in got.values()) for k in best), (n, got, best)
+        wanted += bool(best)
+    assert wanted > 90
 
 
 def test_store(spark, docs, none, tmp_path):
@@ -306,13 +455,34 @@ def test_store(spark, docs, none, tmp_path):
     before = store.version()
     done = store.compact(size)
     assert done == before + 1 and store.read().count() == 2 * docs.count()
-    assert store.read().drop("run").exceptAll(docs.union(docs)).count() == 0
+    assert store.read().exceptAll(docs.union(docs)).count() == 0 == docs.union(docs).exceptAll(store.read()).count()
+    assert store.read(run="run").select("run").distinct().count() == store.entries().select("run").distinct().count()
     assert store.read(1).count() == docs.count()  # old versions stay readable
     with pytest.raises(sharding.Conflict):
-        store.commit(store.entries(), 0)
+        store.commit(store.entries(), 0, docs.schema)
     assert store.append(none, F.lit(0), size) == done + 1
 
 
+def test_store_keeps_columns_of_any_name(spark, docs, none, tmp_path):
+    rows, size = odd(docs), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    store = sharding.Store(spark, str(tmp_path / "store"), target=2 << 10, fanout=2, base=1 << 10)
+    with pytest.raises(ValueError):
+        store.read()
+    store.append(odd(none), F.lit(1), size)
+    assert store.read().count() == 0 and store.read().columns == rows.columns and store.compact(size) is None
+    for arrival in (F.col("text"), F.col("doc_id").cast("string"), F.lit("2020-01")):  # long names, null, and one that looks like a date
+        store.append(rows, arrival, size)
+    before = store.read()
+    assert store.compact(size) and store.read().columns == rows.columns
+    every = rows.union(rows).union(rows)
+    assert store.read().exceptAll(every).count() == 0 == every.exceptAll(store.read()).count() and before.count() == every.count()
+    assert store.read(run="other").columns == [*rows.columns, "other"]
+    with pytest.raises(ValueError):
+        store.read(run="RUN")
+    with pytest.raises(ValueError):
+        store.append(docs, F.lit(1), size)
+
+
 def jaccard(a, b):
     x, y = ({tuple(t.lower().split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
     return len(x & y) / len(x | y)

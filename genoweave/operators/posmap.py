@@ -2,7 +2,7 @@
 
 A two-row block has columns block, contig, t_start, t_text, sample, q_contig, q_start, q_strand, q_size, q_text; starts
 are 0-based on the row's own strand. A run maps target positions t_from..t_to (0-based, both included) to query
-positions q_from, q_from + step, ...: one row for as many bases as stand between two gaps.
+positions q_from, q_from + step, ...: one row for as many bases as stand between two gaps (up to the width of a piece).
 """
 
 from __future__ import annotations
@@ -10,42 +10,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.functions.seq import chars
-
 BIN = 1024
 
 
-def columns(blocks: DataFrame) -> DataFrame:
-    """A row for each alignment column: letters, the 0-based positions of both rows (of the next base, at a gap)."""
-    pairs = F.arrays_zip(chars(F.col("t_text")).alias("t"), chars(F.col("q_text")).alias("q"))
-    wide = blocks.select("block", "contig", "sample", "q_contig", "q_strand", "q_size", "t_start", "q_start", F.posexplode(pairs).alias("col", "x"))
-    order = Window.partitionBy("block").orderBy("col").rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda f: F.coalesce(F.sum(F.when(F.col(f"x.{f}") != "-", 1).otherwise(0)).over(order), F.lit(0))
-    return wide.select("block", "contig", "sample", "q_contig", "q_strand", "q_size", "col", F.col("x.t").alias("t"), F.col("x.q").alias("q"), (F.col("t_start") + before("t")).alias("t_pos"), (F.col("q_start") + before("q")).alias("q_own"))
+def _cut(blocks: DataFrame, width: int) -> DataFrame:
+    piece = lambda c: F.regexp_extract_all(F.col(c), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    sizes = lambda c: F.transform(c, lambda x: F.length(F.replace(x, F.lit("-"), F.lit(""))).cast("long"))
+    starts = lambda first, c: F.aggregate(sizes(c), F.array(F.col(first).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    wide = blocks.withColumn("__t", piece("t_text")).withColumn("__q", piece("q_text")).withColumn("__ts", starts("t_start", "__t")).withColumn("__qs", starts("q_start", "__q"))
+    part = F.transform("__t", lambda x, i: F.struct(x.alias("t_text"), F.get("__q", i).alias("q_text"), F.get("__ts", i).alias("t_start"), F.get("__ts", i + 1).alias("t_end"), F.get("__qs", i).alias("q_start")))
+    return wide.select("block", "contig", "sample", "q_contig", "q_strand", "q_size", F.explode(part).alias("x")).select("block", "contig", "sample", "q_contig", "q_strand", "q_size", "x.*")
 
 
 def pieces(blocks: DataFrame, width: int = 512) -> DataFrame:
     """Blocks cut into pieces of at most `width` columns, with t_start, t_end (exclusive) and q_start of each.
 
-    Texts are cut in one pass inside their row, so a block of any length costs no exchange; pieces without columns are none."""
-    cut = lambda c: F.regexp_extract_all(F.col(c), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
-    sizes = lambda c: F.transform(c, lambda x: F.length(F.replace(x, F.lit("-"), F.lit(""))).cast("long"))
-    starts = lambda first, c: F.aggregate(sizes(c), F.array(F.col(first).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    wide = blocks.withColumn("__t", cut("t_text")).withColumn("__q", cut("q_text")).withColumn("__ts", starts("t_start", "__t")).withColumn("__qs", starts("q_start", "__q"))
-    part = F.transform("__t", lambda x, i: F.struct(x.alias("t_text"), F.get("__q", i).alias("q_text"), F.get("__ts", i).alias("t_start"), F.get("__ts", i + 1).alias("t_end"), F.get("__qs", i).alias("q_start")))
-    return wide.select("block", "contig", "sample", "q_contig", "q_strand", "q_size", F.explode(part).alias("x")).select("block", "contig", "sample", "q_contig", "q_strand", "q_size", "x.*")
+    Texts are cut inside their row, first into long pieces and these into short ones, so a block of any length costs no exchange and
+    no long list; pieces without columns are none."""
+    return _cut(_cut(blocks, 512 * width), width)
+
+
+def aligned_runs(blocks: DataFrame, width: int = 512) -> DataFrame:
+    """(block, sample, contig, q_contig, q_strand, q_size, t_from, t_to, q_own, t_seq, q_seq): the runs of columns with letters in
+    both rows, with their letters; q_own is the first's 0-based place on the query's own strand. No row stands for a base and
+    nothing is exchanged: a piece's columns become one string of marks, whose tokens are the runs. Runs end where pieces do."""
+    mark = lambda t, q: F.when(t == "", "").when(t == "-", F.when(q == "-", "B").otherwise("I")).when(q == "-", "D").otherwise("M")
+    marks = F.array_join(F.zip_with(F.split("t_text", ""), F.split("q_text", ""), mark), "")
+    parts = pieces(blocks, width).withColumn("tokens", F.regexp_extract_all(marks, F.lit("(M+|I+|D+|B+)"), F.lit(1)))
+    zero, kind = F.lit(0), "array<struct<col:int,n:int,t:int,q:int>>"
+    first = F.struct(zero.alias("col"), zero.alias("t"), zero.alias("q"), F.array().cast(kind).alias("out"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n, op = F.length(x), F.substring(x, 1, 1)
+        run = F.array(F.struct((acc["col"] + 1).alias("col"), n.alias("n"), acc["t"].alias("t"), acc["q"].alias("q")))
+        on = lambda kinds: F.when(op.isin(*kinds), n).otherwise(0)
+        return F.struct((acc["col"] + n).alias("col"), (acc["t"] + on("MD")).alias("t"), (acc["q"] + on("MI")).alias("q"), F.when(op == "M", F.concat(acc["out"], run)).otherwise(acc["out"]).alias("out"))
+
+    runs = parts.withColumn("x", F.explode(F.aggregate("tokens", first, add, lambda acc: acc["out"])))
+    x, t_from = F.col("x"), F.col("t_start") + F.col("x.t")
+    return runs.select(
+        "block", "sample", "contig", "q_contig", "q_strand", "q_size", t_from.alias("t_from"), (t_from + x["n"] - 1).alias("t_to"), (F.col("q_start") + x["q"]).alias("q_own"),
+        F.substring("t_text", x["col"], x["n"]).alias("t_seq"), F.substring("q_text", x["col"], x["n"]).alias("q_seq"),
+    )
 
 
 def position_runs(blocks: DataFrame) -> DataFrame:
     """(sample, contig, t_from, t_to, q_name, q_from, step): q positions on the plus strand, step -1 for a minus row."""
-    aligned = columns(blocks).where("t <> '-' AND q <> '-'")
-    order = Window.partitionBy("block").orderBy("col")
-    aligned = aligned.withColumn("run", F.col("col") - F.row_number().over(order))
-    runs = aligned.groupBy("block", "run", "sample", "contig", "q_contig", "q_strand", "q_size").agg(F.min("t_pos").alias("t_from"), F.max("t_pos").alias("t_to"), F.min("q_own").alias("own"))
     minus = F.col("q_strand") == "-"
-    return runs.select(
+    return aligned_runs(blocks).select(
         "sample", "contig", "t_from", "t_to", F.col("q_contig").alias("q_name"),
-        F.when(minus, F.col("q_size") - 1 - F.col("own")).otherwise(F.col("own")).alias("q_from"), F.when(minus, -1).otherwise(1).alias("step"),
+        F.when(minus, F.col("q_size") - 1 - F.col("q_own")).otherwise(F.col("q_own")).alias("q_from"), F.when(minus, -1).otherwise(1).alias("step"),
     )
 
 

@@ -260,7 +260,7 @@ def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
 
 @query("snp_loci", "v_blk", f"WITH {COLS} SELECT DISTINCT contig, CAST(tp + 1 AS BIGINT) AS pos, upper(t) AS ref, upper(q) AS alt FROM p WHERE t <> '-' AND q <> '-' AND upper(t) <> upper(q)")
 def _(blk: DataFrame) -> DataFrame:
-    return snp.loci(snp.aligned(blk))
+    return snp.loci(posmap.aligned_runs(blk))
 
 
 @query("snp_frequency", "v_blk", f"""
@@ -269,8 +269,9 @@ def _(blk: DataFrame) -> DataFrame:
     SELECT l.contig, l.pos, l.ref, l.alt, count(b.base) AS ns, count_if(b.base = l.alt) AS ac, floor(100.0 * count_if(b.base = l.alt) / count(b.base) + 0.000000001) AS percent
     FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY ALL""")
 def _(blk: DataFrame) -> DataFrame:
-    cols = snp.aligned(blk)
-    return snp.frequencies(cols, snp.loci(cols))
+    runs = posmap.aligned_runs(blk)
+    found = snp.loci(runs)
+    return snp.frequencies(snp.bases(found, runs), found)
 
 
 @query("snp_matrix", "v_blk", f"""
@@ -279,8 +280,9 @@ def _(blk: DataFrame) -> DataFrame:
     SELECT l.contig, l.pos, l.ref, array_to_string(alts, ',') AS alt, coalesce(max(CASE WHEN sample = 'S0' THEN base END), '-') AS S0, coalesce(max(CASE WHEN sample = 'S1' THEN base END), '-') AS S1, coalesce(max(CASE WHEN sample = 'S2' THEN base END), '-') AS S2
     FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY l.contig, l.pos, l.ref, alts""")
 def _(blk: DataFrame) -> DataFrame:
-    cols = snp.aligned(blk)
-    return snp.matrix(cols, snp.loci(cols), ["S0", "S1", "S2"])
+    runs = posmap.aligned_runs(blk)
+    found = snp.loci(runs)
+    return snp.matrix(snp.bases(found, runs), found, ["S0", "S1", "S2"])
 
 
 @query("window_identity", "v_blk", f"""
@@ -513,7 +515,7 @@ def _(iv: DataFrame) -> DataFrame:
     WITH {COLS}, x AS (SELECT upper(t) || upper(q) AS s FROM p WHERE t <> '-' AND q <> '-' AND upper(t) <> upper(q))
     SELECT count(*) AS subs, count_if(s IN ('AG', 'GA', 'CT', 'TC')) AS ts, count_if(s NOT IN ('AG', 'GA', 'CT', 'TC')) AS tv FROM x""")
 def _(blk: DataFrame) -> DataFrame:
-    return variants.substitution_stats(snp.aligned(blk).where("ref <> base").select("ref", F.col("base").alias("alt")))
+    return variants.substitution_stats(snp.differences(posmap.aligned_runs(blk)).select("ref", F.col("base").alias("alt")))
 
 
 @query("vcf_select", "v_indel", "SELECT contig, beg, fin, len, kind FROM v_indel WHERE len >= 2 AND len <= 3")

@@ -154,18 +154,12 @@ def genotype_deletions(variants: DataFrame, blocks: DataFrame, extend: int = 100
 
 def window_identity(blocks: DataFrame, first: Column, second: Column) -> DataFrame:
     """(block, id5, ov5, region, id3, ov3): in the three windows of a reference row cut at two offsets, equal letters over
-    aligned ones and aligned over all (each plus 1); the middle window compares with all its bases."""
-    cols = posmap.columns(blocks).where("t <> '-'").join(blocks.select("block", F.col("t_start").alias("__t")), "block")
-    o = F.col("t_pos") - F.col("__t")
-    same, held = F.upper("t") == F.upper("q"), F.col("q") != "-"
-    part = {"5": o < first, "r": (o >= first) & (o < second), "3": o >= second}
-    n = {k: F.count_if(p) for k, p in part.items()}
-    m = {k: F.count_if(p & same).cast("double") for k, p in part.items()}
-    h = {k: F.count_if(p & held) for k, p in part.items()}
-    return cols.groupBy("block").agg(
-        (m["5"] / (h["5"] + 1)).alias("id5"), (h["5"].cast("double") / (n["5"] + 1)).alias("ov5"), (m["r"] / (n["r"] + 1)).alias("region"),
-        (m["3"] / (h["3"] + 1)).alias("id3"), (h["3"].cast("double") / (n["3"] + 1)).alias("ov3"),
-    )
+    aligned ones and aligned over all (each plus 1); the middle window compares with all its bases. Counted inside the row."""
+    total = F.length(F.replace("t_text", F.lit("-"), F.lit("")))
+    one, two = F.least(first, total), F.least(second, total)
+    return blocks.select("block", _tally(F.col("t_text"), F.col("q_text"), F.lit(0), F.lit(0), first, second, total).alias("x"), one.alias("one"), two.alias("two"), total.alias("n")).select(
+        "block", _rates({k: F.col(f"x.{k}") for k in ("h5", "m5", "hr", "mr", "h3", "m3")}, F.col("one"), F.col("two") - F.col("one"), F.col("n") - F.col("two")).alias("r")
+    ).select("block", "r.*")
 
 
 def window_call(identity: float = 0.9, overlap: float = 0.2, hi: float = 0.5, lo: float = 0.1) -> Column:

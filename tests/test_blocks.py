@@ -84,9 +84,17 @@ def test_pieces_keep_positions(spark):
     rnd = random.Random(9)
     t, q = ("".join(rnd.choice("ACGT-") for _ in range(95)) for _ in range(2))
     df = spark.createDataFrame([(1, "c", "S", "q", "+", 1000, 7, t, 30, q)], BLOCK)
-    runs = lambda d: {(r["t_pos"], r["q_own"]) for r in posmap.columns(d).where("t <> '-' AND q <> '-'").collect()}
-    cut = posmap.pieces(df, 16)
-    assert cut.count() == 6 and runs(cut.withColumn("block", F.col("t_start") * 1000 + F.col("q_start"))) == runs(df)
+    want, t_at, q_at = set(), 7, 30
+    for x, y in zip(t, q, strict=True):
+        if x != "-" and y != "-":
+            want.add((t_at, q_at, x, y))
+        t_at, q_at = t_at + (x != "-"), q_at + (y != "-")
+    assert posmap.pieces(df, 16).count() == 6
+    for width in (1, 16, 512):
+        got = [(r["t_from"] + i, r["q_own"] + i, r["t_seq"][i], r["q_seq"][i]) for r in posmap.aligned_runs(df, width).collect() for i in range(r["t_to"] - r["t_from"] + 1)]
+        assert len(got) == len(want) and set(got) == want
+    long = df.withColumn("t_text", F.repeat("t_text", 40)).withColumn("q_text", F.repeat("q_text", 40))
+    assert posmap.position_runs(long).agg(F.sum(F.col("t_to") - F.col("t_from") + 1)).first()[0] == 40 * len(want)
 
 
 def test_open_deletion_is_decided_by_the_alignment(spark):

@@ -74,7 +74,7 @@ def test_indels(spark):
 
 
 def test_snps(spark):
-    found = snp.loci(snp.aligned(block(spark, "ACG-TaN", "ATGCT-c", 10, 0))).collect()
+    found = snp.loci(posmap.aligned_runs(block(spark, "ACG-TaN", "ATGCT-c", 10, 0))).collect()
     assert {(r["pos"], r["ref"], r["alt"]) for r in found} == {(12, "C", "T"), (16, "N", "C")}
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import WordHashes, cut, mix, signed, slices, windows_hash, words_of
+from genoweave.llm.common import WordHashes, cut, drop_cut, mix, signed, slices, windows_hash, words_of
 
 SECOND = 0xC2B2AE3D27D4EB4F
 #: Rows that a task holds to settle among themselves.
@@ -140,11 +140,12 @@ def shared_seeds(docs: DataFrame, key: str, window: int, seed: int) -> DataFrame
     return rows.where("flag or lo <> hi").select("th", "at")
 
 
-def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 7, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(key, th, n_words, copy) of each row, and (key, th, start, size): runs of window starts that a smaller key has too."""
-    ids = cut(packed(docs, key, False).select("key", "th", "n_words"), "ids")
-    reps = cut(ids.where("key is not null").groupBy("th").agg(F.min("key").alias("rep")), "reps")
-    ids = ids.join(reps, "th", "left").select("key", "th", "n_words", F.coalesce(F.col("key") > F.col("rep"), F.lit(False)).alias("copy"))
+def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 7, key: str = "doc_id") -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(key, th, n_words, copy) of each row, (key, th, start, size): runs of window starts that a smaller key has too, and
+    the written tables that both read."""
+    known = cut(packed(docs, key, False).select("key", "th", "n_words"), "ids")
+    reps = cut(known.where("key is not null").groupBy("th").agg(F.min("key").alias("rep")), "reps")
+    ids = known.join(reps, "th", "left").select("key", "th", "n_words", F.coalesce(F.col("key") > F.col("rep"), F.lit(False)).alias("copy"))
     seeds = shared_seeds(docs, key, window, seed).groupBy("th").agg(F.collect_set("at").alias("ats"))
     wanted = cut(seeds.join(reps, "th").select(F.col("rep").alias("key"), F.col("th").alias("want"), "ats"), "seeds")
     texts = packed(docs, key).join(wanted, "key").where("th = want").select("key", "th", "blob", "ats").dropDuplicates(["key", "th"])
@@ -155,26 +156,30 @@ def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 7, key: str
         count = 0
 
         def settle() -> pa.RecordBatch:
+            """One row for each path that a smaller document has too, and one for all equal paths of any other document."""
             h, g, doc, th, start, size = (np.concatenate([x[i] for x in held]) for i in range(6))
             edges, second = (np.concatenate([x[i] for x in held]) for i in (6, 7))
-            end = np.cumsum(size)
-            order = np.lexsort((doc, g, h))
-            run = _runs_of(order, h, g)
+            order = np.lexsort((start, th, doc, g, h))
+            run, own = _runs_of(order, h, g), _runs_of(order, h, g, doc)
             d = doc[order]
             first = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1))
-            done = np.zeros(len(h), bool)
-            done[order] = d > d[first][run]
-            kept = np.where(done, 0, size)
-            inside = np.repeat(~done, size)
+            done = d > d[first][run]
+            head = done.copy()
+            head[0] = True
+            head[1:] |= own[1:] != own[:-1]
+            rows, done = order[head], done[head]
+            places = np.append(np.flatnonzero(head), len(order)).astype(np.int32)
+            kept = np.where(done, 0, size[rows])
             offsets = np.concatenate(([0], np.cumsum(kept))).astype(np.int32)
-            salt = mix(doc.astype(np.uint64) + start.astype(np.uint64) * np.uint64(SECOND))
-            assert end[-1] == len(edges)
+            inside = np.arange(int(offsets[-1])) + np.repeat((np.cumsum(size) - size)[rows] - offsets[:-1], kept)
+            salt = mix(doc[rows].astype(np.uint64) + start[rows].astype(np.uint64) * np.uint64(SECOND))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(np.where(done, salt, h))), pa.array(g), pa.array(done), pa.array(doc), pa.array(th), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)),
+                    pa.array(signed(np.where(done, salt, h[rows]))), pa.array(g[rows]), pa.array(done), pa.array(doc[rows]), pa.array(size[rows].astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(places), pa.array(th[order])), pa.ListArray.from_arrays(pa.array(places), pa.array(start[order].astype(np.int32))),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(edges[inside]))), pa.ListArray.from_arrays(pa.array(offsets), pa.array(second[inside])),
                 ],
-                ["h", "g", "done", "key", "th", "start", "size", "edges", "second"],
+                ["h", "g", "done", "key", "size", "ths", "starts", "edges", "second"],
             )
 
         for batch in batches:
@@ -197,31 +202,40 @@ def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 7, key: str
         if held:
             yield settle()
 
-    schema = "h long, g int, done boolean, key long, th long, start int, size int, edges array<long>, second array<int>"
+    schema = "h long, g int, done boolean, key long, size int, ths array<long>, starts array<int>, edges array<long>, second array<int>"
     paths = texts.mapInArrow(open_paths, schema)
     least = Window.partitionBy("h", "g", "done")
     paths = paths.withColumn("done", F.col("done") | (F.col("key") > F.min("key").over(least)))
     paths = cut(paths.withColumn("edges", F.when(~F.col("done"), F.col("edges"))).withColumn("second", F.when(~F.col("done"), F.col("second"))), "paths")
-    edges = paths.where("not done").select("key", "th", "start", F.posexplode(F.arrays_zip("edges", "second")).alias("i", "e"))
-    edges = edges.select(F.col("e.edges").alias("h"), F.col("e.second").alias("g"), "key", "th", (F.col("start") + F.col("i")).alias("start"))
+    # edges meet once for each document and path; what is found holds for all places of the path
+    opened = paths.where("not done").withColumn("path", F.monotonically_increasing_id())
+    edges = opened.select("key", "path", F.posexplode(F.arrays_zip("edges", "second")).alias("i", "e")).select(F.col("e.edges").alias("h"), F.col("e.second").alias("g"), "key", "path", "i")
     met = edges.groupBy("h", "g").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("h", "g", "lo")
-    late = edges.join(met, ["h", "g"]).where("key > lo").select("key", "th", "start", F.lit(1).alias("size"))
-    return ids, paths.where("done").select("key", "th", "start", "size").unionByName(late)
+    late = edges.join(met, ["h", "g"]).where("key > lo").groupBy("path").agg(F.collect_list("i").alias("found"))
+    each = F.explode(F.arrays_zip("ths", "starts")).alias("at")
+    late = opened.join(late, "path").select("key", each, "found").select("key", "at.ths", "at.starts", F.explode("found").alias("i"))
+    late = late.select("key", F.col("ths").alias("th"), (F.col("starts") + F.col("i")).alias("start"), F.lit(1).alias("size"))
+    done = paths.where("done").select("key", each, "size").select("key", F.col("at.ths").alias("th"), F.col("at.starts").alias("start"), "size")
+    return ids, done.unionByName(late), [known, reps, wanted, paths]
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, seed: int = 7, key: str = "doc_id") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept): each text without the words of windows that also start in a
     document with a smaller doc_id.
 
-    Windows are judged on the input. Null and blank texts have no words (the digest is that of the empty string).
+    Windows are judged on the input, whole and of any length. Null and blank texts have no words (the digest is that of the empty string).
     Rows with a null doc_id lose nothing and take nothing from others. Repeated rows, and rows with the same doc_id, do
     not remove each other's words; a text equal word for word to one with a smaller doc_id goes whole, if it holds a window.
+    Several texts under one doc_id are judged each. An empty table gives none. Other columns, of any names, take no part.
     """
-    ids, runs = repeated_windows(docs, window, seed, key)
+    ids, runs, written = repeated_windows(docs, window, seed, key)
     runs = runs.groupBy("key", "th").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
     info = ids.where("key is not null").groupBy("key", "th").agg(F.max("copy").alias("copy")).join(runs, ["key", "th"], "left")
     info = info.where("copy or runs is not null").select("key", "th", "copy", "runs")
-    texts = packed(docs, key).join(cut(info, "info"), ["key", "th"], "left").select("key", "n_words", "blob", "copy", "runs.start", "runs.size")
+    info = cut(info, "info")
+    for table in written:
+        drop_cut(table)
+    texts = packed(docs, key).join(info, ["key", "th"], "left").select("key", "n_words", "blob", "copy", "runs.start", "runs.size")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,14 +1,16 @@
 """Operator 2: nearest neighbours by a vantage-point tree for each shard.
 
-Vectors are dealt by hash into shards of bounded size; a shard's points are halved again and again by their distance
-to a vantage point. A search goes down the nearer half first and leaves out a half whose least possible distance, by the
-triangle inequality, times `relax` is over the distance of the k-th neighbour so far: 1 is exact, more is faster.
-Queries are searched in blocks of bounded size, each against every shard, and the shards' answers are merged.
+Vectors are dealt by hash into shards of bounded size. Each shard's tree is built once and written: its points are halved again and
+again by their distance to a vantage point. A search goes down the nearer half first and leaves out a half whose least
+possible distance, by the triangle inequality, times `relax` is over the distance of the k-th neighbour so far: 1 is
+exact, more is faster. Queries are searched in blocks of bounded size; a shard's task takes several blocks, one after the other, and
+the shards' answers are merged. What crosses an exchange is the queries, once for each shard, and a tree once for each
+`held` blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,8 +59,9 @@ def build(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> Tree:
         if hi - lo <= leaf:
             continue
         own = perm[lo:hi]
-        d = distances(points[own[:1]], points[own])[0]
-        mu = float(np.median(d))
+        with np.errstate(over="ignore", invalid="ignore"):
+            d = distances(points[own[:1]], points[own])[0]
+            mu = float(np.median(d))
         inside = d <= mu
         if inside.all():
             continue  # most points are alike: one leaf
@@ -72,8 +75,9 @@ def build(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> Tree:
 
 
 def search(tree: Tree, queries: np.ndarray, own: np.ndarray, k: int, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """(distances, ids) of the k nearest points of each query but those with its own id; missing ones inf and the largest id."""
-    best_d = np.full((len(queries), k), np.inf)
+    """(distances, ids) of the k nearest points of each query but those with its own id; missing ones are not a number and
+    have the largest id. Distances that overflow are infinite and count."""
+    best_d = np.full((len(queries), k), np.nan)
     best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
 
     def visit(node: int, act: np.ndarray) -> None:
@@ -83,24 +87,27 @@ def search(tree: Tree, queries: np.ndarray, own: np.ndarray, k: int, relax: floa
             lo, hi = tree.span[node]
             for a in range(lo, hi, 4096):
                 b = min(hi, a + 4096)
-                d = distances(queries[act], tree.points[a:b])
-                ids = np.broadcast_to(tree.ids[a:b], d.shape)
-                d = np.where(ids == own[act, None], np.inf, d)
-                all_d, all_id = np.concatenate((best_d[act], d), 1), np.concatenate((best_id[act], np.where(np.isinf(d), np.iinfo(np.int64).max, ids)), 1)
-                order = np.lexsort((all_id, all_d), axis=-1)[:, :k]
+                ids = np.broadcast_to(tree.ids[a:b], (len(act), b - a))
+                self = ids == own[act, None]
+                d = np.where(self, np.nan, distances(queries[act], tree.points[a:b]))
+                all_d, all_id = np.concatenate((best_d[act], d), 1), np.concatenate((best_id[act], np.where(self, np.iinfo(np.int64).max, ids)), 1)
+                order = np.lexsort((all_id, all_d), axis=-1)[:, :k]  # what is not a number comes last
                 best_d[act], best_id[act] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_id, order, 1)
             return
-        d = distances(queries[act], tree.points[tree.vantage[node]][None])[:, 0] - tree.radius[node]
-        near = d <= 0
+        to, mu = distances(queries[act], tree.points[tree.vantage[node]][None])[:, 0], tree.radius[node]
+        with np.errstate(invalid="ignore"):
+            gap = np.maximum(0, np.abs(to - mu) - 1e-12 * (to + mu))  # less what rounding can add
+        near = to <= mu
         for first in (True, False):
             for inner in (True, False):
                 take = near if inner == first else ~near
-                who, gap = act[take], d[take]
-                if not first:  # the farther half, if it can hold a nearer point
-                    who = who[np.abs(gap) * relax <= best_d[who, -1] * (1 + 1e-9)]
+                who = act[take]
+                if not first:  # the farther half, unless it can hold no nearer point
+                    who = who[~(gap[take] * relax > best_d[who, -1])]
                 visit(node + 1 if inner else int(tree.outer[node]), who)
 
-    visit(0, np.arange(len(queries)))
+    with np.errstate(over="ignore"):
+        visit(0, np.arange(len(queries)))
     return best_d, best_id
 
 
@@ -109,44 +116,62 @@ def usable(column: str) -> Column:
     return c.isNotNull() & (F.size(c) > 0) & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(c, lambda x: x != 0)
 
 
-def _grouped(df: DataFrame, n: int, rows: str) -> DataFrame:
-    """One row (dim, part, n, ids, data) for each group of about the same number of vectors of one dimension."""
+def _grouped(df: DataFrame, n: int, schema: str, pack: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]) -> DataFrame:
+    """One row (dim, part, *schema) for each group of about the same number of vectors of one dimension."""
     dealt = df.select("id", "vec", F.size("vec").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("part"))
 
     def run(key: tuple, found: pa.Table) -> pa.Table:
-        vec = found.column("vec").combine_chunks()
-        data = vec.flatten().to_numpy(zero_copy_only=False).astype("<f8")
-        ids = found.column("id").to_numpy().astype("<i8")
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()), rows: pa.array([ids.tobytes()], pa.binary()), f"{rows}_data": pa.array([data.tobytes()], pa.binary())})
+        dim = key[0].as_py()
+        data = found.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f8").reshape(-1, dim)
+        out = pack(data, found.column("id").to_numpy().astype("<i8"))
+        return pa.table({"dim": pa.array([dim], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32())} | {c: pa.array([x.tobytes()], pa.binary()) for c, x in out.items()})
 
-    return dealt.groupBy("dim", "part").applyInArrow(run, f"dim int, part int, {rows} binary, {rows}_data binary")
+    return dealt.groupBy("dim", "part").applyInArrow(run, f"dim int, part int, {schema}")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0, shard: int = 4096, block: int = 2048, key: str = "vec_id", column: str = "embedding") -> DataFrame:
+def _tree(points: np.ndarray, ids: np.ndarray) -> dict[str, np.ndarray]:
+    t = build(points, ids)
+    return {"points": t.points, "ids": t.ids, "vantage": t.vantage, "radius": t.radius, "outer": t.outer, "span": t.span}
+
+
+#: The bytes of a tree's arrays, as columns.
+COLUMNS = {"points": "<f8", "ids": "<i8", "vantage": "<i8", "radius": "<f8", "outer": "<i8", "span": "<i8"}
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0, shard: int = 16_384, block: int = 2048, held: int = 16, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest vectors of each query, ties to the smaller id.
 
     Rows whose vector is null, empty, zero or not finite, or whose id is null, take no part; vectors of one dimension are
-    searched among themselves. A query's own id is no candidate. Repeated rows of vectors are candidates each, a query's
-    own repeats are one query. Fewer than k candidates give fewer rows. Empty tables give none.
+    searched among themselves. A query's own id is no candidate. Distances that overflow are infinite and rank last, by id. Repeated
+    rows of vectors are candidates each, a query's own repeats are one query. Fewer than k candidates give fewer rows. Empty
+    tables give none. Other columns, of any names, take no part.
     """
     clean = lambda df: df.where(usable(column) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("vec"))
     points = cut(clean(vectors), "points").withColumn("row", F.monotonically_increasing_id())
     asked = cut(clean(queries).dropDuplicates(["id"]), "asked").withColumn("row", F.monotonically_increasing_id())
     shards = max(1, -(-points.count() // shard))
     blocks = max(1, -(-asked.count() // block))
-    trees = _grouped(points, shards, "ids").withColumnRenamed("part", "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = trees.join(_grouped(asked, blocks, "own").withColumnRenamed("part", "block"), ["dim", "block"])
-    pairs = pairs.repartition(min(shards * blocks, 10_000), "shard", "block")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for dim, ids, data, own, asks in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("dim", "ids", "ids_data", "own", "own_data")), strict=True):
-                tree = build(np.frombuffer(data, "<f8").reshape(-1, dim), np.frombuffer(ids, "<i8"))
+    turns = -(-blocks // held)
+    trees = cut(_grouped(points, shards, ", ".join(f"{c} binary" for c in COLUMNS), _tree), "trees").withColumnRenamed("part", "shard")
+    trees = trees.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    asks = _grouped(asked, blocks, "own binary, asks binary", lambda x, ids: {"own": ids, "asks": x})
+    asks = asks.withColumn("turn", F.col("part") % turns).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+
+    def run(key: tuple, tree: pa.Table, asks: pa.Table) -> pa.Table:
+        out = [pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})]
+        if tree.num_rows and asks.num_rows:
+            dim = key[0].as_py()
+            x = {c: np.frombuffer(tree.column(c)[0].as_py(), t) for c, t in COLUMNS.items()}
+            built = Tree(x["points"].reshape(-1, dim), x["ids"], x["vantage"], x["radius"], x["outer"], x["span"].reshape(-1, 2))
+            for own, data in zip(asks.column("own").to_pylist(), asks.column("asks").to_pylist(), strict=True):
                 own = np.frombuffer(own, "<i8")
-                d, found = search(tree, np.frombuffer(asks, "<f8").reshape(-1, dim), own, k, relax)
-                real = np.isfinite(d)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, k)[real.ravel()]), pa.array(found[real]), pa.array(d[real])], ["query_id", "vec_id", "score"])
-
-    hits = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+                d, found = search(built, np.frombuffer(data, "<f8").reshape(-1, dim), own, k, relax)
+                real = ~np.isnan(d)
+                out.append(pa.table({"query_id": np.repeat(own, k)[real.ravel()], "vec_id": found[real], "score": d[real]}))
+        return pa.concat_tables(out)
+
+    # one task's rows: a tree of `shard` vectors and at most `held` blocks of queries
+    deal = ("dim", "shard", "turn")
+    hits = trees.groupBy(*deal).cogroup(asks.groupBy(*deal)).applyInArrow(run, "query_id long, vec_id long, score double")
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

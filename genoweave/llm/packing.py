@@ -7,6 +7,7 @@ hash into groups of bounded size that are packed on their own; all pieces of a g
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -30,18 +31,30 @@ PARTS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 ODD = frozenset("\u00b2\u00b3\u00b9\u00bc\u00bd\u00be\x1c\x1d\x1e\x1f\x85\xa0'\u2019<")
 
 
+#: Fixed: the normalizers, the first pattern and the kinds of pre-tokenizers of the tokenizer whose texts may be cut into parts.
+KNOWN = [
+    [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+    ["Split", "ByteLevel"],
+]
+
+
 class Tokens:
     """Token ids of texts, by way of remembered chunks and their parts.
 
     For a tokenizer that normalises to NFC and lower case, drops white space, and takes runs of letters, single digits and
     runs of other characters apart. A chunk stands between spaces, tabs or line ends, so its tokens depend on it alone.
     Chunks beyond Latin-1 or with an apostrophe or a possible special token go to the tokenizer whole, others in parts.
+    Any other tokenizer (see KNOWN) gets each text whole.
     """
 
     def __init__(self, path: str, bound: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        split = (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        self.split = [(rules["normalizer"] or {}).get("normalizers"), split[0].get("pattern"), [p.get("type") for p in split]] == KNOWN
         self.parts: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.bound = bound
@@ -88,6 +101,8 @@ class Tokens:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text. Each different chunk is looked up once."""
+        if not self.split:
+            return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lists = pc.split_pattern(pa.array([self.folded(t) for t in texts], pa.large_string()), " ")
         coded = lists.flatten().dictionary_encode()
         known = self.look_up(coded.dictionary.to_pylist())
@@ -180,8 +195,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1, group: int = 1 << 15, key: str = "doc_id") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of each piece.
 
-    Null and blank texts are a piece of one end token. Only documents longer than `capacity` are cut; their full
+    Any tokenizer of the library `tokenizers` will do. Null and blank texts are a piece of one end token. Only documents longer than `capacity` are cut; their full
     pieces fill a sequence each. Repeated rows are packed each. Rows with a null doc_id are packed like others.
+    An empty table gives none. Other columns, of any names, take no part.
     `group` bounds the pieces that one task packs; each group leaves a few bins part full, out of thousands.
     """
     rows = cut(pieces(docs, tokenizer, capacity, end, key), "pieces").withColumn("row", F.monotonically_increasing_id())

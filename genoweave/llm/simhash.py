@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from genoweave.llm.common import WordHashes, components, cut, signed, slices, windows_hash, words_of
+from genoweave.llm.common import WordHashes, components, cut, drop_cut, signed, slices, windows_hash, words_of
 
 BITS = 64
 #: Rows of a bucket that one task compares at a time; larger buckets are dealt out as pairs of blocks.
@@ -334,6 +334,8 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, parts: i
     rooted = cut(rooted, "rooted")
     roots = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = cut(rooted.join(roots, "root").select("fp", "component_id"), "classes")
+    for table in (least, nodes, rooted):
+        drop_cut(table)
     return fps.join(of, "fp").select(key, "fp", "component_id")
 
 
@@ -454,14 +456,18 @@ def similar(sets: DataFrame, groups: DataFrame, threshold: float, block: int = 2
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 1, parts: int = 2, key: str = "doc_id") -> DataFrame:
-    """(doc_id, component_id, copy): groups of texts that link at a Jaccard similarity of `threshold` of their word shingles.
+    """(doc_id, component_id): groups of texts that link at a Jaccard similarity of `threshold` of their word shingles.
 
-    A pair above the threshold differs in few places, so it has sampled windows in common (see samples): windows whose
+    A pair above the threshold differs in few places, so it has sampled windows in common (see `samples`, where this is proved for texts
+    that differ by words put in, left out or replaced): windows whose
     SimHashes lie within `radius` bits (generalised pigeonhole) bring two texts together, unless sketches of their shingle
     sets rule the similarity out. Of each bucket a spanning forest of these pairs is kept, which connects all texts that such
-    pairs connect; each group so connected is then compared pair by pair on the shingle sets (32-bit hashes of all shingles). Texts with the same words are one class and linked without comparison.
-    Null and blank texts are each their own group. Repeated rows and ties stay and share a component.
-    Rows with a null doc_id are groups of their own.
+    pairs connect; each group so connected is then compared pair by pair on the shingle sets (32-bit hashes of all shingles).
+    Texts with the same words are one class and linked without comparison. Null and blank texts are each their own group;
+    texts of under five words are one shingle. Very long texts are taken whole. Repeated rows and ties stay and share a
+    component. Rows with a null doc_id are groups of their own (component null). An empty table gives none. Other columns,
+    of any names, take no part. Several texts under one doc_id are each compared, and a link
+    of one of them holds for the doc_id.
     """
     import xxhash
 
@@ -489,9 +495,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     classes = cut(named.groupBy("cls").agg(F.min("key").alias("first")), "classes")
     reps = named.join(classes.hint("merge"), "cls").where("key = first")
     reps = cut(reps.select(F.col("key").alias("id"), "sim", "runs"), "reps")
-    items = reps.select("id", F.explode("runs").alias("fp"))
-    links = cut(gph_links(cut(items, "items"), radius, parts, reps.select("id", "sim"), threshold), "links")
-    met = cut(components(links.select("a", "b")), "met")
+    items = cut(reps.select("id", F.explode("runs").alias("fp")), "items")
+    met = components(gph_links(items, radius, parts, reps.select("id", "sim"), threshold).select("a", "b"))
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -505,6 +510,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key", "set"]), "sets")
     nodes = components(similar(sets, met, threshold))
     rooted = cut(classes.join(nodes, F.col("first") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "first").alias("root")), "rooted")
+    for table in (classes, reps, items, met, sets, nodes):
+        drop_cut(table)
     member = described.select("key", "cls").join(rooted, "cls", "left")
     return member.select(F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id"))
 

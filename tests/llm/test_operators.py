@@ -176,6 +176,18 @@ def test_packing(spark, docs, none):
     assert packing.pack(none, path).count() == 0
 
 
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["One  two's <|endoftext|> 123 !?", "", "É \t x\ny" * 50]
+    for name, split in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        coder, known = Tokenizer.from_file(path), packing.Tokens(path)
+        assert known.split == split
+        assert [np.frombuffer(x, "<u4").tolist() for x in known.of(texts)] == [coder.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_sum_of_squares_takes_the_least():
     sizes = np.random.default_rng(2).integers(1, 41, 200)
     bins, offsets = packing.sum_of_squares(sizes, 40)
@@ -205,8 +217,12 @@ def test_nearest(spark):
             own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
             assert [i for _, i, _ in own] == [i for _, i in want]
             assert np.allclose([s for *_, s in own], [d for d, _ in want])
-    loose = ann.nearest(df, df.where("vec_id % 20 = 0"), k=5, shard=100, relax=1.5).count()
-    assert loose == len(got)
+    loose = ann.nearest(df, df.where("vec_id % 20 = 0"), k=5, shard=100, block=4, held=2, relax=1.5).collect()
+    exact = {(r["query_id"], r["vec_id"]) for r in got}
+    assert len(loose) == len(got) and sum((r["query_id"], r["vec_id"]) in exact for r in loose) >= 0.9 * len(got)
+    assert ann.nearest(odd(df), odd(df).where("vec_id % 20 = 0"), k=5, shard=100, block=4, held=2).exceptAll(spark.createDataFrame(got)).count() == 0
+    far = spark.createDataFrame([(i, [v]) for i, v in enumerate((1e200, -1e200, 2e200, 3.0))], "vec_id long, embedding array<double>")
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(far, far.where("vec_id = 0"), k=5).collect()) == [(0, i + 1, i + 1, float("inf")) for i in range(3)]
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 

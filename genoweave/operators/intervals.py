@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoweave.operators.tiles import beside
+
 BIN = 256
 
 
@@ -50,11 +52,13 @@ def self_overlaps(a: DataFrame, key: str = "id", bin_size: int = BIN, least: int
 
 
 def islands(a: DataFrame, by: tuple[str, ...] = ("contig",), touch: bool = True) -> DataFrame:
-    """a with the number of the island (run of overlapping, or with touch also abutting, intervals) each row is in."""
-    order = Window.partitionBy(*by).orderBy("st", "en")
-    reach = F.max("en").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(reach.isNull() | ((F.col("st") > reach) if touch else (F.col("st") >= reach)), 1).otherwise(0)
-    return a.withColumn("__new", new).withColumn("island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    """a with the island (run of overlapping, or with touch also abutting, intervals; its first start) each row is in.
+
+    The reach of what comes before, and the start of the island, are carried from tile to tile, so no contig is sorted as a whole."""
+    found = beside(a, by, "st", ["st", "en"], {"__reach": ("max", F.col("en"))})
+    new = F.col("__reach").isNull() | ((F.col("st") > F.col("__reach")) if touch else (F.col("st") >= F.col("__reach")))
+    found = beside(found.withColumn("__new", new), by, "st", ["st", "en"], {"__first": ("max", F.when(F.col("__new"), F.col("st")))})
+    return found.withColumn("island", F.when(F.col("__new"), F.col("st")).otherwise(F.col("__first"))).drop("__reach", "__new", "__first")
 
 
 def merge_intervals(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
@@ -68,13 +72,21 @@ def cov_union(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
     return merge_intervals(a, by).groupBy(*by).agg(F.sum(F.col("en") - F.col("st")).alias("covered"))
 
 
+def sweep(a: DataFrame, by: tuple[str, ...] = ("contig",), weights: dict[str, Column] | None = None) -> DataFrame:
+    """(by, st, en, *weights): the sum of each weight (depth: 1) of the intervals over each stretch between neighbouring ends. Starts and
+    ends are summed by position first; running sums and the next position are carried from tile to tile."""
+    weights = weights or {"depth": F.lit(1)}
+    mark = lambda c, sign: F.struct(F.col(c).alias("pos"), *[(sign * w).alias(n) for n, w in weights.items()])
+    marks = a.select(*by, F.explode(F.array(mark("st", 1), mark("en", -1))).alias("m"))
+    steps = marks.groupBy(*by, F.col("m.pos").alias("pos")).agg(*[F.sum(f"m.{n}").alias(f"__{n}") for n in weights])
+    ran = beside(steps, by, "pos", ["pos"], {n: ("sum", F.col(f"__{n}")) for n in weights})
+    runs = beside(ran, by, "pos", ["pos"], {"en": ("min", F.col("pos"))}, before=False)
+    return runs.select(*by, F.col("pos").alias("st"), "en", *[(F.col(n) + F.col(f"__{n}")).alias(n) for n in weights])
+
+
 def depth_runs(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
-    """Maximal runs of equal depth as (by, st, en, depth), depth over 0: a sweep over starts and ends, summed by position first."""
-    marks = a.select(*by, F.explode(F.array(F.struct(F.col("st").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("en").alias("pos"), F.lit(-1).alias("d")))).alias("m"))
-    steps = marks.groupBy(*by, F.col("m.pos").alias("pos")).agg(F.sum("m.d").alias("d"))
-    order = Window.partitionBy(*by).orderBy("pos")
-    runs = steps.select(*by, F.col("pos").alias("st"), F.lead("pos").over(order).alias("en"), F.sum("d").over(order).alias("depth"))
-    return runs.where("depth > 0 AND en IS NOT NULL AND st < en")
+    """Runs of equal depth between neighbouring ends as (by, st, en, depth), depth over 0."""
+    return sweep(a, by).where("depth > 0 AND en IS NOT NULL AND st < en")
 
 
 def cov_once(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
@@ -84,8 +96,8 @@ def cov_once(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
 
 def gaps(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
     """What lies between the islands of each group."""
-    order = Window.partitionBy(*by).orderBy("st")
-    return merge_intervals(a, by).withColumn("next", F.lead("st").over(order)).where("next IS NOT NULL").select(*by, F.col("en").alias("st"), F.col("next").alias("en"))
+    found = beside(merge_intervals(a, by), by, "st", ["st"], {"next": ("min", F.col("st"))}, before=False)
+    return found.where("next IS NOT NULL").select(*by, F.col("en").alias("st"), F.col("next").alias("en"))
 
 
 def bed_coverage(regions: DataFrame, target: DataFrame, exclude: DataFrame | None = None, key: str = "id", bin_size: int = BIN) -> DataFrame:
@@ -119,10 +131,10 @@ def aun(lengths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def flanks(a: DataFrame, by: tuple[str, ...], lo: str, hi: str) -> DataFrame:
     """Distances from each row to the row before (the group's lower end for the first) and after (its upper end)."""
-    order = Window.partitionBy(*by).orderBy("st", "en", "id")
-    before = F.coalesce(F.lag("en").over(order), F.col(lo))
-    after = F.coalesce(F.lead("st").over(order), F.col(hi))
-    return a.withColumn("five", F.col("st") - before).withColumn("three", after - F.col("en"))
+    own = F.struct("st", "en", "id")
+    found = beside(a, by, "st", ["st", "en", "id"], {"__b": ("max", own)})
+    found = beside(found, by, "st", ["st", "en", "id"], {"__a": ("min", own)}, before=False)
+    return found.withColumn("five", F.col("st") - F.coalesce("__b.en", lo)).withColumn("three", F.coalesce("__a.st", hi) - F.col("en")).drop("__b", "__a")
 
 
 def longest_of_overlapping(a: DataFrame, by: tuple[str, ...] = ("contig",), key: str = "id") -> DataFrame:

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoweave.functions.seq import revcomp
+from genoweave.operators.seqs import chunked, letters
+
 
 def tag(name: str, kind: str = "long") -> Column:
     """A tag by its name, NULL if the node has none."""
@@ -123,7 +126,8 @@ def call_sv(nodes: DataFrame, **limits) -> DataFrame:
     """(net, gap, fill, svtype, t_start, t_end, q_name, q_start, q_end, five, three) of all gaps under walked fills, and INV
     rows of inverted child fills with their own coordinates."""
     fills = walked_fills(nodes).select("net", F.col("node").alias("fill"), F.col("t_start").alias("fill_start"), (F.col("t_start") + F.col("t_size")).alias("fill_end"))
-    gaps = nodes.where("kind = 'gap'").select("net", F.col("parent").alias("fill"), F.col("node").alias("gap"), "t_start", "t_size", "q_name", "q_start", F.col("q_size").alias("q_len"))
+    strand = F.col("q_strand") if "q_strand" in nodes.columns else F.lit("+")
+    gaps = nodes.where("kind = 'gap'").select("net", F.col("parent").alias("fill"), F.col("node").alias("gap"), "t_start", "t_size", "q_name", strand.alias("strand"), "q_start", F.col("q_size").alias("q_len"))
     gaps = gap_flanks(gaps.join(fills, ["net", "fill"])).withColumn("t_len", F.col("t_size")).withColumn("gap", F.struct("net", "gap"))
     child = nodes.where("kind = 'fill'").select(
         F.struct(F.col("net"), F.col("parent").alias("gap")).alias("gap"), F.col("node").alias("child"), F.col("t_start").alias("c_t"), F.col("t_size").alias("t_len"), tag("ali").alias("ali"),
@@ -132,12 +136,35 @@ def call_sv(nodes: DataFrame, **limits) -> DataFrame:
     summed = gap_fills(gaps, child).withColumn("svtype", gap_class(F.col("t_len"), F.col("q_len"), F.col("n"), F.col("total_cov"), F.col("ali"), F.col("inv_len"), **limits))
     kinds = F.explode(F.filter(F.array("svtype", companion(F.col("svtype"))), lambda x: x.isNotNull()))
     end = (F.col("t_start") + F.col("t_len")).alias("t_end")
-    rows = summed.select("net", "gap.gap", "fill", kinds.alias("svtype"), "t_start", end, "q_name", "q_start", (F.col("q_start") + F.col("q_len")).alias("q_end"), "five", "three")
-    inv = inversion_fills(gaps.select("gap", "t_len"), child).join(gaps.select("gap", "net", "fill", "five", "three"), "gap")
-    inv = inv.select("net", "gap.gap", "fill", F.lit("INV").alias("svtype"), F.col("c_t").alias("t_start"), (F.col("c_t") + F.col("t_len")).alias("t_end"), F.col("c_name").alias("q_name"), "q_start", (F.col("q_start") + F.col("q_len")).alias("q_end"), "five", "three")
+    rows = summed.select("net", "gap.gap", "fill", kinds.alias("svtype"), "t_start", end, "q_name", "q_start", (F.col("q_start") + F.col("q_len")).alias("q_end"), "five", "three", "strand", F.col("t_start").alias("g_start"), end.alias("g_end"), F.col("q_name").alias("g_name"), F.col("q_start").alias("g_q0"), (F.col("q_start") + F.col("q_len")).alias("g_q1"))
+    own = gaps.select("gap", "net", "fill", "five", "three", "strand", F.col("t_start").alias("g_start"), (F.col("t_start") + F.col("t_len")).alias("g_end"), F.col("q_name").alias("g_name"), F.col("q_start").alias("g_q0"), (F.col("q_start") + F.col("q_len")).alias("g_q1"))
+    inv = inversion_fills(gaps.select("gap", "t_len"), child).join(own, "gap")
+    inv = inv.select("net", "gap.gap", "fill", F.lit("INV").alias("svtype"), F.col("c_t").alias("t_start"), (F.col("c_t") + F.col("t_len")).alias("t_end"), F.col("c_name").alias("q_name"), "q_start", (F.col("q_start") + F.col("q_len")).alias("q_end"), "five", "three", "strand", "g_start", "g_end", "g_name", "g_q0", "g_q1")
     return rows.unionByName(inv)
 
 
+#: From so many bases on, a sequence is given by its two ends with ten Ns between them.
+LONG, ENDS = 1_000_000, 500
+
+
+def with_sequences(calls: DataFrame, targets: DataFrame, queries: DataFrame) -> DataFrame:
+    """calls (of call_sv) with ref_seq and query_seq of the gap, one letter more than its length, and the 20 letters before and after it on both
+    (t5, t3, q5, q3); on the minus strand the query's are reverse-complemented. targets and queries are (contig, seq), cut into chunks.
+
+    Where a contig begins less than 20 letters before, there are fewer."""
+    out = calls
+    for seqs, name, st, en, marks in ((targets, "net", "g_start", "g_end", ("ref_seq", "t5", "t3")), (queries, "g_name", "g_q0", "g_q1", ("query_seq", "q5", "q3"))):
+        parts = chunked(seqs.select(F.col("contig").alias(name), "seq"), (name,))
+        size = F.col(en) - F.col(st)
+        out = out.withColumns({"__a": F.col(st), "__b": F.when(size < LONG, F.col(en) + 1).otherwise(F.col(st) + ENDS), "__c": F.when(size >= LONG, F.col(en) - ENDS), "__5": F.col(st) - 20, "__3": F.col(en) + 20})
+        for column, a, b in (("__head", "__a", "__b"), ("__tail", "__c", en), (marks[1], "__5", st), (marks[2], en, "__3")):
+            out = letters(out, parts, column, a, b, (name,))
+        whole = F.when(F.col("__c").isNull(), F.col("__head")).otherwise(F.concat("__head", F.lit("N" * 10), "__tail"))
+        out = out.withColumn(marks[0], whole).drop("__a", "__b", "__c", "__5", "__3", "__head", "__tail")
+    turn = lambda c: F.when(F.col("strand").contains("-"), revcomp(F.col(c))).otherwise(F.col(c))
+    return out.withColumns({c: turn(c) for c in ("query_seq", "q5", "q3")})
+
+
 def call_trl(nodes: DataFrame, least: int = 5000) -> DataFrame:
     """(net, t_start, t_end, q_name, q_start, q_end, class, depth) of the fills that are translocations."""
     found = walked_fills(nodes).withColumn("class", trl_class(F.col("depth"), tag("type", "string"), F.col("t_size"), tag("qFar"), least)).where("class IS NOT NULL")

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.functions import cigar
-from genoweave.operators import intervals
+from genoweave.operators import folds, intervals
+from genoweave.operators.seqs import chunked, letters
+from genoweave.operators.tiles import beside
 
 
 def primary(paf: DataFrame, least_quality: int, least_length: int) -> DataFrame:
@@ -18,11 +20,8 @@ def primary(paf: DataFrame, least_quality: int, least_length: int) -> DataFrame:
 
 def covered_once(paf: DataFrame, long: int = 50_000) -> DataFrame:
     """(contig, st, en) of stretches that one alignment covers, if it has at least `long` columns: a sweep over ends summed by position."""
-    n = F.when(F.col("blen") >= long, 1).otherwise(0)
-    marks = paf.select(F.col("tname").alias("contig"), F.explode(F.array(F.struct(F.col("ts").alias("pos"), F.lit(1).alias("d"), n.alias("l")), F.struct(F.col("te").alias("pos"), F.lit(-1).alias("d"), (-n).alias("l")))).alias("m"))
-    steps = marks.groupBy("contig", F.col("m.pos").alias("pos")).agg(F.sum("m.d").alias("d"), F.sum("m.l").alias("l"))
-    order = Window.partitionBy("contig").orderBy("pos")
-    runs = steps.select("contig", F.col("pos").alias("st"), F.lead("pos").over(order).alias("en"), F.sum("d").over(order).alias("depth"), F.sum("l").over(order).alias("long"))
+    rows = paf.select(F.col("tname").alias("contig"), F.col("ts").alias("st"), F.col("te").alias("en"), F.when(F.col("blen") >= long, 1).otherwise(0).alias("l"))
+    runs = intervals.sweep(rows, weights={"depth": F.lit(1), "long": F.col("l")})
     return runs.where("depth = 1 AND long = 1 AND en IS NOT NULL").select("contig", "st", "en")
 
 
@@ -51,24 +50,37 @@ def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quali
     itself included). Calls are those of depth 1.
 
     In the order of starts (then ends, then id), an earlier alignment counts if it ends after the difference begins, a later one if it
-    spans the difference and begins before its end."""
+    spans the difference and begins before its end. The alignments that begin at or before the difference and end after it are starts
+    less ends up to there: a running sum. What the rule for later ones adds or takes away has an end or a start at the difference
+    itself, so only those few meet it."""
     used = primary(paf, quality, cover)
-    found = differences(used.where(F.col("blen") >= long)).withColumnsRenamed({"ts": "o_ts", "te": "o_te"})
-    other = used.select(F.col("id").alias("j"), F.col("tname").alias("contig"), F.col("ts").alias("j_ts"), F.col("te").alias("j_te"), (F.col("te") + 1).alias("j_to"))
-    points = found.select(F.col("id"), "contig", "st", "en", "ref", "alt", "o_ts", "o_te", (F.col("st") + 1).alias("st1"))
-    met = intervals.overlap_join(points, other, bin_size, a_iv=("st", "st1"), b_iv=("j_ts", "j_to")).where("id <> j")
-    earlier = F.struct("j_ts", "j_te", "j") < F.struct("o_ts", "o_te", "id")
-    over = F.when(earlier, F.col("j_te") > F.col("st")).otherwise((F.col("j_te") >= F.col("en")) & (F.col("j_ts") < F.col("en")))
-    more = met.groupBy("id", "st", "en", "ref", "alt").agg(F.count_if(over).alias("more"))
-    return found.join(more, ["id", "st", "en", "ref", "alt"], "left").withColumn("depth", F.coalesce("more", F.lit(0)) + 1).drop("more", "o_ts", "o_te")
+    found = differences(used.where(F.col("blen") >= long)).withColumnsRenamed({"ts": "o_ts", "te": "o_te"}).withColumn("of", F.struct("id", "st", "en", "ref", "alt"))
+    events = used.select(F.col("tname").alias("contig"), F.explode(F.array(F.struct(F.col("ts").alias("st"), F.lit(1).alias("d")), F.struct(F.col("te").alias("st"), F.lit(-1).alias("d")))).alias("m")).select("contig", "m.st", "m.d")
+    events = events.groupBy("contig", "st").agg(F.sum("d").alias("d"))
+    both = found.withColumn("d", F.lit(None).cast("long")).unionByName(events, allowMissingColumns=True).withColumn("first", F.col("d").isNotNull().cast("int") * -1)
+    ran = beside(both, ("contig",), "st", ["st", "first"], {"over": ("sum", F.coalesce("d", F.lit(0)))}).where("d IS NULL").drop("d", "first")
+
+    own = ran.select("of", "id", "contig", "st", "en", "o_ts", "o_te")
+    ends = used.select(F.col("tname").alias("contig"), F.col("id").alias("j"), F.col("ts").alias("j_ts"), F.col("te").alias("j_te"))
+    later = F.struct("j_ts", "j_te", "j") > F.struct("o_ts", "o_te", "id")
+    # later ones that end inside a deletion do not span it
+    wide = intervals.overlap_join(own.where("en > st + 1").withColumn("st1", F.col("st") + 1), ends.withColumn("j_to", F.col("j_te") + 1), bin_size, a_iv=("st1", "en"), b_iv=("j_te", "j_to"))
+    less = wide.where(later & (F.col("j_ts") <= F.col("st"))).select("of", F.lit(-1).alias("d"))
+    # at an insertion, which has no length, later ones may end where it is, and must begin before it
+    flat = own.where("en = st")
+    more = flat.join(ends, (flat["contig"] == ends["contig"]) & (F.col("j_te") == F.col("st"))).where(later & (F.col("j_ts") < F.col("st"))).select("of", F.lit(1).alias("d"))
+    none = flat.join(ends, (flat["contig"] == ends["contig"]) & (F.col("j_ts") == F.col("st"))).where(later & (F.col("j_te") > F.col("st"))).select("of", F.lit(-1).alias("d"))
+    change = less.unionByName(more).unionByName(none).groupBy("of").agg(F.sum("d").alias("d"))
+    return ran.join(change, "of", "left").withColumn("depth", F.col("over") + F.coalesce("d", F.lit(0))).drop("of", "over", "d", "o_ts", "o_te")
 
 
 def call_lines(calls: DataFrame, references: DataFrame) -> DataFrame:
     """(contig, pos, line) of a variant file of calls of depth 1: gaps take the reference's letter before them (references: contig, seq)."""
     one = calls.where("depth = 1")
     gap = (F.col("ref") == "-") | (F.col("alt") == "-")
-    # only the letters that are needed travel: contigs meet the places asked for, one letter for each
-    at = one.where(gap & (F.col("st") > 0)).select("contig", "st").distinct().join(references, "contig").select("contig", "st", F.upper(F.substring("seq", F.col("st").cast("int"), F.lit(1))).alias("base"))
+    # only the letters that are needed travel: chunks of contigs meet the places asked for, one letter for each
+    at = one.where(gap & (F.col("st") > 0)).select("contig", "st", (F.col("st") - 1).alias("before")).distinct()
+    at = letters(at, chunked(references.select("contig", "seq")), "base", "before", "st").select("contig", "st", F.upper("base").alias("base"))
     rows = one.join(at, ["contig", "st"], "left").where(~gap | F.col("base").isNotNull())
     text = lambda c: F.when(~gap, F.upper(c)).when(F.col(c) == "-", F.col("base")).otherwise(F.concat("base", F.upper(c)))
     pos = F.when(gap, F.col("st")).otherwise(F.col("st") + 1)
@@ -100,7 +112,7 @@ def lift_regions(paf: DataFrame, regions: DataFrame, quality: int = 5, length: i
 
 
 # Haploid-free ends of the sex chromosome in two assemblies (closed start, end).
-PAR = {"37": ((0, 2_699_520), (154_931_044, 155_260_560)), "38": ((0, 2_781_479), (155_701_383, 156_030_895))}
+PAR = {"37": ((0, 2_699_520), (154_931_043, 155_260_560)), "38": ((0, 2_781_479), (155_701_383, 156_030_895))}
 
 
 def pair_haplotypes(vcf: DataFrame, male: bool = False, assembly: str | None = None, pattern: str = r"^(chr)?([0-9]+|X|Y)$") -> DataFrame:
@@ -130,15 +142,55 @@ def overlap_counts(found: DataFrame, truth: DataFrame) -> DataFrame:
     return sides.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("truths"), F.coalesce(F.sum("f"), F.lit(0)).alias("found"), F.count_if((F.col("f") == 1) & (F.col("t") == 1)).alias("both"))
 
 
-def gene_status(hits: DataFrame, single: DataFrame, least: float = 0.99) -> DataFrame:
-    """(gene, status): how an assembly holds genes that the reference holds once (single: gene). hits (gene, covered share, pieces: whole
-    copies found): full_sgl, full_dup, frag, part50, part10 or missing."""
-    best = hits.groupBy("gene").agg(F.count_if(F.col("share") >= least).alias("whole"), F.max("share").alias("best"), F.sum("share").alias("total"))
-    x = single.select("gene").distinct().join(best, "gene", "left")
-    status = (
-        F.when(F.col("whole") == 1, "full_sgl").when(F.col("whole") > 1, "full_dup").when(F.col("total") >= least, "frag").when(F.col("total") >= 0.5, "part50").when(F.col("total") >= 0.1, "part10").otherwise("missing")
-    )
-    return x.select("gene", status.alias("status"))
+GENE = ("full_sgl", "full_dup", "frag", "part50+", "part10+", "part10-")
+
+
+def gene_cover(paf: DataFrame, least: float = 0.99, identity: float = 0.99) -> DataFrame:
+    """(gene, whole, share) of spliced alignments of genes (qname, qlen, qs, qe, nmatch, blen): those of enough identity that hold
+    enough of the gene, and the share of the gene that all of them cover together."""
+    used = paf.where(F.col("nmatch") >= F.col("blen") * identity)
+    whole = F.count_if(F.col("qe") - F.col("qs") >= F.col("qlen") * least)
+    union = intervals.cov_union(used.select(F.col("qname").alias("gene"), F.col("qs").alias("st"), F.col("qe").alias("en")), ("gene",))
+    counts = used.groupBy(F.col("qname").alias("gene")).agg(whole.alias("whole"), F.max("qlen").alias("qlen"))
+    seen = paf.select(F.col("qname").alias("gene")).distinct()
+    joined = seen.join(counts, "gene", "left").join(union, "gene", "left")
+    return joined.select("gene", F.coalesce("whole", F.lit(0)).alias("whole"), F.coalesce(F.col("covered").cast("double") / F.col("qlen"), F.lit(0.0)).alias("share"))
+
+
+def distinct_genes(paf: DataFrame) -> DataFrame:
+    """(gene) of the reference's alignments (qname, qlen, tname, ts, te, no: the order of lines; a gene's last line counts): a walk by place,
+    in which a gene that begins before the last one's end takes its place if it is longer, and is left out if it is not."""
+    place = paf.groupBy(F.col("qname").alias("gene")).agg(F.max_by(F.struct("tname", "ts", "te", "qlen"), "no").alias("x")).select("gene", "x.*")
+    # no gene of an island meets one of another, so each is walked on its own
+    rows = intervals.islands(place.withColumnsRenamed({"ts": "st", "te": "en"}), ("tname",), touch=False)
+
+    def step(last: tuple | None, row: dict) -> tuple[tuple, bool]:
+        if last is None or row["st"] >= last[0] or row["qlen"] > last[1]:
+            return (row["en"], row["qlen"]), True
+        return last, False
+
+    walked = folds.walk(rows, ["tname", "island"], ["st", "gene"], lambda: None, step, "now", "boolean").where("now")
+    # of those that were the last one, one stays unless the next that took over began before its end
+    return beside(walked, ("tname", "island"), "st", ["st", "gene"], {"__next": ("min", F.struct("st", "gene"))}, before=False).where("__next IS NULL OR __next.st >= en").select("gene")
+
+
+def gene_status(reference: DataFrame, assembly: DataFrame, kept: DataFrame | None = None, least: float = 0.99) -> DataFrame:
+    """(gene, copies, status): how an assembly holds the genes (both gene_cover) that the reference holds; kept (gene) limits them. Genes that it
+    holds once get one of GENE; of those that it holds more often the copies count only (status NULL)."""
+    genes = reference.where("whole >= 1").select("gene", F.col("whole").alias("held"))
+    genes = genes.join(kept.select("gene").distinct(), "gene", "left_semi") if kept is not None else genes
+    x = genes.join(assembly, "gene", "left")
+    n, share = F.coalesce("whole", F.lit(0)), F.coalesce("share", F.lit(0.0))
+    status = F.when(n == 1, GENE[0]).when(n > 1, GENE[1]).when(share >= least, GENE[2]).when(share >= 0.5, GENE[3]).when(share >= 0.1, GENE[4]).otherwise(GENE[5])
+    return x.select("gene", n.alias("copies"), F.when(F.col("held") == 1, status).alias("status"))
+
+
+def gene_counts(status: DataFrame) -> DataFrame:
+    """(metric, n): how many genes have each status; dup_cnt of the genes that the reference holds more often are held more than once, as
+    dup_sum copies."""
+    each = status.where("status IS NOT NULL").groupBy(F.col("status").alias("metric")).agg(F.count("*").alias("n"))
+    more = status.where("status IS NULL").agg(F.count_if(F.col("copies") > 1).alias("dup_cnt"), F.coalesce(F.sum("copies"), F.lit(0)).alias("dup_sum"))
+    return each.unionByName(more.select(F.expr("stack(2, 'dup_cnt', dup_cnt, 'dup_sum', dup_sum) AS (metric, n)")))
 
 
 def gap_counts(alignments: DataFrame) -> DataFrame:
@@ -147,12 +199,62 @@ def gap_counts(alignments: DataFrame) -> DataFrame:
     return gaps.groupBy(F.col("x.op").alias("op"), cigar.gap_bucket(F.col("x.len")).alias("under")).agg(F.count("*").alias("n"), F.sum("x.len").alias("letters"))
 
 
-def assembly_stats(paf: DataFrame) -> DataFrame:
-    """(contigs, aligned, matched, breaks, divergence): how an assembly's contigs lie on a reference. aligned is the union of the query's
-    intervals; breaks are the alignments beyond each contig's first; divergence counts a gap of any length once."""
-    union = intervals.cov_union(paf.select(F.col("qname").alias("contig"), F.col("qs").alias("st"), F.col("qe").alias("en")))
+def _ng(lengths: DataFrame, goal: float, name: str) -> DataFrame:
+    """The length (counted: len, n) at which the running sum, largest first, passes the goal; NULL if it never does."""
+    order = Window.orderBy(F.desc("len"))  # of distinct lengths
+    ran = lengths.withColumn("run", F.sum(F.col("len") * F.col("n")).over(order))
+    return ran.where(F.col("run") > goal).agg(F.max("len").alias(name))
+
+
+def query_steps(paf: DataFrame) -> DataFrame:
+    """(qname, length, gap) of alignments (qname, qs, qe, strand, tname, ts, te) that are not inside the one before them on their query, by qs:
+    the length beyond the one before, and how much the query and target gaps to the last such one differ (10^9 on another target
+    or strand; NULL for the first)."""
+    order = Window.partitionBy("qname").orderBy("qs", "no")
+    prev = paf.withColumn("pe", F.lag("qe").over(order))
+    kept = prev.where("pe IS NULL OR qs >= pe OR qe >= pe").withColumn("length", F.when(F.col("qs") < F.col("pe"), F.col("qe") - F.col("pe")).otherwise(F.col("qe") - F.col("qs")))
+    last = F.lag(F.struct("qe", "strand", "tname", "ts", "te")).over(order)
+    x = kept.withColumn("last", last)
+    same = (F.col("last.strand") == F.col("strand")) & (F.col("last.tname") == F.col("tname"))
+    # the rule compares the target's order with that of the plus strand only if the strand is named so
+    dr = F.when(F.col("strand") == "+", F.col("ts") - F.col("last.te")).otherwise(F.col("last.ts") - F.col("te"))
+    gap = F.when(same, F.abs(F.col("qs") - F.col("last.qe") - dr)).otherwise(1_000_000_000)
+    return x.select("qname", "length", F.when(F.col("last").isNotNull(), gap).alias("gap"))
+
+
+def assembly_stats(paf: DataFrame, ref_len: int, segment: int = 10_000, most: float = 0.01, query: int = 0) -> DataFrame:
+    """One row of an assembly's alignments (qname, qlen, qs, qe, strand, tname, ts, te, type, cg, nm, no: the order of lines): length of the queries,
+    covered (l_cov), rcov and rdup (percent of the reference covered, and of that covered more than once), qcov, ng75, ng50, nga50, aunga,
+    breaks (further lines of a query after its first that counts), bp and bp10k (steps of 500 bases, and gaps of 10,000).
+
+    Lines that count are primary, have `segment` query bases and a gap-compressed divergence of at most `most`."""
+    rows = paf.where(F.col("qlen") >= query)
+    lengths = rows.groupBy("qname").agg(F.max_by("qlen", "no").alias("len"))
+    counted = lengths.groupBy("len").agg(F.count("*").alias("n"))
     s = cigar.sums(F.col("cg"))
-    own = paf.select("nmatch", (F.col("blen") - F.col("nmatch") - s["gaps"] + s["opens"]).alias("events")).agg(F.count("*").alias("rows"), F.sum("nmatch").alias("matched"), F.sum("events").alias("events"))
-    sizes = union.agg(F.count("*").alias("contigs"), F.sum("covered").alias("aligned"))
-    one = sizes.unionByName(own, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("contigs", "aligned", "rows", "matched", "events")])
-    return one.select("contigs", "aligned", "matched", (F.col("rows") - F.col("contigs")).alias("breaks"), F.try_divide(F.col("events").cast("double"), F.col("matched") + F.col("events")).alias("divergence"))
+    matched = cigar.total(F.col("cg"), "M")
+    diff = F.coalesce(cigar.compressed_divergence(F.col("nm"), s["gaps"], s["opens"], matched), F.lit(0.0))
+    primary_rows = rows.where(F.col("type").isin("P", "I") & (F.coalesce("tname", F.lit("*")) != "*")).withColumn("ok", (diff <= most) & (F.col("qe") - F.col("qs") >= segment))
+    used = primary_rows.where("ok").drop("ok")
+    first = used.groupBy("qname").agg(F.min("no").alias("first"))
+    breaks = primary_rows.join(first, "qname").agg(F.count_if(F.col("no") > F.col("first")).alias("breaks"))
+    target = used.select(F.col("tname").alias("contig"), F.col("ts").alias("st"), F.col("te").alias("en"))
+    covered = intervals.cov_union(target).agg(F.coalesce(F.sum("covered"), F.lit(0)).alias("l_cov"))
+    once = intervals.cov_once(target).agg(F.coalesce(F.sum("once"), F.lit(0)).alias("once"))
+    on_query = intervals.cov_union(used.select(F.col("qname").alias("contig"), F.col("qs").alias("st"), F.col("qe").alias("en"))).agg(F.coalesce(F.sum("covered"), F.lit(0)).alias("q_cov"))
+    steps = query_steps(used)
+    blocks = steps.groupBy(F.col("length").alias("len")).agg(F.count("*").alias("n"))
+    points = steps.agg(F.count_if((F.col("length") >= 500) & (F.col("gap") >= 0)).alias("bp"), F.count_if((F.col("length") >= 500) & (F.col("gap") >= 10_000)).alias("bp10k"))
+    order = Window.orderBy(F.desc("len"))
+    left = F.greatest(F.lit(0), F.lit(ref_len) - F.coalesce(F.sum(F.col("len") * F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    whole = F.least("n", F.floor(left / F.greatest(F.col("len"), F.lit(1))))
+    rest = F.when(whole < F.col("n"), left - whole * F.col("len")).otherwise(0)
+    aunga = blocks.select("len", whole.alias("w"), rest.alias("r")).agg(F.round(F.sum((F.col("w") * F.col("len") * F.col("len") + F.col("r") * F.col("r")).cast("double") / ref_len)).alias("aunga"))
+    one = lengths.agg(F.sum("len").alias("length"))
+    for part in (covered, once, on_query, _ng(counted, 0.75 * ref_len, "ng75"), _ng(counted, 0.5 * ref_len, "ng50"), _ng(blocks, 0.5 * ref_len, "nga50"), aunga, breaks, points):
+        one = one.join(F.broadcast(part))  # each is one row
+    percent = lambda a, b: F.round(F.try_divide(100.0 * a, b), 2)
+    return one.select(
+        "length", "l_cov", percent(F.col("l_cov"), F.lit(ref_len)).alias("rcov"), percent(F.col("l_cov") - F.col("once"), F.col("l_cov")).alias("rdup"), percent(F.col("q_cov"), F.col("length")).alias("qcov"),
+        "ng75", "ng50", "nga50", "aunga", "breaks", "bp", "bp10k",
+    )

@@ -225,11 +225,6 @@ def _(blk: DataFrame) -> DataFrame:
     return blk.select("block", seq.pos_to_col(F.col("t_text"), F.col("t_start"), F.col("t_start") + F.col("block") % 33).alias("col"), seq.bases_before(F.col("t_text"), F.lit(10)).alias("bases"))
 
 
-@query("near_texts", "v_seq", "SELECT CAST(length(seq) AS INTEGER) AS len, count(DISTINCT substring(seq, 1, 6)) AS kinds, count(*) AS n FROM v_seq GROUP BY 1")
-def _(seqs: DataFrame) -> DataFrame:
-    return seqs.groupBy(F.length("seq").alias("len")).agg(F.countDistinct(F.substring("seq", 1, 6)).alias("kinds"), F.count("*").alias("n"))
-
-
 # ---- blocks and genotypes
 
 COLS = """c AS (SELECT block, contig, sample, q_contig, q_strand, q_size, t_start, q_start, unnest(string_split(t_text, '')) AS t, unnest(string_split(q_text, '')) AS q, unnest(range(0, 32)) AS i FROM v_blk),
@@ -302,18 +297,20 @@ def _(iv: DataFrame) -> DataFrame:
 
 
 @query("genotype_inv", "v_feat v_iv", """
-    WITH x AS (SELECT f.id, i.sample, i.strand, greatest(0, least(i.en, f.st) - greatest(i.st, f.st - 100)) AS a, greatest(0, least(i.en, f.en) - greatest(i.st, f.st)) AS b, greatest(0, least(i.en, f.en + 100) - greatest(i.st, f.en)) AS c
-        FROM v_feat f JOIN v_iv i ON i.contig = f.contig AND i.st < f.en + 100 AND f.st - 100 < i.en),
-    s AS (SELECT id, sample, sum(b) AS inner_len, sum(CASE WHEN strand = '-' THEN a ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN a ELSE 0 END) + 1 AS DOUBLE) AS r5, sum(CASE WHEN strand = '-' THEN b ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN b ELSE 0 END) + 1 AS DOUBLE) AS ri,
-        sum(CASE WHEN strand = '-' THEN c ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN c ELSE 0 END) + 1 AS DOUBLE) AS r3 FROM x GROUP BY id, sample),
-    t AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY inner_len DESC, sample) AS k FROM s)
-    SELECT id, sample AS q_name, CASE WHEN r5 > 5 AND ri > 5 AND r3 > 5 THEN '0|0' WHEN r5 > 5 AND ri < 0.2 AND r3 > 5 THEN '1|1' WHEN r5 < 0.2 AND ri < 0.2 AND r3 < 0.2 THEN '0|0' WHEN r5 < 0.2 AND ri > 5 AND r3 < 0.2 THEN '1|1' ELSE '.|.' END AS gt FROM t WHERE k = 1""")
+    WITH x AS (SELECT f.id, i.sample, i.line % 2 AS q, i.strand, greatest(0, least(i.en, f.st) - greatest(i.st, f.st - 100)) AS a, greatest(0, least(i.en, f.en) - greatest(i.st, f.st)) AS b, greatest(0, least(i.en, f.en + 100) - greatest(i.st, f.en)) AS c
+        FROM v_feat f JOIN v_iv i ON i.contig = f.contig AND i.st < f.en + 100 AND f.st - 100 < i.en WHERE i.sample <> 'S' || CAST(f.id % 6 AS string)),
+    s AS (SELECT id, sample, q, sum(b) AS inner_len, sum(CASE WHEN strand = '-' THEN a ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN a ELSE 0 END) + 1 AS DOUBLE) AS r5, sum(CASE WHEN strand = '-' THEN b ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN b ELSE 0 END) + 1 AS DOUBLE) AS ri,
+        sum(CASE WHEN strand = '-' THEN c ELSE 0 END) / CAST(sum(CASE WHEN strand = '+' THEN c ELSE 0 END) + 1 AS DOUBLE) AS r3 FROM x GROUP BY id, sample, q),
+    t AS (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY inner_len DESC, q) AS k FROM s)
+    SELECT id, sample, 'q' || CAST(q AS string) AS q_name, CASE WHEN r5 > 5 AND ri > 5 AND r3 > 5 THEN '0|0' WHEN r5 > 5 AND ri < 0.2 AND r3 > 5 THEN '1|1' WHEN r5 < 0.2 AND ri < 0.2 AND r3 < 0.2 THEN '0|0' WHEN r5 < 0.2 AND ri > 5 AND r3 < 0.2 THEN '1|1' ELSE '.|.' END AS gt FROM t WHERE k = 1
+    UNION ALL SELECT id, 'S' || CAST(id % 6 AS string), NULL, '1|1' FROM v_feat""")
 def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
-    return genotype.genotype_inv(feat, iv.select("contig", "st", "en", "strand", F.col("sample").alias("q_name")), bin_size=512)
+    held = feat.withColumn("members", F.array(F.concat(F.lit("S"), (F.col("id") % 6).cast("string"), F.lit(".c"))))
+    return genotype.genotype_inv(held, iv.select("contig", "st", "en", "strand", "sample", F.concat(F.lit("q"), (F.col("line") % 2).cast("string")).alias("q_name")), bin_size=512)
 
 
 @query("genotype_del", "v_blk v_indel", f"""
-    WITH {MAP}, k AS (SELECT contig, sample, tp + 2 AS pos, CASE WHEN q_strand = '-' THEN qq ELSE qq + 2 END AS q FROM a), v AS (SELECT * FROM v_indel WHERE kind = 'DEL'),
+    WITH {MAP}, k AS (SELECT contig, sample, tp + 2 AS pos, CASE WHEN q_strand = '-' THEN qq ELSE qq + 2 END AS q FROM a), v AS (SELECT * FROM v_indel WHERE kind = 'DEL'), ca AS (SELECT contig, beg, fin, len, kind, 'S' || CAST(beg % 6 AS string) AS sample FROM v),
     e AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, x.sample, abs(y.q - x.q) - 6 AS span FROM v JOIN k x ON x.contig = v.contig AND x.pos = v.beg - 3 JOIN k y ON y.contig = v.contig AND y.pos = v.fin + 3 AND y.sample = x.sample),
     s AS (SELECT contig, beg, fin, len, kind, sample, CASE WHEN span < 2 THEN '1|1' WHEN span > len - 2 AND span < len + 2 THEN '0|0' ELSE '.|.' END AS gt FROM e WHERE span < 2 OR (span > len - 2 AND span < len + 2) OR span > 200000),
     w AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, p.sample, count_if(tp < beg - 1 AND q <> '-') AS h5, count_if(tp < beg - 1 AND q = t) AS m5, count_if(tp >= beg - 1 AND tp < fin AND q = t) AS mr,
@@ -321,18 +318,35 @@ def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
         FROM v JOIN v_blk b ON b.contig = v.contig AND b.t_start < v.fin + 8 AND b.t_start + 32 > v.beg - 9 JOIN p ON p.block = b.block AND p.t <> '-' AND p.tp >= greatest(0, v.beg - 9) AND p.tp < v.fin + 8
         GROUP BY v.contig, v.beg, v.fin, v.len, v.kind, p.sample),
     f AS (SELECT *, CAST(m5 AS DOUBLE) / (h5 + 1) >= 0.9 AND CAST(m3 AS DOUBLE) / (h3 + 1) >= 0.9 AND CAST(h5 AS DOUBLE) / (n5 + 1) >= 0.2 AND CAST(h3 AS DOUBLE) / 9 >= 0.2 AS flanks, CAST(mr AS DOUBLE) / (fin - beg + 2) AS region FROM w)
-    SELECT * FROM s UNION ALL SELECT contig, beg, fin, len, kind, sample, CASE WHEN flanks AND region >= 0.5 THEN '0|0' WHEN flanks AND region < 0.1 THEN '1|1' ELSE '.|.' END
-    FROM f ANTI JOIN s USING (contig, beg, fin, len, kind, sample)""")
+    SELECT *, '1|1' AS gt FROM ca UNION ALL SELECT * FROM s ANTI JOIN ca USING (contig, beg, fin, len, kind, sample) UNION ALL SELECT contig, beg, fin, len, kind, sample, CASE WHEN flanks AND region >= 0.5 THEN '0|0' WHEN flanks AND region < 0.1 THEN '1|1' ELSE '.|.' END
+    FROM f ANTI JOIN s USING (contig, beg, fin, len, kind, sample) ANTI JOIN ca USING (contig, beg, fin, len, kind, sample)""")
+def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    held = indel.where("kind = 'DEL'").withColumns({"five": F.lit(8), "three": F.lit(8), "members": F.array(F.concat(F.lit("S"), (F.col("beg") % 6).cast("string"), F.lit(".x")))})
+    return genotype.genotype_deletions(held, blk, slack=2, flank=F.lit(8))
+
+
+@query("genotype_ins", "v_blk v_indel", f"""
+    WITH {COLS}, k AS (SELECT block, contig, sample, tp + 2 AS pos, CASE WHEN q_strand = '-' THEN CAST(q_size - 1 - qp AS BIGINT) ELSE CAST(qp + 2 AS BIGINT) END AS q, q_contig FROM p WHERE t <> '-' AND q <> '-'),
+    v AS (SELECT *, 'S' || CAST(beg % 6 AS string) AS giver FROM v_indel WHERE kind = 'INS'),
+    lo AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, k.sample, min(struct_pack(pos := k.pos, n := k.q_contig, q := k.q)) AS x FROM v JOIN k ON k.contig = v.contig AND k.pos BETWEEN v.beg - 3 AND v.beg WHERE k.sample <> v.giver GROUP BY 1, 2, 3, 4, 5, 6),
+    hi AS (SELECT v.contig, v.beg, v.fin, v.len, v.kind, k.sample, max(struct_pack(pos := k.pos, n := k.q_contig, q := k.q)) AS x FROM v JOIN k ON k.contig = v.contig AND k.pos BETWEEN v.fin AND v.fin + 3 WHERE k.sample <> v.giver GROUP BY 1, 2, 3, 4, 5, 6),
+    g AS (SELECT contig, beg, fin, len, kind, sample, lo.x AS a, hi.x AS b, abs(hi.x.q - lo.x.q) - 6 AS span FROM lo JOIN hi USING (contig, beg, fin, len, kind, sample))
+    SELECT contig, beg, fin, len, kind, sample, CASE WHEN span < 2 THEN '0|0' WHEN span > 200000 OR a.n <> b.n OR a.q = b.q THEN '.|.' ELSE 'window' END AS gt FROM g""")
 def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
-    return genotype.genotype_deletions(indel.where("kind = 'DEL'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)), blk, slack=2, flank=F.lit(8))
+    wide = indel.where("kind = 'INS'").withColumns({"five": F.lit(8), "three": F.lit(8)})
+    giver = wide.select(*genotype.KEY, F.concat(F.lit("S"), (F.col("beg") % 6).cast("string")).alias("sample"))
+    return genotype.genotype_ins(wide, posmap.position_runs(blk), slack=2).join(giver, [*genotype.KEY, "sample"], "left_anti")
 
 
-@query("genotype_ins", "v_blk v_indel v_seq")
-def _(blk: DataFrame, indel: DataFrame, seqs: DataFrame) -> DataFrame:
-    wide = indel.where("kind = 'INS'").withColumn("five", F.lit(8)).withColumn("three", F.lit(8)).withColumn("alt", F.repeat(F.lit("A"), F.col("len").cast("int")))
-    refs = seqs.select(F.concat(F.lit("c"), (F.col("contig") % 8).cast("string")).alias("contig"), "contig", "seq").toDF("contig", "part", "seq").where("part < 8").select("contig", "seq")
-    own = blk.select("sample", F.col("q_contig").alias("contig")).distinct().withColumn("seq", F.lit("ACGT"))
-    return genotype.genotype_insertions(wide, posmap.position_runs(blk), refs, own, slack=2)
+@query("genotype_insertions", "v_blk v_indel")
+def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    held = indel.where("kind = 'INS'").withColumns({"five": F.lit(8), "three": F.lit(8), "giver": F.concat(F.lit("S"), (F.col("beg") % 6).cast("string"))})
+    held = held.withColumns({"members": F.array(F.concat("giver", F.lit(".q"))), "query": F.concat("giver", F.lit(".q")), "q_st": F.col("beg") % 1000 + 200, "q_en": F.col("beg") % 1000 + 200 + F.col("len")})
+    # letters of the samples: each contig repeats a digest of its name
+    text = lambda *c: F.repeat(F.translate(F.md5(F.concat(*c)), "0123456789abcdef", "ACGTACGTACGTACGT"), 64)
+    own = blk.select("sample", F.col("q_contig").alias("contig")).distinct().withColumn("seq", text(F.col("sample"), F.col("contig")))
+    given = held.select(F.col("giver").alias("sample"), F.col("query").alias("contig")).distinct().withColumn("seq", text(F.col("contig")))
+    return genotype.genotype_insertions(held.drop("giver"), posmap.position_runs(blk), own.unionByName(given), slack=2)
 
 
 @query("threading", "v_blk", """
@@ -414,6 +428,32 @@ def _(gap: DataFrame, child: DataFrame) -> DataFrame:
     return nets.inversion_fills(gap.select("gap", "t_len"), child).select("child", "gap")
 
 
+@query("pairwise_sv", "v_top v_gap v_child", f"""
+    WITH {SUMS}, f AS (SELECT fill, net, t_start AS f0, t_start + t_size AS f1 FROM v_top WHERE ali >= 20000),
+    g AS (SELECT g.gap, f.fill, f.net, g.t_start, g.t_len, g.q_len, g.t_start - coalesce(lag(g.t_start + g.t_len) OVER w, f0) AS five, coalesce(lead(g.t_start) OVER w, f1) - (g.t_start + g.t_len) AS three
+        FROM v_gap g JOIN f ON f.fill = g.fill WINDOW w AS (PARTITION BY g.fill ORDER BY g.t_start, g.t_len)),
+    k AS (SELECT gap, CASE WHEN n = 0 THEN CASE WHEN t_len / (q_len + CAST(0.01 AS DOUBLE)) > 2 THEN 'DEL_PAV' ELSE 'CMPLX_PAV' END
+        WHEN t_len / (q_len + CAST(0.1 AS DOUBLE)) > 2 AND inv_len > (q_len + t_len) / CAST(4 AS DOUBLE) AND inv_len > 500 THEN 'InvCNV'
+        WHEN t_len / (q_len + CAST(0.1 AS DOUBLE)) > 2 AND CAST(ali AS DOUBLE) / t_len > 0.25 AND ali > 500 THEN 'CNV'
+        WHEN t_len / (q_len + CAST(0.1 AS DOUBLE)) > 2 AND t_len <= 20000 THEN CASE WHEN CAST(total_cov AS DOUBLE) / t_len < 0.1 AND t_len > 10000 THEN 'DEL_PAV' ELSE 'DEL' END
+        WHEN CAST(total_cov AS DOUBLE) / t_len < 0.1 AND t_len > 10000 THEN 'CMPLX_PAV' ELSE 'CMPLX' END AS sv FROM s),
+    r AS (SELECT g.*, sv AS svtype FROM g JOIN k ON k.gap = g.gap UNION ALL SELECT g.*, CASE sv WHEN 'InvCNV' THEN 'DEL_invCNV' ELSE 'DEL_CNV' END FROM g JOIN k ON k.gap = g.gap WHERE sv IN ('InvCNV', 'CNV'))
+    SELECT 'n' || CAST(net AS string) AS net, gap, fill, svtype, t_start, t_start + t_len AS t_end, CAST(NULL AS string) AS q_name, five, three FROM r
+    UNION ALL SELECT 'n' || CAST(g.net AS string), g.gap, g.fill, 'INV', c.t_start, c.t_start + c.t_len, c.q_name, five, three FROM g JOIN v_child c ON c.gap = g.gap
+    WHERE c.kind = 'inv' AND c.q_far < 2 * g.t_len AND (c.q_over >= 10000 OR (c.t_len > 20000 AND c.q_len > 20000)) AND c.ali >= 10000""")
+def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
+    number = lambda c: F.split_part(c, F.lit(":"), F.lit(2)).cast("long").alias(c)
+    return nets.call_sv(assess.net_nodes(top, gap, child)).select("net", number("gap"), number("fill"), "svtype", "t_start", "t_end", "q_name", "five", "three")
+
+
+@query("pairwise_trl", "v_top v_gap v_child", """
+    SELECT 'n' || CAST(net AS string) AS net, t_start, t_start + t_size AS t_end, 'ChrEND' AS class, 1 AS depth FROM v_top WHERE ali >= 20000 AND t_size > 50000
+    UNION ALL SELECT 'n' || CAST(t.net AS string), c.t_start, c.t_start + c.t_len, CASE WHEN c.kind = 'nonSyn' THEN 'InterChr' ELSE 'IntraChr' END, 3 FROM v_child c JOIN v_gap g ON g.gap = c.gap JOIN v_top t ON t.fill = g.fill
+    WHERE c.ali >= 10000 AND c.t_len > 5000 AND (c.kind = 'nonSyn' OR c.q_far > 2 * c.t_len)""")
+def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
+    return nets.call_trl(assess.net_nodes(top, gap, child)).select("net", "t_start", "t_end", "class", "depth")
+
+
 # ---- greedy folds (no SQL; tests compare them with plain walks)
 
 
@@ -454,12 +494,32 @@ def _(indel: DataFrame, feat: DataFrame) -> DataFrame:
 # ---- evaluation
 
 
-@query("sv_eval", "v_iv", """
-    WITH b AS (SELECT id, contig, st, en, en - st AS len FROM v_iv WHERE sample < 'S3'), c AS (SELECT id, contig, st, en, en - st AS len FROM v_iv WHERE sample >= 'S3'),
-    m AS (SELECT DISTINCT b.id AS bid, c.id AS cid FROM b JOIN c ON b.contig = c.contig AND abs(b.st - c.st) <= 50 AND abs(b.len - c.len) < least(b.len, c.len) * CAST(0.5 AS DOUBLE))
-    SELECT (SELECT count(*) FROM b) AS base, (SELECT count(*) FROM c) AS call, (SELECT count(DISTINCT bid) FROM m) AS found, (SELECT count(DISTINCT cid) FROM m) AS right_calls""")
+NO = {"spark": "CAST(conv(substring(id, 1, 12), 16, 10) AS BIGINT)", "duck": "CAST('0x' || substring(id, 1, 12) AS BIGINT)"}
+SIDE = """SELECT x.id, any_value(x.sz) AS sz, count(*) AS k, max(y.sz) AS m FROM {} x JOIN {} y ON x.contig = y.contig AND x.neg = y.neg AND y.st < x.en + 50 + x.sz // 2 AND y.en > greatest(0, x.st - 50 - x.sz // 2) WHERE x.sz >= 20 GROUP BY x.id"""
+
+
+@query("sv_eval", "v_iv", f"""
+    WITH u AS (SELECT DISTINCT id, contig, st, en, en - st AS sz, strand = '-' AS neg, sample FROM v_iv), b AS (SELECT * FROM u WHERE sample < 'S3'), c AS (SELECT * FROM u WHERE sample >= 'S3'),
+    s1 AS ({SIDE.format("b", "c")}), s2 AS ({SIDE.format("c", "b")})
+    SELECT (SELECT count(*) FROM b WHERE sz >= 20) AS base, (SELECT count(*) FROM s1 WHERE k > 1 OR abs(m - sz) < 20 OR CAST(abs(m - sz) AS DOUBLE) / sz < 0.5) AS found,
+        (SELECT count(*) FROM c WHERE sz >= 20) AS call, (SELECT count(*) FROM s2 WHERE k > 1 OR abs(m - sz) < 20 OR CAST(abs(m - sz) AS DOUBLE) / sz < 0.5) AS right_calls""")
 def _(iv: DataFrame) -> DataFrame:
-    return assess.sv_counts(iv.where("sample < 'S3'"), iv.where("sample >= 'S3'"), window=50)
+    v = iv.select("id", "contig", "st", "en", "sample", F.when(F.col("strand") == "-", F.col("st") - F.col("en")).otherwise(F.col("en") - F.col("st")).alias("change")).dropDuplicates(["id"])
+    return assess.sv_counts(v.where("sample < 'S3'"), v.where("sample >= 'S3'"), window=50, least=20)
+
+
+@query("junction_eval", "v_iv v_feat", """
+    WITH e AS (SELECT contig || '.' || CAST(id % 50 AS string) AS tr, contig, st, st + 10 AS en FROM v_feat), n AS (SELECT *, lead(st) OVER (PARTITION BY tr, contig ORDER BY st, en) AS nx FROM e),
+    a AS (SELECT DISTINCT contig, en AS st, nx AS en FROM n WHERE nx IS NOT NULL), r AS (SELECT id, contig, st + qty AS st, st + qty + line * 30 AS en, line FROM (SELECT DISTINCT id, contig, st, qty, line FROM v_iv)),
+    h AS (SELECT r.id, max(CASE WHEN abs(r.st - a.st) <= 60 AND abs(r.en - a.en) <= 60 THEN 1 ELSE 0 END) AS hit FROM r JOIN a ON a.contig = r.contig AND a.st < r.en AND r.st < a.en WHERE line > 2 GROUP BY r.id)
+    SELECT (SELECT count(*) FROM r) AS alignments, (SELECT count(*) FROM r WHERE line <= 2) AS singletons, (SELECT count(*) FROM r WHERE line > 2) AS introns,
+        (SELECT count(*) FROM r WHERE line > 2 AND id NOT IN (SELECT id FROM h)) AS novel, (SELECT count(*) FROM h WHERE hit = 1) AS correct""")
+def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
+    n = F.col("qty").cast("string")
+    spliced = F.concat(n, F.lit("M"), (F.col("line") * 30).cast("string"), F.lit("N"), n, F.lit("M"))
+    rows = iv.dropDuplicates(["id"]).select("id", "contig", F.col("st").alias("pos"), F.when(F.col("line") > 2, spliced).otherwise(F.concat(n, F.lit("M"))).alias("cigar"))
+    exons = feat.select(F.concat_ws(".", "contig", (F.col("id") % 50).cast("string")).alias("transcript"), "contig", "st", (F.col("st") + 10).alias("en"))
+    return assess.junction_eval(rows, exons, 60)
 
 
 @query("junction_fuzzy", "v_iv v_feat", """
@@ -468,18 +528,47 @@ def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
     return assess.junction_hits(iv.select("id", "contig", "st", "en"), feat, 60)
 
 
-@query("map_eval", "v_iv", """
-    WITH q AS (SELECT line AS mapq, count(*) AS n, count_if(qty % 10 = 0) AS wrong FROM v_iv GROUP BY line)
-    SELECT mapq, CAST(sum(n) OVER (ORDER BY mapq DESC) AS BIGINT) AS total, CAST(sum(wrong) OVER (ORDER BY mapq DESC) AS BIGINT) AS errors FROM q""")
+@query("map_eval", "v_iv", f"""
+    WITH u AS (SELECT DISTINCT id, okey, contig, st, en, strand, line, qty, {NO['duck']} AS no FROM v_iv), t AS (SELECT okey, arg_min(contig, no) AS c, arg_min(st, no) + okey % 5 * 40 AS s, arg_min(en, no) + okey % 5 * 40 AS e, arg_min(strand, no) AS d FROM u GROUP BY okey),
+    x AS (SELECT u.*, least(60, line * 9) AS mapq, NOT (c = contig AND d = strand AND least(en, e) > greatest(st, s) AND CAST(least(en, e) - greatest(st, s) AS DOUBLE) / (greatest(en, e) - least(st, s)) > 0.1) AS wrong, row_number() OVER (PARTITION BY u.okey ORDER BY qty DESC, no) AS k FROM u JOIN t ON t.okey = u.okey),
+    q AS (SELECT mapq, count(*) AS n, count_if(wrong) AS errors FROM x WHERE k = 1 GROUP BY mapq), p AS (SELECT *, count_if(errors > 0 OR mapq = (SELECT max(mapq) FROM q)) OVER (ORDER BY mapq DESC) AS part FROM q),
+    g AS (SELECT part, max(mapq) AS mapq, sum(n) AS n, sum(errors) AS errors FROM p GROUP BY part)
+    SELECT mapq, CAST(n AS BIGINT) AS n, CAST(errors AS BIGINT) AS errors, round(CAST(sum(errors) OVER (ORDER BY part) AS DOUBLE) / sum(n) OVER (ORDER BY part), 9) AS rate, CAST(sum(n) OVER (ORDER BY part) AS BIGINT) AS total FROM g""")
 def _(iv: DataFrame) -> DataFrame:
-    return assess.map_eval(iv.select(F.col("line").alias("mapq"), (F.col("qty") % 10 == 0).alias("wrong")))
+    u = iv.dropDuplicates(["id"]).withColumn("no", F.expr(NO["spark"]))
+    far = (F.col("okey") % 5 * 40).cast("string")
+    first = u.groupBy("okey").agg(F.min_by(F.struct("contig", "st", "en", "strand"), "no").alias("f"))
+    name = F.concat_ws("!", F.concat(F.lit("r"), F.col("okey").cast("string")), "f.contig", (F.col("f.st") + far.cast("long")).cast("string"), (F.col("f.en") + far.cast("long")).cast("string"), "f.strand")
+    rows = u.join(first.select("okey", name.alias("qname")), "okey").withColumn("truth", assess.true_place(F.col("qname")))
+    found = assess.map_eval(rows.select("qname", "truth", "contig", "st", "en", "strand", (F.col("line") * 9).cast("int").alias("mapq"), F.col("qty").alias("score"), "no"))
+    return found.withColumn("rate", F.round("rate", 9))
 
 
-@query("misjoins", "v_iv", """
-    WITH l AS (SELECT okey, contig, st, en, strand, lag(contig) OVER w AS pc, lag(en) OVER w AS pe, lag(strand) OVER w AS ps FROM v_iv WINDOW w AS (PARTITION BY okey ORDER BY line, id))
-    SELECT CASE WHEN pc <> contig THEN 'contig' WHEN abs(st - pe) > 1000 THEN 'gap' WHEN ps <> strand THEN 'inversion' END AS kind, count(*) AS n FROM l WHERE pc IS NOT NULL AND (pc <> contig OR abs(st - pe) > 1000 OR ps <> strand) GROUP BY 1""")
-def _(iv: DataFrame) -> DataFrame:
-    return assess.misjoins(iv, 1000).groupBy("kind").agg(F.count("*").alias("n"))
+STEPS = f"""u AS (SELECT DISTINCT id, okey, line, line * 100 + qty AS qs, line * 100 + qty * 5 AS qe, qty, strand, 'c' || CAST(pkey % 2 AS string) AS tname, st AS ts, en AS te, {NO['duck']} AS no FROM v_iv)"""
+
+
+@query("misjoins", "v_iv v_feat", f"""
+    WITH RECURSIVE {STEPS}, c AS (SELECT DISTINCT 'c' || CAST(id % 2 AS string) AS contig, st, en FROM v_feat WHERE id % 7 = 0),
+    o AS (SELECT u.id, sum(least(u.te, c.en) - greatest(u.ts, c.st)) AS cov FROM u JOIN c ON c.contig = u.tname AND c.st < u.te AND u.ts < c.en GROUP BY u.id),
+    s AS (SELECT u.*, coalesce(o.cov, 0) >= (te - ts) * 0.5 AND tname IN (SELECT contig FROM c) AS cen FROM u LEFT JOIN o ON o.id = u.id WHERE 4 * qty >= 40),
+    l AS (SELECT *, row_number() OVER w AS k, lag(tname) OVER w AS pt, lag(strand) OVER w AS ps, lag(qe) OVER w AS pq, lag(ts) OVER w AS p0, lag(te) OVER w AS p1, lag(cen) OVER w AS pc, lead(strand) OVER w AS nx FROM s WINDOW w AS (PARTITION BY okey ORDER BY qs, id)),
+    w AS (SELECT okey, id, k, false AS skip FROM l WHERE k = 2 UNION ALL
+        SELECT l.okey, l.id, l.k, NOT w.skip AND x.pt = x.tname AND x.ps <> x.strand AND coalesce(x.nx = x.ps, false) FROM w JOIN l x ON x.okey = w.okey AND x.k = w.k JOIN l ON l.okey = w.okey AND l.k = w.k + 1),
+    r AS (SELECT l.id, CASE WHEN pt <> tname THEN 'contig' WHEN ps = strand THEN CASE WHEN abs((CASE WHEN strand = '+' THEN ts - p1 ELSE p0 - te END) - (qs - pq)) > 20000 THEN 'gap' END WHEN nx = ps THEN 'inversion' ELSE 'end' END AS kind, cen OR pc AS cen FROM w JOIN l ON l.id = w.id WHERE NOT skip)
+    SELECT kind, count(*) AS n, count_if(cen) AS centromeric FROM r WHERE kind IS NOT NULL GROUP BY kind""")
+def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
+    cen = feat.where("id % 7 = 0").select(F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("contig"), "st", "en").distinct()
+    found = assess.misjoins(_steps(iv).withColumn("blen", 4 * F.col("qty")), cen, least=40, far=20_000)
+    return found.groupBy("kind").agg(F.count("*").alias("n"), F.count_if("cen").alias("centromeric"))
+
+
+def _steps(iv: DataFrame) -> DataFrame:
+    """Alignments of each order's rows, as segments of one query."""
+    n, qs = F.col("qty"), F.col("line") * 100 + F.col("qty")
+    return iv.dropDuplicates(["id"]).select(
+        "id", F.col("okey").alias("qname"), (1000 + F.col("okey") % 500).alias("qlen"), qs.alias("qs"), (qs + 4 * n).alias("qe"), "strand", F.concat(F.lit("c"), (F.col("pkey") % 2).cast("string")).alias("tname"),
+        F.col("st").alias("ts"), F.col("en").alias("te"), "qty", "line", F.when(F.col("pkey") % 7 == 0, "S").otherwise("P").alias("type"), F.expr(NO["spark"]).alias("no"),
+    )
 
 
 @query("paf_compare", "v_iv", """
@@ -637,12 +726,29 @@ def _(iv: DataFrame) -> DataFrame:
     return calls.overlap_counts(pair.where("line <= 3").drop("line"), pair.where("line >= 2").drop("line"))
 
 
-@query("gene_status", "v_iv", """
-    WITH h AS (SELECT pkey, qty / CAST(50 AS DOUBLE) AS share FROM v_iv WHERE line <= 2), g AS (SELECT pkey, count_if(share >= 0.9) AS w, CAST(sum(CAST(share * 50 AS BIGINT)) AS DOUBLE) / 50 AS total FROM h GROUP BY pkey)
-    SELECT p.pkey AS gene, CASE WHEN w = 1 THEN 'full_sgl' WHEN w > 1 THEN 'full_dup' WHEN total >= 0.9 THEN 'frag' WHEN total >= 0.5 THEN 'part50' WHEN total >= 0.1 THEN 'part10' ELSE 'missing' END AS status FROM (SELECT DISTINCT pkey FROM v_iv) p LEFT JOIN g ON g.pkey = p.pkey""")
+GENES = f"""u AS (SELECT DISTINCT id, pkey AS gene, 100 + pkey % 120 AS qlen, line * 10 AS qs, line * 10 + qty * 4 AS qe, qty * 4 - okey % 3 AS nmatch, qty * 4 AS blen, contig AS tname, st AS ts, en AS te, sample, {NO['duck']} AS no FROM v_iv),
+    ok AS (SELECT * FROM u WHERE nmatch >= blen * CAST(0.97 AS DOUBLE)), iv AS (SELECT *, sample < 'S3' AS r, max(qe) OVER (PARTITION BY gene, sample < 'S3' ORDER BY qs, qe ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ok),
+    cv AS (SELECT gene, r, CAST(sum(greatest(0, qe - greatest(qs, coalesce(reach, qs)))) AS DOUBLE) / max(qlen) AS share, count_if(qe - qs >= qlen * CAST(0.9 AS DOUBLE)) AS whole FROM iv GROUP BY gene, r)"""
+
+
+@query("gene_status", "v_iv", f"""
+    WITH RECURSIVE {GENES}, p AS (SELECT gene, arg_max(tname, no) AS tname, arg_max(ts, no) AS ts, arg_max(te, no) AS te, any_value(qlen) AS qlen FROM u WHERE sample < 'S3' GROUP BY gene),
+    n AS (SELECT *, row_number() OVER (PARTITION BY tname ORDER BY ts, gene) AS k FROM p),
+    w AS (SELECT tname, k, gene, te, qlen, CAST(NULL AS BIGINT) AS done FROM n WHERE k = 1 UNION ALL
+        SELECT n.tname, n.k, CASE WHEN n.ts >= w.te OR n.qlen > w.qlen THEN n.gene ELSE w.gene END, CASE WHEN n.ts >= w.te OR n.qlen > w.qlen THEN n.te ELSE w.te END, CASE WHEN n.ts >= w.te OR n.qlen > w.qlen THEN n.qlen ELSE w.qlen END, CASE WHEN n.ts >= w.te THEN w.gene END
+        FROM w JOIN n ON n.tname = w.tname AND n.k = w.k + 1),
+    keep AS (SELECT done AS gene FROM w WHERE done IS NOT NULL UNION SELECT arg_max(gene, k) FROM w GROUP BY tname),
+    x AS (SELECT a.gene, a.whole AS held, coalesce(b.whole, 0) AS n, coalesce(b.share, 0) AS share FROM cv a JOIN keep USING (gene) LEFT JOIN cv b ON b.gene = a.gene AND NOT b.r WHERE a.r AND a.whole >= 1),
+    y AS (SELECT CASE WHEN n = 1 THEN 'full_sgl' WHEN n > 1 THEN 'full_dup' WHEN share >= 0.9 THEN 'frag' WHEN share >= 0.5 THEN 'part50+' WHEN share >= 0.1 THEN 'part10+' ELSE 'part10-' END AS metric FROM x WHERE held = 1)
+    SELECT metric, count(*) AS n FROM y GROUP BY metric UNION ALL SELECT 'dup_cnt', count_if(n > 1) FROM x WHERE held > 1 UNION ALL SELECT 'dup_sum', CAST(coalesce(sum(n), 0) AS BIGINT) FROM x WHERE held > 1""")
 def _(iv: DataFrame) -> DataFrame:
-    hits = iv.where("line <= 2").select(F.col("pkey").alias("gene"), (F.col("qty") / 50).alias("share"))
-    return calls.gene_status(hits, iv.select(F.col("pkey").alias("gene")), least=0.9)
+    n = F.col("qty") * 4
+    paf = iv.dropDuplicates(["id"]).select(
+        F.col("pkey").alias("qname"), (100 + F.col("pkey") % 120).alias("qlen"), (F.col("line") * 10).alias("qs"), (F.col("line") * 10 + n).alias("qe"), (n - F.col("okey") % 3).alias("nmatch"), n.alias("blen"),
+        F.col("contig").alias("tname"), F.col("st").alias("ts"), F.col("en").alias("te"), "sample", F.expr(NO["spark"]).alias("no"),
+    )
+    ref, own = paf.where("sample < 'S3'"), paf.where("sample >= 'S3'")
+    return calls.gene_counts(calls.gene_status(calls.gene_cover(ref, 0.9, 0.97), calls.gene_cover(own, 0.9, 0.97), calls.distinct_genes(ref), 0.9))
 
 
 @query("gap_counts", "v_iv", f"""
@@ -652,10 +758,22 @@ def _(iv: DataFrame) -> DataFrame:
     return calls.gap_counts(iv.select(F.expr(CIGAR).alias("cg")))
 
 
-@query("assembly_stats", "v_sp", f"""
-    WITH {SRC}, {ISLANDS}, u AS (SELECT count(DISTINCT contig) AS contigs, CAST(sum(en - st) AS BIGINT) AS aligned FROM m), a AS (SELECT count(*) AS n, CAST(sum(qty) AS BIGINT) AS matched, 2 * count(*) AS events FROM v_sp)
-    SELECT contigs, aligned, matched, n - contigs AS breaks, round(CAST(events AS DOUBLE) / (matched + events), 6) AS divergence FROM u, a""")
+@query("assembly_stats", "v_iv", f"""
+    WITH {STEPS}, z AS (SELECT *, CAST(1000 + okey % 500 AS BIGINT) AS qlen, CAST(substring(tname, 2) AS BIGINT) AS tn FROM u), t AS (SELECT z.* FROM z JOIN (SELECT DISTINCT id, pkey FROM v_iv) x ON x.id = z.id WHERE x.pkey % 7 <> 0),
+    ok AS (SELECT * FROM t WHERE qty * 4 >= 40 AND CAST(qty % 3 + 1 AS DOUBLE) / (4 * qty + 1) <= 0.05), f AS (SELECT okey, min(no) AS first FROM ok GROUP BY okey),
+    src AS (SELECT tname AS contig, ts AS st, te AS en FROM ok), {ISLANDS}, {SWEEP}, qsrc AS (SELECT okey, qs, qe, max(qe) OVER (PARTITION BY okey ORDER BY qs, qe ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ok),
+    lens AS (SELECT okey, max(qlen) AS len FROM z GROUP BY okey), ran AS (SELECT len, sum(len) OVER (ORDER BY len DESC, okey) AS run FROM lens),
+    pv AS (SELECT *, lag(qe) OVER (PARTITION BY okey ORDER BY qs, no) AS pe FROM ok), kp AS (SELECT *, CASE WHEN qs < pe THEN qe - pe ELSE qe - qs END AS len FROM pv WHERE pe IS NULL OR qs >= pe OR qe >= pe),
+    st AS (SELECT *, lag(qe) OVER w AS lq, lag(strand) OVER w AS ls, lag(tname) OVER w AS lt, lag(ts) OVER w AS l0, lag(te) OVER w AS l1 FROM kp WINDOW w AS (PARTITION BY okey ORDER BY qs, no)),
+    gp AS (SELECT len, CASE WHEN lq IS NULL THEN NULL WHEN ls = strand AND lt = tname THEN abs((qs - lq) - (CASE WHEN strand = '+' THEN ts - l1 ELSE l0 - te END)) ELSE 1000000000 END AS gap FROM st),
+    br AS (SELECT len, sum(len) OVER (ORDER BY len DESC, rn) AS run FROM (SELECT len, row_number() OVER () AS rn FROM kp))
+    SELECT (SELECT CAST(sum(len) AS BIGINT) FROM lens) AS length, (SELECT CAST(sum(en - st) AS BIGINT) FROM m) AS l_cov, (SELECT round(100.0 * sum(en - st) / 600000, 2) FROM m) AS rcov,
+        (SELECT round(100.0 * (a - b) / a, 2) FROM (SELECT CAST(sum(CASE WHEN depth > 0 THEN en - st ELSE 0 END) AS DOUBLE) AS a, sum(CASE WHEN depth = 1 THEN en - st ELSE 0 END) AS b FROM runs WHERE en IS NOT NULL)) AS rdup,
+        (SELECT round(100.0 * (SELECT sum(greatest(0, qe - greatest(qs, coalesce(reach, qs)))) FROM qsrc) / sum(len), 2) FROM lens) AS qcov,
+        (SELECT max(len) FROM ran WHERE run > 450000) AS ng75, (SELECT max(len) FROM ran WHERE run > 300000) AS ng50, (SELECT max(len) FROM br WHERE run > 300000) AS nga50,
+        (SELECT round(CAST(sum(greatest(0, least(len, 600000 - (run - len))) * greatest(0, least(len, 600000 - (run - len)))) AS DOUBLE) / 600000) FROM br) AS aunga,
+        (SELECT count(*) FROM t JOIN f ON f.okey = t.okey WHERE t.no > f.first) AS breaks, (SELECT count(*) FROM gp WHERE len >= 500 AND gap >= 0) AS bp, (SELECT count(*) FROM gp WHERE len >= 500 AND gap >= 10000) AS bp10k""")
 def _(iv: DataFrame) -> DataFrame:
     n = F.col("qty")
-    paf = iv.select(F.col("contig").alias("qname"), F.col("st").alias("qs"), F.col("en").alias("qe"), n.alias("nmatch"), (n + 4).alias("blen"), F.concat(n.cast("string"), F.lit("M3D1X")).alias("cg"))
-    return calls.assembly_stats(paf).withColumn("divergence", F.round("divergence", 6))
+    paf = _steps(iv).withColumn("cg", F.concat((3 * n).cast("string"), F.lit("M"), F.col("line").cast("string"), F.lit("D"), n.cast("string"), F.lit("M"))).withColumn("nm", F.col("line") + n % 3)
+    return calls.assembly_stats(paf, 600_000, segment=40, most=0.05)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from genoweave.functions import interval
 from genoweave.functions.seq import chars, revcomp
 from genoweave.operators import intervals, kernels, posmap
+from genoweave.operators.seqs import chunked, letters
 
 KEY = ["contig", "beg", "fin", "len", "kind"]
 
@@ -34,6 +35,24 @@ def genotype_indel(variants: DataFrame, runs: DataFrame) -> DataFrame:
     return ends.select(*KEY, "sample", F.when(deletion, call_del).otherwise(call_ins).alias("gt"))
 
 
+def carriers(variants: DataFrame) -> DataFrame:
+    """(key, sample) of the genomes that gave each variant: members are its contigs, a genome's name is the part before the first dot.
+    Without a column `members` there are none."""
+    if "members" not in variants.columns:
+        return variants.select(*KEY, F.lit("").alias("sample")).limit(0)
+    genomes = F.array_distinct(F.transform("members", lambda m: F.split_part(m, F.lit("."), F.lit(1))))
+    return variants.select(*KEY, F.explode(genomes).alias("sample")).distinct()
+
+
+def _others(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows (key, sample, ...) of samples that do not carry the variant."""
+    return rows.join(known, [*KEY, "sample"], "left_anti")
+
+
+def _carried(known: DataFrame) -> DataFrame:
+    return known.select(*KEY, "sample", F.lit("1|1").alias("gt"))
+
+
 def pivot(calls: DataFrame, variants: DataFrame, samples: list[str], missing: str = ".|.") -> DataFrame:
     """One row for each variant and one column for each sample; samples are given, so no pass is spent to find them."""
     wide = calls.groupBy(*KEY).pivot("sample", samples).agg(F.max("gt"))
@@ -53,15 +72,16 @@ def genotype_del(variants: DataFrame, runs: DataFrame, extend: int = 1000, slack
 
 def insertion_spans(variants: DataFrame, runs: DataFrame) -> DataFrame:
     """(key, sample, flank, span, n_lo, q_lo, n_hi, q_hi): ends are looked up at the flanks, or at the nearest mapped position
-    towards the variant; the span is the query's length beyond the reference's between them."""
+    towards the variant; the span is the query's length between them less that of the flanks as asked for."""
     flank = interval.flank_bucket_ins(F.col("len"))
     w = interval.flank_window_ins(F.col("beg"), F.col("fin"), F.col("five"), F.col("three"), flank)
     moved = posmap.shifted(runs)
     keyed = variants.select(F.struct(*KEY).alias("key"), "contig", w["beg0"].cast("long").alias("beg0"), w["end0"].cast("long").alias("end0"), F.col("beg").cast("long").alias("b"), F.col("fin").cast("long").alias("e"))
     left = posmap.lookup_nearest(keyed.select("key", "contig", F.col("beg0").alias("lo"), F.col("b").alias("hi")), moved, right=True)
     right = posmap.lookup_nearest(keyed.select("key", "contig", F.col("e").alias("lo"), F.col("end0").alias("hi")), moved, right=False)
-    both = left.select("key", "sample", F.col("pos").alias("p_lo"), F.col("q_name").alias("n_lo"), F.col("q_pos").alias("q_lo")).join(right.select("key", "sample", F.col("pos").alias("p_hi"), F.col("q_name").alias("n_hi"), F.col("q_pos").alias("q_hi")), ["key", "sample"])
-    span = F.abs(F.col("q_hi") - F.col("q_lo")) - (F.col("p_hi") - F.col("p_lo"))
+    extended = variants.select(F.struct(*KEY).alias("key"), w["extended"].alias("extended"))
+    both = left.select("key", "sample", F.col("q_name").alias("n_lo"), F.col("q_pos").alias("q_lo")).join(right.select("key", "sample", F.col("q_name").alias("n_hi"), F.col("q_pos").alias("q_hi")), ["key", "sample"]).join(extended, "key")
+    span = F.abs(F.col("q_hi") - F.col("q_lo")) - F.col("extended")
     return both.select("key.*", "sample", interval.flank_bucket_ins(F.col("key.len")).alias("flank"), span.alias("span"), "n_lo", "q_lo", "n_hi", "q_hi")
 
 
@@ -78,26 +98,34 @@ def _insertion_call(slack: int, far: int) -> Column:
     return F.when((first == "window") & ((F.col("n_lo") != F.col("n_hi")) | (F.col("q_lo") == F.col("q_hi"))), ".|.").otherwise(first)
 
 
-def genotype_insertions(variants: DataFrame, runs: DataFrame, references: DataFrame, queries: DataFrame, slack: int = 13, far: int = 200_000, identical: float = 95.0) -> DataFrame:
-    """(key, sample, gt) of insertions (with five, three and alt, the inserted sequence), all decided.
+def genotype_insertions(variants: DataFrame, runs: DataFrame, sequences: DataFrame, slack: int = 13, far: int = 200_000, identical: float = 95.0) -> DataFrame:
+    """(key, sample, gt) of insertions, all decided. variants have five, three, and where the insertion was found: query (genome.contig), q_st
+    and q_en (1-based, closed); sequences are (sample, contig, seq).
 
-    Where the span leaves a call open, the sample's sequence (queries: sample, contig, seq) between both ends is aligned with the
-    inserted sequence between its reference flanks (references: contig, seq). A contig without sequence gives '.|.'."""
-    spans = insertion_spans(variants, runs).withColumn("gt", _insertion_call(slack, far))
-    lo, hi = F.least("q_lo", "q_hi"), F.greatest("q_lo", "q_hi")
-    flanked = variants.join(references.select("contig", F.col("seq").alias("__r")), "contig", "left").withColumn("__f", interval.flank_bucket_ins(F.col("len")))
-    left = F.greatest(F.lit(0), F.col("beg") - F.col("__f")).cast("int")
-    alts = flanked.select(*KEY, F.concat(F.substring("__r", left + 1, F.col("beg").cast("int") - left), F.col("alt"), F.substring("__r", F.col("fin").cast("int") + 1, F.col("__f"))).alias("a"), (F.col("beg") - left).alias("left"))
-    todo = spans.where("gt = 'window'").join(alts, KEY).join(queries.select("sample", F.col("contig").alias("n_lo"), F.col("seq").alias("__s")), ["sample", "n_lo"], "left")
-    own = F.substring("__s", F.greatest(F.lit(1), lo).cast("int"), (hi - lo + 1).cast("int"))
-    todo = todo.select(*KEY, "sample", "left", "a", F.when(F.col("q_lo") > F.col("q_hi"), revcomp(own)).otherwise(own).alias("b"))
+    Genomes among the members carry it. Where the span leaves a call open, the sample's sequence between both ends is aligned with that of
+    the genome in which the insertion was found, with the flanks. Ranges of sequences are cut from chunks. A contig without sequence gives
+    '.|.'; a flank that begins before its contig is shorter."""
+    known = carriers(variants)
+    spans = _others(insertion_spans(variants, runs), known).withColumn("gt", _insertion_call(slack, far))
+    parts = chunked(sequences.select("sample", "contig", "seq"), ("sample", "contig"))
+    flank = interval.flank_bucket_ins(F.col("len"))
+    genome = F.split_part("query", F.lit("."), F.lit(1))
+    given = variants.select(*KEY, genome.alias("g"), F.col("query").alias("n"), (F.col("q_st") - 1 - flank).cast("long").alias("a0"), (F.col("q_en") + flank).cast("long").alias("a1"), F.least(flank, F.col("q_st") - 1).alias("left"))
+    open_rows = spans.where("gt = 'window'").withColumns({"b0": F.least("q_lo", "q_hi").cast("long") - 1, "b1": F.greatest("q_lo", "q_hi").cast("long")})
+    wanted = given.join(open_rows.select(*KEY).distinct(), KEY, "left_semi").withColumnsRenamed({"contig": "__contig"}).withColumnsRenamed({"g": "sample", "n": "contig"})
+    found = letters(wanted, parts, "a", "a0", "a1", ("sample", "contig")).drop("sample", "contig").withColumnRenamed("__contig", "contig").select(*KEY, "left", "a")
+    own = open_rows.withColumnsRenamed({"contig": "__contig", "n_lo": "contig"})
+    own = letters(own, parts, "s", "b0", "b1", ("sample", "contig")).drop("contig").withColumnRenamed("__contig", "contig")
+    todo = own.join(found, KEY).select(*KEY, "sample", "left", "a", F.when(F.col("q_lo") > F.col("q_hi"), revcomp(F.col("s"))).otherwise(F.col("s")).alias("b"))
     rows = kernels.global_align(todo.where("a IS NOT NULL AND b IS NOT NULL"))
-    marks = rows.select(*KEY, "sample", "identity", row_windows(F.col("a_row"), F.col("b_row"), F.col("left"), F.col("left") + 1).alias("w"))
+    # the middle is the one letter before the insertion
+    marks = rows.select(*KEY, "sample", "identity", row_windows(F.col("a_row"), F.col("b_row"), F.col("left") - 1, F.col("left")).alias("w"))
     w = {k: F.col(f"w.{k}") for k in ("id5", "ov5", "region", "id3", "ov3")}
     flanks = (w["id5"] >= 0.75) & (w["id3"] >= 0.75) & (w["ov5"] >= 0.2) & (w["ov3"] >= 0.2)
     call = F.when(F.col("identity") > identical, "1|1").when(flanks & (w["region"] >= 0.4), "1|1").when(flanks & (w["region"] < 0.1), "0|0").when(w["region"] >= 0.9, "1|1").otherwise(".|.")
     aligned = marks.select(*KEY, "sample", call.alias("found"))
-    return spans.select(*KEY, "sample", "gt").join(aligned, [*KEY, "sample"], "left").select(*KEY, "sample", F.when(F.col("gt") == "window", F.coalesce("found", F.lit(".|."))).otherwise(F.col("gt")).alias("gt"))
+    decided = spans.select(*KEY, "sample", "gt").join(aligned, [*KEY, "sample"], "left").select(*KEY, "sample", F.when(F.col("gt") == "window", F.coalesce("found", F.lit(".|."))).otherwise(F.col("gt")).alias("gt"))
+    return _carried(known).unionByName(decided)
 
 
 def _tally(t: Column, q: Column, start: Column, lo: Column, first: Column, second: Column, hi: Column) -> Column:
@@ -145,11 +173,13 @@ def deletion_windows(variants: DataFrame, blocks: DataFrame, flank: Column | Non
 
 
 def genotype_deletions(variants: DataFrame, blocks: DataFrame, extend: int = 1000, slack: int = 13, flank: Column | None = None) -> DataFrame:
-    """(key, sample, gt) of deletions (with five and three), all decided: by the query span where both ends are mapped and the span
-    is clear, else by the alignment between the flanks. A sample without aligned base there has no row; pivot fills '.|.'."""
-    spans = genotype_del(variants, posmap.position_runs(blocks), extend, slack).where("gt <> 'window'")
-    seen = deletion_windows(variants, blocks, flank).select(*KEY, "sample", window_call().alias("gt"))
-    return spans.unionByName(seen.join(spans, [*KEY, "sample"], "left_anti"))
+    """(key, sample, gt) of deletions (with five and three), all decided: genomes among the members carry it; else by the query span where
+    both ends are mapped and the span is clear, else by the alignment between the flanks. A sample without aligned base there has no
+    row; pivot fills '.|.'."""
+    known = carriers(variants)
+    spans = _others(genotype_del(variants, posmap.position_runs(blocks), extend, slack).where("gt <> 'window'"), known)
+    seen = _others(deletion_windows(variants, blocks, flank), known).select(*KEY, "sample", window_call().alias("gt"))
+    return _carried(known).unionByName(spans).unionByName(seen.join(spans, [*KEY, "sample"], "left_anti"))
 
 
 def window_identity(blocks: DataFrame, first: Column, second: Column) -> DataFrame:
@@ -169,14 +199,20 @@ def window_call(identity: float = 0.9, overlap: float = 0.2, hi: float = 0.5, lo
 
 
 def genotype_inv(variants: DataFrame, alignments: DataFrame, bin_size: int = 1024) -> DataFrame:
-    """(id, q_name, gt) of inversions (id, contig, st, en): for the query with most of the interval, ties to the smaller name,
-    the ratio of minus to plus alignments in both flanks (half the length) and between them decides."""
+    """(id, sample, q_name, gt) of inversions (id, contig, st, en, and members, if known) in samples' alignments (sample, q_name, contig, st, en, strand).
+
+    Genomes among the members carry it (q_name NULL). In others, for the query with most of the interval, ties to the smaller name, the
+    ratio of minus to plus alignments in both flanks (half the length) and between them decides."""
     flank = F.floor((F.col("en") - F.col("st")) / 2)
     wide = variants.select("id", "contig", F.col("st").alias("v_st"), F.col("en").alias("v_en"), (F.col("st") - flank).alias("lo"), (F.col("en") + flank).alias("hi"))
     met = intervals.overlap_join(wide, alignments, bin_size, a_iv=("lo", "hi"), b_iv=("st", "en"))
+    none = variants.select("id", F.lit("").alias("sample")).limit(0)
+    known = variants.select("id", F.explode(F.array_distinct(F.transform("members", lambda m: F.split_part(m, F.lit("."), F.lit(1))))).alias("sample")).distinct() if "members" in variants.columns else none
+    met = met.join(known, ["id", "sample"], "left_anti")
     part = {"5": ("lo", "v_st"), "i": ("v_st", "v_en"), "3": ("v_en", "hi")}
     n = {k: interval.overlap_len(F.col("st"), F.col("en"), F.col(a), F.col(b)) for k, (a, b) in part.items()}
     by = lambda k, s: F.sum(F.when(F.col("strand") == s, n[k]).otherwise(0))
-    rates = met.groupBy("id", "q_name").agg(F.sum(n["i"]).alias("inner"), *[(by(k, "-") / (by(k, "+") + 1).cast("double")).alias(f"r{k}") for k in part])
-    best = rates.groupBy("id").agg(F.min(F.struct((-F.col("inner")).alias("o"), "q_name", "r5", "ri", "r3")).alias("x"))
-    return best.select("id", "x.q_name", interval.inversion_call(F.col("x.r5"), F.col("x.ri"), F.col("x.r3")).alias("gt"))
+    rates = met.groupBy("id", "sample", "q_name").agg(F.sum(n["i"]).alias("inner"), *[(by(k, "-") / (by(k, "+") + 1).cast("double")).alias(f"r{k}") for k in part])
+    best = rates.groupBy("id", "sample").agg(F.min(F.struct((-F.col("inner")).alias("o"), "q_name", "r5", "ri", "r3")).alias("x"))
+    called = best.select("id", "sample", "x.q_name", interval.inversion_call(F.col("x.r5"), F.col("x.ri"), F.col("x.r3")).alias("gt"))
+    return called.unionByName(known.select("id", "sample", F.lit(None).cast("string").alias("q_name"), F.lit("1|1").alias("gt")))

@@ -83,4 +83,6 @@ def with_views(sql: str, *names: str) -> str:
     """DuckDB SQL that defines the views before a statement, which may begin with more common tables."""
     head = ", ".join(f"{n} AS ({VIEWS[n].format(**DUCK)})" for n in names)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head}, {body[15:]}"
     return f"WITH {head}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {head} {body}"

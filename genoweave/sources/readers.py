@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoweave.operators.seqs import chunked, letters
+
 
 def _lines(spark: SparkSession, path: str | list[str], sep: str | None = None) -> DataFrame:
     reader = spark.read.option("lineSep", sep) if sep else spark.read
@@ -24,13 +26,13 @@ def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def fetch(ranges: DataFrame, seqs: DataFrame, iv: tuple[str, str] = ("st", "en")) -> DataFrame:
-    """ranges (contig, half-open) with the letters of each; longer than the contig is cut, before it begins clamps to 0."""
-    st = F.greatest(F.lit(0), F.col(iv[0])).cast("int")
-    return ranges.join(seqs.select("contig", F.col("seq").alias("__seq")), "contig").withColumn("seq", F.substring("__seq", st + 1, F.greatest(F.lit(0), F.col(iv[1]).cast("int") - st))).drop("__seq")
+    """ranges (contig, half-open) with the letters of each (seq): longer than the contig is cut, before it begins clamps to 0."""
+    return letters(ranges, chunked(seqs.select("contig", "seq")), "seq", *iv)
 
 
-def fasta_range(seqs: DataFrame, spec: str) -> DataFrame:
-    """The part of each sequence that a suffix [from,to] names (1-based, closed), reverse-complemented if it ends in -."""
+def fasta_range(seqs: DataFrame, spec: str, masked: DataFrame | None = None) -> DataFrame:
+    """The part of each sequence that a suffix [from,to] names (1-based, closed), reverse-complemented if it ends in -; in the letters of
+    masked ranges (contig, st, en: 0-based, half-open) lower case, if they are given."""
     import re
 
     from genoweave.functions.seq import revcomp
@@ -38,10 +40,37 @@ def fasta_range(seqs: DataFrame, spec: str) -> DataFrame:
     m = re.fullmatch(r"(?:\[(\d+),(\d+)\])?(-?)", spec)
     if not m:
         raise ValueError(f"not a range: {spec}")
+    if masked is not None:
+        spots = masked.groupBy("contig").agg(F.array_sort(F.collect_list(F.struct("st", "en"))).alias("__m"))
+        part = lambda a, b: F.substring("seq", (a + 1).cast("int"), F.greatest(F.lit(0), (b - a).cast("int")))
+        first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+        add = lambda acc, x: F.struct(F.greatest(acc["at"], x["en"]).alias("at"), F.concat(acc["out"], part(acc["at"], x["st"]), F.lower(part(F.greatest(acc["at"], x["st"]), x["en"]))).alias("out"))
+        whole = F.aggregate("__m", first, add, lambda acc: F.concat(acc["out"], part(acc["at"], F.length("seq").cast("long"))))
+        seqs = seqs.join(spots, "contig", "left").withColumn("seq", F.when(F.col("__m").isNull(), F.col("seq")).otherwise(whole)).drop("__m")
     seq = F.col("seq") if not m[1] else F.substring("seq", int(m[1]), int(m[2]) - int(m[1]) + 1)
     return seqs.withColumn("seq", revcomp(seq, "iupac") if m[3] else seq).withColumn("length", F.length("seq").cast("long"))
 
 
+def contig_headers(seqs: DataFrame) -> DataFrame:
+    """(contig, header) of sequences (contig, length): name, the closed range of all of it, strand and length."""
+    size = F.col("length").cast("string")
+    return seqs.select("contig", F.concat(F.lit(">"), "contig", F.lit(":1-"), size, F.lit(":+:"), size).alias("header"))
+
+
+def check_names(records: DataFrame) -> DataFrame:
+    """(path, header, problem) of FASTA records (path, header: the first line, seq) that name a genome badly: the file's name begins with a
+    digit, the record does not begin with '>' and letters of nucleotides, or its name does not hold the file's name."""
+    from genoweave.functions.seq import is_fasta_text
+
+    genome = F.regexp_extract("path", r"([^/]*?)(?:\.fa|\.fasta|\.fna)?$", 1)
+    name = F.regexp_extract("header", r"^>(\S*)", 1)
+    problem = (
+        F.when(genome.rlike("^[0-9]"), "begins with a digit").when(~F.coalesce("header", F.lit("")).startswith(">") | ~is_fasta_text(F.coalesce("seq", F.lit(""))), "not FASTA")
+        .when(~F.contains(name, genome), "name without the genome")
+    )
+    return records.select("path", "header", problem.alias("problem")).where("problem IS NOT NULL")
+
+
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
     return _fields(_lines(spark, path).where("trim(value) <> ''"), {"name": "string", "length": "long"}).drop("parts")
 

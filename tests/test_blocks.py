@@ -120,24 +120,30 @@ def test_open_insertion_is_decided_by_its_sequence(spark):
     have = ref[:200] + new + ref[200:]
     other = ref[:200] + "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] for c in reversed(new)) + ref[200:]
     t = ref[:200] + "-" * 60 + ref[200:]
-    df = spark.createDataFrame([(1, "c", "S1", "q", "+", 460, 0, t, 0, have), (2, "c", "S2", "q", "+", 460, 0, t, 0, other), (3, "c", "S3", "q", "+", 400, 0, ref, 0, ref)], BLOCK)
-    v = spark.createDataFrame([("c", 200, 200, 60, "INS", 150, 150, new)], "contig string, beg long, fin long, len long, kind string, five long, three long, alt string")
-    refs = spark.createDataFrame([("c", ref)], "contig string, seq string")
-    own = spark.createDataFrame([("S1", "q", have), ("S2", "q", other), ("S3", "q", ref)], "sample string, contig string, seq string")
-    got = {r["sample"]: r["gt"] for r in genotype.genotype_insertions(v, posmap.position_runs(df), refs, own).collect()}
+    df = spark.createDataFrame([(i, "c", f"S{i}", f"S{i}.q", "+", len(x), 0, y, 0, x) for i, (y, x) in enumerate(((t, have), (t, other), (ref, ref)), 1)], BLOCK)
+    variant = "contig string, beg long, fin long, len long, kind string, five long, three long, query string, q_st long, q_en long"
+    v = spark.createDataFrame([("c", 200, 200, 60, "INS", 150, 150, "S1.q", 201, 260)], variant)
+    own = spark.createDataFrame([(f"S{i}", f"S{i}.q", x) for i, x in enumerate((have, other, ref), 1)], "sample string, contig string, seq string")
+    runs = posmap.position_runs(df)
+    got = {r["sample"]: r["gt"] for r in genotype.genotype_insertions(v, runs, own).collect()}
     assert got["S1"] == "1|1" and got["S3"] == "0|0"
-    # S2 holds other letters of the same length: the rule looks at both flanks and at one base of the middle, so it is walked here
-    a, b, identity = kernels.align_pair(ref[100:200] + new + ref[200:300], other[100:360])
+    # S2 holds other letters of the same length: the rule looks at both flanks and at the letter before the insertion, so it is walked here
+    a, b, identity = kernels.align_pair(have[100:360], other[99:360])
     assert identity <= 95
     at, n, h, m = 0, [0, 0, 0], [0, 0, 0], [0, 0, 0]
     for x, y in zip(a, b, strict=True):
-        k = 0 if at < 100 else 1 if at < 101 else 2
+        k = 0 if at < 99 else 1 if at < 100 else 2
         if x != "-":
             n[k], h[k], m[k], at = n[k] + 1, h[k] + (y != "-"), m[k] + (x == y), at + 1
     flanks = all(m[k] / (h[k] + 1) >= 0.75 and h[k] / (n[k] + 1) >= 0.2 for k in (0, 2))
     region = m[1] / (n[1] + 1)
     want = "1|1" if flanks and region >= 0.4 else "0|0" if flanks and region < 0.1 else ".|."
     assert got["S2"] == want
+    # genomes among the members carry it, whatever their sequence
+    held = v.withColumn("members", F.array(F.lit("S3.x"), F.lit("S9.y")))
+    assert {r["sample"]: r["gt"] for r in genotype.genotype_insertions(held, runs, own).collect()} == {"S1": got["S1"], "S2": got["S2"], "S3": "1|1", "S9": "1|1"}
+    none = own.where("sample <> 'S1'")  # without the sequence of the genome that gave it
+    assert {r["sample"]: r["gt"] for r in genotype.genotype_insertions(v, runs, none).collect()} == {"S1": ".|.", "S2": ".|.", "S3": "0|0"}
 
 
 def test_insertions_merge_as_a_plain_walk_does(spark):

@@ -361,9 +361,9 @@ def _(indel: DataFrame) -> DataFrame:
     return indel.select("contig", "beg", variants.sv_line(F.col("contig"), F.col("beg"), F.lit("N"), F.concat(F.lit("<"), "kind", F.lit(">")), F.col("kind"), F.col("fin"), F.col("len")).alias("line"))
 
 
-@query("single_coverage", "v_sp")
-def _(iv: DataFrame) -> DataFrame:
-    return kernels.single_coverage(iv.select("contig", F.xxhash64("id").alias("id"), "st", (F.col("en") - F.col("st")).alias("size"), F.col("qty").alias("score")))
+@query("single_coverage", "v_blk")
+def _(blk: DataFrame) -> DataFrame:
+    return kernels.single_coverage(blk).select("block", "contig", "t_start", "t_text", "q_contig", "q_start", "q_strand", "q_text", "score")
 
 
 @query("global_align", "v_seq")

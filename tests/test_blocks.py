@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from genoweave.functions import seq
+from genoweave.functions.seq import SUBSTITUTION
 from genoweave.operators import blocks, kernels, posmap
 from genoweave.plans import calls, genotype
 from genoweave.sources.readers import ROW
@@ -171,3 +173,82 @@ def test_insertions_merge_as_a_plain_walk_does(spark):
                 reps.append((hit, now))
             want[r[0]] = hit
     assert {r["id"]: r["cluster"] for r in folds.merge_insertions(df).collect()} == want
+
+
+def walked_once(rows):
+    """Blocks (start, top, other) sorted by start, cut one pair after the other by slicing their rows."""
+    score_of = {a + b: v for a, r in zip("ACGT", SUBSTITUTION, strict=True) for b, v in zip("ACGT", r, strict=True)}
+
+    def score(top, other):
+        total, state = 0, 0
+        for x, y in zip(top, other, strict=True):
+            now = 1 if x == "-" else 2 if y == "-" else 0
+            total += score_of[x + y] if not now else -30 - (400 if now != state else 0)
+            state = now
+        return total
+
+    def column(block, pos):
+        seen = block[0] - 1
+        for c, x in enumerate(block[1]):
+            seen += x != "-"
+            if seen == pos:
+                return c
+
+    end = lambda b: b[0] + len(b[1].replace("-", "")) - 1
+    now = list(rows)
+    for i in range(len(now)):
+        for j in range(i + 1, len(now)):
+            if now[i] is None:
+                break
+            if now[j] is None or end(now[j]) < now[i][0] or end(now[i]) < now[j][0]:
+                continue
+            if end(now[i]) >= end(now[j]):
+                now[j] = None
+                continue
+            e = end(now[i])
+            a, b = column(now[i], max(now[i][0], now[j][0])), column(now[j], e)
+            if score(now[i][1][a:], now[i][2][a:]) <= score(now[j][1][: b + 1], now[j][2][: b + 1]):
+                now[i] = (now[i][0], now[i][1][:a], now[i][2][:a])
+            else:
+                c = column(now[j], e + 1)
+                now[j] = (e + 1, now[j][1][c:], now[j][2][c:])
+            for k in (i, j):
+                if now[k] and (len(now[k][1]) < 6 or not now[k][1].replace("-", "")):
+                    now[k] = None
+    return [b and (b[1], b[2]) for b in now]
+
+
+def test_single_coverage_as_a_plain_walk_does(spark):
+    import random
+
+    rnd = random.Random(12)
+    rows, blocks_in = [], []
+    for i in range(60):
+        n = rnd.randrange(6, 60)
+        t, q = "".join(rnd.choice("ACGT--") for _ in range(n)), ""
+        q = "".join(rnd.choice("ACGT") if x == "-" else rnd.choice((x, x, x, "A", "-")) for x in t)
+        rows.append((rnd.randrange(300), t, q))
+        blocks_in.append((i, "c", "S", f"q{i % 3}", rnd.choice("+-"), 1000, rows[-1][0], t, rnd.randrange(300), q))
+    order = sorted(range(60), key=lambda i: (rows[i][0], -len(rows[i][1].replace("-", "")), i))
+    cuts = kernels.cover_once([rows[i] for i in order])
+    got = [(rows[i][1][a:b], rows[i][2][a:b]) if b > a else None for i, (a, b) in zip(order, cuts, strict=True)]
+    assert got == walked_once([rows[i] for i in order])
+    for top, other in rnd.sample([r[1:] for r in rows], 20):
+        df = spark.createDataFrame([(top, other)], "a string, b string")
+        assert kernels.range_score(top, other) == df.select(seq.pair_score(F.col("a"), F.col("b"))).first()[0]
+    df = spark.createDataFrame(blocks_in, BLOCK)
+    kept = kernels.single_coverage(df).collect()
+    assert kept
+    for side in ("t", "q"):
+        seen = set()
+        for r in kept:
+            n = len(r[f"{side}_text"].replace("-", ""))
+            start = r["t_start"] if side == "t" else r["q_start"] if r["q_strand"] == "+" else 1000 - r["q_start"] - n
+            own = {(r["contig"] if side == "t" else r["q_contig"], p) for p in range(start, start + n)}
+            assert n and not own & seen
+            seen |= own
+    whole = {b[0]: b for b in blocks_in}
+    for r in kept:  # what is left of a block is a run of its columns, at its place
+        b = whole[r["block"]]
+        at = next(i for i in range(len(b[7])) if b[7][i:].startswith(r["t_text"]) and b[9][i:].startswith(r["q_text"]) and b[6] + i - b[7][:i].count("-") == r["t_start"])
+        assert b[8] + at - b[9][:at].count("-") == r["q_start"]

@@ -133,15 +133,6 @@ def test_alignment_keeps_sequences():
     assert [r.replace("-", "") for r in rows] == ["ACGT", "ACT", "ACT"] and len({len(r) for r in rows}) == 1
 
 
-def test_single_coverage_leaves_no_overlap():
-    import random
-
-    rnd = random.Random(3)
-    starts, sizes = [rnd.randrange(500) for _ in range(60)], [rnd.randrange(6, 90) for _ in range(60)]
-    kept = sorted(kernels.pick_single(starts, sizes, [float(rnd.randrange(1, 99)) for _ in range(60)]), key=lambda k: k[1])
-    assert all(p[2] <= q[1] for p, q in zip(kept, kept[1:], strict=False))
-
-
 def test_cigar(spark):
     s = one(spark, cigar.sums(F.lit("5S10M2D3M1I7M")))
     assert (s["ref_len"], s["query_len"], s["gaps"], s["opens"]) == (22, 21, 3, 2)

@@ -35,16 +35,29 @@ def is_transition(ref: Column, alt: Column) -> Column:
     return F.concat(F.upper(ref), F.upper(alt)).isin("AG", "GA", "CT", "TC")
 
 
-def substitution_stats(rows: DataFrame) -> DataFrame:
-    """(subs, ts, tv) of rows (ref, alt) of single bases."""
-    ts = is_transition(F.col("ref"), F.col("alt"))
-    return rows.agg(F.count("*").alias("subs"), F.count_if(ts).alias("ts"), F.count_if(~ts).alias("tv"))
+#: Upper limits of the lengths of insertions and deletions that are counted together.
+CHANGES = (1, 2, 49, 999, 6999)
 
 
 def indel_bucket(change: Column) -> Column:
-    """1, 2, then under 50, 1000 and 7000; NULL beyond."""
-    n = F.abs(change)
-    return F.when(n == 1, 1).when(n == 2, 2).when(n < 50, 50).when(n < 1000, 1000).when(n < 7000, 7000)
+    """The limit of CHANGES that the length of a change is within; NULL beyond."""
+    n, out = F.abs(change), F.lit(None).cast("int")
+    for limit in reversed(CHANGES):
+        out = F.when(n <= limit, limit).otherwise(out)
+    return out
+
+
+def allele_stats(rows: DataFrame) -> DataFrame:
+    """(metric, within, n) of rows (ref, alts): letters that differ over the shorter allele (ts, tv), and insertions and deletions by the limit
+    their length is within (NULL: longer). Symbolic alleles are left out."""
+    each = rows.select("ref", F.explode("alts").alias("alt")).where("NOT startswith(alt, '<') AND substring(alt, 2, 1) <> '>'")
+    pair = F.zip_with(F.split("ref", ""), F.split("alt", ""), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    apart = F.filter(pair, lambda x: (x["a"] != "") & (x["b"] != "") & (x["a"] != x["b"]))
+    change = F.length("alt") - F.length("ref")
+    kinds = F.transform(apart, lambda x: F.struct(F.when(F.concat(x["a"], x["b"]).isin("AG", "GA", "CT", "TC"), "ts").otherwise("tv").alias("metric"), F.lit(None).cast("int").alias("within")))
+    indel = F.when(change != 0, F.array(F.struct(F.when(change > 0, "ins").otherwise("del").alias("metric"), indel_bucket(change).alias("within"))))
+    found = each.select(F.explode(F.concat(kinds, F.coalesce(indel, F.slice(kinds, 1, 0)))).alias("x"))
+    return found.groupBy("x.metric", "x.within").agg(F.count("*").alias("n"))
 
 
 def sv_line(chrom: Column, pos: Column, ref: Column, alt: Column, kind: Column, end: Column, length: Column, cells: Column | None = None) -> Column:

@@ -193,6 +193,18 @@ def gene_counts(status: DataFrame) -> DataFrame:
     return each.unionByName(more.select(F.expr("stack(2, 'dup_cnt', dup_cnt, 'dup_sum', dup_sum) AS (metric, n)")))
 
 
+def alignment_stats(paf: DataFrame) -> DataFrame:
+    """(queries, primary, secondary, long_cigars, length, covered, subs) of alignments (qname, qlen, qs, qe, cg, nm, nn, s2): those without s2 are secondary
+    and only counted. Substitutions are NM less gaps and unknown letters, never below 0."""
+    rows = paf.where("s2 IS NOT NULL AND cg IS NOT NULL")
+    subs = F.greatest(F.lit(0), F.col("nm") - cigar.total(F.col("cg"), "ID") - F.coalesce("nn", F.lit(0)))
+    own = rows.agg(F.count("*").alias("primary"), F.count_if(F.size(cigar.ops(F.col("cg"))) > 65_535).alias("long_cigars"), F.coalesce(F.sum(subs), F.lit(0)).alias("subs"))
+    union = intervals.cov_union(rows.select("qname", F.col("qs").alias("st"), F.col("qe").alias("en")), ("qname",)).agg(F.coalesce(F.sum("covered"), F.lit(0)).alias("covered"))
+    each = rows.groupBy("qname").agg(F.max("qlen").alias("l")).agg(F.count("*").alias("queries"), F.coalesce(F.sum("l"), F.lit(0)).alias("length"))
+    out = own.join(F.broadcast(each)).join(F.broadcast(union)).join(F.broadcast(paf.agg(F.count_if(F.col("s2").isNull()).alias("secondary"))))  # one row each
+    return out.select("queries", "primary", "secondary", "long_cigars", "length", "covered", "subs")
+
+
 def gap_counts(alignments: DataFrame) -> DataFrame:
     """(op, under, n, letters): insertions and deletions of alignments (cg) by the limit their length is under; NULL beyond the last."""
     gaps = alignments.select(F.explode(F.filter(cigar.ops(F.col("cg")), lambda x: x["op"].isin("I", "D"))).alias("x"))

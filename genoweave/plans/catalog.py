@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoweave.functions import cigar, interval, seq, variants
-from genoweave.operators import blocks, folds, intervals, kernels, nets, posmap
+from genoweave.operators import blocks, folds, intervals, kernels, multi, nets, posmap
+from genoweave.operators.lineage import settled
+from genoweave.plans import annotate as annotation
 from genoweave.plans import assess, calls, genotype, snp
 from genoweave.plans.views import register, with_views
 
@@ -491,6 +493,29 @@ def _(indel: DataFrame, feat: DataFrame) -> DataFrame:
     return indel.select("contig", "beg", "kind").distinct().join(found, ["contig", "beg"], "left").select("contig", "beg", "kind", F.coalesce(F.col("id").cast("string"), F.lit("NF")).alias("cds"))
 
 
+def _marked(indel: DataFrame, seqs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Variants with the letters they take away or add, on contigs that hold each some of them."""
+    refs = seqs.select(F.concat(F.lit("c"), (F.col("contig") % 8).cast("string")).alias("contig"), "contig", "seq").toDF("contig", "part", "seq").where("part < 8").select("contig", F.repeat("seq", 64).alias("seq"))
+    v = indel.select(F.col("contig").alias("chrom"), (F.col("beg") % 1900 + 30).alias("pos"), F.concat(F.lit("SV"), F.col("beg").cast("string"), "kind").alias("id"), "len").dropDuplicates(["chrom", "pos", "id"])
+    text = F.substring(F.translate(F.md5(F.concat((F.col("pos") % 32).cast("string"))), "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(1), (F.col("len") * 8).cast("int"))
+    return v.withColumns({"ref": F.lit("A"), "alt": text, "info": F.concat(F.lit("SVLEN="), F.col("len").cast("string"))}), refs
+
+
+@query("annotate", "v_indel v_seq v_iv")
+def _(indel: DataFrame, seqs: DataFrame, iv: DataFrame) -> DataFrame:
+    v, refs = _marked(indel, seqs)
+    hits = v.select(annotation.name_of().alias("qname"), "pos").join(iv.select("pkey", "qty", "line"), F.col("pos") == F.col("pkey"))
+    paf = hits.select("qname", F.lit(300).alias("qlen"), (F.col("line") * 20).alias("qs"), (F.col("line") * 20 + F.col("qty")).alias("qe"), F.concat(F.lit("x#T"), (F.col("qty") % 3).cast("string"), F.lit("/y")).alias("tname"))
+    return annotation.annotate(v, refs, paf.where("qe % 2 = 0"), paf, "INS").select("chrom", "pos", "id", "info")
+
+
+@query("tandem_copies", "v_indel v_seq")
+def _(indel: DataFrame, seqs: DataFrame) -> DataFrame:
+    _, refs = _marked(indel, seqs)
+    rows = indel.where("kind = 'INS'").select("contig", (F.col("beg") % 1900 + 1).alias("beg"), (F.col("beg") % 1900 + 20).alias("fin"), F.col("contig").alias("query"), (F.col("beg") % 1900 + 52).alias("q_st"), (F.col("beg") % 1900 + 60).alias("q_en")).distinct()
+    return annotation.tandem_copies(rows, refs, refs)
+
+
 # ---- evaluation
 
 
@@ -571,15 +596,19 @@ def _steps(iv: DataFrame) -> DataFrame:
     )
 
 
-@query("paf_compare", "v_iv", """
-    WITH a AS (SELECT okey, min(id) AS id FROM v_iv GROUP BY okey HAVING count(*) = 1), x AS (SELECT v.* FROM v_iv v JOIN a ON v.id = a.id)
-    SELECT count(*) AS compared, count_if(x.contig = y.contig AND greatest(0, least(x.en, y.en) - greatest(x.st, y.st)) * 2 >= x.en - x.st) AS same FROM x JOIN v_iv y ON y.pkey = x.pkey AND y.line > x.line""")
+@query("paf_compare", "v_iv", f"""
+    WITH u AS (SELECT DISTINCT id, pkey * 10 + line AS pkey, 5000 + qty * 40 - 400 AS qlen, contig, st, en, line * 5 AS mapq, sample, okey % 5 = 0 AS s, {NO['duck']} AS no FROM v_iv), p AS (SELECT * FROM u WHERE NOT s),
+    b AS (SELECT pkey, min(qlen) AS qlen, min(contig) AS contig, min(st) AS st, min(en) AS en, min(mapq) AS mapq FROM p WHERE sample < 'S2' GROUP BY pkey HAVING count(*) = 1), b1 AS (SELECT * FROM b WHERE qlen >= 5000),
+    c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pkey ORDER BY no) AS k FROM p WHERE sample >= 'S2') WHERE k = 1 AND qlen >= 5000),
+    x AS (SELECT b1.pkey AS bk, c.pkey AS ck, b1.mapq AS bq, c.mapq AS cq, b1.contig = c.contig AS same, CASE WHEN b1.st < c.st THEN b1.en - c.st ELSE c.en - b1.st END AS i, CASE WHEN b1.st < c.st THEN c.en - b1.st ELSE b1.en - c.st END AS s FROM b1 FULL JOIN c ON c.pkey = b1.pkey)
+    SELECT count_if(bq >= 10) AS base, count_if(cq >= 10) AS test, count_if(bk IS NULL AND cq >= 10) AS out_high, count_if(bk IS NULL AND cq < 10) AS out_low, count_if(ck IS NOT NULL AND bq >= 10 AND same AND i > 0 AND i >= s * 0.5) AS hit,
+        count_if(ck IS NOT NULL AND bq >= 10 AND NOT (same AND i > 0 AND i >= s * 0.5)) AS wrong, count_if(bq >= 10 AND ck IS NULL) AS miss FROM x""")
 def _(iv: DataFrame) -> DataFrame:
-    one = iv.groupBy("okey").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").select("id")
-    x = iv.join(one, "id", "left_semi").select("pkey", "line", "contig", "st", "en")
-    y = iv.select("pkey", F.col("line").alias("l2"), F.col("contig").alias("c2"), F.col("st").alias("s2"), F.col("en").alias("e2"))
-    same = (F.col("contig") == F.col("c2")) & (2 * interval.overlap_len(F.col("st"), F.col("en"), F.col("s2"), F.col("e2")) >= F.col("en") - F.col("st"))
-    return x.join(y, "pkey").where("l2 > line").agg(F.count("*").alias("compared"), F.count_if(same).alias("same"))
+    paf = iv.dropDuplicates(["id"]).select(
+        (F.col("pkey") * 10 + F.col("line")).alias("qname"), (4600 + F.col("qty") * 40).alias("qlen"), F.col("contig").alias("tname"), F.col("st").alias("ts"), F.col("en").alias("te"), (F.col("line") * 5).alias("mapq"),
+        F.when(F.col("okey") % 5 == 0, "S").otherwise("P").alias("type"), F.expr(NO["spark"]).alias("no"), "sample",
+    )
+    return assess.paf_compare(paf.where("sample < 'S2'"), paf.where("sample >= 'S2'"))
 
 
 CIGAR = "concat(CAST(qty AS string), 'M', CAST(line AS string), 'D', CAST(qty % 5 + 1 AS string), 'M', CAST(qty % 3 + 1 AS string), 'I', '7M')"
@@ -600,11 +629,16 @@ def _(iv: DataFrame) -> DataFrame:
     return iv.groupBy(cigar.gap_bucket((F.col("en") - F.col("st")) * F.col("line")).alias("under")).agg(F.count("*").alias("n"))
 
 
-@query("vcf_stats", "v_blk", f"""
-    WITH {COLS}, x AS (SELECT upper(t) || upper(q) AS s FROM p WHERE t <> '-' AND q <> '-' AND upper(t) <> upper(q))
-    SELECT count(*) AS subs, count_if(s IN ('AG', 'GA', 'CT', 'TC')) AS ts, count_if(s NOT IN ('AG', 'GA', 'CT', 'TC')) AS tv FROM x""")
-def _(blk: DataFrame) -> DataFrame:
-    return variants.substitution_stats(snp.differences(posmap.aligned_runs(blk)).select("ref", F.col("base").alias("alt")))
+@query("vcf_stats", "v_seq v_indel", """
+    WITH a AS (SELECT s.contig, substring(s.seq, 1, 1 + CAST(v.len AS INTEGER)) AS ref, substring(s.seq, 5, 1 + CAST(v.len * v.len * 3 AS INTEGER)) AS alt FROM v_indel v JOIN v_seq s ON s.contig = v.beg // 40),
+    c AS (SELECT unnest(range(1, least(length(ref), length(alt)) + 1)) AS i, ref, alt FROM a), d AS (SELECT substring(ref, CAST(i AS INTEGER), 1) || substring(alt, CAST(i AS INTEGER), 1) AS s FROM c),
+    k AS (SELECT CASE WHEN s IN ('AG', 'GA', 'CT', 'TC') THEN 'ts' ELSE 'tv' END AS metric, NULL AS within FROM d WHERE s[1] <> s[2]
+        UNION ALL SELECT CASE WHEN length(alt) > length(ref) THEN 'ins' ELSE 'del' END, CASE WHEN n = 1 THEN 1 WHEN n = 2 THEN 2 WHEN n < 50 THEN 49 WHEN n < 1000 THEN 999 WHEN n < 7000 THEN 6999 END FROM (SELECT *, abs(length(alt) - length(ref)) AS n FROM a) WHERE n > 0)
+    SELECT metric, within, count(*) AS n FROM k GROUP BY ALL""")
+def _(seqs: DataFrame, indel: DataFrame) -> DataFrame:
+    met = indel.withColumn("at", F.floor(F.col("beg") / 40)).join(seqs.select(F.col("contig").alias("at"), "seq"), "at")
+    n, one = F.col("len").cast("int"), F.lit(1)
+    return variants.allele_stats(met.select(F.substring("seq", one, n + 1).alias("ref"), F.array(F.substring("seq", F.lit(5), n * n * 3 + 1)).alias("alts")))
 
 
 @query("vcf_select", "v_indel", "SELECT contig, beg, fin, len, kind FROM v_indel WHERE len >= 2 AND len <= 3")
@@ -673,6 +707,33 @@ def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
     return blocks.subtract(feat, iv)
 
 
+def _many(blk: DataFrame, sample: str) -> DataFrame:
+    """Single-covered blocks of the reference with one sample: tops on ref.c contigs."""
+    once = kernels.single_coverage(blk.where(F.col("sample") == sample))
+    named = once.withColumns({"contig": F.concat(F.lit("ref."), "contig"), "q_contig": F.concat("sample", F.lit("."), "q_contig")})
+    return settled(named.select(blocks.two_rows(F.lit(100_000_000)).alias("rows")), "blocks")
+
+
+@query("region_rows", "v_blk v_indel")
+def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    ref = F.concat(F.lit("ref."), F.col("contig"))
+    regions = indel.select(F.struct("contig", "beg").alias("id"), ref.alias("contig"), F.col("beg").alias("st"), (F.col("beg") + 60).alias("en")).distinct()
+    seqs = blk.groupBy(ref.alias("contig")).agg(F.max("t_start").alias("n")).select("contig", F.repeat(F.lit("N"), (F.col("n") + 100).cast("int")).alias("seq"))
+    return multi.region_rows(_many(blk, "S1"), regions, seqs).select("id.contig", "id.beg", "genome", "text")
+
+
+@query("merged_blocks", "v_blk")
+def _(blk: DataFrame) -> DataFrame:
+    found = multi.merge_along(multi.parse_tree("(ref (S1 S2))"), "ref", {s: _many(blk, s) for s in ("S1", "S2")})
+    return multi.topped(found).select("contig", "st", "en", F.size("rows").alias("n"), F.to_json("rows").alias("rows"))
+
+
+@query("evidence", "v_blk")
+def _(blk: DataFrame) -> DataFrame:
+    found = multi.merge_lists(_many(blk, "S1"), _many(blk, "S2")).withColumn("id", F.md5(F.to_json("rows")))
+    return multi.evidence(found, _many(blk, "S1")).select("id", "share")
+
+
 # ---- calls from alignments
 
 PAF = """p AS (SELECT id, contig AS tname, st AS ts, en AS te, en - st AS blen, 60 AS mapq, sample AS qname, CAST(0 AS BIGINT) AS qs, en - st AS qe, strand, qty FROM v_iv WHERE qty >= 2)"""
@@ -707,15 +768,16 @@ def _(iv: DataFrame) -> DataFrame:
 
 
 @query("lift_regions", "v_iv", """
-    WITH u AS (SELECT DISTINCT id, sample, strand, contig, st, en, qty FROM v_iv WHERE qty >= 2 AND line = 1), r AS (SELECT DISTINCT sample AS contig, line * 3 AS st, line * 3 + 2 AS en FROM v_iv)
-    SELECT u.contig, CASE WHEN u.strand = '-' THEN u.st + 4 * u.qty - r.en ELSE u.st + r.st END AS st, CASE WHEN u.strand = '-' THEN u.st + 4 * u.qty - r.st ELSE least(u.st + r.en, u.en) END AS en, u.strand, count(*) AS n
-    FROM u JOIN r ON r.contig = u.sample AND r.en <= 4 * u.qty GROUP BY ALL""")
+    WITH u AS (SELECT DISTINCT id, sample, strand, contig, st, en, qty FROM v_iv WHERE qty >= 2), r AS (SELECT DISTINCT sample AS contig, line * 4 - 1 AS st, line * 4 + 2 AS en FROM v_iv),
+    x AS (SELECT u.*, r.st AS r0, r.en AS r1, 4 * qty AS n FROM u JOIN r ON r.contig = u.sample AND r.st < 4 * u.qty)
+    SELECT contig, CASE WHEN strand = '+' THEN st + r0 WHEN r1 <= n THEN st + n - r1 ELSE st END AS st, CASE WHEN strand = '-' THEN st + n - r0 WHEN r1 <= n THEN st + r1 ELSE en END AS en, strand,
+        CASE WHEN r1 <= n THEN '' WHEN strand = '-' THEN '_t5' ELSE '_t3' END AS clamped, count(*) AS n FROM x GROUP BY ALL""")
 def _(iv: DataFrame) -> DataFrame:
     n = F.col("qe").cast("string")
-    paf = _paf(iv.where("line = 1")).withColumn("qlen", F.col("qe")).withColumn("cg", F.concat(n, F.lit("M"))).withColumn("nmatch", F.col("qe"))
-    regions = iv.select(F.col("sample").alias("contig"), (F.col("line") * 3).alias("st"), (F.col("line") * 3 + 2).alias("en")).distinct()
-    lifted = calls.lift_regions(paf, regions, length=1, bin_size=256)
-    return lifted.where("NOT name LIKE '%t_'").groupBy("contig", "st", "en", "strand").agg(F.count("*").alias("n"))
+    paf = _paf(iv).withColumn("qlen", F.col("qe")).withColumn("cg", F.concat(n, F.lit("M"))).withColumn("nmatch", F.col("qe"))
+    regions = iv.select(F.col("sample").alias("contig"), (F.col("line") * 4 - 1).alias("st"), (F.col("line") * 4 + 2).alias("en")).distinct()
+    lifted = calls.lift_regions(paf, regions, length=1, bin_size=256).withColumn("clamped", F.regexp_extract("name", "(_t5|_t3)$", 1))
+    return lifted.groupBy("contig", "st", "en", "strand", "clamped").agg(F.count("*").alias("n"))
 
 
 @query("overlap_eval", "v_iv", """
@@ -751,6 +813,16 @@ def _(iv: DataFrame) -> DataFrame:
     return calls.gene_counts(calls.gene_status(calls.gene_cover(ref, 0.9, 0.97), calls.gene_cover(own, 0.9, 0.97), calls.distinct_genes(ref), 0.9))
 
 
+@query("alignment_stats", "v_iv", f"""
+    WITH {STEPS}, r AS (SELECT *, (okey % 3 > 0) AS pri, 1000 + okey % 500 AS qlen FROM u), iv AS (SELECT *, max(qe) OVER (PARTITION BY okey ORDER BY qs, qe ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r WHERE pri)
+    SELECT count(DISTINCT okey) AS queries, count(*) AS primary, (SELECT count(*) FROM r WHERE NOT pri) AS secondary, 0 AS long_cigars, (SELECT CAST(sum(l) AS BIGINT) FROM (SELECT max(qlen) AS l FROM r WHERE pri GROUP BY okey)) AS length,
+        CAST(sum(greatest(0, qe - greatest(qs, coalesce(reach, qs)))) AS BIGINT) AS covered, CAST(sum(greatest(0, qty % 4 - qty % 2)) AS BIGINT) AS subs FROM iv""")
+def _(iv: DataFrame) -> DataFrame:
+    n = F.col("qty")
+    cg = F.concat((3 * n).cast("string"), F.lit("M"), F.col("line").cast("string"), F.lit("D"), n.cast("string"), F.lit("M"))
+    return calls.alignment_stats(_steps(iv).withColumns({"cg": cg, "nm": F.col("line") + n % 4, "nn": n % 2, "s2": F.when(F.col("qname") % 3 > 0, 1)}))
+
+
 @query("gap_counts", "v_iv", f"""
     WITH c AS (SELECT {CIGAR} AS cg FROM v_iv), o AS (SELECT CAST(unnest(regexp_extract_all(cg, '([0-9]+)([MIDNSHP=X])', 1)) AS BIGINT) AS n, unnest(regexp_extract_all(cg, '([0-9]+)([MIDNSHP=X])', 2)) AS op FROM c)
     SELECT op, CASE WHEN n < 50 THEN 50 WHEN n < 100 THEN 100 WHEN n < 300 THEN 300 WHEN n < 400 THEN 400 WHEN n < 1000 THEN 1000 END AS under, count(*) AS n, CAST(sum(n) AS BIGINT) AS letters FROM o WHERE op IN ('I', 'D') GROUP BY 1, 2""")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions import cigar
 from genoweave.functions.seq import revcomp
+from genoweave.operators.seqs import chunked, letters
 
 PAF = ["qname", "qlen", "qs", "qe", "strand", "tname", "tlen", "ts", "te", "nmatch", "blen", "mapq"]
 
@@ -253,3 +254,128 @@ def nib_range(seq: Column, first: int, last: int) -> Column:
     """Letters first..last (1-based, closed) of a sequence; reverse-complemented if first is after last."""
     part = F.substring(seq, min(first, last), abs(last - first) + 1)
     return revcomp(part, "iupac") if first > last else part
+
+
+def renamed(df: DataFrame, names: DataFrame, column: str = "contig") -> DataFrame:
+    """df with contigs renamed by a second list (name, new); those not listed keep their names."""
+    return df.join(names.select(F.col("name").alias(column), F.col("new").alias("__new")), column, "left").withColumn(column, F.coalesce("__new", column)).select(df.columns)
+
+
+def simulated_fastq(records: DataFrame) -> DataFrame:
+    """(name, comment, seq, qual) of simulated SAM records, turned to the read's own strand: the mates of a pair tell both places in their names, reads alone
+    their own; the comment is errors, substitutions and indels."""
+    back = F.col("flag").bitwiseAND(16) > 0
+    mate = F.when(F.col("flag").bitwiseAND(0xC0) == 0x40, 1).when(F.col("flag").bitwiseAND(0xC0) == 0x80, 2).otherwise(0)
+    tag = lambda t: F.coalesce(F.col("tags")[t], F.lit("0"))
+    rows = records.select(
+        F.regexp_replace("qname", "^simulated.", "").alias("read"), F.col("rname").alias("contig"), (F.col("pos") - 1).alias("st"), (F.col("pos") - 1 + cigar.total(F.col("cigar"), "MDN")).alias("en"), F.when(back, "-").otherwise("+").alias("strand"),
+        F.when(back, revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), F.when(back, F.reverse("qual")).otherwise(F.col("qual")).alias("qual"), mate.alias("mate"), F.concat_ws(":", tag("XE"), tag("XS"), tag("XI")).alias("comment"),
+    )
+    one = rows.groupBy("read").agg(F.min(F.when(F.col("mate") == 1, F.struct("contig", "st", "en", "strand"))).alias("a"), F.min(F.when(F.col("mate") == 2, F.struct("contig", "st", "en", "strand"))).alias("b"))
+    text = lambda *c: F.concat_ws("_", *[F.col(x).cast("string") for x in c])
+    paired = F.concat(F.concat_ws("!", "read", "contig", text("a.st", "b.st"), text("a.en", "b.en"), F.concat("a.strand", "b.strand")), F.lit("/"), F.col("mate").cast("string"))
+    alone = F.concat_ws("!", "read", "contig", F.col("st").cast("string"), F.col("en").cast("string"), "strand")
+    named = rows.join(one, "read").withColumn("name", F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), paired).otherwise(alone))
+    return named.select("name", "comment", "seq", "qual")
+
+
+def fastq_record(name: Column, comment: Column, seq: Column, qual: Column) -> Column:
+    return F.concat(F.lit("@"), name, F.lit(" "), comment, F.lit("\n"), seq, F.lit("\n+\n"), qual)
+
+
+def alignment_text(paf: DataFrame, width: int = 80) -> DataFrame:
+    """(id, text) of PAF rows (id, with cs): both rows and a line of bars between them, in lines of `width` columns with the places of their ends. Letters that a short
+    cs leaves out are '='."""
+    ops = F.transform(cigar.cs_ops(F.col("cs")), lambda x: F.when(x["op"] == ":", F.struct(F.lit("=").alias("op"), F.repeat(F.lit("="), x["arg"].try_cast("int")).alias("arg"))).otherwise(x))
+    n = lambda x: F.length(x["arg"])
+    part = lambda x, k: F.when(x["op"] == "*", F.substring(x["arg"], k, 1)).when(x["op"] == "=", x["arg"]).when(x["op"] == ("-" if k == 1 else "+"), x["arg"]).otherwise(F.repeat(F.lit("-"), n(x)))
+    bars = lambda x: F.when(x["op"] == "=", F.repeat(F.lit("|"), n(x))).when(x["op"] == "*", " ").otherwise(F.repeat(F.lit(" "), n(x)))
+    rows = {k: F.array_join(F.transform("__o", f), "") for k, f in (("t", lambda x: part(x, 1)), ("q", lambda x: part(x, 2)), ("m", bars))}
+    wide = paf.where("cs IS NOT NULL").withColumn("__o", F.filter(ops, lambda x: x["op"].isin("=", "*", "+", "-"))).withColumns({f"__{k}": c for k, c in rows.items()})
+    cut = lambda c: F.regexp_extract_all(F.col(c), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    held = lambda s: F.length(F.replace(s, F.lit("-"), F.lit("")))
+    plus = F.col("strand") != "-"
+    first = F.struct(F.lit(0).cast("long").alias("t"), F.lit(0).cast("long").alias("q"), F.array().cast("array<string>").alias("out"))
+    left, right = (lambda v: F.lpad(v.cast("string"), 10, " ")), (lambda v: F.rpad(v.cast("string"), 10, " "))
+
+    def add(acc: Column, x: Column) -> Column:
+        t1, q1 = acc["t"] + held(x["t"]), acc["q"] + held(x["q"])
+        q_from = F.when(plus, F.col("qs") + acc["q"] + 1).otherwise(F.col("qe") - acc["q"])
+        q_to = F.when(plus, F.col("qs") + q1).otherwise(F.col("qe") - q1 + 1)
+        lines = F.concat(
+            F.lit("Ref+: "), left(F.col("ts") + acc["t"] + 1), F.lit(" "), x["t"], F.lit(" "), right(F.col("ts") + t1), F.lit("\n" + " " * 17), x["m"],
+            F.lit("\nQry"), F.col("strand"), F.lit(": "), left(q_from), F.lit(" "), x["q"], F.lit(" "), right(q_to),
+        )
+        return F.struct(t1.alias("t"), q1.alias("q"), F.concat(acc["out"], F.array(lines)).alias("out"))
+
+    lines = F.arrays_zip(cut("__t").alias("t"), cut("__q").alias("q"), cut("__m").alias("m"))
+    return wide.select("id", F.array_join(F.aggregate(lines, first, add, lambda acc: acc["out"]), "\n\n").alias("text"))
+
+
+def lav_stanza(score: Column, rows: Column) -> Column:
+    """The stanza of a two-row block: its score, ends, and a line with the percent identity for each stretch without gaps."""
+    a, b = rows[0], rows[1]
+    mark = lambda t, q: F.when(t == "", "").when(t == "-", F.when(q == "-", "B").otherwise("I")).when(q == "-", "D").when(F.upper(t) == F.upper(q), "M").otherwise("X")
+    tokens = F.regexp_extract_all(F.array_join(F.zip_with(F.split(a["text"], ""), F.split(b["text"], ""), mark), ""), F.lit("([MX]+|I+|D+|B+)"), F.lit(1))
+    first = F.struct((a["start"] + 1).alias("t"), (b["start"] + 1).alias("q"), F.array().cast("array<string>").alias("out"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n, run = F.length(x), F.substring(x, 1, 1).isin("M", "X")
+        on = lambda *k: F.when(run | F.substring(x, 1, 1).isin(*k), n).otherwise(0)
+        same = F.floor(F.length(F.replace(x, F.lit("X"), F.lit(""))) * 100 / n)
+        line = F.concat_ws(" ", F.lit("  l"), *[v.cast("string") for v in (acc["t"], acc["q"], acc["t"] + n - 1, acc["q"] + n - 1, same)])
+        return F.struct((acc["t"] + on("D")).alias("t"), (acc["q"] + on("I")).alias("q"), F.when(run, F.concat(acc["out"], F.array(line))).otherwise(acc["out"]).alias("out"))
+
+    text = lambda *v: F.concat_ws(" ", *[x.cast("string") for x in v])
+    head = [F.lit("a {"), text(F.lit("  s"), F.floor(score)), text(F.lit("  b"), a["start"] + 1, b["start"] + 1), text(F.lit("  e"), a["start"] + a["size"], b["start"] + b["size"])]
+    return F.concat_ws("\n", *head, F.aggregate(tokens, first, add, lambda acc: acc["out"]), F.lit("}"))
+
+
+def rows_of_paf(paf: DataFrame, targets: DataFrame, queries: DataFrame) -> DataFrame:
+    """(score, rows) of PAF rows with cg, the letters taken from sequences (contig, seq) by chunks; for aligners that tell no letters."""
+    minus = F.col("strand") == "-"
+    own = F.when(minus, F.col("qlen") - F.col("qe")).otherwise(F.col("qs"))
+    wide = letters(paf, chunked(targets.select(F.col("contig").alias("tname"), "seq"), ("tname",)), "__t", "ts", "te", ("tname",))
+    wide = letters(wide, chunked(queries.select(F.col("contig").alias("qname"), "seq"), ("qname",)), "__q", "qs", "qe", ("qname",)).where("__t IS NOT NULL AND __q IS NOT NULL")
+    wide = wide.withColumn("__q", F.when(minus, revcomp(F.col("__q"))).otherwise(F.col("__q")))
+    placed = F.filter(cigar.placed(F.col("cg"), F.lit(0)), lambda x: x["op"].isin("M", "=", "X", "I", "D", "N"))
+    cut = lambda c, at, x: F.substring(F.col(c), (at + 1).cast("int"), x["len"].cast("int"))
+    dashes = lambda x: F.repeat(F.lit("-"), x["len"].cast("int"))
+    t = F.array_join(F.transform(placed, lambda x: F.when(x["op"] == "I", dashes(x)).otherwise(cut("__t", x["st"], x))), "")
+    q = F.array_join(F.transform(placed, lambda x: F.when(x["op"].isin("D", "N"), dashes(x)).otherwise(cut("__q", x["q"], x))), "")
+    row = lambda src, start, size, strand, whole, text: F.struct(src.alias("src"), start.cast("long").alias("start"), size.cast("long").alias("size"), strand.alias("strand"), whole.cast("long").alias("src_size"), text.alias("text"))
+    rows = F.array(row(F.col("tname"), F.col("ts"), F.col("te") - F.col("ts"), F.lit("+"), F.col("tlen"), t), row(F.col("qname"), own, F.col("qe") - F.col("qs"), F.col("strand"), F.col("qlen"), q))
+    return wide.select(F.col("nmatch").cast("double").alias("score"), rows.alias("rows"))
+
+
+#: Aligners whose output `pair_blocks` reads, with what it is read as.
+ALIGNERS = {"minimap2_chr": "paf", "minimap2_ctg": "paf", "mummer": "delta", "last_chr": "maf", "last_ctg": "maf", "lastz": "maf", "anchorwave": "maf"}
+
+
+def pair_blocks(rows: DataFrame, aligner: str, target: str, query: str, sizes: Column | None = None, targets: DataFrame | None = None, queries: DataFrame | None = None, swap: bool = False) -> DataFrame:
+    """(score, rows) of an aligner's output as its reader gives it (PAF with a long cs, delta, or MAF), in the one form that nets are made of: the target's row on top
+    and on the plus strand, contig chunks (_ctg, sizes: a map) on their chromosomes. Names of PAF have dots for underscores; deltas need both sequences;
+    anchorwave's rows get the genomes' names. With swap the query is on top."""
+    from genoweave.operators import blocks
+
+    kind = ALIGNERS.get(aligner)
+    if kind is None:
+        raise ValueError(f"{aligner} is none of {', '.join(ALIGNERS)}")
+    if kind == "paf":
+        out = paf_to_maf(rows)
+        dotted = lambda r: F.struct(F.replace(r["src"], F.lit("_"), F.lit(".")).alias("src"), *[r[c].alias(c) for c in ("start", "size", "strand", "src_size", "text")])
+        out = out.withColumn("rows", F.transform("rows", dotted))
+    elif kind == "delta":
+        if targets is None or queries is None:
+            raise ValueError("a delta has no letters: targets and queries are needed")
+        out = rows_of_paf(delta_to_paf(rows), targets, queries)
+    else:
+        out = name_genomes(rows, target, query) if aligner == "anchorwave" else rows
+        on_top = F.concat(F.filter("rows", lambda r: blocks.genome(r) == target), F.filter("rows", lambda r: blocks.genome(r) != target))
+        out = out.withColumn("rows", blocks.upright(on_top))
+    if aligner.endswith("_ctg"):
+        if sizes is None:
+            raise ValueError("chunks of contigs need the sizes of their chromosomes")
+        lifted = lift_contigs(F.slice("rows", 2, 1), sizes)
+        out = out.withColumn("rows", F.concat(F.slice("rows", 1, 1), lifted))
+    return out.withColumn("rows", blocks.flip(F.col("rows"))).select("score", "rows") if swap else out.select("score", "rows")

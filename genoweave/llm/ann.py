@@ -1,7 +1,7 @@
 """Operator 2: nearest neighbours by a vantage-point tree for each shard.
 
 Vectors are dealt by hash into shards of bounded size. Each shard's tree is built once and written: its points are halved again and
-again by their distance to a vantage point. A search goes down the nearer half first and leaves out a half whose least
+again by their distance to a vantage point. A search goes down the nearer halves first, then through the tree, and leaves out a half whose least
 possible distance, by the triangle inequality, times `relax` is over the distance of the k-th neighbour so far: 1 is
 exact, more is faster. Queries are searched in blocks of bounded size; a shard's task takes several blocks, one after the other, and
 the shards' answers are merged. What crosses an exchange is the queries, once for each shard, and a tree once for each
@@ -79,35 +79,54 @@ def search(tree: Tree, queries: np.ndarray, own: np.ndarray, k: int, relax: floa
     have the largest id. Distances that overflow are infinite and count."""
     best_d = np.full((len(queries), k), np.nan)
     best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
+    home = np.full(len(queries), -1)  # the leaf that a query was in first
+
+    def scan(node: int, act: np.ndarray) -> None:
+        lo, hi = tree.span[node]
+        for a in range(lo, hi, 4096):
+            b = min(hi, a + 4096)
+            ids = np.broadcast_to(tree.ids[a:b], (len(act), b - a))
+            self = ids == own[act, None]
+            d = np.where(self, np.nan, distances(queries[act], tree.points[a:b]))
+            all_d, all_id = np.concatenate((best_d[act], d), 1), np.concatenate((best_id[act], np.where(self, np.iinfo(np.int64).max, ids)), 1)
+            order = np.lexsort((all_id, all_d), axis=-1)[:, :k]  # what is not a number comes last
+            best_d[act], best_id[act] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_id, order, 1)
+
+    def to_vantage(node: int, act: np.ndarray) -> np.ndarray:
+        return distances(queries[act], tree.points[tree.vantage[node]][None])[:, 0]
+
+    def descend(node: int, act: np.ndarray) -> None:
+        """Each query to the leaf of its nearer halves."""
+        if not len(act):
+            return
+        if tree.radius[node] < 0:
+            home[act] = node
+            scan(node, act)
+            return
+        near = to_vantage(node, act) <= tree.radius[node]
+        descend(node + 1, act[near])
+        descend(int(tree.outer[node]), act[~near])
 
     def visit(node: int, act: np.ndarray) -> None:
+        """Both halves, but a query's farther one only if it can hold a nearer point. A leaf is scanned once, for all its queries."""
         if not len(act):
             return
         if tree.radius[node] < 0:
-            lo, hi = tree.span[node]
-            for a in range(lo, hi, 4096):
-                b = min(hi, a + 4096)
-                ids = np.broadcast_to(tree.ids[a:b], (len(act), b - a))
-                self = ids == own[act, None]
-                d = np.where(self, np.nan, distances(queries[act], tree.points[a:b]))
-                all_d, all_id = np.concatenate((best_d[act], d), 1), np.concatenate((best_id[act], np.where(self, np.iinfo(np.int64).max, ids)), 1)
-                order = np.lexsort((all_id, all_d), axis=-1)[:, :k]  # what is not a number comes last
-                best_d[act], best_id[act] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_id, order, 1)
+            rest = act[home[act] != node]
+            if len(rest):
+                scan(node, rest)
             return
-        to, mu = distances(queries[act], tree.points[tree.vantage[node]][None])[:, 0], tree.radius[node]
+        to, mu = to_vantage(node, act), tree.radius[node]
         with np.errstate(invalid="ignore"):
             gap = np.maximum(0, np.abs(to - mu) - 1e-12 * (to + mu))  # less what rounding can add
         near = to <= mu
-        for first in (True, False):
-            for inner in (True, False):
-                take = near if inner == first else ~near
-                who = act[take]
-                if not first:  # the farther half, unless it can hold no nearer point
-                    who = who[~(gap[take] * relax > best_d[who, -1])]
-                visit(node + 1 if inner else int(tree.outer[node]), who)
+        for child, own_side in ((node + 1, near), (int(tree.outer[node]), ~near)):
+            visit(child, act[own_side | ~(gap * relax > best_d[act, -1])])
 
     with np.errstate(over="ignore"):
-        visit(0, np.arange(len(queries)))
+        every = np.arange(len(queries))
+        descend(0, every)
+        visit(0, every)
     return best_d, best_id
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.operators.tiles import beside
+from genoweave.operators.tiles import TILE, beside
 
 BIN = 256
 
@@ -62,9 +62,19 @@ def islands(a: DataFrame, by: tuple[str, ...] = ("contig",), touch: bool = True)
 
 
 def merge_intervals(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
-    """The union of intervals, as disjoint ones: joined if the earlier one's end is not before the later one's start."""
-    found = islands(a.select(*by, "st", "en"), by)
-    return found.groupBy(*by, "island").agg(F.min("st").alias("st"), F.max("en").alias("en")).drop("island")
+    """The union of intervals, as disjoint ones: joined if the earlier one's end is not before the later one's start.
+
+    Rows are merged inside tiles of a contig first, which are many and even; only what is left, the tiles' islands, is merged along the contig."""
+
+    def runs(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy("st", "en")
+        reach = F.max("en").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        new = df.withColumn("__new", F.when(reach.isNull() | (F.col("st") > reach), 1).otherwise(0))
+        numbered = new.withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        return numbered.groupBy(*keys, "__run").agg(F.min("st").alias("st"), F.max("en").alias("en")).select(*keys, "st", "en")
+
+    tiled = a.select(*by, "st", "en").withColumn("__tile", F.floor(F.col("st") / TILE))
+    return runs(runs(tiled, (*by, "__tile")).drop("__tile"), by)
 
 
 def cov_union(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions import cigar
 from genoweave.operators import folds, intervals
+from genoweave.operators.lineage import settled
 from genoweave.operators.seqs import chunked, letters
 from genoweave.operators.tiles import beside
 
@@ -55,12 +56,12 @@ def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quali
     itself, so only those few meet it."""
     used = primary(paf, quality, cover)
     found = differences(used.where(F.col("blen") >= long)).withColumnsRenamed({"ts": "o_ts", "te": "o_te"}).withColumn("of", F.struct("id", "st", "en", "ref", "alt"))
+    found = settled(found, "differences")  # read five times
     events = used.select(F.col("tname").alias("contig"), F.explode(F.array(F.struct(F.col("ts").alias("st"), F.lit(1).alias("d")), F.struct(F.col("te").alias("st"), F.lit(-1).alias("d")))).alias("m")).select("contig", "m.st", "m.d")
     events = events.groupBy("contig", "st").agg(F.sum("d").alias("d"))
     both = found.withColumn("d", F.lit(None).cast("long")).unionByName(events, allowMissingColumns=True).withColumn("first", F.col("d").isNotNull().cast("int") * -1)
     ran = beside(both, ("contig",), "st", ["st", "first"], {"over": ("sum", F.coalesce("d", F.lit(0)))}).where("d IS NULL").drop("d", "first")
-
-    own = ran.select("of", "id", "contig", "st", "en", "o_ts", "o_te")
+    own = found.select("of", "id", "contig", "st", "en", "o_ts", "o_te")
     ends = used.select(F.col("tname").alias("contig"), F.col("id").alias("j"), F.col("ts").alias("j_ts"), F.col("te").alias("j_te"))
     later = F.struct("j_ts", "j_te", "j") > F.struct("o_ts", "o_te", "id")
     # later ones that end inside a deletion do not span it

@@ -266,7 +266,7 @@ def _(blk: DataFrame) -> DataFrame:
     SELECT l.contig, l.pos, l.ref, l.alt, count(b.base) AS ns, count_if(b.base = l.alt) AS ac, floor(100.0 * count_if(b.base = l.alt) / count(b.base) + 0.000000001) AS percent
     FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY ALL""")
 def _(blk: DataFrame) -> DataFrame:
-    runs = posmap.aligned_runs(blk)
+    runs = settled(posmap.aligned_runs(blk), "runs")
     found = snp.loci(runs)
     return snp.frequencies(snp.bases(found, runs), found)
 
@@ -277,7 +277,7 @@ def _(blk: DataFrame) -> DataFrame:
     SELECT l.contig, l.pos, l.ref, array_to_string(alts, ',') AS alt, coalesce(max(CASE WHEN sample = 'S0' THEN base END), '-') AS S0, coalesce(max(CASE WHEN sample = 'S1' THEN base END), '-') AS S1, coalesce(max(CASE WHEN sample = 'S2' THEN base END), '-') AS S2
     FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY l.contig, l.pos, l.ref, alts""")
 def _(blk: DataFrame) -> DataFrame:
-    runs = posmap.aligned_runs(blk)
+    runs = settled(posmap.aligned_runs(blk), "runs")
     found = snp.loci(runs)
     return snp.matrix(snp.bases(found, runs), found, ["S0", "S1", "S2"])
 

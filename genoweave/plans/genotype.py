@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from genoweave.functions import interval
 from genoweave.functions.seq import chars, revcomp
 from genoweave.operators import intervals, kernels, posmap
+from genoweave.operators.lineage import settled
 from genoweave.operators.seqs import chunked, letters
 
 KEY = ["contig", "beg", "fin", "len", "kind"]
@@ -19,7 +20,7 @@ KEY = ["contig", "beg", "fin", "len", "kind"]
 def _ends(variants: DataFrame, runs: DataFrame, lo: Column, hi: Column, exact: bool = True) -> DataFrame:
     """Both ends of each variant in each sample in which both are mapped: q_lo, q_hi and their contigs."""
     keyed = variants.select(*KEY, lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
-    moved = posmap.shifted(runs)
+    moved = settled(posmap.shifted(runs), "runs")  # looked into for both ends
     left = posmap.lookup(keyed.withColumn("pos", F.col("lo")), moved).select(*KEY, "sample", F.col("q_name").alias("n_lo"), F.col("q_pos").alias("q_lo"))
     right = posmap.lookup(keyed.withColumn("pos", F.col("hi")), moved).select(*KEY, "sample", F.col("q_name").alias("n_hi"), F.col("q_pos").alias("q_hi"))
     return left.join(right, [*KEY, "sample"])
@@ -75,7 +76,7 @@ def insertion_spans(variants: DataFrame, runs: DataFrame) -> DataFrame:
     towards the variant; the span is the query's length between them less that of the flanks as asked for."""
     flank = interval.flank_bucket_ins(F.col("len"))
     w = interval.flank_window_ins(F.col("beg"), F.col("fin"), F.col("five"), F.col("three"), flank)
-    moved = posmap.shifted(runs)
+    moved = settled(posmap.shifted(runs), "runs")
     keyed = variants.select(F.struct(*KEY).alias("key"), "contig", w["beg0"].cast("long").alias("beg0"), w["end0"].cast("long").alias("end0"), F.col("beg").cast("long").alias("b"), F.col("fin").cast("long").alias("e"))
     left = posmap.lookup_nearest(keyed.select("key", "contig", F.col("beg0").alias("lo"), F.col("b").alias("hi")), moved, right=True)
     right = posmap.lookup_nearest(keyed.select("key", "contig", F.col("e").alias("lo"), F.col("end0").alias("hi")), moved, right=False)

@@ -24,15 +24,16 @@ def beside(df: DataFrame, by: tuple[str, ...], pos: str, order: list[str], value
     after it), NULL (0 for a sum) if there are none. The order begins with `pos`; rows whose group is NULL make a group."""
     cut = df.withColumn("__tile", F.floor(F.col(pos) / tile))
     cut = cut.withColumns({f"__v_{n}": v for n, (_, v) in values.items()})
-    rows = (Window.unboundedPreceding, -1) if before else (1, Window.unboundedFollowing)
+    # what comes after is what comes before in the other direction: a frame that shrinks is summed anew for each row
+    rows, way = (Window.unboundedPreceding, -1), (F.asc if before else F.desc)
     parts = cut.groupBy(*by, "__tile").agg(*[CARRIED[f][0](F.col(f"__v_{n}")).alias(f"__p_{n}") for n, (f, _) in values.items()])
-    along = Window.partitionBy(*by).orderBy("__tile").rowsBetween(*rows)
+    along = Window.partitionBy(*by).orderBy(way("__tile")).rowsBetween(*rows)
     names = [f"__k{i}" for i in range(len(by) + 1)]
     carry = parts.select(*[F.col(c).alias(k) for c, k in zip((*by, "__tile"), names, strict=True)], *[CARRIED[f][0](F.col(f"__p_{n}")).over(along).alias(f"__c_{n}") for n, (f, _) in values.items()])
     same = F.lit(True)
     for c, k in zip((*by, "__tile"), names, strict=True):
         same = same & F.col(c).eqNullSafe(F.col(k))
-    inside = Window.partitionBy(*by, "__tile").orderBy(*order).rowsBetween(*rows)
+    inside = Window.partitionBy(*by, "__tile").orderBy(*map(way, order)).rowsBetween(*rows)
     met = cut.join(carry, same)
     out = {n: CARRIED[f][1](CARRIED[f][0](F.col(f"__v_{n}")).over(inside), F.col(f"__c_{n}")) for n, (f, _) in values.items()}
     return met.withColumns(out).select(*df.columns, *values)

@@ -50,10 +50,6 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_or_empty(docs: DataFrame, column: str = "text") -> DataFrame:
-    return docs.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit("")))
-
-
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """Maximal runs of bytes other than 0x20 and 0x09-0x0D; bytes.split() cuts at exactly these."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -115,6 +111,15 @@ def slices(batch, rows: int = 512) -> Iterator:
         yield batch.slice(i, rows)
 
 
+def finite_rows(lists: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, matrix) of the lists of exactly `dim` numbers, none null or not finite."""
+    lengths = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    kept = np.flatnonzero(lengths == dim)
+    data = lists.take(pa.array(kept)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)  # null becomes not a number
+    fine = np.isfinite(data).all(1)
+    return kept[fine], data[fine]
+
+
 def mapped(docs: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """docs with each Arrow batch put through `run`, which keeps the columns; their names may be any, as they do not take part."""
     plain = [f"c{i}" for i in range(len(docs.columns))]
@@ -128,10 +133,6 @@ def mapped(docs: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[p
     return inner.mapInArrow(named, inner.schema).toDF(*names)
 
 
-def partitions_for(df: DataFrame, least: int = 1) -> int:
-    return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b): a row (node, root) for each node, root its component's least node.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import ann, decontamination, licences, packing, pii, quality, sharding, simhash, substrings, toxicity
+from genoweave.llm import ann, centroids, decontamination, licences, mixing, packing, pii, quality, sharding, simhash, substrings, toxicity, whitening
 from genoweave.llm.common import new_path
 
 
@@ -77,6 +77,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count.values(), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
+def op11_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.sampled(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0, seed=11, carry=["doc_id"])
+    return drawn.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op12_kd_filtering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(*centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256.0, seed=2))
+
+
+def op13_range_finder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=8, scale=1024.0, shift=100_000)
+
+
 def _of_kind(i: int):
     return lambda x: x["kind"] == i
 
@@ -92,8 +105,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_licences": op9_licences,
     "op10_personal_data": op10_personal_data,
+    "op11_systematic": op11_systematic,
+    "op12_kd_filtering": op12_kd_filtering,
+    "op13_range_finder": op13_range_finder,
 }
 
+
+def _rounds(n: int) -> str:
+    """Rounds of assignment and update: m<i> has each vector's nearest centroid, c<i + 1> the centroids after it."""
+    assign = """m{0} AS MATERIALIZED (SELECT id, xs, x.c AS cluster, x.d AS distance FROM (
+        SELECT v.id, v.no, any_value(v.xs) AS xs, min(struct_pack(d := list_sum(list_transform(range(1, 65), lambda i: (v.xs[i] - c.xs[i]) * (v.xs[i] - c.xs[i])))::BIGINT, c := c.c)) AS x FROM vecs v CROSS JOIN c{0} c GROUP BY v.id, v.no))"""
+    update = """c{1} AS MATERIALIZED (SELECT c.c, coalesce(u.xs, c.xs) AS xs FROM c{0} c LEFT JOIN (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS xs FROM (
+        SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT cluster, unnest(xs) AS x, unnest(range(64)) AS i FROM m{0}) GROUP BY cluster, i) GROUP BY cluster) u ON u.cluster = c.c)"""
+    return ", ".join(f"{assign.format(i)}, {update.format(i, i + 1)}" for i in range(n)) + f", {assign.format(n)}"
+
 ORACLE: dict[str, str] = {
     "op1_size_tiered": """
         SELECT doc_id, lang, source, n_chars, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256
@@ -115,4 +140,20 @@ ORACLE: dict[str, str] = {
         kept AS (SELECT k.doc_id, string_agg(x, ' ' ORDER BY k.p) AS s, count(*) AS n FROM words k ANTI JOIN gone g ON k.doc_id = g.doc_id AND k.p = g.p GROUP BY k.doc_id)
         SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op11_systematic": """
+        WITH d AS (SELECT doc_id, source, source IS NULL AS gone, coalesce(source, '') AS src, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::BIGINT AS size FROM documents),
+        t AS (SELECT gone, src, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY gone, encode(src)) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM d GROUP BY gone, src),
+        o AS (SELECT *, coalesce(sum(2.0::DOUBLE * source_size) OVER p, 0) AS held, sum(w) OVER (ORDER BY source_size / w DESC, gone DESC, src DESC) AS w_open, 1.5::DOUBLE * sum(source_size) OVER () AS wanted
+            FROM t WINDOW p AS (ORDER BY source_size / w, gone, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        l AS (SELECT max((wanted - held) / w_open) AS level FROM o WHERE (wanted - held) / w_open < 2.0::DOUBLE * source_size / w),
+        g AS (SELECT gone, src, source_size, CASE WHEN level IS NULL OR 2.0::DOUBLE * source_size <= level * w THEN 2.0::DOUBLE * source_size ELSE level * w END AS target, CAST('0x' || substring(sha256('11:' || CAST(gone AS VARCHAR) || ':' || src), 1, 6) AS BIGINT) AS off FROM t, l),
+        r AS (SELECT d.doc_id, d.size, g.source_size, g.target, g.off, CASE WHEN g.source_size > 0 THEN CAST(floor(g.target / g.source_size * 16777216 + 0.5) AS BIGINT) ELSE 0 END AS each,
+            row_number() OVER (PARTITION BY d.gone, d.src ORDER BY d.size, substring(sha256('11:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16), doc_id NULLS FIRST) - 1 AS k FROM d JOIN g ON g.gone = d.gone AND g.src = d.src)
+        SELECT doc_id, size, source_size, target, CAST(size * (((k + 1) * each + off) // 16777216 - (k * each + off) // 16777216) AS BIGINT) AS taken FROM r""",
+    "op12_kd_filtering": f"""
+        WITH vecs AS MATERIALIZED (SELECT vec_id AS id, row_number() OVER () AS no, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS xs FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, xs) - 1 AS INTEGER) AS c, xs FROM (SELECT sha256('2:' || CAST(id AS VARCHAR)) AS h, xs FROM vecs WHERE id IS NOT NULL ORDER BY h, xs LIMIT 40)),
+        {_rounds(5)}, s AS (SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM m5 GROUP BY cluster)
+        SELECT m.id AS vec_id, m.cluster, m.distance, s.cluster_inertia, (SELECT sum(cluster_inertia)::BIGINT FROM s) AS inertia, sha256(array_to_string(c.xs, ',')) AS centroid_sha256 FROM m5 m JOIN s ON s.cluster = m.cluster JOIN c5 c ON c.c = m.cluster""",
 }

@@ -351,8 +351,8 @@ def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
     return genotype.genotype_insertions(held.drop("giver"), posmap.position_runs(blk), own.unionByName(given), slack=2)
 
 
-@query("threading", "v_blk", """
-    SELECT sample, contig, count_if(t_start < coalesce(prev, -1) + 1) AS clashes FROM (SELECT *, lag(t_start + length(replace(t_text, '-', '')) - 1) OVER (PARTITION BY sample, contig ORDER BY t_start) AS prev FROM v_blk) GROUP BY sample, contig""")
+@query("threading", "v_multi", """
+    SELECT sample, contig, count_if(t_start < coalesce(prev, -1) + 1) AS clashes FROM (SELECT *, lag(t_start + length(replace(t_text, '-', '')) - 1) OVER (PARTITION BY sample, contig ORDER BY t_start) AS prev FROM v_multi) GROUP BY sample, contig""")
 def _(blk: DataFrame) -> DataFrame:
     return assess.threading(blk)
 
@@ -363,14 +363,18 @@ def _(indel: DataFrame) -> DataFrame:
     return indel.select("contig", "beg", variants.sv_line(F.col("contig"), F.col("beg"), F.lit("N"), F.concat(F.lit("<"), "kind", F.lit(">")), F.col("kind"), F.col("fin"), F.col("len")).alias("line"))
 
 
-@query("single_coverage", "v_blk")
+@query("single_coverage", "v_multi")
 def _(blk: DataFrame) -> DataFrame:
-    return kernels.single_coverage(blk).select("block", "contig", "t_start", "t_text", "q_contig", "q_start", "q_strand", "q_text", "score")
+    """Every sample's blocks are an alignment of their own: its name is part of both contigs'."""
+    own = blk.withColumns({c: F.concat("sample", F.lit("."), c) for c in ("contig", "q_contig")})
+    return kernels.single_coverage(own).select("block", "contig", "t_start", "t_text", "q_contig", "q_start", "q_strand", "q_text", "score")
 
 
-@query("global_align", "v_seq")
-def _(seqs: DataFrame) -> DataFrame:
-    return kernels.global_align(seqs.select("contig", F.substring("seq", 1, 24).alias("a"), F.substring("seq", 5, 24).alias("b")))
+@query("global_align", "v_multi")
+def _(blk: DataFrame) -> DataFrame:
+    """The letters of both rows of every block, aligned anew."""
+    plain = lambda c: F.replace(F.col(c), F.lit("-"), F.lit(""))
+    return kernels.global_align(blk.select("block", plain("t_text").alias("a"), plain("q_text").alias("b")))
 
 
 # ---- nets
@@ -707,31 +711,53 @@ def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
     return blocks.subtract(feat, iv)
 
 
-def _many(blk: DataFrame, sample: str) -> DataFrame:
-    """Single-covered blocks of the reference with one sample: tops on ref.c contigs."""
-    once = kernels.single_coverage(blk.where(F.col("sample") == sample))
-    named = once.withColumns({"contig": F.concat(F.lit("ref."), "contig"), "q_contig": F.concat("sample", F.lit("."), "q_contig")})
-    return settled(named.select(blocks.two_rows(F.lit(100_000_000)).alias("rows")), "blocks")
+def _pairwise(blk: DataFrame) -> DataFrame:
+    """(sample, rows): blocks of the reference, on top on ref.c contigs, with a sample."""
+    named = blk.withColumns({"contig": F.concat(F.lit("ref."), "contig"), "q_contig": F.concat("sample", F.lit("."), "q_contig")})
+    return named.select("sample", blocks.two_rows(F.lit(100_000_000)).alias("rows"))
+
+
+def _once(blk: DataFrame) -> DataFrame:
+    """(sample, rows): each sample's blocks so that they cover nothing twice."""
+    own = kernels.single_coverage(blk.withColumn("contig", F.concat("sample", F.lit("/"), "contig")).withColumn("q_contig", F.concat("sample", F.lit("/"), "q_contig")))
+    return settled(_pairwise(own.withColumns({c: F.split_part(c, F.lit("/"), F.lit(2)) for c in ("contig", "q_contig")})), "once")
+
+
+SAMPLES = ("S0", "S1", "S2", "S3", "S4", "S5")
+
+
+def _merged(once: DataFrame) -> DataFrame:
+    """Blocks of the reference and all six samples, joined along a guide tree."""
+    return multi.merge_along(multi.parse_tree("(ref (((S0 S1) S2) ((S3 S4) S5)))"), "ref", {s: once.where(F.col("sample") == s).select("rows") for s in SAMPLES})
+
+
+@query("merged_blocks", "v_multi")
+def _(blk: DataFrame) -> DataFrame:
+    return multi.topped(_merged(_once(blk))).select("contig", "st", "en", F.size("rows").alias("n"), F.to_json("rows").alias("rows"))
 
 
-@query("region_rows", "v_blk v_indel")
+@query("region_rows", "v_multi v_indel")
 def _(blk: DataFrame, indel: DataFrame) -> DataFrame:
+    """Stretches of 60 letters around the variants, as a row for each genome with letters there."""
     ref = F.concat(F.lit("ref."), F.col("contig"))
-    regions = indel.select(F.struct("contig", "beg").alias("id"), ref.alias("contig"), F.col("beg").alias("st"), (F.col("beg") + 60).alias("en")).distinct()
+    at = F.floor(F.col("beg") / 10)  # as far as the blocks reach
+    regions = indel.select(F.struct("contig", "beg", "fin", "len", "kind").alias("id"), ref.alias("contig"), at.alias("st"), (at + 60).alias("en"))
     seqs = blk.groupBy(ref.alias("contig")).agg(F.max("t_start").alias("n")).select("contig", F.repeat(F.lit("N"), (F.col("n") + 100).cast("int")).alias("seq"))
-    return multi.region_rows(_many(blk, "S1"), regions, seqs).select("id.contig", "id.beg", "genome", "text")
+    return multi.region_rows(_merged(_once(blk)), regions, seqs).select("id.*", "genome", "text")
 
 
-@query("merged_blocks", "v_blk")
+@query("evidence", "v_multi")
 def _(blk: DataFrame) -> DataFrame:
-    found = multi.merge_along(multi.parse_tree("(ref (S1 S2))"), "ref", {s: _many(blk, s) for s in ("S1", "S2")})
-    return multi.topped(found).select("contig", "st", "en", F.size("rows").alias("n"), F.to_json("rows").alias("rows"))
+    """How many of the pairs of rows of each joint block the pairwise alignments agree with."""
+    found = _merged(_once(blk)).withColumn("id", F.md5(F.to_json("rows")))
+    return multi.evidence(found, _pairwise(blk).select("rows"), bin_size=64).select("id", F.size("rows").alias("n"), "share")
 
 
-@query("evidence", "v_blk")
+@query("nested_blocks", "v_multi")
 def _(blk: DataFrame) -> DataFrame:
-    found = multi.merge_lists(_many(blk, "S1"), _many(blk, "S2")).withColumn("id", F.md5(F.to_json("rows")))
-    return multi.evidence(found, _many(blk, "S1")).select("id", "share")
+    """The lists of two samples as they come, not single-covered: every overlap is joined, and what no join used stays."""
+    lists = {s: _pairwise(blk.where(F.col("sample") == s)).select("rows") for s in ("S1", "S2")}
+    return multi.merge_nested(lists["S1"], lists["S2"], bin_size=64).select("kind", "score", F.to_json("rows").alias("rows"))
 
 
 # ---- calls from alignments

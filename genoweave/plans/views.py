@@ -42,6 +42,18 @@ VIEWS = {
             translate(md5(CAST(p_partkey AS string)), '0123456789abcdef', 'ACGTACGTACGTACG-') AS t_text,
             translate(md5(CAST(p_partkey AS string)), '0123456789abcdef', 'ACGTACGTACGTAT-G') AS q_text
         FROM part""",
+    # alignments of six samples with one reference, each over every tile of 32 letters: blocks of a sample overlap its next ones (the texts
+    # of the reference agree there), some lie inside others, and those of different samples begin and end at different places
+    "v_multi": """
+        SELECT block, contig, sample, q_contig, q_strand, q_size, t_start, q_start, concat(substring(r, 1, a), repeat('-', ins), substring(r, a + 1, n - a)) AS t_text,
+            concat(replace(substring(r, 1, a), 'GA', 'GC'), substring('TGCA', 1, ins), replace(substring(r, a + 1, b - a), 'CT', 'AT'), repeat('-', gone), substring(r, b + gone + 1, n - b - gone)) AS q_text
+        FROM (SELECT k * 6 + j AS block, concat('c', CAST(k % 8 AS string)) AS contig, concat('S', CAST(j AS string)) AS sample, concat('q', CAST(k % 8 AS string)) AS q_contig,
+            CASE WHEN (t + j) % 7 = 0 THEN '-' ELSE '+' END AS q_strand, CAST(100000000 AS bigint) AS q_size, t * 32 + ofs AS t_start, t * 33 + ofs + j AS q_start, n, a, ins, gone, b,
+            substring(concat(translate(md5(concat('r', CAST(k % 8 AS string), ':', CAST(t AS string))), '0123456789abcdef', 'ACGTACGTACGTACGT'), translate(md5(concat('r', CAST(k % 8 AS string), ':', CAST(t + 1 AS string))), '0123456789abcdef', 'ACGTACGTACGTACGT'),
+                translate(md5(concat('r', CAST(k % 8 AS string), ':', CAST(t + 2 AS string))), '0123456789abcdef', 'ACGTACGTACGTACGT')), CAST(ofs + 1 AS int), n) AS r
+            FROM (SELECT k, t, j, (t * 5 + j * 11) % 24 AS ofs, CAST(CASE WHEN (t + j) % 5 = 0 THEN 14 ELSE 30 + (t * 3 + j) % 18 END AS int) AS n, CAST(4 + (t + j * 2) % 5 AS int) AS a, CAST((t + j) % 4 AS int) AS ins,
+                CAST((t + j * 3) % 3 AS int) AS gone, CAST(10 + (t + j) % 2 AS int) AS b
+                FROM (SELECT p_partkey AS k, p_partkey {div} 8 AS t, j FROM part CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5)) AS six(j)) x) y) z""",
     "v_top": """
         SELECT CAST(n_nationkey AS bigint) AS fill, CAST(n_regionkey AS bigint) AS net, CAST(n_nationkey * 100000 AS bigint) AS t_start,
             CAST(((n_nationkey * 37 + 13) * 30000) % 1500000 AS bigint) AS t_size,

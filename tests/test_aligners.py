@@ -1,0 +1,188 @@
+"""The aligners against full matrices and against all paths."""
+
+import random
+import subprocess
+import sys
+
+import numpy as np
+import pytest
+
+from genoweave.functions.seq import BASES, GAP_EXTEND, GAP_OPEN, OTHER, SUBSTITUTION
+from genoweave.operators import aligners
+
+rnd = random.Random(17)
+
+
+def text(n, letters="ACGT"):
+    return "".join(rnd.choice(letters) for _ in range(n))
+
+
+def changed(s, rate):
+    out = []
+    for c in s:
+        r = rnd.random()
+        if r < rate / 3:
+            continue
+        out.append(rnd.choice("ACGT") if r < rate else c)
+        if r > 1 - rate / 3:
+            out.append(text(rnd.randrange(1, 4)))
+    return "".join(out)
+
+
+def full(a, b):
+    """The optimum by three plain matrices."""
+    inf = -(10**9)
+    n, m = len(a), len(b)
+    d = [[inf] * (m + 1) for _ in range(n + 1)]
+    u = [[inf] * (m + 1) for _ in range(n + 1)]
+    v = [[inf] * (m + 1) for _ in range(n + 1)]
+    d[0][0] = 0
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if i and j:
+                d[i][j] = max(d[i - 1][j - 1], u[i - 1][j - 1], v[i - 1][j - 1]) + (5 if a[i - 1] == b[j - 1] else -4)
+            if i:
+                u[i][j] = max(u[i - 1][j] - 4, max(d[i - 1][j], v[i - 1][j]) - 16)
+            if j:
+                v[i][j] = max(v[i][j - 1] - 4, max(d[i][j - 1], u[i][j - 1]) - 16)
+    return max(d[n][m], u[n][m], v[n][m])
+
+
+@pytest.mark.parametrize("cells", [1, 40, 1000, 1 << 26])
+def test_pairs_reach_the_optimum_however_they_are_halved(cells):
+    for _ in range(60):
+        a = text(rnd.randrange(1, 60), "ACG")
+        b = changed(a, 0.3) if rnd.random() < 0.5 else text(rnd.randrange(1, 60), "ACG")
+        if not b:
+            continue
+        one, two, identity = aligners.align_pair(a, b, cells)
+        assert one.replace("-", "") == a and two.replace("-", "") == b and len(one) == len(two)
+        assert not any(p == q == "-" for p, q in zip(one, two, strict=True))
+        assert aligners.pair_cost(one, two) == full(a, b)
+        assert identity == 100.0 * sum(p == q for p, q in zip(one, two, strict=True)) / len(one)
+
+
+def test_band_is_left_where_the_optimum_is_outside():
+    a, b = text(1500), text(300)
+    for x, y in ((a, a[:200] + a[900:] + b), (b + a, a + b), (a, changed(a, 0.02))):
+        one, two, _ = aligners.align_pair(x, y, 20_000)
+        whole = aligners.align_pair(x, y)
+        assert one.replace("-", "") == x and two.replace("-", "") == y
+        assert aligners.pair_cost(one, two) == aligners.pair_cost(*whole[:2])
+
+
+def test_empty_and_odd_letters():
+    assert aligners.align_pair("", "AC") == ("--", "AC", 0.0) and aligners.align_pair("AC", "") == ("AC", "--", 0.0)
+    assert aligners.align_pair("acgt", "ACGT")[2] == 100.0
+    assert aligners.align_pair("ACéT", "ACéT")[2] == 100.0
+
+
+def test_200_000_letters_in_little_memory():
+    code = """
+import random, resource
+from genoweave.operators import aligners
+rnd = random.Random(3)
+a = "".join(rnd.choice("ACGT") for _ in range(200_000))
+b = a[:50_000] + a[50_400:120_000] + "".join(rnd.choice("ACGT") for _ in range(300)) + "".join(rnd.choice("ACGT") if rnd.random() < 0.002 else c for c in a[120_000:])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+one, two, identity = aligners.align_pair(a, b)
+assert one.replace("-", "") == a and two.replace("-", "") == b
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024, round(identity, 1), two.count("-"), one.count("-"))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, check=True).stdout.split()
+    assert int(out[0]) < 500 and float(out[1]) > 99 and int(out[2]) == 400 and int(out[3]) == 300
+
+
+# ---- blocks
+
+
+def score(x, y):
+    if x == y == "-":
+        return 0
+    if "-" in (x, y):
+        return -GAP_EXTEND
+    i, j = BASES.find(x), BASES.find(y)
+    return SUBSTITUTION[i][j] if i >= 0 and j >= 0 else OTHER
+
+
+# Adjacent columns of two rows (dashes as 1) in which a gap begins.
+OPENS = {(0, 0, 0, 1), (0, 0, 1, 0), (0, 1, 1, 0), (1, 0, 0, 1), (1, 1, 0, 1), (1, 1, 1, 0)}
+
+
+def best_of_all_paths(a, b):
+    """The optimum over all ways to interleave the columns of two blocks."""
+    k, l, m, n = len(a), len(b), len(a[0]), len(b[0])  # noqa: E741
+    best = [-(10**9)]
+
+    def go(i, j, before, total):
+        if i == m and j == n:
+            best[0] = max(best[0], total)
+            return
+        for di, dj in ((1, 1), (1, 0), (0, 1)):
+            p, q = i + di, j + dj
+            if p > m or q > n:
+                continue
+            now = ([r[i] if di else "-" for r in a], [r[j] if dj else "-" for r in b])
+            add = sum(score(x, y) for x in now[0] for y in now[1])
+            begun = (q > 1) if di and dj else (0 < q < n) if di else (0 < p < m)
+            if before and begun:
+                add -= GAP_OPEN * sum((before[0][s] == "-", before[1][t] == "-", now[0][s] == "-", now[1][t] == "-") in {tuple(map(bool, o)) for o in OPENS} for s in range(k) for t in range(l))
+            go(p, q, now, total + add)
+
+    go(0, 0, None, 0)
+    return best[0]
+
+
+def path_score(rows, k):
+    """The score of a result: its columns name the path."""
+    a, b = rows[:k], rows[k:]
+    m = sum(any(r[c] != "-" for r in a) for c in range(len(rows[0])))
+    n = sum(any(r[c] != "-" for r in b) for c in range(len(rows[0])))
+    total, p, q, before = 0, 0, 0, None
+    for c in range(len(rows[0])):
+        now = ([r[c] for r in a], [r[c] for r in b])
+        di, dj = any(x != "-" for x in now[0]), any(x != "-" for x in now[1])
+        p, q = p + di, q + dj
+        total += sum(score(x, y) for x in now[0] for y in now[1])
+        begun = (q > 1) if di and dj else (0 < q < n) if di else (0 < p < m)
+        if before and begun:
+            total -= GAP_OPEN * sum((before[0][s] == "-", before[1][t] == "-", now[0][s] == "-", now[1][t] == "-") in {tuple(map(bool, o)) for o in OPENS} for s in range(len(a)) for t in range(len(b)))
+        before = now
+    return total
+
+
+def block(top, rows, width):
+    """A block over a sequence: rows of random letters and dashes, no column of dashes only."""
+    extra = width - len(top)
+    at = set(rnd.sample(range(width), extra))
+    it = iter(top)
+    first = "".join("-" if c in at else next(it) for c in range(width))
+    out = [first]
+    for r in range(rows):
+        out.append("".join(rnd.choice("ACGT") if c in at and r == 0 else rnd.choice("ACGT-") for c in range(width)))
+    return out
+
+
+def test_blocks_reach_the_optimum():
+    for _ in range(60):
+        top = text(rnd.randrange(1, 5))
+        a, b = block(top, rnd.randrange(1, 3), len(top) + rnd.randrange(0, 2)), block(top, rnd.randrange(1, 3), len(top) + rnd.randrange(0, 2))
+        under = [[r[c] for c in range(len(b[0])) if any(x[c] != "-" for x in b[1:])] for r in b[1:]]
+        got = aligners.align_blocks(a, b)
+        assert [r.replace("-", "") for r in got] == [r.replace("-", "") for r in [*a, *b[1:]]] and len({len(r) for r in got}) == 1
+        if under[0]:
+            assert path_score(got, len(a)) == best_of_all_paths(a, ["".join(r) for r in under])
+        else:
+            assert got[: len(a)] == a
+
+
+def test_band_follows_the_shared_row():
+    kept = np.arange(1, 101)
+    low, high = aligners.band("A" * 100, "A" * 100, kept, 10)
+    assert low[0] == 0 and high[100] == 100 and (low[50], high[50]) == (40, 60) and (np.diff(low) >= 0).all() and (np.diff(high) >= 0).all()
+    # letters that the second block adds lie within the band
+    low, high = aligners.band("A" * 100, "A" * 50 + "-" * 40 + "A" * 50, np.arange(1, 141), 10)
+    assert high[50] >= 100 and low[51] <= 50
+    long = text(400)
+    rows = aligners.align_blocks([long, long], [long[:200] + "-" * 60 + long[200:], long[:200] + text(60) + long[200:]])
+    assert rows[0].replace("-", "") == long and rows[0].count("-") == 60 and len(rows) == 3

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import cut
+from genoweave.llm.common import cut, drop_cut
 
 LEAF = 64
 
@@ -166,12 +166,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, relax: float =
     tables give none. Other columns, of any names, take no part.
     """
     clean = lambda df: df.where(usable(column) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("vec"))
-    points = cut(clean(vectors), "points").withColumn("row", F.monotonically_increasing_id())
-    asked = cut(clean(queries).dropDuplicates(["id"]), "asked").withColumn("row", F.monotonically_increasing_id())
+    written = [cut(clean(vectors), "points"), cut(clean(queries).dropDuplicates(["id"]), "asked")]
+    points, asked = (x.withColumn("row", F.monotonically_increasing_id()) for x in written)
     shards = max(1, -(-points.count() // shard))
     blocks = max(1, -(-asked.count() // block))
     turns = -(-blocks // held)
-    trees = cut(_grouped(points, shards, ", ".join(f"{c} binary" for c in COLUMNS), _tree), "trees").withColumnRenamed("part", "shard")
+    written.append(cut(_grouped(points, shards, ", ".join(f"{c} binary" for c in COLUMNS), _tree), "trees"))
+    trees = written[-1].withColumnRenamed("part", "shard")
     trees = trees.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
     asks = _grouped(asked, blocks, "own binary, asks binary", lambda x, ids: {"own": ids, "asks": x})
     asks = asks.withColumn("turn", F.col("part") % turns).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
@@ -193,4 +194,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, relax: float =
     deal = ("dim", "shard", "turn")
     hits = trees.groupBy(*deal).cogroup(asks.groupBy(*deal)).applyInArrow(run, "query_id long, vec_id long, score double")
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = cut(ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+    for used in written:
+        drop_cut(used)
+    return out

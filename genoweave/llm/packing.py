@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import cut, slices
+from genoweave.llm.common import cut, drop_cut, slices
 
 NEVER = np.iinfo(np.int64).max
 assert array("I").itemsize == 4 and sys.byteorder == "little"
@@ -195,12 +195,13 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1, group: int = 1 << 15, key: str = "doc_id") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of each piece.
 
-    Any tokenizer of the library `tokenizers` will do. Null and blank texts are a piece of one end token. Only documents longer than `capacity` are cut; their full
+    Any tokenizer of the library `tokenizers` will do. Very long texts are read whole. Null and blank texts are a piece of one end token. Only documents longer than `capacity` are cut; their full
     pieces fill a sequence each. Repeated rows are packed each. Rows with a null doc_id are packed like others.
     An empty table gives none. Other columns, of any names, take no part.
     `group` bounds the pieces that one task packs; each group leaves a few bins part full, out of thousands.
     """
-    rows = cut(pieces(docs, tokenizer, capacity, end, key), "pieces").withColumn("row", F.monotonically_increasing_id())
+    written = cut(pieces(docs, tokenizer, capacity, end, key), "pieces")
+    rows = written.withColumn("row", F.monotonically_increasing_id())
     full = rows.where(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long")).drop("row")
     part = rows.where(F.col("length") < capacity)
     groups = max(1, -(-part.count() // group))
@@ -212,4 +213,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1, gr
         return found.drop_columns(["deal"]).append_column("sequence_id", pa.array(bins + (deal[0].as_py() << 32))).append_column("offset", pa.array(offsets))
 
     out = dealt.groupBy("deal").applyInArrow(run, "key long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return out.unionByName(full).withColumnRenamed("key", key)
+    packed = cut(out.unionByName(full).withColumnRenamed("key", key), "packed")
+    drop_cut(written)
+    return packed

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import cut
+from genoweave.llm.common import cut, drop_cut
 
 #: Fixed: the kinds in the order in which spans of equal start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -309,9 +309,8 @@ def planted(spark: SparkSession, rows: int, seed: int) -> DataFrame:
     return out.select("id", F.concat("head", "datum", "tail").alias("text"), start.alias("start"), (start + F.length("datum")).alias("stop"), "kind")
 
 
-def examples(spark: SparkSession, rows: int, seed: int) -> DataFrame:
+def examples(texts: DataFrame) -> DataFrame:
     """(id, x, y): the candidates of planted texts; y is 1 if a candidate has the datum's kind, covers it and is at most three characters longer."""
-    texts = cut(planted(spark, rows, seed), "planted")  # else the texts would be written again for each pattern
     found = found_spans(texts, F.struct("id", "start", "stop", "kind"))
     each, k = found.select("key", F.explode("proposed").alias("x")), F.col("key")
     x = F.col("x")
@@ -321,14 +320,27 @@ def examples(spark: SparkSession, rows: int, seed: int) -> DataFrame:
 
 def fit(spark: SparkSession, precision: float = 0.95, rows: int = 12_000, seed: int = 1) -> Boosted:
     """The model: a third of the planted texts calibrates it. `rows` bounds the texts, the bins what reaches the driver."""
-    each = examples(spark, rows, seed)
-    each = each.select((F.floor(F.col("id") / len(FORMS)) % 3 == 0).alias("held"), *[F.col("x")[f].alias(f) for f in FEATURES], "y")
+    texts = cut(planted(spark, rows, seed), "planted")  # else the texts would be made again for each pattern
+    each = examples(texts).select((F.floor(F.col("id") / len(FORMS)) % 3 == 0).alias("held"), *[F.col("x")[f].alias(f) for f in FEATURES], "y")
     counted = each.groupBy("held", *FEATURES).agg(F.sum("y").alias("pos"), F.count("*").alias("n")).collect()
+    drop_cut(texts)
     assert len(counted) <= 2 * math.prod(BINS), "more feature vectors than bins allow"
     sides: list[Counts] = [sorted((tuple(int(r[f]) for f in FEATURES), int(r["pos"]), int(r["n"])) for r in counted if r["held"] == side) for side in (False, True)]
     return boost(*sides, precision=precision)
 
 
+#: Models by (precision, rows, seed): planted texts depend on nothing else, so a new fit would give the same.
+FITTED: dict[tuple, Boosted] = {}
+
+
+def fitted(spark: SparkSession, precision: float = 0.95, rows: int = 12_000, seed: int = 1) -> Boosted:
+    """The model of these parameters, fitted once."""
+    which = (precision, rows, seed)
+    if which not in FITTED:
+        FITTED[which] = fit(spark, precision, rows, seed)
+    return FITTED[which]
+
+
 def personal_data(docs: DataFrame, model: Boosted | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, base, spans): arrays of (start, stop, kind) in code points, sorted by start, then kind, then stop; spans are
     the base spans and those that the model (fitted here, if none is given) adds. One pass over the rows, no exchange.
@@ -337,7 +349,7 @@ def personal_data(docs: DataFrame, model: Boosted | None = None, key: str = "doc
     text count once. Null keys stay. An empty table gives no rows. Other columns, of any names, take no part.
     """
     found = found_spans(docs, F.col(key), text)
-    return _selected(found, model or fit(docs.sparkSession)).withColumnRenamed("key", key)
+    return _selected(found, model or fitted(docs.sparkSession)).withColumnRenamed("key", key)
 
 
 def _selected(found: DataFrame, model: Boosted) -> DataFrame:
@@ -353,9 +365,9 @@ def _selected(found: DataFrame, model: Boosted) -> DataFrame:
 
 def redacted(docs: DataFrame, model: Boosted | None = None, text: str = "text") -> DataFrame:
     """docs with all their columns, of any names, and each personal datum of the text replaced by its kind in brackets;
-    n_chars, where there is one, is the new length of changed texts. Null and empty texts stay; repeated rows change alike;
-    overlapping spans are replaced as one. One pass over the rows, no exchange."""
-    rows = _selected(found_spans(docs, F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]), text), model or fit(docs.sparkSession))
+    n_chars, where there is one, is the new length of changed texts. Null and empty texts stay; very long ones are searched whole; repeated rows change alike;
+    an empty table gives none; overlapping spans are replaced as one. One pass over the rows, no exchange."""
+    rows = _selected(found_spans(docs, F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]), text), model or fitted(docs.sparkSession))
     new = redact(F.col(f"key.`{text}`"), F.col("spans"))
     out = {c: F.col("key")[c] for c in docs.columns} | {text: new}
     if "n_chars" in docs.columns:

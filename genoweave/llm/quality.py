@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import mapped, slices
-from genoweave.llm.samples import labelled
+from genoweave.llm.samples import labelled, one_each
 
+VIEWS = ("text", "lang", "source", "n_chars")
 META = 16 + 64 + 16
 MARKS = np.zeros(256, bool)
 MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -152,20 +153,20 @@ def _both(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = 1500, pool: int = 2500, key: str = "doc_id") -> CoTrained | None:
-    """Fitted on at most `size` labelled documents of each class and `pool` others, chosen by hash; None without both labels."""
-    rows = labelled(docs, labels, "quality", size, None, key, ("text", "lang", "source", "n_chars"))
+    """Fitted on at most `size` labelled documents of each class and `pool` others, chosen by hash; None without both labels.
+
+    The texts of each class and of the others are at most samples.BYTES bytes in all. Of several rows of a doc_id one counts; rows without doc_id
+    and labels other than 0 and 1 take no part. Null and blank texts and nulls in metadata are values like others."""
+    rows = labelled(docs, labels, "quality", size, None, key, VIEWS)
     y = np.array([r[1] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return None
     rows.sort(key=lambda r: zlib.crc32(str(r[0]).encode()))
     y = np.array([r[1] for r in rows], float)
     others = docs.select(key).where(F.col(key).isNotNull()).join(labels.select(key).distinct(), key, "left_anti")
-    others = others.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit("pool")), key).limit(pool)
-    free = docs.select(key, "text", "lang", "source", "n_chars").join(F.broadcast(others), key, "left_semi").collect()
-    return co_train(_both([r[2:] for r in rows]), y, _both(sorted((tuple(r)[1:] for r in free), key=str)))
-
-
-VIEWS = ("text", "lang", "source", "n_chars")
+    others = others.distinct().orderBy(F.xxhash64(F.col(key).cast("string"), F.lit("pool")), key).limit(pool)
+    free = one_each(docs, others.withColumn("y", F.lit(0)), VIEWS, key)
+    return co_train(_both([r[2:] for r in rows]), y, _both(sorted((r[2:] for r in free), key=str)))
 
 
 def _columns(batch: pa.RecordBatch, at: list[int]) -> list[tuple]:
@@ -175,7 +176,8 @@ def _columns(batch: pa.RecordBatch, at: list[int]) -> list[tuple]:
 def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:
     """(doc_id, text_score, meta_score, score, predicted) of each row; without a model all scores are 1.
 
-    Null and blank texts have a view of their own; nulls in metadata count as a value. Repeated rows are scored alike.
+    Null and blank texts have a view of their own; nulls in metadata count as a value; very long texts are read whole. Repeated rows are scored alike.
+    An empty table gives no rows. Other columns, of any names, take no part.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -90,7 +90,9 @@ class Store:
             context.rename(context.makeQualified(draft), context.makeQualified(target), none)
         except Exception as e:
             self._fs.delete(draft, False)
-            raise Conflict(f"version {after + 1} exists") from e
+            if self._fs.exists(target):
+                raise Conflict(f"version {after + 1} exists") from e
+            raise  # not a matter of versions: no space, no permission, ...
         return after + 1
 
     # ---- writing
@@ -154,28 +156,30 @@ class Store:
         members = entries.join(plan.select("run", "merged"), "run")
         before = F.sum("bytes").over(Window.partitionBy("merged").orderBy("run", "path")) - F.col("bytes")
         members = members.withColumn("before", before).select("folder", "path", "merged", "rows", "bytes", "before").cache()
-        totals = members.groupBy("merged").agg(F.sum("bytes").alias("b")).collect()
-        if not totals:
-            return None
-        files = sum(max(1, -(-r["b"] // self.target)) for r in totals)
-        rows = self._rows([r["folder"] for r in members.select("folder").distinct().toLocalIterator()], schema)
-        own, run, part = (unused(rows, x) for x in ("own", "run", "file"))  # all that is added to the rows
-        meta = rows.metadataColumn("_metadata")
-        placed = rows.withColumn(own, F.struct(meta["file_path"].alias("path"), meta["row_index"].alias("row")))
-        places = members.select(F.struct("*").alias(unused(placed, "place")))
-        at, o = F.col(places.columns[0]), F.col(own)
-        placed = placed.join(places, o["path"] == at["path"])
-        place = F.floor((at["before"] + o["row"] * at["bytes"] / at["rows"]) / F.lit(self.target)).cast("int")
-        name = F.concat(F.lit(f"r{after + 1:06d}-"), at["merged"])
-        placed = placed.withColumn(run, name).withColumn(part, place)
-        placed = placed.repartition(int(files), run, part).sortWithinPartitions(F.col(run), F.col(part), o["path"], o["row"]).drop(own, places.columns[0])
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        placed.write.partitionBy(run, part).option("compression", "zstd").parquet(folder)
-        kept = entries.join(plan.select("run"), "run", "left_anti")
-        new = self._tiers(self._measure(folder, schema, size))
-        done = self.commit(kept.unionByName(new), after, schema)
-        members.unpersist()
-        return done
+        try:
+            totals = members.groupBy("merged").agg(F.sum("bytes").alias("b")).collect()
+            if not totals:
+                return None
+            files = sum(max(1, -(-r["b"] // self.target)) for r in totals)
+            rows = self._rows([r["folder"] for r in members.select("folder").distinct().toLocalIterator()], schema)
+            own, run, part = (unused(rows, x) for x in ("own", "run", "file"))  # all that is added to the rows
+            meta = rows.metadataColumn("_metadata")
+            placed = rows.withColumn(own, F.struct(meta["file_path"].alias("path"), meta["row_index"].alias("row")))
+            places = members.select(F.struct("*").alias(unused(placed, "place")))
+            at, o = F.col(places.columns[0]), F.col(own)
+            placed = placed.join(places, o["path"] == at["path"])
+            place = F.floor((at["before"] + o["row"] * at["bytes"] / at["rows"]) / F.lit(self.target)).cast("int")
+            name = F.concat(F.lit(f"r{after + 1:06d}-"), at["merged"])
+            placed = placed.withColumn(run, name).withColumn(part, place)
+            placed = placed.repartition(int(files), run, part).sortWithinPartitions(F.col(run), F.col(part), o["path"], o["row"]).drop(own, places.columns[0])
+            folder = f"{self.root}/data/{uuid.uuid4().hex}"
+            placed.write.partitionBy(run, part).option("compression", "zstd").parquet(folder)
+            kept = entries.join(plan.select("run"), "run", "left_anti")
+            new = self._tiers(self._measure(folder, schema, size))
+            done = self.commit(kept.unionByName(new), after, schema)
+            return done
+        finally:
+            members.unpersist()
 
     def read(self, version: int | None = None, run: str | None = None) -> DataFrame:
         """All rows of a version with the columns that they came with, at any number of files; with `run`, a column of that

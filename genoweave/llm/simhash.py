@@ -323,7 +323,7 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, parts: i
     """(doc_id, fp, component_id): the smallest doc_id reachable over links of at most `radius` differing bits.
 
     Rows with the same fingerprint are linked; only different fingerprints are compared. Null or blank texts have
-    fingerprint 0 and are linked like any other. Repeated rows stay. A row with a null doc_id keeps its row; it takes
+    fingerprint 0 and are linked like any other; very long texts are read whole. Repeated rows stay. Other columns, of any names, take no part. A row with a null doc_id keeps its row; it takes
     part in linking, and its component is the smallest doc_id there (null if there is none). An empty table gives none.
     """
     fps = cut(fingerprints(docs, size, key), "fps")
@@ -334,9 +334,10 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, parts: i
     rooted = cut(rooted, "rooted")
     roots = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = cut(rooted.join(roots, "root").select("fp", "component_id"), "classes")
-    for table in (least, nodes, rooted):
+    out = cut(fps.join(of, "fp").select(key, "fp", "component_id"), "linked")
+    for table in (least, nodes, rooted, fps, of):
         drop_cut(table)
-    return fps.join(of, "fp").select(key, "fp", "component_id")
+    return out
 
 
 # ---- near-duplicate documents at a shingle similarity
@@ -510,10 +511,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key", "set"]), "sets")
     nodes = components(similar(sets, met, threshold))
     rooted = cut(classes.join(nodes, F.col("first") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "first").alias("root")), "rooted")
-    for table in (classes, reps, items, met, sets, nodes):
-        drop_cut(table)
     member = described.select("key", "cls").join(rooted, "cls", "left")
-    return member.select(F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id"))
+    out = cut(member.select(F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id")), "groups")
+    for table in (classes, reps, items, met, sets, nodes, described, rooted):
+        drop_cut(table)
+    return out
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id") -> DataFrame:

@@ -75,10 +75,13 @@ class Model:
         return score
 
 
-def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, apart: float = 3.0, steps: int = 400, rate: float = 0.3, l2: float = 2e-5) -> Model:
+def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, apart: float = 3.0, steps: int = 400, rate: float = 0.3, l2: float = 2e-5) -> Model | None:
     """rows: (text, label). odds: how many times as many negatives there are in the population as in the sample.
     Features in fewer than `least` documents are left out, and those whose shares of the two classes' documents differ by
-    less than `apart` standard errors. AdaGrad on the noisy-or likelihood, all rows in each step."""
+    less than `apart` standard errors. AdaGrad on the noisy-or likelihood, all rows in each step. None if a class has no rows or no feature is kept: there is
+    nothing to learn then, and a bias alone would tell documents by their number of sentences."""
+    if {r[1] for r in rows} != {0, 1}:
+        return None
     # only counts are held: features are made again for those that are kept
     seen: dict[str, int] = {}
     for text, label in rows:
@@ -92,6 +95,8 @@ def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, a
         return a + b >= least and abs(a / max(1, n[0]) - b / max(1, n[1])) >= apart * (p * (1 - p) * (1 / max(1, n[0]) + 1 / max(1, n[1]))) ** 0.5 > 0
 
     index = {f: i for i, f in enumerate(sorted(f for f in seen if told(f)))}
+    if not index:
+        return None
     del seen
     feat, sent, doc = array("i"), array("i"), array("i")
     known: dict[str, list[int]] = {}
@@ -114,7 +119,7 @@ def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, a
     weight /= weight.sum()
     w, b = np.zeros(len(index)), -7.0
     gw, gb = np.full(len(index), 1e-8), 1e-8
-    for _ in range(steps if len(index) and len(doc) else 0):
+    for _ in range(steps):
         z = np.clip(b + np.bincount(sent, w[feat], len(doc)), -30, 30)
         s = 1 / (1 + np.exp(-z))
         keep = np.bincount(doc, np.log1p(-np.minimum(s, 1 - 1e-12)), len(rows))
@@ -130,8 +135,11 @@ def fit(rows: list[tuple[str | None, int]], odds: float = 1.0, least: int = 5, a
     return Model(float(b), {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4})
 
 
-def train(docs: DataFrame, labels: DataFrame, size: int = 2000, where: Column | None = None, key: str = "doc_id") -> Model:
-    """Fitted on at most `size` labelled documents of each class, chosen by a hash of their key."""
+def train(docs: DataFrame, labels: DataFrame, size: int = 2000, where: Column | None = None, key: str = "doc_id") -> Model | None:
+    """Fitted on at most `size` labelled documents of each class, chosen by a hash of their key; None without both classes (see `fit`).
+
+    The texts of each class are at most samples.BYTES bytes in all. Of several rows of a doc_id one counts. Null and blank texts are documents without
+    sentences; rows without doc_id and labels other than 0 and 1 take no part."""
     rows = labelled(docs, labels, "toxic", size, where, key)
     n = counts(labels, "toxic", key, where)
     own = Counter(r[1] for r in rows)
@@ -139,14 +147,15 @@ def train(docs: DataFrame, labels: DataFrame, size: int = 2000, where: Column |
     return fit([(r[2], r[1]) for r in rows], odds)
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFrame:
     """(doc_id, score, worst_start, worst_stop, worst_score): the whole text's score and its most toxic sentence.
 
-    Null and blank texts score 0 and have no worst sentence. Repeated rows and null keys are scored like others.
+    Null and blank texts score 0 and have no worst sentence. Without a model every document does. Very long texts are read whole. Repeated rows and null
+    keys are scored like others. An empty table gives no rows. Other columns, of any names, take no part.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = model.scorer()
+        of = model.scorer() if model else lambda text: (0.0, [])
         for batch in batches:
             for part in slices(batch):
                 out: tuple[list, ...] = ([], [], [], [])

@@ -170,7 +170,7 @@ def distinct_genes(paf: DataFrame) -> DataFrame:
             return (row["en"], row["qlen"]), True
         return last, False
 
-    walked = folds.walk(rows, ["tname", "island"], ["st", "gene"], lambda: None, step, "now", "boolean").where("now")
+    walked = folds.walk(rows, ["tname", "island"], ["st", "gene"], lambda: None, step, "now", "boolean", ["st", "en", "qlen"]).where("now")
     # of those that were the last one, one stays unless the next that took over began before its end
     return beside(walked, ("tname", "island"), "st", ["st", "gene"], {"__next": ("min", F.struct("st", "gene"))}, before=False).where("__next IS NULL OR __next.st >= en").select("gene")
 

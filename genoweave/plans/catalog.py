@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions import cigar, interval, seq, variants
 from genoweave.operators import blocks, folds, intervals, kernels, multi, nets, posmap
-from genoweave.operators.lineage import settled
+from genoweave.operators.lineage import any_settled, settled, tidy
 from genoweave.plans import annotate as annotation
 from genoweave.plans import assess, calls, genotype, snp
 from genoweave.plans.views import register, with_views
@@ -22,7 +22,15 @@ def query(name: str, views: str, sql: str | None = None):
     """Registers a function of the named views as a query, with its SQL over the same views."""
 
     def keep(f: Callable[..., DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: f(*register(spark, sf_dir, *views.split()).values())
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with tidy() as results:
+                found = f(*register(spark, sf_dir, *views.split()).values())
+                if any_settled():  # what it reads goes with the query's other tables
+                    found = settled(found, name)
+                    results.append(found)
+            return found
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = with_views(sql, *views.split())
         return f

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoweave.functions import cigar, interval, seq, variants
-from genoweave.operators import blocks, folds, intervals, kernels, multi, nets, posmap
+from genoweave.operators import fusing, blocks, folds, intervals, kernels, multi, nets, posmap
 from genoweave.operators.lineage import any_settled, settled, tidy
 from genoweave.plans import annotate as annotation
 from genoweave.plans import assess, calls, genotype, snp
@@ -137,11 +137,11 @@ def _(iv: DataFrame) -> DataFrame:
     return intervals.longest_of_overlapping(iv.select("id", "contig", "st", "en"))
 
 
-@query("split_windows", "v_seq", """
-    SELECT contig, CAST(no AS INTEGER) AS no, CASE WHEN no = 0 THEN 0 ELSE no * 10 - 3 END AS start, least(32, CASE WHEN no > 32 / 10.0 - 1 THEN 32 ELSE (CASE WHEN no = 0 THEN 0 ELSE no * 10 - 3 END) + 13 END) AS stop
-    FROM v_seq, range(0, 4) t(no)""")
-def _(seqs: DataFrame) -> DataFrame:
-    return intervals.split_windows(seqs.select("contig", F.length("seq").cast("long").alias("length")), 10, 3)
+@query("split_windows", "v_iv", """
+    WITH c AS (SELECT pkey AS contig, max(en) AS length FROM v_iv GROUP BY pkey), w AS (SELECT contig, length, unnest(range(0, CAST(floor(length / 9000.0) AS BIGINT) + 1)) AS no FROM c), s AS (SELECT *, CASE WHEN no = 0 THEN 0 ELSE no * 9000 - 300 END AS start FROM w)
+    SELECT contig, CAST(no AS INTEGER) AS no, start, least(CASE WHEN no > length / 9000.0 - 1 THEN length ELSE start + 9300 END, length) AS stop FROM s""")
+def _(iv: DataFrame) -> DataFrame:
+    return intervals.split_windows(iv.groupBy(F.col("pkey").alias("contig")).agg(F.max("en").alias("length")), 9000, 300)
 
 
 @query("top_by_key", "v_iv", "SELECT okey, id, en - st AS len FROM (SELECT *, row_number() OVER (PARTITION BY okey ORDER BY en - st DESC, id) AS k FROM v_iv) WHERE k = 1")
@@ -282,12 +282,13 @@ def _(blk: DataFrame) -> DataFrame:
 @query("snp_matrix", "v_blk", f"""
     WITH {COLS}, b AS (SELECT contig, sample, CAST(tp + 1 AS BIGINT) AS pos, upper(t) AS ref, upper(q) AS base FROM p WHERE t <> '-' AND q <> '-'),
     l AS (SELECT contig, pos, ref, list_sort(list(DISTINCT base)) AS alts FROM b WHERE ref <> base GROUP BY 1, 2, 3)
-    SELECT l.contig, l.pos, l.ref, array_to_string(alts, ',') AS alt, coalesce(max(CASE WHEN sample = 'S0' THEN base END), '-') AS S0, coalesce(max(CASE WHEN sample = 'S1' THEN base END), '-') AS S1, coalesce(max(CASE WHEN sample = 'S2' THEN base END), '-') AS S2
+    SELECT l.contig, l.pos, l.ref, array_to_string(alts, ',') AS alt, coalesce(max(CASE WHEN sample = 'S0' THEN base END), '-') AS S0, coalesce(max(CASE WHEN sample = 'S1' THEN base END), '-') AS S1, coalesce(max(CASE WHEN sample = 'S2' THEN base END), '-') AS S2, coalesce(max(CASE WHEN sample = 'S3' THEN base END), '-') AS S3,
+        coalesce(max(CASE WHEN sample = 'S4' THEN base END), '-') AS S4, coalesce(max(CASE WHEN sample = 'S5' THEN base END), '-') AS S5
     FROM l JOIN b ON b.contig = l.contig AND b.pos = l.pos AND b.ref = l.ref GROUP BY l.contig, l.pos, l.ref, alts""")
 def _(blk: DataFrame) -> DataFrame:
     runs = settled(posmap.aligned_runs(blk), "runs")
     found = snp.loci(runs)
-    return snp.matrix(snp.bases(found, runs), found, ["S0", "S1", "S2"])
+    return snp.matrix(snp.bases(found, runs), found, [f"S{i}" for i in range(6)])
 
 
 @query("window_identity", "v_blk", f"""
@@ -300,10 +301,10 @@ def _(blk: DataFrame) -> DataFrame:
 
 
 @query("carrier_shortcut", "v_iv", """
-    SELECT pkey, list_contains(list(DISTINCT sample), 'S1') AS carrier FROM v_iv GROUP BY pkey""")
+    SELECT pkey, list_contains(list(DISTINCT sample), 'S' || CAST(pkey % 6 AS string)) AS carrier FROM v_iv GROUP BY pkey""")
 def _(iv: DataFrame) -> DataFrame:
     members = iv.groupBy("pkey").agg(F.collect_set(F.concat("sample", F.lit(".x"))).alias("m"))
-    return members.select("pkey", variants.carries(F.col("m"), F.lit("S1")).alias("carrier"))
+    return members.select("pkey", variants.carries(F.col("m"), F.concat(F.lit("S"), (F.col("pkey") % 6).cast("string"))).alias("carrier"))
 
 
 @query("genotype_inv", "v_feat v_iv", """
@@ -491,11 +492,10 @@ def _(iv: DataFrame) -> DataFrame:
 
 @query("annotation_percent", "v_iv", """
     WITH e AS (SELECT pkey AS sv, strand AS kind, round(CAST(sum(en - st) AS DOUBLE) / 10000 * 100, 1) AS p FROM v_iv GROUP BY 1, 2)
-    SELECT sv, array_to_string(list_sort(list(kind)), ',') AS kinds, round(sum(p), 1) AS total FROM e GROUP BY sv""")
+    SELECT sv, array_to_string(list(kind || ':' || printf('%.1f', p) || '%' ORDER BY kind), ';') AS text FROM e GROUP BY sv""")
 def _(iv: DataFrame) -> DataFrame:
     rows = folds.annotation_percent(iv.select(F.col("pkey").alias("sv"), F.col("strand").alias("kind"), "st", "en", F.lit(10_000).alias("len")))
-    total = F.aggregate("parts", F.lit(0.0), lambda a, x: a + x["p"])
-    return rows.select("sv", F.array_join(F.transform("parts", lambda x: x["kind"]), ",").alias("kinds"), F.round(total, 1).alias("total"))
+    return rows.select("sv", F.array_join(F.transform("parts", lambda x: F.concat(x["kind"], F.lit(":"), F.format_string("%.1f", x["p"]), F.lit("%"))), ";").alias("text"))
 
 
 @query("annotation_join", "v_indel v_feat", """
@@ -505,26 +505,49 @@ def _(indel: DataFrame, feat: DataFrame) -> DataFrame:
     return indel.select("contig", "beg", "kind").distinct().join(found, ["contig", "beg"], "left").select("contig", "beg", "kind", F.coalesce(F.col("id").cast("string"), F.lit("NF")).alias("cds"))
 
 
+REFS = """refs AS (SELECT concat('c', CAST(contig AS string)) AS contig, repeat(seq, 64) AS seq FROM v_seq WHERE contig < 8)"""
+
+
+def _refs(seqs: DataFrame) -> DataFrame:
+    """Eight contigs that repeat a digest each."""
+    return seqs.where("contig < 8").select(F.concat(F.lit("c"), F.col("contig").cast("string")).alias("contig"), F.repeat("seq", 64).alias("seq"))
+
+
 def _marked(indel: DataFrame, seqs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Variants with the letters they take away or add, on contigs that hold each some of them."""
-    refs = seqs.select(F.concat(F.lit("c"), (F.col("contig") % 8).cast("string")).alias("contig"), "contig", "seq").toDF("contig", "part", "seq").where("part < 8").select("contig", F.repeat("seq", 64).alias("seq"))
-    v = indel.select(F.col("contig").alias("chrom"), (F.col("beg") % 1900 + 30).alias("pos"), F.concat(F.lit("SV"), F.col("beg").cast("string"), "kind").alias("id"), "len").dropDuplicates(["chrom", "pos", "id"])
-    text = F.substring(F.translate(F.md5(F.concat((F.col("pos") % 32).cast("string"))), "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(1), (F.col("len") * 8).cast("int"))
-    return v.withColumns({"ref": F.lit("A"), "alt": text, "info": F.concat(F.lit("SVLEN="), F.col("len").cast("string"))}), refs
+    """Variants with the letters they add, on those contigs: random ones, copies of what stands before or after, and reverse complements of it; some are of nine letters."""
+    refs = _refs(seqs)
+    v = indel.select(F.col("contig").alias("chrom"), (F.col("beg") % 1900 + 40).alias("pos"), F.concat(F.lit("SV"), F.col("beg").cast("string"), "kind").alias("id"), "len", (F.col("beg") % 5).alias("how")).dropDuplicates(["chrom", "pos", "id"])
+    v = v.join(refs.select(F.col("contig").alias("chrom"), "seq"), "chrom").withColumn("n", (F.col("len") * 8 + 1).cast("int"))
+    before, after = (F.substring("seq", (F.col("pos") + d).cast("int"), F.col("n")) for d in (1 - F.col("n"), F.lit(1)))
+    random = F.substring(F.translate(F.md5((F.col("pos") % 32).cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(1), F.col("n"))
+    text = F.when(F.col("how") == 1, before).when(F.col("how") == 2, after).when(F.col("how") == 3, seq.revcomp(before)).when(F.col("how") == 4, seq.revcomp(after)).otherwise(random)
+    out = v.select("chrom", "pos", "id", "len", F.lit("A").alias("ref"), text.alias("alt"), F.concat(F.lit("SVLEN="), F.col("len").cast("string")).alias("info"))
+    return out, refs
+
+
+def _hits(v: DataFrame, iv: DataFrame) -> DataFrame:
+    """Alignments of the variants' sequences to a library."""
+    hits = v.select(annotation.name_of().alias("qname"), "pos").join(iv.select("pkey", "qty", "line"), F.col("pos") == F.col("pkey"))
+    return hits.select("qname", F.lit(300).alias("qlen"), (F.col("line") * 20).alias("qs"), (F.col("line") * 20 + F.col("qty")).alias("qe"), F.concat(F.lit("x#T"), (F.col("qty") % 3).cast("string"), F.lit("/y")).alias("tname"))
 
 
 @query("annotate", "v_indel v_seq v_iv")
 def _(indel: DataFrame, seqs: DataFrame, iv: DataFrame) -> DataFrame:
     v, refs = _marked(indel, seqs)
-    hits = v.select(annotation.name_of().alias("qname"), "pos").join(iv.select("pkey", "qty", "line"), F.col("pos") == F.col("pkey"))
-    paf = hits.select("qname", F.lit(300).alias("qlen"), (F.col("line") * 20).alias("qs"), (F.col("line") * 20 + F.col("qty")).alias("qe"), F.concat(F.lit("x#T"), (F.col("qty") % 3).cast("string"), F.lit("/y")).alias("tname"))
-    return annotation.annotate(v, refs, paf.where("qe % 2 = 0"), paf, "INS").select("chrom", "pos", "id", "info")
+    paf = _hits(v, iv)
+    return annotation.annotate(v, refs, paf.where("qe % 2 = 0"), paf, "INS").select("chrom", "pos", "id", "alt", "info")
 
 
-@query("tandem_copies", "v_indel v_seq")
+@query("tandem_copies", "v_indel v_seq", f"""
+    WITH {REFS}, r AS (SELECT DISTINCT contig, beg % 1900 + 1 AS beg, beg % 1900 + 20 AS fin, contig AS query, beg % 1900 + (CASE beg % 3 WHEN 0 THEN 52 WHEN 1 THEN 24 ELSE 41 END) AS q_st FROM v_indel WHERE kind = 'INS'),
+    s AS (SELECT r.*, q_st + 8 AS q_en, substring(seq, beg, 20) AS own, substring(seq, q_st - 19, 20) AS five, substring(seq, q_st + 9, 20) AS three FROM r JOIN refs ON refs.contig = r.contig),
+    k AS (SELECT *, len(list_filter(range(1, 12), lambda i: contains(five, substring(own, i, 10)))) / CAST(11 AS DOUBLE) AS s5, len(list_filter(range(1, 12), lambda i: contains(three, substring(own, i, 10)))) / CAST(11 AS DOUBLE) AS s3 FROM s)
+    SELECT contig, beg, fin, query, CASE WHEN s5 > s3 THEN q_st - 20 ELSE q_en END AS q_beg, CASE WHEN s5 > s3 THEN q_st ELSE q_en + 20 END AS q_end, CASE WHEN s5 > s3 THEN '5' ELSE '3' END AS side FROM k WHERE greatest(s5, s3) > 0.5""")
 def _(indel: DataFrame, seqs: DataFrame) -> DataFrame:
-    _, refs = _marked(indel, seqs)
-    rows = indel.where("kind = 'INS'").select("contig", (F.col("beg") % 1900 + 1).alias("beg"), (F.col("beg") % 1900 + 20).alias("fin"), F.col("contig").alias("query"), (F.col("beg") % 1900 + 52).alias("q_st"), (F.col("beg") % 1900 + 60).alias("q_en")).distinct()
+    """Stretches of 20 letters whose copy stands before the place on the query, after it, or (in part) nowhere."""
+    refs, at = _refs(seqs), F.col("beg") % 1900
+    q_st = at + F.when(F.col("beg") % 3 == 0, 52).when(F.col("beg") % 3 == 1, 24).otherwise(41)
+    rows = indel.where("kind = 'INS'").select("contig", (at + 1).alias("beg"), (at + 20).alias("fin"), F.col("contig").alias("query"), q_st.alias("q_st"), (q_st + 8).alias("q_en")).distinct()
     return annotation.tandem_copies(rows, refs, refs)
 
 
@@ -697,12 +720,18 @@ def _(blk: DataFrame) -> DataFrame:
     return x.select("block", a["src"].alias("src"), a["start"].alias("start"), a["text"].alias("text"), b["start"].alias("other"), b["strand"].alias("other_strand"))
 
 
-@query("block_fuse", "v_blk", """
-    SELECT contig, sample, q_contig, count(*) AS n, CAST(sum(length(t_text)) AS BIGINT) AS columns FROM v_blk GROUP BY ALL""")
+@query("block_fuse", "v_blk", "SELECT contig, sample, q_contig, q_strand, t_start, t_text, q_start, q_text FROM v_blk")
 def _(blk: DataFrame) -> DataFrame:
-    # each block is cut in two, which fuse puts together again
+    """Each block is cut in two, which fuse puts together again."""
     again = blocks.fuse(posmap.pieces(blk, 16).withColumn("block", F.col("block") * 2))
-    return again.groupBy("contig", "sample", "q_contig").agg(F.count("*").alias("n"), F.sum(F.length("t_text")).alias("columns"))
+    return again.select("contig", "sample", "q_contig", "q_strand", "t_start", "t_text", "q_start", "q_text")
+
+
+@query("fused_blocks", "v_multi")
+def _(blk: DataFrame) -> DataFrame:
+    """The joint blocks of all samples, narrow ones fused; the samples' own rows can fill holes."""
+    own = _pairwise(blk).select(F.slice("rows", 2, 1).alias("rows")).withColumn("no", F.xxhash64(F.to_json("rows")))
+    return fusing.fuse_short(_merged(_once(blk)), own).select("score", F.to_json("rows").alias("rows"))
 
 
 @query("uncovered", "v_sp", f"""
@@ -865,7 +894,7 @@ def _(iv: DataFrame) -> DataFrame:
 
 
 @query("assembly_stats", "v_iv", f"""
-    WITH {STEPS}, z AS (SELECT *, CAST(1000 + okey % 500 AS BIGINT) AS qlen, CAST(substring(tname, 2) AS BIGINT) AS tn FROM u), t AS (SELECT z.* FROM z JOIN (SELECT DISTINCT id, pkey FROM v_iv) x ON x.id = z.id WHERE x.pkey % 7 <> 0),
+    WITH {STEPS}, z AS (SELECT * REPLACE (qs * 10 AS qs, qe * 10 AS qe), CAST(1000 + okey % 500 AS BIGINT) * 10 AS qlen, CAST(substring(tname, 2) AS BIGINT) AS tn FROM u), t AS (SELECT z.* FROM z JOIN (SELECT DISTINCT id, pkey FROM v_iv) x ON x.id = z.id WHERE x.pkey % 7 <> 0),
     ok AS (SELECT * FROM t WHERE qty * 4 >= 40 AND CAST(qty % 3 + 1 AS DOUBLE) / (4 * qty + 1) <= 0.05), f AS (SELECT okey, min(no) AS first FROM ok GROUP BY okey),
     src AS (SELECT tname AS contig, ts AS st, te AS en FROM ok), {ISLANDS}, {SWEEP}, qsrc AS (SELECT okey, qs, qe, max(qe) OVER (PARTITION BY okey ORDER BY qs, qe ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ok),
     lens AS (SELECT okey, max(qlen) AS len FROM z GROUP BY okey), ran AS (SELECT len, sum(len) OVER (ORDER BY len DESC, okey) AS run FROM lens),
@@ -881,5 +910,5 @@ def _(iv: DataFrame) -> DataFrame:
         (SELECT count(*) FROM t JOIN f ON f.okey = t.okey WHERE t.no > f.first) AS breaks, (SELECT count(*) FROM gp WHERE len >= 500 AND gap >= 0) AS bp, (SELECT count(*) FROM gp WHERE len >= 500 AND gap >= 10000) AS bp10k""")
 def _(iv: DataFrame) -> DataFrame:
     n = F.col("qty")
-    paf = _steps(iv).withColumn("cg", F.concat((3 * n).cast("string"), F.lit("M"), F.col("line").cast("string"), F.lit("D"), n.cast("string"), F.lit("M"))).withColumn("nm", F.col("line") + n % 3)
-    return calls.assembly_stats(paf, 600_000, segment=40, most=0.05)
+    paf = _steps(iv).withColumns({c: F.col(c) * 10 for c in ("qs", "qe", "qlen")}).withColumn("cg", F.concat((3 * n).cast("string"), F.lit("M"), F.col("line").cast("string"), F.lit("D"), n.cast("string"), F.lit("M"))).withColumn("nm", F.col("line") + n % 3)
+    return calls.assembly_stats(paf, 600_000, segment=400, most=0.05)

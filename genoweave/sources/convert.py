@@ -250,12 +250,6 @@ def simulated_fasta(maf: DataFrame, contigs: DataFrame) -> DataFrame:
     return found.select(F.concat_ws("!", "read", "contig", F.col("st").cast("string"), F.col("en").cast("string"), "strand").alias("name"), F.when(F.col("strand") == "-", revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
-def nib_range(seq: Column, first: int, last: int) -> Column:
-    """Letters first..last (1-based, closed) of a sequence; reverse-complemented if first is after last."""
-    part = F.substring(seq, min(first, last), abs(last - first) + 1)
-    return revcomp(part, "iupac") if first > last else part
-
-
 def renamed(df: DataFrame, names: DataFrame, column: str = "contig") -> DataFrame:
     """df with contigs renamed by a second list (name, new); those not listed keep their names."""
     return df.join(names.select(F.col("name").alias(column), F.col("new").alias("__new")), column, "left").withColumn(column, F.coalesce("__new", column)).select(df.columns)

@@ -217,19 +217,3 @@ def read_delta(spark: SparkSession, path: str) -> DataFrame:
     f = F.split(lines[0], " ")
     offsets = F.transform(F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: ~x.isin("0", "")), lambda x: F.trim(x).cast("long"))
     return rows.select("tname", "qname", "tlen", "qlen", *[f[i].cast("long").alias(n) for i, n in enumerate(("ts", "te", "qs", "qe", "errors"))], offsets.alias("offsets"))
-
-
-def read_lav(spark: SparkSession, path: str) -> DataFrame:
-    """Gap-free pieces of a blastz lav file: (t_from, q_from, t_to, q_to, identity), 1-based and closed."""
-    lines = _lines(spark, path).select(F.regexp_extract_all("value", F.lit(r"^\s*l (\d+) (\d+) (\d+) (\d+) (\d+)"), F.lit(0)).alias("hit")).where(F.size("hit") > 0)
-    p = F.split(F.trim(F.col("hit")[0]), " ")
-    return lines.select(*[p[i + 1].cast("long").alias(n) for i, n in enumerate(("t_from", "q_from", "t_to", "q_to", "identity"))])
-
-
-def read_nib(spark: SparkSession, path: str) -> DataFrame:
-    """Packed sequences: two bases a byte, T C A G N as 0 to 4, the high bit for lower case. Decoded in SQL from hexadecimal."""
-    files = spark.read.format("binaryFile").load(path)
-    head = F.hex(F.substring("content", 5, 4))
-    size = F.conv(F.concat(F.substring(head, 7, 2), F.substring(head, 5, 2), F.substring(head, 3, 2), F.substring(head, 1, 2)), 16, 10).cast("int")
-    letters = F.translate(F.substring(F.hex("content"), 17, 2_000_000_000), "0123489ABC", "TCAGNtcagn")
-    return files.select("path", F.substring(letters, F.lit(1), size).alias("seq"))

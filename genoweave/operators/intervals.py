@@ -2,7 +2,8 @@
 
 An interval frame has columns contig, st and en (half-open). An overlap join is an equi-join on contig and bin: every
 interval is listed in each bin that it touches, and a pair counts only in the bin of the later of both starts, so that it
-appears once. The bin should be about twice the mean length; a hot bin is split by the engine's skew join.
+appears once. The bin should be about twice the mean length; a hot bin is split by the engine's skew join. Where lengths are mixed there is no such bin:
+without a bin size each interval is listed in bins of a size of its own length, and meets longer ones in theirs.
 """
 
 from __future__ import annotations
@@ -20,30 +21,67 @@ def _binned(df: DataFrame, st: str, en: str, size: int) -> DataFrame:
     return df.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(st) / size), F.floor(last / size))))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, bin_size: int = BIN, keys: tuple[str, ...] = ("contig",), a_iv: tuple[str, str] = ("st", "en"), b_iv: tuple[str, str] = ("b_st", "b_en")) -> DataFrame:
-    """All pairs of rows of a and b that agree on keys and whose intervals overlap. The other columns' names must differ."""
+#: Bins of level l have FINEST * FACTOR^l positions; an interval's level is the lowest whose bins are no shorter than it.
+FINEST, FACTOR, LEVELS = 64, 8, 19
+
+
+def _level(st: str, en: str) -> Column:
+    """The level of an interval: by integers, so that the ends of levels are exact."""
+    size = F.greatest(F.lit(1), F.col(en) - F.col(st)).cast("long")
+    out = F.lit(LEVELS)
+    for level in reversed(range(LEVELS)):
+        out = F.when(size <= FINEST * FACTOR**level, level).otherwise(out)
+    return out
+
+
+def _overlaps_of_any_length(a: DataFrame, b: DataFrame, keys: tuple[str, ...], a_iv: tuple[str, str], b_iv: tuple[str, str]) -> DataFrame:
+    """Every interval is listed in its own level's bins (two at most), and in those of the higher levels that the other side has; a pair meets at the higher of both levels, in the
+    bin of the later of both starts. A bin's intervals are of about its own length on one side, so many of the pairs that meet there overlap."""
+    levels = lambda df, iv: sorted(df.agg(F.collect_set(_level(*iv)).alias("l")).first()["l"])  # noqa: E731  (at most LEVELS + 1 numbers)
+    has = {"a": levels(a, a_iv), "b": levels(b, b_iv)}
+    width = F.lit(float(FINEST)) * F.pow(F.lit(float(FACTOR)), F.col("__level"))
+    whole = lambda at: F.floor(at / width.cast("long"))
+
+    def listed(df: DataFrame, iv: tuple[str, str], side: str, other: str) -> DataFrame:
+        own = df.withColumn("__own", _level(*iv))
+        above = F.filter(F.lit(has[other]).cast("array<int>"), lambda x: x > F.col("__own"))
+        mine = F.col("__own").cast("int")
+        # a pair of equal levels meets once: both list their own level; a pair of unequal ones where the longer lists its own
+        wide = own.withColumn("__level", F.explode(F.concat(F.array(mine), above))).withColumn(f"__{side}", F.col("__level") == F.col("__own"))
+        return wide.withColumn("__bin", F.explode(F.sequence(whole(F.col(iv[0])), whole(F.greatest(F.col(iv[0]), F.col(iv[1]) - 1))))).drop("__own")
+
+    both = listed(a, a_iv, "a", "b").join(listed(b, b_iv, "b", "a"), [*keys, "__level", "__bin"]).where("__a OR __b")
+    home = whole(F.greatest(F.col(a_iv[0]), F.col(b_iv[0])))
+    return both.where((F.col(a_iv[0]) < F.col(b_iv[1])) & (F.col(b_iv[0]) < F.col(a_iv[1])) & (F.col("__bin") == home)).drop("__bin", "__level", "__a", "__b")
+
+
+def overlap_join(a: DataFrame, b: DataFrame, bin_size: int | None = BIN, keys: tuple[str, ...] = ("contig",), a_iv: tuple[str, str] = ("st", "en"), b_iv: tuple[str, str] = ("b_st", "b_en")) -> DataFrame:
+    """All pairs of rows of a and b that agree on keys and whose intervals overlap. The other columns' names must differ. Without a bin size lengths may be
+    mixed (the levels that occur are read from both sides first)."""
+    if bin_size is None:
+        return _overlaps_of_any_length(a, b, keys, a_iv, b_iv)
     x, y = _binned(a, *a_iv, bin_size), _binned(b, *b_iv, bin_size)
     both = x.join(y, [*keys, "__bin"])
     home = F.floor(F.greatest(F.col(a_iv[0]), F.col(b_iv[0])) / bin_size)
     return both.where((F.col(a_iv[0]) < F.col(b_iv[1])) & (F.col(b_iv[0]) < F.col(a_iv[1])) & (F.col("__bin") == home)).drop("__bin")
 
 
-def _touched(a: DataFrame, b: DataFrame, key: str, bin_size: int) -> DataFrame:
+def _touched(a: DataFrame, b: DataFrame, key: str, bin_size: int | None) -> DataFrame:
     other = b.select("contig", F.col("st").alias("b_st"), F.col("en").alias("b_en"))
     return overlap_join(a.select(key, "contig", "st", "en"), other, bin_size).select(key).distinct()
 
 
-def overlap_semi(a: DataFrame, b: DataFrame, key: str = "id", bin_size: int = BIN) -> DataFrame:
+def overlap_semi(a: DataFrame, b: DataFrame, key: str = "id", bin_size: int | None = BIN) -> DataFrame:
     """The rows of a that overlap a row of b; key is unique in a."""
     return a.join(_touched(a, merge_intervals(b), key, bin_size), key, "left_semi")
 
 
-def overlap_anti(a: DataFrame, b: DataFrame, key: str = "id", bin_size: int = BIN) -> DataFrame:
+def overlap_anti(a: DataFrame, b: DataFrame, key: str = "id", bin_size: int | None = BIN) -> DataFrame:
     """The rows of a that overlap no row of b."""
     return a.join(_touched(a, merge_intervals(b), key, bin_size), key, "left_anti")
 
 
-def self_overlaps(a: DataFrame, key: str = "id", bin_size: int = BIN, least: int = 1) -> DataFrame:
+def self_overlaps(a: DataFrame, key: str = "id", bin_size: int | None = BIN, least: int = 1) -> DataFrame:
     """Unordered pairs of rows that share at least `least` positions, as (lo, hi, shared)."""
     other = a.select("contig", F.col(key).alias("b_id"), F.col("st").alias("b_st"), F.col("en").alias("b_en"))
     pairs = overlap_join(a.select("contig", F.col(key).alias("a_id"), "st", "en"), other, bin_size).where("a_id < b_id")
@@ -110,7 +148,7 @@ def gaps(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
     return found.where("next IS NOT NULL").select(*by, F.col("en").alias("st"), F.col("next").alias("en"))
 
 
-def bed_coverage(regions: DataFrame, target: DataFrame, exclude: DataFrame | None = None, key: str = "id", bin_size: int = BIN) -> DataFrame:
+def bed_coverage(regions: DataFrame, target: DataFrame, exclude: DataFrame | None = None, key: str = "id", bin_size: int | None = BIN) -> DataFrame:
     """(key, length, covered, hits) for each region: positions covered by target and how many of its islands are hit.
 
     With exclude, regions that overlap it are left out."""

@@ -11,7 +11,7 @@ from genoweave.functions import cigar, interval, seq, variants
 from genoweave.operators import fusing, blocks, folds, intervals, kernels, multi, nets, posmap
 from genoweave.operators.lineage import any_settled, settled, tidy
 from genoweave.plans import annotate as annotation
-from genoweave.plans import assess, calls, genotype, snp
+from genoweave.plans import assess, calls, genotype, snp, tables
 from genoweave.plans.views import register, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,17 @@ def _(iv: DataFrame) -> DataFrame:
     return pairs.groupBy("contig").agg(F.count("*").alias("pairs"), F.sum(F.least("en", "b_en") - F.greatest("st", "b_st")).alias("shared"))
 
 
+@query("overlap_mixed", "v_iv v_feat", """
+    WITH i AS (SELECT DISTINCT id, contig, st, CASE WHEN qty = 50 THEN st + line * 2000 WHEN qty > 45 THEN st + line * 300 ELSE en END AS en FROM v_iv)
+    SELECT f.id AS feat, count(*) AS n, CAST(sum(least(i.en, f.en) - greatest(i.st, f.st)) AS BIGINT) AS shared FROM i JOIN v_feat f ON i.contig = f.contig AND i.st < f.en AND f.st < i.en GROUP BY f.id""")
+def _(iv: DataFrame, feat: DataFrame) -> DataFrame:
+    """Intervals from a few to 14,000 positions long, met by bins of several sizes."""
+    end = F.when(F.col("qty") == 50, F.col("st") + F.col("line") * 2000).when(F.col("qty") > 45, F.col("st") + F.col("line") * 300).otherwise(F.col("en"))
+    mixed = iv.dropDuplicates(["id"]).select("contig", "st", end.alias("en"))
+    both = intervals.overlap_join(mixed, feat.select("contig", F.col("id").alias("feat"), F.col("st").alias("b_st"), F.col("en").alias("b_en")), None)
+    return both.groupBy("feat").agg(F.count("*").alias("n"), F.sum(F.least("en", "b_en") - F.greatest("st", "b_st")).alias("shared"))
+
+
 @query("overlap_semi", "v_feat v_sp", """
     SELECT f.id, f.contig, f.st, f.en FROM v_feat f WHERE EXISTS (SELECT 1 FROM v_sp i WHERE i.contig = f.contig AND i.st < f.en AND f.st < i.en)""")
 def _(feat: DataFrame, iv: DataFrame) -> DataFrame:
@@ -490,6 +501,21 @@ def _(iv: DataFrame) -> DataFrame:
     return folds.drop_overlaps(iv.select("id", "contig", "sample", "st", "en"), ["contig", "sample"])
 
 
+@query("deletions_in_sql", "v_iv", """
+    WITH RECURSIVE r AS (SELECT id, contig, st, en, row_number() OVER (PARTITION BY contig ORDER BY st, en, en - st, id) AS k FROM (SELECT DISTINCT id, contig, st, en FROM v_iv)),
+    w AS (SELECT id, contig, k, id AS cluster, st AS c_st, en AS c_en FROM r WHERE k = 1 UNION ALL
+        SELECT r.id, r.contig, r.k, CASE WHEN j THEN cluster ELSE r.id END, CASE WHEN j THEN c_st ELSE r.st END, CASE WHEN j THEN c_en ELSE r.en END
+        FROM (SELECT w.*, r.id AS r_id, coalesce(r.st <= w.c_en AND CAST(least(r.en, w.c_en) - r.st AS DOUBLE) / (w.c_en - w.c_st) > 0.9 AND CAST(r.en - r.st AS DOUBLE) / (w.c_en - w.c_st) > 0.95 AND CAST(r.en - r.st AS DOUBLE) / (w.c_en - w.c_st) < 1.05, false) AS j
+            FROM w JOIN r ON r.contig = w.contig AND r.k = w.k + 1) x JOIN r ON r.id = x.r_id)
+    SELECT contig, id, cluster FROM w""")
+def _(iv: DataFrame) -> DataFrame:
+    """The merge of deletions as a table function in SQL."""
+    spark = iv.sparkSession
+    tables.register(spark)
+    iv.dropDuplicates(["id"]).selectExpr("contig", "st AS beg", "en AS end", "en - st AS len", "id").createOrReplaceTempView("v_calls")
+    return spark.sql("SELECT * FROM merge_deletions(TABLE(SELECT * FROM v_calls) PARTITION BY contig ORDER BY (beg, end, len, id))")
+
+
 @query("annotation_percent", "v_iv", """
     WITH e AS (SELECT pkey AS sv, strand AS kind, round(CAST(sum(en - st) AS DOUBLE) / 10000 * 100, 1) AS p FROM v_iv GROUP BY 1, 2)
     SELECT sv, array_to_string(list(kind || ':' || printf('%.1f', p) || '%' ORDER BY kind), ';') AS text FROM e GROUP BY sv""")

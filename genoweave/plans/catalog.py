@@ -483,31 +483,41 @@ def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
 # ---- greedy folds (no SQL; tests compare them with plain walks)
 
 
-@query("merge_deletions", "v_iv")
+DELETIONS = """r AS (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY st, en, en - st, id) AS k FROM v_iv),
+    w AS (SELECT contig, k, k AS head, st AS c_st, en AS c_en FROM r WHERE k = 1 UNION ALL
+        SELECT r.contig, r.k, CASE WHEN j THEN head ELSE r.k END, CASE WHEN j THEN c_st ELSE r.st END, CASE WHEN j THEN c_en ELSE r.en END
+        FROM (SELECT w.*, coalesce(r.st <= w.c_en AND CAST(least(r.en, w.c_en) - r.st AS DOUBLE) / (w.c_en - w.c_st) > 0.9 AND CAST(r.en - r.st AS DOUBLE) / (w.c_en - w.c_st) > 0.95 AND CAST(r.en - r.st AS DOUBLE) / (w.c_en - w.c_st) < 1.05, false) AS j
+            FROM w JOIN r ON r.contig = w.contig AND r.k = w.k + 1) x JOIN r ON r.contig = x.contig AND r.k = x.k + 1)"""
+
+
+@query("merge_deletions", "v_iv", f"""
+    WITH RECURSIVE {DELETIONS}, m AS (SELECT w.contig, w.head, count(*) AS n, '[' || string_agg('{{"sample":"' || r.sample || '","beg":' || CAST(r.st AS VARCHAR) || ',"end":' || CAST(r.en AS VARCHAR) || ',"len":' || CAST(r.en - r.st AS VARCHAR) || '}}', ',' ORDER BY r.sample, r.st, r.en) || ']' AS members
+        FROM w JOIN r ON r.contig = w.contig AND r.k = w.k GROUP BY w.contig, w.head)
+    SELECT m.contig, r.st AS beg, r.en AS "end", r.en - r.st AS len, r.id, m.n, m.members FROM m JOIN r ON r.contig = m.contig AND r.k = m.head""")
 def _(iv: DataFrame) -> DataFrame:
     rows = iv.select("id", "contig", F.col("st").alias("beg"), F.col("en").alias("end"), (F.col("en") - F.col("st")).alias("len"), "sample")
-    return folds.merged(folds.merge_deletions(rows)).select("contig", "beg", "end", "len", "id", "n", F.to_json("members").alias("members"))
+    return folds.merged(folds.merge_deletions(rows, numbered=False)).select("contig", "beg", "end", "len", "id", "n", F.to_json("members").alias("members"))
 
 
 @query("merge_insertions", "v_iv v_seq")
 def _(iv: DataFrame, seqs: DataFrame) -> DataFrame:
     text = seqs.select(F.col("contig").alias("pkey"), "seq")
     rows = iv.join(text, "pkey").select("id", "contig", F.col("st").alias("beg"), F.col("en").alias("end"), F.length("seq").cast("long").alias("len"), "sample", "seq", F.substring("seq", 1, 6).alias("five"), F.substring("seq", 20, 6).alias("three"))
-    return folds.merged(folds.merge_insertions(rows)).select("contig", "beg", "end", "len", "id", "n", F.to_json("members").alias("members"))
+    return folds.merged(folds.merge_insertions(rows, numbered=False)).select("contig", "beg", "end", "len", "id", "n", F.to_json("members").alias("members"))
 
 
-@query("overlap_filter", "v_iv")
+@query("overlap_filter", "v_iv", """
+    WITH RECURSIVE r AS (SELECT id, contig, sample, st, en, row_number() OVER (PARTITION BY contig, sample ORDER BY st, en, id) AS k FROM v_iv),
+    w AS (SELECT contig, sample, k, true AS kept, st AS c_st, en AS c_en FROM r WHERE k = 1 UNION ALL
+        SELECT contig, sample, k, ok, CASE WHEN ok THEN st ELSE c_st END, CASE WHEN ok THEN en ELSE c_en END
+        FROM (SELECT r.contig, r.sample, r.k, r.st, r.en, w.c_st, w.c_en, NOT (CAST(least(r.en, w.c_en) - greatest(r.st, w.c_st) + 1 AS DOUBLE) / (r.en - r.st + 1) > 0.1) AS ok FROM w JOIN r ON r.contig = w.contig AND r.sample = w.sample AND r.k = w.k + 1) x)
+    SELECT r.id, r.contig, r.sample, r.st, r.en FROM w JOIN r ON r.contig = w.contig AND r.sample = w.sample AND r.k = w.k WHERE w.kept""")
 def _(iv: DataFrame) -> DataFrame:
     return folds.drop_overlaps(iv.select("id", "contig", "sample", "st", "en"), ["contig", "sample"])
 
 
-@query("deletions_in_sql", "v_iv", """
-    WITH RECURSIVE r AS (SELECT id, contig, st, en, row_number() OVER (PARTITION BY contig ORDER BY st, en, en - st, id) AS k FROM (SELECT DISTINCT id, contig, st, en FROM v_iv)),
-    w AS (SELECT id, contig, k, id AS cluster, st AS c_st, en AS c_en FROM r WHERE k = 1 UNION ALL
-        SELECT r.id, r.contig, r.k, CASE WHEN j THEN cluster ELSE r.id END, CASE WHEN j THEN c_st ELSE r.st END, CASE WHEN j THEN c_en ELSE r.en END
-        FROM (SELECT w.*, r.id AS r_id, coalesce(r.st <= w.c_en AND CAST(least(r.en, w.c_en) - r.st AS DOUBLE) / (w.c_en - w.c_st) > 0.9 AND CAST(r.en - r.st AS DOUBLE) / (w.c_en - w.c_st) > 0.95 AND CAST(r.en - r.st AS DOUBLE) / (w.c_en - w.c_st) < 1.05, false) AS j
-            FROM w JOIN r ON r.contig = w.contig AND r.k = w.k + 1) x JOIN r ON r.id = x.r_id)
-    SELECT contig, id, cluster FROM w""")
+@query("deletions_in_sql", "v_iv", f"""
+    WITH RECURSIVE {DELETIONS.replace("FROM v_iv)", "FROM (SELECT DISTINCT id, contig, st, en FROM v_iv))")} SELECT r.contig, r.id, h.id AS cluster FROM w JOIN r ON r.contig = w.contig AND r.k = w.k JOIN r h ON h.contig = w.contig AND h.k = w.head""")
 def _(iv: DataFrame) -> DataFrame:
     """The merge of deletions as a table function in SQL."""
     spark = iv.sparkSession

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions import interval
 from genoweave.functions.seq import chars, revcomp
+from genoweave.functions.variants import carries
 from genoweave.operators import intervals, kernels, posmap
 from genoweave.operators.lineage import settled
 from genoweave.operators.seqs import chunked, letters
@@ -17,19 +18,24 @@ from genoweave.operators.seqs import chunked, letters
 KEY = ["contig", "beg", "fin", "len", "kind"]
 
 
-def _ends(variants: DataFrame, runs: DataFrame, lo: Column, hi: Column, exact: bool = True) -> DataFrame:
-    """Both ends of each variant in each sample in which both are mapped: q_lo, q_hi and their contigs."""
-    keyed = variants.select(*KEY, lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
-    moved = settled(posmap.shifted(runs), "runs")  # looked into for both ends
-    left = posmap.lookup(keyed.withColumn("pos", F.col("lo")), moved).select(*KEY, "sample", F.col("q_name").alias("n_lo"), F.col("q_pos").alias("q_lo"))
-    right = posmap.lookup(keyed.withColumn("pos", F.col("hi")), moved).select(*KEY, "sample", F.col("q_name").alias("n_hi"), F.col("q_pos").alias("q_hi"))
-    return left.join(right, [*KEY, "sample"])
+def _ends(variants: DataFrame, runs: DataFrame, lo: Column, hi: Column, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, carry, sample, upper, n, q): where the lower and the upper end of each variant lie in each sample in which they are mapped. Both ends of all
+    variants are looked up in one join."""
+    end = lambda at, upper: F.struct(at.cast("long").alias("pos"), F.lit(upper).alias("upper"))
+    keyed = variants.select(*KEY, *carry, F.explode(F.array(end(lo, False), end(hi, True))).alias("e")).select(*KEY, *carry, "e.*")
+    return posmap.lookup(keyed, posmap.shifted(runs)).select(*KEY, *carry, "sample", "upper", F.col("q_name").alias("n"), F.col("q_pos").alias("q"))
+
+
+def _end(upper: bool) -> Column:
+    """Of grouped ends, where the lower or the upper one lies (the least, if it is mapped many times)."""
+    return F.min(F.when(F.col("upper") == upper, F.col("q")))
 
 
 def genotype_indel(variants: DataFrame, runs: DataFrame) -> DataFrame:
     """(key, sample, gt) of small indels from the query distance of two reference positions around them."""
     deletion = F.col("kind") == "DEL"
     ends = _ends(variants, runs, F.when(deletion, F.col("beg")).otherwise(F.col("beg") - 2), F.col("fin") + 2)
+    ends = ends.groupBy(*KEY, "sample").agg(_end(False).alias("q_lo"), _end(True).alias("q_hi")).where("q_lo IS NOT NULL AND q_hi IS NOT NULL")
     d = F.abs(F.col("q_hi") - F.col("q_lo"))
     call_del = F.when(d == F.col("len") + 2, "0|0").when(d <= 2, "1|1").otherwise(".|.")
     call_ins = F.when(d == F.col("len") + 4, "1|1").when(d <= 4, "0|0").otherwise(".|.")
@@ -60,15 +66,22 @@ def pivot(calls: DataFrame, variants: DataFrame, samples: list[str], missing: st
     return variants.select(*KEY).join(wide, KEY, "left").select(*KEY, *[F.coalesce(F.col(s), F.lit(missing)).alias(s) for s in samples])
 
 
+def _deletion_ends(variants: DataFrame, runs: DataFrame, extend: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    w = interval.flank_window_del(F.col("beg"), F.col("fin"), F.col("five"), F.col("three"), F.lit(extend))
+    return _ends(variants, runs, w["beg0"], w["end0"], ("five", "three", *carry))
+
+
+def _deletion_call(q_lo: Column, q_hi: Column, extend: int, slack: int) -> Column:
+    fiv, thr = F.least(F.col("five"), F.lit(extend)), F.when(F.col("three") > 1000, extend).otherwise(F.col("three"))
+    return interval.deletion_span_call(F.abs(q_hi - q_lo) - (fiv + thr - 10), F.col("len"), slack)
+
+
 def genotype_del(variants: DataFrame, runs: DataFrame, extend: int = 1000, slack: int = 13) -> DataFrame:
     """(key, sample, gt) of deletions (with five and three, the flanks' lengths) by the query span between the flanks; 'window'
     where the alignment itself has to be looked at (window_identity)."""
-    w = interval.flank_window_del(F.col("beg"), F.col("fin"), F.col("five"), F.col("three"), F.lit(extend))
-    ends = _ends(variants, runs, w["beg0"], w["end0"])
-    both = ends.join(variants.select(*KEY, "five", "three"), KEY)
-    fiv, thr = F.least(F.col("five"), F.lit(extend)), F.when(F.col("three") > 1000, extend).otherwise(F.col("three"))
-    span = F.abs(F.col("q_hi") - F.col("q_lo")) - (fiv + thr - 10)
-    return both.select(*KEY, "sample", interval.deletion_span_call(span, F.col("len"), slack).alias("gt"))
+    ends = _deletion_ends(variants, runs, extend)
+    both = ends.groupBy(*KEY, "five", "three", "sample").agg(_end(False).alias("lo"), _end(True).alias("hi")).where("lo IS NOT NULL AND hi IS NOT NULL")
+    return both.select(*KEY, "sample", _deletion_call(F.col("lo"), F.col("hi"), extend, slack).alias("gt"))
 
 
 def insertion_spans(variants: DataFrame, runs: DataFrame) -> DataFrame:
@@ -107,7 +120,7 @@ def genotype_insertions(variants: DataFrame, runs: DataFrame, sequences: DataFra
     the genome in which the insertion was found, with the flanks. Ranges of sequences are cut from chunks. A contig without sequence gives
     '.|.'; a flank that begins before its contig is shorter."""
     known = carriers(variants)
-    spans = _others(insertion_spans(variants, runs), known).withColumn("gt", _insertion_call(slack, far))
+    spans = settled(_others(insertion_spans(variants, runs), known).withColumn("gt", _insertion_call(slack, far)), "spans")
     parts = chunked(sequences.select("sample", "contig", "seq"), ("sample", "contig"))
     flank = interval.flank_bucket_ins(F.col("len"))
     genome = F.split_part("query", F.lit("."), F.lit(1))
@@ -160,27 +173,47 @@ def row_windows(a: Column, b: Column, first: Column, second: Column) -> Column:
     return _rates({k: t[k] for k in ("h5", "m5", "hr", "mr", "h3", "m3")}, first, second - first, total - second)
 
 
-def deletion_windows(variants: DataFrame, blocks: DataFrame, flank: Column | None = None, width: int = 512) -> DataFrame:
-    """(key, sample, id5, ov5, region, id3, ov3) of each variant and sample with an aligned base within the flanks: blocks are cut
-    into pieces, pieces meet variants by bins, tallies are summed. Bases in no block count as not aligned."""
+TALLIES = ("h5", "m5", "hr", "mr", "h3", "m3")
+
+
+def _deletion_tallies(variants: DataFrame, blocks: DataFrame, flank: Column | None, width: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, carry, sample, lo, hi, tallies) of each piece of a block that meets a variant's flanks lo..hi: pieces meet variants by bins."""
     size = interval.flank_bucket_del(F.col("len")) if flank is None else flank
-    v = variants.select(*KEY, F.greatest(F.lit(0), F.col("beg") - 1 - size).cast("long").alias("lo"), (F.col("fin") + size).cast("long").alias("hi"))
+    v = variants.select(*KEY, *carry, F.greatest(F.lit(0), F.col("beg") - 1 - size).cast("long").alias("lo"), (F.col("fin") + size).cast("long").alias("hi"))
     parts = posmap.pieces(blocks, width).where("t_end > t_start").select("contig", "sample", "t_start", "t_end", "t_text", "q_text")
     met = intervals.overlap_join(v, parts, max(1024, width), a_iv=("lo", "hi"), b_iv=("t_start", "t_end"))
     met = met.withColumn("x", _tally(F.col("t_text"), F.col("q_text"), F.col("t_start"), F.col("lo"), F.col("beg") - 1, F.col("fin"), F.col("hi")))
-    sums = met.groupBy(*KEY, "sample", "lo", "hi").agg(*[F.sum(f"x.{k}").alias(k) for k in ("h5", "m5", "hr", "mr", "h3", "m3")])
-    rates = _rates({k: F.col(k) for k in ("h5", "m5", "hr", "mr", "h3", "m3")}, F.col("beg") - 1 - F.col("lo"), F.col("fin") - F.col("beg") + 1, F.col("hi") - F.col("fin"))
-    return sums.select(*KEY, "sample", rates.alias("r")).select(*KEY, "sample", "r.*")
+    return met.select(*KEY, *carry, "sample", "lo", "hi", *[F.col(f"x.{k}").alias(k) for k in TALLIES])
+
+
+def _deletion_rates() -> Column:
+    return _rates({k: F.col(k) for k in TALLIES}, F.col("beg") - 1 - F.col("lo"), F.col("fin") - F.col("beg") + 1, F.col("hi") - F.col("fin"))
 
 
-def genotype_deletions(variants: DataFrame, blocks: DataFrame, extend: int = 1000, slack: int = 13, flank: Column | None = None) -> DataFrame:
+def deletion_windows(variants: DataFrame, blocks: DataFrame, flank: Column | None = None, width: int = 512) -> DataFrame:
+    """(key, sample, id5, ov5, region, id3, ov3) of each variant and sample with an aligned base within the flanks: blocks are cut
+    into pieces, tallies are summed. Bases in no block count as not aligned."""
+    sums = _deletion_tallies(variants, blocks, flank, width).groupBy(*KEY, "sample", "lo", "hi").agg(*[F.sum(k).alias(k) for k in TALLIES])
+    return sums.select(*KEY, "sample", _deletion_rates().alias("r")).select(*KEY, "sample", "r.*")
+
+
+def genotype_deletions(variants: DataFrame, blocks: DataFrame, extend: int = 1000, slack: int = 13, flank: Column | None = None, width: int = 512) -> DataFrame:
     """(key, sample, gt) of deletions (with five and three), all decided: genomes among the members carry it; else by the query span where
     both ends are mapped and the span is clear, else by the alignment between the flanks. A sample without aligned base there has no
-    row; pivot fills '.|.'."""
-    known = carriers(variants)
-    spans = _others(genotype_del(variants, posmap.position_runs(blocks), extend, slack).where("gt <> 'window'"), known)
-    seen = _others(deletion_windows(variants, blocks, flank), known).select(*KEY, "sample", window_call().alias("gt"))
-    return _carried(known).unionByName(spans).unionByName(seen.join(spans, [*KEY, "sample"], "left_anti"))
+    row; pivot fills '.|.'.
+
+    The ends that are mapped and the tallies of the pieces meet in one aggregation; who carries a variant is told by the row itself."""
+    given = settled(variants.withColumn("members", F.col("members") if "members" in variants.columns else F.array().cast("array<string>")), "variants")
+    ends = _deletion_ends(given, posmap.position_runs(blocks), extend, ("members",)).drop("n")
+    tallies = _deletion_tallies(given, blocks, flank, width, ("five", "three", "members"))
+    rows = ends.unionByName(tallies, allowMissingColumns=True).where(~carries(F.col("members"), F.col("sample")))
+    # lo and hi follow from the key; rows of ends do not have them
+    met = rows.groupBy(*KEY, "five", "three", "sample").agg(_end(False).alias("q_lo"), _end(True).alias("q_hi"), F.max("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(k).alias(k) for k in TALLIES])
+    span = _deletion_call(F.col("q_lo"), F.col("q_hi"), extend, slack)
+    met = met.withColumns({"span": F.when(F.col("q_lo").isNotNull() & F.col("q_hi").isNotNull(), F.nullif(span, F.lit("window"))), "r": F.when(F.col("lo").isNotNull(), _deletion_rates())})
+    seen = F.when(F.col("r").isNotNull(), window_call(*[F.col(f"r.{c}") for c in ("id5", "ov5", "region", "id3", "ov3")]))
+    decided = met.select(*KEY, "sample", F.coalesce("span", seen).alias("gt")).where("gt IS NOT NULL")
+    return _carried(carriers(given)).unionByName(decided)
 
 
 def window_identity(blocks: DataFrame, first: Column, second: Column) -> DataFrame:
@@ -193,10 +226,10 @@ def window_identity(blocks: DataFrame, first: Column, second: Column) -> DataFra
     ).select("block", "r.*")
 
 
-def window_call(identity: float = 0.9, overlap: float = 0.2, hi: float = 0.5, lo: float = 0.1) -> Column:
-    """The deletion's call from window_identity: both flanks must be there, then a covered region is the reference."""
-    flanks = (F.col("id5") >= identity) & (F.col("id3") >= identity) & (F.col("ov5") >= overlap) & (F.col("ov3") >= overlap)
-    return F.when(flanks & (F.col("region") >= hi), "0|0").when(flanks & (F.col("region") < lo), "1|1").otherwise(".|.")
+def window_call(id5: Column, ov5: Column, region: Column, id3: Column, ov3: Column, identity: float = 0.9, overlap: float = 0.2, hi: float = 0.5, lo: float = 0.1) -> Column:
+    """The deletion's call from the rates of its windows: both flanks must be there, then a covered region is the reference."""
+    flanks = (id5 >= identity) & (id3 >= identity) & (ov5 >= overlap) & (ov3 >= overlap)
+    return F.when(flanks & (region >= hi), "0|0").when(flanks & (region < lo), "1|1").otherwise(".|.")
 
 
 def genotype_inv(variants: DataFrame, alignments: DataFrame, bin_size: int = 1024) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.functions.seq import revcomp
+from genoweave.operators.lineage import settled
 from genoweave.operators.seqs import chunked, letters
 
 
@@ -152,17 +153,20 @@ def with_sequences(calls: DataFrame, targets: DataFrame, queries: DataFrame) ->
     (t5, t3, q5, q3); on the minus strand the query's are reverse-complemented. targets and queries are (contig, seq), cut into chunks.
 
     Where a contig begins less than 20 letters before, there are fewer."""
-    out = calls
+    rows = settled(calls.withColumn("__id", F.monotonically_increasing_id()), "calls")
+    out = rows
     for seqs, name, st, en, marks in ((targets, "net", "g_start", "g_end", ("ref_seq", "t5", "t3")), (queries, "g_name", "g_q0", "g_q1", ("query_seq", "q5", "q3"))):
-        parts = chunked(seqs.select(F.col("contig").alias(name), "seq"), (name,))
-        size = F.col(en) - F.col(st)
-        out = out.withColumns({"__a": F.col(st), "__b": F.when(size < LONG, F.col(en) + 1).otherwise(F.col(st) + ENDS), "__c": F.when(size >= LONG, F.col(en) - ENDS), "__5": F.col(st) - 20, "__3": F.col(en) + 20})
-        for column, a, b in (("__head", "__a", "__b"), ("__tail", "__c", en), (marks[1], "__5", st), (marks[2], en, "__3")):
-            out = letters(out, parts, column, a, b, (name,))
-        whole = F.when(F.col("__c").isNull(), F.col("__head")).otherwise(F.concat("__head", F.lit("N" * 10), "__tail"))
-        out = out.withColumn(marks[0], whole).drop("__a", "__b", "__c", "__5", "__3", "__head", "__tail")
+        # the four stretches of each call are looked up at once
+        a, b, size = F.col(st), F.col(en), F.col(en) - F.col(st)
+        part = lambda mark, lo, hi: F.struct(F.lit(mark).alias("mark"), lo.cast("long").alias("__a"), hi.cast("long").alias("__b"))
+        each = F.array(part("head", a, F.when(size < LONG, b + 1).otherwise(a + ENDS)), part("tail", F.when(size >= LONG, b - ENDS), b), part("5", a - 20, a), part("3", b, b + 20))
+        ranges = rows.select("__id", name, F.explode(each).alias("r")).select("__id", name, "r.*")
+        found = letters(ranges, chunked(seqs.select(F.col("contig").alias(name), "seq"), (name,)), "s", "__a", "__b", (name,))
+        wide = found.groupBy("__id").agg(*[F.max(F.when(F.col("mark") == m, F.col("s"))).alias(c) for m, c in (("head", "__head"), ("tail", "__tail"), ("5", marks[1]), ("3", marks[2]))])
+        whole = F.when(size < LONG, F.col("__head")).otherwise(F.concat("__head", F.lit("N" * 10), "__tail"))
+        out = out.join(wide, "__id").withColumn(marks[0], whole).drop("__head", "__tail")
     turn = lambda c: F.when(F.col("strand").contains("-"), revcomp(F.col(c))).otherwise(F.col(c))
-    return out.withColumns({c: turn(c) for c in ("query_seq", "q5", "q3")})
+    return out.withColumns({c: turn(c) for c in ("query_seq", "q5", "q3")}).drop("__id")
 
 
 def call_trl(nodes: DataFrame, least: int = 5000) -> DataFrame:

@@ -480,6 +480,26 @@ def _(top: DataFrame, gap: DataFrame, child: DataFrame) -> DataFrame:
     return nets.call_trl(assess.net_nodes(top, gap, child)).select("net", "t_start", "t_end", "class", "depth")
 
 
+@query("pairwise_sequences", "v_top v_gap v_child v_seq", f"""
+    WITH {SUMS}, refs AS (SELECT string_agg(seq, '' ORDER BY contig) AS seq FROM v_seq WHERE contig < 64), f AS (SELECT fill, net FROM v_top WHERE ali >= 20000),
+    g AS (SELECT g.gap, f.net, f.fill, g.t_start, g.t_len, g.q_len FROM v_gap g JOIN f ON f.fill = g.fill), k AS (SELECT gap, n, inv_len, ali FROM s),
+    c AS (SELECT g.*, g.gap * 31 % 1900 AS a, g.gap * 31 % 1900 + g.t_len % 90 AS b, g.gap * 17 % 1900 AS qa, g.gap * 17 % 1900 + g.q_len % 70 AS qb, g.gap % 2 = 1 AS back, refs.seq FROM g CROSS JOIN refs),
+    x AS (SELECT *, substring(seq, CAST(a + 1 AS INTEGER), CAST(b + 1 - a AS INTEGER)) AS ref_seq, substring(seq, CAST(greatest(0, a - 20) + 1 AS INTEGER), CAST(a - greatest(0, a - 20) AS INTEGER)) AS t5, substring(seq, CAST(b + 1 AS INTEGER), 20) AS t3,
+        substring(seq, CAST(qa + 1 AS INTEGER), CAST(qb + 1 - qa AS INTEGER)) AS qs, substring(seq, CAST(greatest(0, qa - 20) + 1 AS INTEGER), CAST(qa - greatest(0, qa - 20) AS INTEGER)) AS p5, substring(seq, CAST(qb + 1 AS INTEGER), 20) AS p3 FROM c)
+    SELECT gap, fill, ref_seq, nullif(t5, '') AS t5, t3, CASE WHEN back THEN reverse(translate(qs, 'ACGT', 'TGCA')) ELSE qs END AS query_seq, nullif(CASE WHEN back THEN reverse(translate(p5, 'ACGT', 'TGCA')) ELSE p5 END, '') AS q5, CASE WHEN back THEN reverse(translate(p3, 'ACGT', 'TGCA')) ELSE p3 END AS q3 FROM x""")
+def _(top: DataFrame, gap: DataFrame, child: DataFrame, seqs: DataFrame) -> DataFrame:
+    """Every called gap once, with the letters of the gap and its flanks on both genomes; places are brought onto contigs of 2,048 letters."""
+    number = lambda c: F.split_part(c, F.lit(":"), F.lit(2)).cast("long").alias(c)
+    found = nets.call_sv(assess.net_nodes(top, gap, child)).where("svtype <> 'INV' AND svtype NOT LIKE 'DEL_CNV' AND svtype <> 'DEL_invCNV'")
+    found = found.select("net", number("gap"), number("fill"), "strand", (F.col("g_end") - F.col("g_start")).alias("t_len"), (F.col("g_q1") - F.col("g_q0")).alias("q_len"))
+    a, q = F.col("gap") * 31 % 1900, F.col("gap") * 17 % 1900
+    calls_ = found.withColumns({"g_start": a, "g_end": a + F.col("t_len") % 90, "g_name": F.concat(F.lit("q"), (F.col("gap") % 3).cast("string")), "g_q0": q, "g_q1": q + F.col("q_len") % 70, "strand": F.when(F.col("gap") % 2 == 1, "-").otherwise("+")})
+    whole = seqs.where("contig < 64").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("contig", "seq"))), lambda x: x["seq"]), "").alias("seq"))
+    targets = found.select(F.col("net").alias("contig")).distinct().join(F.broadcast(whole))  # one sequence of 64 digests under every name
+    queries = found.select(F.concat(F.lit("q"), (F.col("gap") % 3).cast("string")).alias("contig")).distinct().join(F.broadcast(whole))
+    return nets.with_sequences(calls_, targets, queries).select("gap", "fill", "ref_seq", "t5", "t3", "query_seq", "q5", "q3")
+
+
 # ---- greedy folds (no SQL; tests compare them with plain walks)
 
 

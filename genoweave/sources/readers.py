@@ -30,9 +30,9 @@ def fetch(ranges: DataFrame, seqs: DataFrame, iv: tuple[str, str] = ("st", "en")
     return letters(ranges, chunked(seqs.select("contig", "seq")), "seq", *iv)
 
 
-def fasta_range(seqs: DataFrame, spec: str, masked: DataFrame | None = None) -> DataFrame:
+def fasta_range(seqs: DataFrame, spec: str, masked: DataFrame | None = None, fill: str = "") -> DataFrame:
     """The part of each sequence that a suffix [from,to] names (1-based, closed), reverse-complemented if it ends in -; in the letters of
-    masked ranges (contig, st, en: 0-based, half-open) lower case, if they are given."""
+    masked ranges (contig, st, en: 0-based, half-open) lower case, or all `fill` ("X" hides them), if they are given."""
     import re
 
     from genoweave.functions.seq import revcomp
@@ -44,7 +44,8 @@ def fasta_range(seqs: DataFrame, spec: str, masked: DataFrame | None = None) ->
         spots = masked.groupBy("contig").agg(F.array_sort(F.collect_list(F.struct("st", "en"))).alias("__m"))
         part = lambda a, b: F.substring("seq", (a + 1).cast("int"), F.greatest(F.lit(0), (b - a).cast("int")))
         first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-        add = lambda acc, x: F.struct(F.greatest(acc["at"], x["en"]).alias("at"), F.concat(acc["out"], part(acc["at"], x["st"]), F.lower(part(F.greatest(acc["at"], x["st"]), x["en"]))).alias("out"))
+        hidden = lambda s: F.repeat(F.lit(fill), F.length(s)) if fill else F.lower(s)
+        add = lambda acc, x: F.struct(F.greatest(acc["at"], x["en"]).alias("at"), F.concat(acc["out"], part(acc["at"], x["st"]), hidden(part(F.greatest(acc["at"], x["st"]), x["en"]))).alias("out"))
         whole = F.aggregate("__m", first, add, lambda acc: F.concat(acc["out"], part(acc["at"], F.length("seq").cast("long"))))
         seqs = seqs.join(spots, "contig", "left").withColumn("seq", F.when(F.col("__m").isNull(), F.col("seq")).otherwise(whole)).drop("__m")
     seq = F.col("seq") if not m[1] else F.substring("seq", int(m[1]), int(m[2]) - int(m[1]) + 1)
@@ -167,7 +168,7 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_alignments(spark: SparkSession, path: str) -> DataFrame:
-    """PAF or SAM lines as target and query intervals: a sign in the fifth field is a strand, so the line is PAF."""
+    """(value, format, qname): PAF or SAM lines, told apart: a sign in the fifth field is a strand, so the line is PAF."""
     lines = _lines(spark, path).where("value NOT LIKE '@%'")
     parts = F.split("value", "\t")
     is_paf = F.try_element_at(parts, F.lit(5)).isin("+", "-")

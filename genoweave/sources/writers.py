@@ -10,22 +10,43 @@ from genoweave.functions import interval, variants
 
 # Meta lines of the variant files written.
 SV_META = (
-    "##fileformat=VCFv4.2",
+    '##INFO=<ID=BKPTID,Number=.,Type=String,Description="ID of the assembled alternate allele in the assembly file">',
+    '##INFO=<ID=CIEND,Number=2,Type=Integer,Description="Confidence interval around END for imprecise variants">',
+    '##INFO=<ID=CIPOS,Number=2,Type=Integer,Description="Confidence interval around POS for imprecise variants">',
+    '##INFO=<ID=END,Number=1,Type=Integer,Description="End position of the variant described in this record">',
+    '##INFO=<ID=HOMLEN,Number=.,Type=Integer,Description="Length of base pair identical micro-homology at event breakpoints">',
+    '##INFO=<ID=HOMSEQ,Number=.,Type=String,Description="Sequence of base pair identical micro-homology at event breakpoints">',
+    '##INFO=<ID=SVLEN,Number=.,Type=Integer,Description="Difference in length between REF and ALT alleles">',
     '##INFO=<ID=SVTYPE,Number=1,Type=String,Description="Type of structural variant">',
-    '##INFO=<ID=END,Number=1,Type=Integer,Description="End position of the variant">',
-    '##INFO=<ID=SVLEN,Number=1,Type=Integer,Description="Length of the variant">',
+    '##ALT=<ID=DEL,Description="Deletion">',
+    '##ALT=<ID=DEL:ME:ALU,Description="Deletion of ALU element">',
+    '##ALT=<ID=DEL:ME:L1,Description="Deletion of L1 element">',
+    '##ALT=<ID=DUP,Description="Duplication">',
+    '##ALT=<ID=DUP:TANDEM,Description="Tandem Duplication">',
+    '##ALT=<ID=INS,Description="Insertion of novel sequence">',
+    '##ALT=<ID=INS:ME:ALU,Description="Insertion of ALU element">',
+    '##ALT=<ID=INS:ME:L1,Description="Insertion of L1 element">',
+    '##ALT=<ID=INV,Description="Inversion">',
+    '##ALT=<ID=CNV,Description="Copy number variable region">',
     '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
     '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="Genotype quality">',
+    '##FORMAT=<ID=CN,Number=1,Type=Integer,Description="Copy number genotype for imprecise events">',
+    '##FORMAT=<ID=CNQ,Number=1,Type=Float,Description="Copy number genotype quality for imprecise events">',
 )
 SNP_META = (
-    "##fileformat=VCFv4.2",
-    '##INFO=<ID=NS,Number=1,Type=Integer,Description="Number of samples with data">',
-    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Total depth">',
-    '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">',
+    "##phasing=phased",
+    '##INFO=<ID=NS,Number=1,Type=Integer,Description="Number of Samples With Data">',
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Total Depth">',
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele Frequency">',
+    '##INFO=<ID=AA,Number=1,Type=String,Description="Ancestral Allele">',
+    '##INFO=<ID=DB,Number=0,Type=Flag,Description="dbSNP membership, build 129">',
+    '##INFO=<ID=H2,Number=0,Type=Flag,Description="HapMap2 membership">',
+    '##FILTER=<ID=q10,Description="Quality below 10">',
+    '##FILTER=<ID=s50,Description="Less than 50% of samples have data">',
     '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
-    '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="Genotype quality">',
-    '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="Read depth">',
-    '##FORMAT=<ID=HQ,Number=2,Type=Integer,Description="Haplotype quality">',
+    '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="Genotype Quality">',
+    '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="Read Depth">',
+    '##FORMAT=<ID=HQ,Number=2,Type=Integer,Description="Haplotype Quality">',
 )
 
 
@@ -49,24 +70,29 @@ def variant_fasta(kind: Column, chrom: Column, pos: Column, id: Column, ref: Col
     return fasta_record(F.concat_ws("_", chrom, pos.cast("string"), id), F.when(kind == "DEL", ref).otherwise(alt), 1 << 30)
 
 
-def header(df: DataFrame, sizes: DataFrame, meta: tuple[str, ...], samples: list[str]) -> DataFrame:
-    """(part, contig, pos, line) of a variant file: meta lines, a line for each contig of sizes (name, length), the columns' names,
-    then the rows of df (contig, pos, line)."""
+def header(df: DataFrame, sizes: DataFrame, meta: tuple[str, ...], samples: list[str], reference: str = "", species: str = "", date: str = "") -> DataFrame:
+    """(part, contig, pos, line) of a variant file: version, meta lines, a line for each contig of sizes (name, length; in the order of their names), the columns' names, then
+    the rows of df (contig, pos, line; part 3). With a reference its name, the date (YYYY-MM-DD, if given) and the source follow the version, the contigs come before
+    the meta lines and tell assembly and species too."""
     spark = df.sparkSession
     names = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *samples])
-    fixed = spark.createDataFrame([(0, "", i, m) for i, m in enumerate(meta)] + [(2, "", 0, names)], "part int, contig string, pos long, line string")
-    contigs = sizes.select(F.lit(1).alias("part"), F.col("name").alias("contig"), F.lit(0).cast("long").alias("pos"), F.concat(F.lit("##contig=<ID="), "name", F.lit(",length="), F.col("length").cast("string"), F.lit(">")).alias("line"))
-    return fixed.unionByName(contigs).unionByName(df.select(F.lit(3).alias("part"), "contig", F.col("pos").cast("long").alias("pos"), "line"))
+    about = ([f"##fileDate={date}"] if date else []) + ["##source=genoweave", f"##reference={reference}"] if reference else []
+    fixed = [(-2, "", i, m) for i, m in enumerate(["##fileformat=VCFv4.2", *about])] + [(0, "", i, m) for i, m in enumerate(meta)] + [(2, "", 0, names)]
+    more = f',assembly={reference},md5=XXXXXXXX,species="{species}",taxonomy=x>' if reference else ">"
+    line = F.concat(F.lit("##contig=<ID="), "name", F.lit(",length="), F.col("length").cast("string"), F.lit(more))
+    contigs = sizes.select(F.lit(-1 if reference else 1).alias("part"), F.col("name").alias("contig"), F.lit(0).cast("long").alias("pos"), line.alias("line"))
+    top = spark.createDataFrame(fixed, "part int, contig string, pos long, line string")
+    return top.unionByName(contigs).unionByName(df.select(F.lit(3).alias("part"), "contig", F.col("pos").cast("long").alias("pos"), "line"))
 
 
-def sv_vcf(calls: DataFrame, sizes: DataFrame, samples: list[str]) -> DataFrame:
+def sv_vcf(calls: DataFrame, sizes: DataFrame, samples: list[str], **about: str) -> DataFrame:
     """The lines of a file of structural variants: calls (contig, beg, fin, len, kind, ref, alt and a genotype for each sample)."""
     cells = F.concat_ws("\t", *[F.concat(F.coalesce(F.col(s), F.lit(".|.")), F.lit(f":{variants.SV_QUAL}")) for s in samples])
     line = variants.sv_line(F.col("contig"), F.col("beg"), F.col("ref"), F.col("alt"), F.col("kind"), F.col("fin"), F.col("len"), cells)
-    return header(calls.select("contig", F.col("beg").alias("pos"), line.alias("line")), sizes, SV_META, samples)
+    return header(calls.select("contig", F.col("beg").alias("pos"), line.alias("line")), sizes, SV_META, samples, **about)
 
 
-def snp_vcf(matrix: DataFrame, sizes: DataFrame, samples: list[str]) -> DataFrame:
+def snp_vcf(matrix: DataFrame, sizes: DataFrame, samples: list[str], **about: str) -> DataFrame:
     """The lines of a file of single-base variants: matrix (contig, pos, ref, alt joined by commas, and a base for each sample, '-'
     where it has none). Frequencies are cut after two decimals, one for each allele."""
     alts = F.split("alt", ",")
@@ -76,7 +102,7 @@ def snp_vcf(matrix: DataFrame, sizes: DataFrame, samples: list[str]) -> DataFram
     af = F.array_join(F.transform(alts, lambda a: interval.af_text(count(a), F.size(held))), ",")
     calls = F.transform(known, lambda b: F.when(b == "-", None).when(b == F.col("ref"), 0).otherwise(F.nullif(F.array_position(alts, b), F.lit(0))).cast("int"))
     line = variants.snp_line(F.col("contig"), F.col("pos"), F.col("ref"), F.col("alt"), F.size(held), af, calls)
-    return header(matrix.select("contig", "pos", line.alias("line")), sizes, SNP_META, samples)
+    return header(matrix.select("contig", "pos", line.alias("line")), sizes, SNP_META, samples, **about)
 
 
 def write_lines(df: DataFrame, path: str, order: list[str], line: str = "line") -> None:

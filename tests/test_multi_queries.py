@@ -302,3 +302,86 @@ def test_region_rows_follow_the_blocks(rows_of):
                 assert part == p.get(g, "-" * n), (k, g)
                 at += n
         assert set(got[k]) == {g for _, p in pieces for g in p}
+
+
+def test_fused_blocks_are_those_of_the_list(spark, rows_of):
+    """Contig by contig, in order of the reference; the samples' rows can fill holes."""
+    from tests.test_fusing import key as fused_key
+    from tests.test_fusing import plain
+
+    own = [r["rows"] for r in catalog._pairwise(register(spark, str(SF), "v_multi")["v_multi"]).selectExpr("slice(rows, 2, 1) AS rows").withColumn("no", catalog.F.xxhash64(catalog.F.to_json("rows"))).orderBy("no").collect()]
+    orphans = [[r.asDict() for r in rows] for rows in own]
+    got, fused = {}, rows_of("fused_blocks")
+    for r in fused:
+        rows = json.loads(r["rows"])
+        got.setdefault(rows[0]["src"], []).append(fused_key(rows))
+    by = {}
+    for m in rows_of("merged_blocks"):
+        by.setdefault(m["contig"], []).append(json.loads(m["rows"]))
+    assert set(got) == set(by) and len(fused) < len(rows_of("merged_blocks")) / 2
+    for contig in sorted(by)[:4]:
+        want, _ = plain(sorted(by[contig], key=span), orphans)
+        assert sorted(fused_key(b) for b in want) == sorted(got[contig])
+
+
+def test_annotations_by_plain_rules(spark, rows_of):
+    """Classes from k-mers of the neighbourhood, shares from alignments in order that overlap the last kept one by at most a tenth."""
+    from genoweave.plans import annotate as annotation
+
+    views = register(spark, str(SF), "v_indel", "v_seq", "v_iv")
+    v, refs = catalog._marked(views["v_indel"], views["v_seq"])
+    seqs = {r["contig"]: r["seq"] for r in refs.collect()}
+    hits = {}
+    for r in catalog._hits(v, views["v_iv"]).collect():
+        hits.setdefault(r["qname"], []).append((r["qs"], r["qe"], r["tname"], r["qlen"]))
+    comp = str.maketrans("ACGTN", "TGCAN")
+
+    def share(a, b):
+        n = len(a) - 9
+        return sum(a[i : i + 10] in b for i in range(n)) / n if n > 0 else 0.0
+
+    def copy(r):
+        s, n, p = seqs[r["chrom"]], len(r["alt"]), r["pos"]
+        if n == 9:
+            return "NF"
+        five, three = s[max(0, p - n) : p], s[p : p + n]
+        for own, suffix in ((r["alt"], "DUP"), (r["alt"][::-1].translate(comp), "INVDUP")):
+            a, b = share(own, five), share(own, three)
+            if max(a, b) > 0.5:
+                return ("5" if a > b else "3") + suffix
+        return "NONDUP"
+
+    def text(rows, kind):
+        last, sums = None, {}
+        for st, en, name, size in sorted(rows):
+            if last and (min(en, last[1]) - max(st, last[0]) + 1) / (en - st + 1) > 0.1:
+                continue
+            last = (st, en)
+            sums.setdefault(kind(name), [0, size])[0] += en - st
+        return "(" + ";".join(f"{k}:{100 * n / size:.1f}%" for k, (n, size) in sorted(sums.items())) + ")" if sums else "NF"
+
+    found = rows_of("annotate")
+    for r in found:
+        own = hits.get(f"{r['chrom']}_{r['pos']}_{r['id']}", [])
+        genes = text([h for h in own if h[1] % 2 == 0], lambda n: n)
+        te = text(own, lambda n: n.split("#")[1].split("/")[0])
+        parts = r["info"].split(";", 1)[1]
+        assert parts == ";".join((copy(r), genes, te)), r
+    classes = {r["info"].split(";")[1] for r in found}
+    assert classes == {"5DUP", "3DUP", "5INVDUP", "3INVDUP", "NONDUP", "NF"}
+
+
+def test_inserted_sequences_decide_open_calls(spark, rows_of):
+    """Where the span decides, the call is that of genotype_ins; carriers have it; the others are told by an optimal alignment of the same letters."""
+    spans = {tuple(r[c] for c in ("contig", "beg", "fin", "len", "kind", "sample")): r["gt"] for r in rows_of("genotype_ins")}
+    got = {tuple(r[c] for c in ("contig", "beg", "fin", "len", "kind", "sample")): r["gt"] for r in rows_of("genotype_insertions")}
+    carried = {k for k in got if k[-1] == f"S{k[1] % 6}"}
+    assert all(got[k] == "1|1" for k in carried) and set(got) == set(spans) | carried
+    opened = 0
+    for k, gt in spans.items():
+        if gt != "window":
+            assert got[k] == gt
+        else:
+            opened += 1
+            assert got[k] in ("0|0", "1|1", ".|.")
+    assert opened > 20

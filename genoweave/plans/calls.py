@@ -75,6 +75,16 @@ def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quali
     return ran.join(change, "of", "left").withColumn("depth", F.col("over") + F.coalesce("d", F.lit(0))).drop("of", "over", "d", "o_ts", "o_te")
 
 
+def call_statistics(calls: DataFrame, gap: int = 50, long: int = 1000) -> DataFrame:
+    """(kind, within, n) of calls (of call_variants) of depth 1: substitutions as transitions (ts) and others (tv), insertions and deletions by the length they are
+    at most: 1, 2, under `gap`, under `long`, or more (NULL). Add covered_once for the bases that exactly one alignment covers."""
+    one = calls.where("depth <= 1 AND NOT (ref = '-' AND alt = '-')")
+    kind = F.when(F.col("ref") == "-", "ins").when(F.col("alt") == "-", "del").when(F.lower(F.concat("ref", "alt")).isin("ag", "ga", "ct", "tc"), "ts").otherwise("tv")
+    size = F.when(F.col("ref") == "-", F.length("alt")).when(F.col("alt") == "-", F.length("ref"))
+    within = F.when(size == 1, 1).when(size == 2, 2).when(size < gap, gap - 1).when(size < long, long - 1)
+    return one.groupBy(kind.alias("kind"), within.alias("within")).agg(F.count("*").alias("n"))
+
+
 def call_lines(calls: DataFrame, references: DataFrame) -> DataFrame:
     """(contig, pos, line) of a variant file of calls of depth 1: gaps take the reference's letter before them (references: contig, seq)."""
     one = calls.where("depth = 1")

@@ -846,6 +846,13 @@ def _(blk: DataFrame) -> DataFrame:
     return multi.evidence(found, _pairwise(blk).select("rows"), bin_size=64).select("id", F.size("rows").alias("n"), "share")
 
 
+@query("covered_blocks", "v_multi")
+def _(blk: DataFrame) -> DataFrame:
+    """The parts of a sample's blocks that another one's, single-covered, lie on."""
+    once = _once(blk).where("sample = 'S2'").select("rows")
+    return multi.covered(_pairwise(blk.where("sample = 'S1'")).select("rows"), once, bin_size=64).select("score", F.to_json("rows").alias("rows"))
+
+
 @query("nested_blocks", "v_multi")
 def _(blk: DataFrame) -> DataFrame:
     """The lists of two samples as they come, not single-covered: every overlap is joined, and what no join used stays."""
@@ -866,18 +873,29 @@ def _paf(iv: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["id"])
 
 
-@query("paf_variants", "v_iv", f"""
-    WITH {PAF}, u AS (SELECT DISTINCT * FROM p),
+CALLED = f"""WITH {PAF}, u AS (SELECT DISTINCT * FROM p),
     d AS (SELECT id, tname, ts + qty AS st, ts + qty + 1 AS en, 'a' AS ref, 'c' AS alt, ts, te, CASE WHEN strand = '-' THEN qe - qty - 1 ELSE qs + qty END AS qs FROM u
         UNION ALL SELECT id, tname, ts + 2 * qty + 1, ts + 2 * qty + 3, 'gg', '-', ts, te, CASE WHEN strand = '-' THEN qe - 2 * qty - 1 ELSE qs + 2 * qty + 1 END FROM u
         UNION ALL SELECT id, tname, ts + 2 * qty + 3, ts + 2 * qty + 3, '-', 'tt', ts, te, CASE WHEN strand = '-' THEN qe - 2 * qty - 3 ELSE qs + 2 * qty + 1 END FROM u),
     m AS (SELECT d.id, d.st, d.ref, count(*) AS more FROM d JOIN u j ON j.tname = d.tname AND j.id <> d.id AND j.ts <= d.st AND j.te >= d.st
-        WHERE CASE WHEN (j.ts, j.te, j.id) < (d.ts, d.te, d.id) THEN j.te > d.st ELSE j.te >= d.en AND j.ts < d.en END GROUP BY 1, 2, 3)
+        WHERE CASE WHEN (j.ts, j.te, j.id) < (d.ts, d.te, d.id) THEN j.te > d.st ELSE j.te >= d.en AND j.ts < d.en END GROUP BY 1, 2, 3)"""
+
+
+@query("paf_variants", "v_iv", f"""
+    {CALLED}
     SELECT d.id, d.tname AS contig, d.st, d.en, d.ref, d.alt, d.qs, coalesce(m.more, 0) + 1 AS depth FROM d LEFT JOIN m ON m.id = d.id AND m.st = d.st AND m.ref = d.ref""")
 def _(iv: DataFrame) -> DataFrame:
     return calls.call_variants(_paf(iv), cover=1, long=1, bin_size=256).select("id", "contig", "st", "en", "ref", "alt", "qs", "depth")
 
 
+@query("call_statistics", "v_iv", f"""
+    {CALLED}, c AS (SELECT d.* FROM d LEFT JOIN m ON m.id = d.id AND m.st = d.st AND m.ref = d.ref WHERE coalesce(m.more, 0) = 0)
+    SELECT kind, within, count(*) AS n FROM (SELECT CASE WHEN ref = '-' THEN 'ins' WHEN alt = '-' THEN 'del' WHEN ref || alt IN ('ag', 'ga', 'ct', 'tc') THEN 'ts' ELSE 'tv' END AS kind,
+        CASE WHEN ref = '-' THEN length(alt) WHEN alt = '-' THEN length(ref) END AS within FROM c) GROUP BY kind, within""")
+def _(iv: DataFrame) -> DataFrame:
+    return calls.call_statistics(calls.call_variants(_paf(iv), cover=1, long=1, bin_size=256))
+
+
 @query("paf_covered_once", "v_iv", """
     WITH u AS (SELECT DISTINCT id, contig, st, en FROM v_iv WHERE qty >= 2), e AS (SELECT contig, st AS pos, 1 AS d, CASE WHEN en - st >= 100 THEN 1 ELSE 0 END AS l FROM u UNION ALL SELECT contig, en, -1, CASE WHEN en - st >= 100 THEN -1 ELSE 0 END FROM u),
     s AS (SELECT contig, pos, sum(d) AS d, sum(l) AS l FROM e GROUP BY contig, pos),

@@ -36,7 +36,7 @@ def test_same_rows(spark, duck, name):
 def test_queries_without_sql_have_tests_of_their_own():
     """They are compared row by row with plain walks in test_multi_queries.py and test_folds.py."""
     assert set(catalog.QUERIES) - set(catalog.ORACLE) == {
-        "annotate", "evidence", "fused_blocks", "genotype_insertions", "global_align", "merge_insertions", "merged_blocks", "nested_blocks", "region_rows", "single_coverage",
+        "annotate", "covered_blocks", "evidence", "fused_blocks", "genotype_insertions", "global_align", "merge_insertions", "merged_blocks", "nested_blocks", "region_rows", "single_coverage",
     }
 
 

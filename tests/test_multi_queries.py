@@ -252,6 +252,20 @@ def test_nested_blocks_are_the_walk(view, rows_of):
     assert len({(r["src"], p) for b in both for r in b[:1] for p in range(*span(b))}) < sum(b[0]["size"] for b in both)
 
 
+def test_covered_parts_are_the_walk(view, rows_of):
+    over = {}
+    for r in rows_of("single_coverage"):
+        if r["contig"].startswith("S2."):
+            over.setdefault("ref." + r["contig"].split(".")[1], []).append((r["t_start"], r["t_start"] + len(letters(r["t_text"]))))
+    want = []
+    for b in view:
+        if b["sample"] == "S1":
+            rows = as_rows(b)
+            want += [key(sliced(rows, max(p, span(rows)[0]), min(q, span(rows)[1]))) for p, q in over.get(rows[0]["src"], ()) if p < span(rows)[1] and span(rows)[0] < q]
+    got = rows_of("covered_blocks")
+    assert sorted(key(json.loads(r["rows"])) for r in got) == sorted(want) and len(want) > 100
+
+
 def test_scores_are_those_of_all_pairs_of_rows(rows_of):
     opens = {(0, 0, 0, 1), (0, 0, 1, 0), (0, 1, 1, 0), (1, 0, 0, 1), (1, 1, 0, 1), (1, 1, 1, 0)}
     for r in random.Random(4).sample(rows_of("nested_blocks"), 100):

@@ -119,3 +119,12 @@ def test_alleles_of_nine_letters_get_no_class(spark):
     refs = spark.createDataFrame([("c", "ACGT" * 50)], "contig string, seq string")
     none = spark.createDataFrame([], "qname string, qlen long, qs long, qe long, tname string")
     assert {r["id"]: r["info"] for r in annotate.annotate(v, refs, none, none, "INS").collect()} == {"A": "i;NF;NF;NF", "B": "i;NONDUP;NF;NF"}
+
+
+def test_call_statistics_by_length(spark):
+    from genoweave.plans import calls
+
+    rows = [("a", "g", 1), ("a", "c", 1), ("T", "C", 1), ("-", "a", 1), ("-", "ac", 1), ("-", "a" * 3, 1), ("-", "a" * 49, 1), ("g" * 50, "-", 1), ("g" * 999, "-", 1), ("g" * 1000, "-", 1), ("-", "-", 1), ("a", "g", 2)]
+    df = spark.createDataFrame(rows, "ref string, alt string, depth int")
+    got = {(r["kind"], r["within"]): r["n"] for r in calls.call_statistics(df).collect()}
+    assert got == {("ts", None): 2, ("tv", None): 1, ("ins", 1): 1, ("ins", 2): 1, ("ins", 49): 2, ("del", 999): 2, ("del", None): 1}

@@ -186,3 +186,47 @@ def test_band_follows_the_shared_row():
     long = text(400)
     rows = aligners.align_blocks([long, long], [long[:200] + "-" * 60 + long[200:], long[:200] + text(60) + long[200:]])
     assert rows[0].replace("-", "") == long and rows[0].count("-") == 60 and len(rows) == 3
+
+
+def best_within(a, b, low, high):
+    """The optimum over all ways that stay in a band."""
+    k, l, m, n = len(a), len(b), len(a[0]), len(b[0])  # noqa: E741
+    best = [-(10**9)]
+    opens = {tuple(map(bool, o)) for o in OPENS}
+
+    def go(i, j, before, total):
+        if i == m and j == n:
+            best[0] = max(best[0], total)
+            return
+        for di, dj in ((1, 1), (1, 0), (0, 1)):
+            p, q = i + di, j + dj
+            if p > m or q > n or not low[p] <= q <= high[p]:
+                continue
+            now = ([r[i] if di else "-" for r in a], [r[j] if dj else "-" for r in b])
+            add = sum(score(x, y) for x in now[0] for y in now[1])
+            begun = (q > 1) if di and dj else (0 < q < n) if di else (0 < p < m)
+            if before and begun:
+                add -= GAP_OPEN * sum((before[0][s] == "-", before[1][t] == "-", now[0][s] == "-", now[1][t] == "-") in opens for s in range(k) for t in range(l))
+            go(p, q, now, total + add)
+
+    go(0, 0, None, 0)
+    return best[0]
+
+
+@pytest.mark.parametrize("radius", [1, 2, 30])
+def test_a_third_block_guides_the_band(radius):
+    for _ in range(40):
+        one, two = text(rnd.randrange(1, 5)), text(rnd.randrange(1, 5))
+        a, b = block(one, rnd.randrange(0, 2), len(one) + rnd.randrange(0, 2)), block(two, rnd.randrange(0, 2), len(two) + rnd.randrange(0, 2))
+        # columns of dashes only are none of a block
+        a, b = ([["".join(r[c] for c in range(len(x[0])) if any(y[c] != "-" for y in x)) for r in x] for x in (a, b)][i] for i in (0, 1))
+        g, h, _ = aligners.align_pair(one, two)
+        low, high = aligners.guided_band(a[0], b[0], g, h, radius)
+        assert (low[0], high[-1]) == (0, len(b[0])) and (np.diff(low) >= 0).all() and (np.diff(high) >= 0).all()
+        got = aligners.align_guided(a, b, g, h, radius)
+        assert [r.replace("-", "") for r in got] == [r.replace("-", "") for r in [*a, *b]] and len({len(r) for r in got}) == 1
+        assert path_score(got, len(a)) == best_within(a, b, low, high)
+    # far from the diagonal the band follows the guide: the first 300 letters of one have no partner
+    x, y = text(300), text(200)
+    rows = aligners.align_guided([x + y, x + y], [y, y], x + y, "-" * 300 + y, 5)
+    assert rows[2] == "-" * 300 + y

@@ -102,17 +102,28 @@ def islands(a: DataFrame, by: tuple[str, ...] = ("contig",), touch: bool = True)
 def merge_intervals(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:
     """The union of intervals, as disjoint ones: joined if the earlier one's end is not before the later one's start.
 
-    Rows are merged inside tiles of a contig first, which are many and even; only what is left, the tiles' islands, is merged along the contig."""
-
-    def runs(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-        order = Window.partitionBy(*keys).orderBy("st", "en")
-        reach = F.max("en").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        new = df.withColumn("__new", F.when(reach.isNull() | (F.col("st") > reach), 1).otherwise(0))
-        numbered = new.withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        return numbered.groupBy(*keys, "__run").agg(F.min("st").alias("st"), F.max("en").alias("en")).select(*keys, "st", "en")
-
+    Rows are merged inside tiles of a contig, which are many and even. An island of a tile goes on an earlier tile's if it begins within the reach of all tiles before; such
+    islands come first in their tile, and the one that they go on is the last of the nearest earlier tile that has one of its own. So a table of one row for
+    each tile tells every island where it begins, and no contig is sorted as a whole."""
     tiled = a.select(*by, "st", "en").withColumn("__tile", F.floor(F.col("st") / TILE))
-    return runs(runs(tiled, (*by, "__tile")).drop("__tile"), by)
+    order = Window.partitionBy(*by, "__tile").orderBy("st", "en")
+    reach = F.max("en").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = tiled.withColumn("__new", F.when(reach.isNull() | (F.col("st") > reach), 1).otherwise(0))
+    numbered = new.withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands_ = numbered.groupBy(*by, "__tile", "__run").agg(F.min("st").alias("st"), F.max("en").alias("en"))
+    tiles = islands_.groupBy(*by, "__tile").agg(F.max("st").alias("__last"), F.max("en").alias("__to"))
+    before = Window.partitionBy(*by).orderBy("__tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = tiles.withColumn("__reach", F.max("__to").over(before))
+    own = F.when(F.col("__reach").isNull() | (F.col("__last") > F.col("__reach")), F.col("__last"))
+    names = [f"__k{i}" for i in range(len(by))]
+    tiles = tiles.withColumn("__head", F.max(own).over(before)).select(*[F.col(c).alias(k) for c, k in zip(by, names, strict=True)], F.col("__tile").alias("__t"), "__last", "__reach", "__head")
+    same = F.col("__tile").eqNullSafe(F.col("__t"))  # null-safe, so that no filter keeps the two readings of the islands from sharing one exchange
+    for c, k in zip(by, names, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    met = islands_.join(tiles, same)
+    goes_on = F.coalesce(F.col("st") <= F.col("__reach"), F.lit(False))
+    heads = met.select(*by, F.when(goes_on, F.col("__head")).otherwise(F.col("st")).alias("st"), "en")
+    return heads.groupBy(*by, "st").agg(F.max("en").alias("en")).select(*by, "st", "en")
 
 
 def cov_union(a: DataFrame, by: tuple[str, ...] = ("contig",)) -> DataFrame:

@@ -343,6 +343,10 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, parts: i
 # ---- near-duplicate documents at a shingle similarity
 
 
+#: Words whose hashes a task remembers: a worker's memory beside what it reads.
+KNOWN = 60_000
+
+
 def pack_text(docs: DataFrame, column: str = "text") -> DataFrame:
     """docs with the text compressed (zstd), for an exchange; null stays null. Column names without dots."""
     at = docs.columns.index(column)
@@ -475,7 +479,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     source = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = WordHashes(KNOWN)
         for batch in batches:
             for part in slices(batch):
                 ids, cls, sims, runs = [], [], [], []
@@ -490,6 +494,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
                     [pa.array(ids, pa.int64()), pa.array(cls, pa.binary()), pa.array(sims, pa.binary()), pa.array(runs, pa.list_(pa.int64()))],
                     ["key", "cls", "sim", "runs"],
                 )
+        pa.default_memory_pool().release_unused()  # workers live on: what Arrow keeps for them counts
 
     described = cut(source.mapInArrow(describe, "key long, cls binary, sim binary, runs array<long>"), "described")
     named = described.where("key is not null and cls <> X''")
@@ -500,18 +505,19 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, radi
     met = components(gph_links(items, radius, parts, reps.select("id", "sim"), threshold).select("a", "b"))
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = WordHashes(KNOWN)
         for batch in batches:
             for part in slices(batch):
                 sets = [shingle_set(known.of(words_of(t, lower=True)), size).tobytes() for t in unpacked(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["key", "set"])
+        pa.default_memory_pool().release_unused()
 
     # joins on keys of unproven number are sorted, never broadcast; texts cross the exchange compressed
     ends = met.select(F.col("node").alias("key"))
     sets = cut(pack_text(source).join(ends.hint("merge"), "key", "left_semi").mapInArrow(shingles, "key long, set binary").dropDuplicates(["key", "set"]), "sets")
     nodes = components(similar(sets, met, threshold))
     rooted = cut(classes.join(nodes, F.col("first") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "first").alias("root")), "rooted")
-    member = described.select("key", "cls").join(rooted, "cls", "left")
+    member = described.select("key", "cls").hint("merge").join(rooted.hint("merge"), "cls", "left")
     out = cut(member.select(F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id")), "groups")
     for table in (classes, reps, items, met, sets, nodes, described, rooted):
         drop_cut(table)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.functions import cigar
 from genoweave.operators import folds, intervals
-from genoweave.operators.lineage import settled
 from genoweave.operators.seqs import chunked, letters
 from genoweave.operators.tiles import beside
 
@@ -26,53 +31,123 @@ def covered_once(paf: DataFrame, long: int = 50_000) -> DataFrame:
     return runs.where("depth = 1 AND long = 1 AND en IS NOT NULL").select("contig", "st", "en")
 
 
-def differences(paf: DataFrame) -> DataFrame:
-    """Every difference in the cs of PAF rows (with id): id, contig, st, en, mapq, ref, alt, qname, qs, qe, strand, ts, te. Runs of an alignment's
-    operations are summed by a window, so a long alignment's are not kept in one row. Substitutions by n are left out."""
-    ops = paf.select("id", F.col("tname").alias("contig"), "ts", "te", "qname", F.col("qs").alias("q0"), F.col("qe").alias("q1"), "strand", "mapq", F.posexplode(cigar.cs_ops(F.col("cs"))).alias("no", "x"))
-    arg, op = F.col("x.arg"), F.col("x.op")
-    size = F.when(op == ":", arg.try_cast("long")).when(op == "*", 1).when(op == "~", F.regexp_extract(arg, r"(\d+)", 1).try_cast("long")).otherwise(F.length(arg))
-    order = Window.partitionBy("id").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda kinds: F.coalesce(F.sum(F.when(F.col("op").isin(*kinds), F.col("size")).otherwise(0)).over(order), F.lit(0))
-    wide = ops.withColumns({"op": op, "arg": arg, "size": size}).drop("x").withColumns({"t": before((":", "=", "*", "-", "~")), "q": before((":", "=", "*", "+"))})
-    on_t, on_q = F.when(F.col("op") == "+", 0).otherwise(F.col("size")), F.when(F.col("op") == "-", 0).otherwise(F.col("size"))
-    plus = F.col("strand") != "-"
-    qs = F.when(plus, F.col("q0") + F.col("q")).otherwise(F.col("q1") - F.col("q") - on_q)
-    sub = F.col("op") == "*"
-    ref = F.when(sub, F.substring("arg", 1, 1)).when(F.col("op") == "-", F.col("arg")).otherwise("-")
-    alt = F.when(sub, F.substring("arg", 2, 1)).when(F.col("op") == "+", F.col("arg")).otherwise("-")
-    found = wide.where("op IN ('*', '+', '-')").where(~(sub & F.lower("arg").contains("n")))
-    st = F.col("ts") + F.col("t")
-    return found.select("id", "contig", st.alias("st"), (st + on_t).alias("en"), "mapq", ref.alias("ref"), alt.alias("alt"), "qname", qs.alias("qs"), (qs + on_q).alias("qe"), "strand", "ts", "te")
-
-
-def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quality: int = 5, bin_size: int = 4096) -> DataFrame:
-    """Differences in alignments of at least `long` columns, with the number of alignments of at least `cover` columns over each (depth,
-    itself included). Calls are those of depth 1.
+#: Tiles in which depths are counted, and the longest cs (characters) that goes on uncut.
+DEPTH_TILE, UNCUT = 1 << 15, 1 << 12
+OPERATION = re.compile(r"(:[0-9]+|\*[a-z][a-z]|[=+-][A-Za-z]+|~[a-z]{2}[0-9]+[a-z]{2})")
+
+
+def _steps(cs: str) -> Iterator[tuple[str, str, int, int]]:
+    """(op, arg, target letters, query letters) of a cs (see cigar.cs_ops)."""
+    for x in OPERATION.findall(cs):
+        op, arg = x[0], x[1:]
+        n = int(arg) if op == ":" else 1 if op == "*" else int(arg[2:-2]) if op == "~" else len(arg)
+        yield op, arg, 0 if op == "+" else n, n if op in ":=*+" else 0
+
+
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alignments with where their cs begins (p_t, p_e: target, p_q: query letters before) and whether the row counts; a long cs goes in pieces behind a row without any."""
+    for batch in batches:
+        ts, te, cs = batch.column("ts"), batch.column("te"), batch.column("cs")
+        long = pc.fill_null(pc.greater(pc.binary_length(cs), UNCUT), False)
+        n = batch.num_rows
+        row = batch.set_column(batch.schema.get_field_index("cs"), "cs", pc.if_else(long, pa.scalar(None, cs.type), cs))
+        new = {"p_t": ts, "p_e": te, "p_q": pa.array([0] * n, pa.int64()), "counts": pa.array([True] * n)}
+        yield pa.RecordBatch.from_arrays([*row.columns, *new.values()], names=[*row.schema.names, *new])
+        for i in np.flatnonzero(long.to_numpy(zero_copy_only=False)):
+            rest, found = batch.slice(i, 1), []
+            t, q, begin, text = ts[i].as_py(), 0, None, []
+            for op, arg, on_t, on_q in _steps(cs[i].as_py()):
+                begin = begin or (t, q)
+                text.append(op + arg)
+                t, q = t + on_t, q + on_q
+                if len(text) == UNCUT // 8:
+                    found.append(("".join(text), begin[0], t, begin[1]))
+                    begin, text = None, []
+            if text:
+                found.append(("".join(text), begin[0], t, begin[1]))
+            for at in range(0, len(found), 256):
+                some = found[at : at + 256]
+                same = rest.take(pa.array([0] * len(some), pa.int64()))
+                same = same.set_column(same.schema.get_field_index("cs"), "cs", pa.array([f[0] for f in some], cs.type))
+                new = [pa.array([f[k] for f in some], pa.int64()) for k in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays([*same.columns, *new, pa.array([False] * len(some))], names=[*same.schema.names, "p_t", "p_e", "p_q", "counts"])
+
+
+def _depths(own: np.ndarray, st: np.ndarray, en: np.ndarray, ts: np.ndarray, te: np.ndarray, counts: np.ndarray, rank: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """The depth of each difference (its alignment's row, st, en) among the rows that count (see call_variants)."""
+    at = np.flatnonzero(counts)
+    by_end, by_start = at[np.argsort(te[at], kind="stable")], at[np.argsort(ts[at], kind="stable")]
+    ends, starts = te[by_end], ts[by_start]
+    depth = np.searchsorted(starts, st, "right") - np.searchsorted(ends, st, "right")
+    depth += te[own] <= st  # an insertion at its alignment's own end
+    flat = en == st
+    # a later alignment that ends inside a deletion does not span it; at an insertion later ones may end, and must begin before it
+    rules = (
+        (by_end, np.searchsorted(ends, st, "right"), np.where(flat, 0, np.searchsorted(ends, en, "left")), -1, lambda j, s: ts[j] <= s),
+        (by_end, np.searchsorted(ends, st, "left"), np.where(flat, np.searchsorted(ends, st, "right"), 0), 1, lambda j, s: ts[j] < s),
+        (by_start, np.searchsorted(starts, st, "left"), np.where(flat, np.searchsorted(starts, st, "right"), 0), -1, lambda j, s: te[j] > s),
+    )
+    for order, lo, hi, sign, holds in rules:
+        n = np.maximum(hi - lo, 0)
+        some = np.flatnonzero(n)
+        total = np.cumsum(n[some])
+        first = 0
+        while first < len(some):  # so many pairs at a time
+            last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + block, "right")))
+            d = some[first:last]
+            pair = np.repeat(d, n[d])
+            j = order[np.arange(len(pair)) - np.repeat(np.cumsum(n[d]) - n[d], n[d]) + np.repeat(lo[d], n[d])]
+            hit = (rank[j] > rank[own[pair]]) & holds(j, st[pair])
+            depth += sign * np.bincount(pair[hit], minlength=len(st))
+            first = last
+    return depth
+
+
+def call_variants(paf: DataFrame, cover: int = 10_000, long: int = 50_000, quality: int = 5, bin_size: int = DEPTH_TILE) -> DataFrame:
+    """Differences in the cs of alignments (with id) of at least `long` columns, with the number of alignments of at least `cover` columns over each (depth,
+    itself included): id, contig, st, en, mapq, ref, alt, qname, qs, qe, strand, depth. Substitutions by n are left out. Calls are those of depth 1.
 
     In the order of starts (then ends, then id), an earlier alignment counts if it ends after the difference begins, a later one if it
-    spans the difference and begins before its end. The alignments that begin at or before the difference and end after it are starts
-    less ends up to there: a running sum. What the rule for later ones adds or takes away has an end or a start at the difference
-    itself, so only those few meet it."""
+    spans the difference and begins before its end. Alignments are listed in the tiles (of bin_size positions) that they touch, and cross one exchange: a tile's task
+    finds their differences there and counts. A long cs is cut into pieces before, each of which goes to its own tiles only."""
     used = primary(paf, quality, cover)
-    found = differences(used.where(F.col("blen") >= long)).withColumnsRenamed({"ts": "o_ts", "te": "o_te"}).withColumn("of", F.struct("id", "st", "en", "ref", "alt"))
-    found = settled(found, "differences")  # read five times
-    events = used.select(F.col("tname").alias("contig"), F.explode(F.array(F.struct(F.col("ts").alias("st"), F.lit(1).alias("d")), F.struct(F.col("te").alias("st"), F.lit(-1).alias("d")))).alias("m")).select("contig", "m.st", "m.d")
-    events = events.groupBy("contig", "st").agg(F.sum("d").alias("d"))
-    both = found.withColumn("d", F.lit(None).cast("long")).unionByName(events, allowMissingColumns=True).withColumn("first", F.col("d").isNotNull().cast("int") * -1)
-    ran = beside(both, ("contig",), "st", ["st", "first"], {"over": ("sum", F.coalesce("d", F.lit(0)))}).where("d IS NULL").drop("d", "first")
-    own = found.select("of", "id", "contig", "st", "en", "o_ts", "o_te")
-    ends = used.select(F.col("tname").alias("contig"), F.col("id").alias("j"), F.col("ts").alias("j_ts"), F.col("te").alias("j_te"))
-    later = F.struct("j_ts", "j_te", "j") > F.struct("o_ts", "o_te", "id")
-    # later ones that end inside a deletion do not span it
-    wide = intervals.overlap_join(own.where("en > st + 1").withColumn("st1", F.col("st") + 1), ends.withColumn("j_to", F.col("j_te") + 1), bin_size, a_iv=("st1", "en"), b_iv=("j_te", "j_to"))
-    less = wide.where(later & (F.col("j_ts") <= F.col("st"))).select("of", F.lit(-1).alias("d"))
-    # at an insertion, which has no length, later ones may end where it is, and must begin before it
-    flat = own.where("en = st")
-    more = flat.join(ends, (flat["contig"] == ends["contig"]) & (F.col("j_te") == F.col("st"))).where(later & (F.col("j_ts") < F.col("st"))).select("of", F.lit(1).alias("d"))
-    none = flat.join(ends, (flat["contig"] == ends["contig"]) & (F.col("j_ts") == F.col("st"))).where(later & (F.col("j_te") > F.col("st"))).select("of", F.lit(-1).alias("d"))
-    change = less.unionByName(more).unionByName(none).groupBy("of").agg(F.sum("d").alias("d"))
-    return ran.join(change, "of", "left").withColumn("depth", F.col("over") + F.coalesce("d", F.lit(0))).drop("of", "over", "d", "o_ts", "o_te")
+    one = used.select("id", F.col("tname").alias("contig"), "ts", "te", "qname", "qs", "qe", "strand", F.col("mapq").cast("int").alias("mapq"), F.when(F.col("blen") >= long, F.col("cs")).alias("cs"))
+    one = one.withColumns({c: F.col(c).cast("long") for c in ("ts", "te", "qs", "qe")})
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in one.schema.fields)
+    cut = one.mapInArrow(_pieces, f"{kind}, p_t long, p_e long, p_q long, counts boolean")
+    tile = lambda c: F.floor(F.col(c) / bin_size)
+    listed = cut.withColumn("last", F.greatest(tile("p_t"), tile("p_e"))).withColumn("tile", F.explode(F.sequence(tile("p_t"), "last")))
+    listed = listed.where("counts OR cs IS NOT NULL").withColumn("last", F.col("tile") == F.col("last")).drop("p_e")
+    schema = f"id {one.schema['id'].dataType.simpleString()}, contig string, st long, en long, mapq int, ref string, alt string, qname string, qs long, qe long, strand string, depth long"
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        lo = key[1].as_py() * bin_size
+        hi = lo + bin_size
+        own, st, en, ref, alt, q0 = [], [], [], [], [], []
+        ts, te, counts = (table.column(c).to_numpy() for c in ("ts", "te", "counts"))
+        strand, begin, end = (table.column(c).to_pylist() for c in ("strand", "qs", "qe"))
+        for i, (cs, t, q, last) in enumerate(zip(*(table.column(c).to_pylist() for c in ("cs", "p_t", "p_q", "last")), strict=True)):
+            for op, arg, on_t, on_q in _steps(cs or ""):
+                # what stands beyond the end that the row states is told in its last tile
+                if op in "*+-" and lo <= t and (t < hi or last) and not (op == "*" and "n" in arg):
+                    own.append(i)
+                    st.append(t)
+                    en.append(t + on_t)
+                    ref.append(arg[0] if op == "*" else arg if op == "-" else "-")
+                    alt.append(arg[1] if op == "*" else arg if op == "+" else "-")
+                    q0.append(end[i] - q - on_q if strand[i] == "-" else begin[i] + q)
+                    q0.append(q0[-1] + on_q)
+                t, q = t + on_t, q + on_q
+        at = np.array(own, np.int64)
+        rank = np.empty(len(ts), np.int64)
+        rank[pc.sort_indices(table, [("ts", "ascending"), ("te", "ascending"), ("id", "ascending")]).to_numpy()] = np.arange(len(ts))
+        depth = _depths(at, np.array(st, np.int64), np.array(en, np.int64), ts, te, counts, rank) if own else []
+        whole = table.take(pa.array(at))
+        new = {"st": pa.array(st, pa.int64()), "en": pa.array(en, pa.int64()), "ref": pa.array(ref, pa.string()), "alt": pa.array(alt, pa.string()), "qs": pa.array(q0[::2], pa.int64()), "qe": pa.array(q0[1::2], pa.int64()), "depth": pa.array(depth, pa.int64())}
+        names = ("id", "contig", "st", "en", "mapq", "ref", "alt", "qname", "qs", "qe", "strand", "depth")
+        return pa.table({c: new[c] if c in new else whole.column(c) for c in names})
+
+    return listed.groupBy("contig", "tile").applyInArrow(run, schema)
 
 
 def call_statistics(calls: DataFrame, gap: int = 50, long: int = 1000) -> DataFrame:

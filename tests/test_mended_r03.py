@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from genoweave.operators import intervals
+from genoweave.operators import aligners, intervals, kernels
 from genoweave.plans import calls
 
 rnd = random.Random(77)
@@ -62,3 +62,18 @@ def test_islands_of_equal_rows(spark, monkeypatch):
     rows = [("a", "c", 0, 5), ("b", "c", 10, 20), ("d", "c", 10, 20), ("e", "c", 10, 20), ("f", "c", 19, 30)]
     df = spark.createDataFrame(rows, "id string, contig string, st long, en long")
     assert {(r["id"], r["island"]) for r in intervals.islands(df, touch=False).collect()} == {("a", 0), *((x, 10) for x in "bdef")}
+
+
+def test_islands_stream_through_a_task(spark):
+    """Islands longer than a batch are cut as in one; no task starts a group for each island."""
+    rows = [(i, "t", 10 * i + i // 40 * 100, "ACGT" * 8 if i % 3 else "ACGA" * 8, "S0", "q", 50 * i, "-" if i % 5 == 0 else "+", 100_000, "ACGT" * 8) for i in range(120)]
+    df = spark.createDataFrame(rows, "block long, contig string, t_start long, t_text string, sample string, q_contig string, q_start long, q_strand string, q_size long, q_text string")
+    once = lambda: kernels.single_coverage(df)
+    whole = sorted(once().collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert sorted(once().collect()) == whole and len(whole) > 20
+        plan = once()._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan

@@ -77,3 +77,27 @@ def test_islands_stream_through_a_task(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+
+
+def block_pair(n):
+    """Two blocks of gapped rows with the same letters on top."""
+    seq = [rnd.choice("ACGT") for _ in range(n)]
+
+    def block(rows):
+        cols = []
+        for c in seq:
+            while rnd.random() < 0.1:
+                cols.append(["-", *(rnd.choice("ACGT-") for _ in range(rows))])
+            cols.append([c, *(rnd.choice([c, c, c, "N", "-"]) for _ in range(rows))])
+        cols = [c for c in cols if set(c) != {"-"}]
+        return ["".join(c[i] for c in cols) for i in range(rows + 1)]
+
+    return block(rnd.randint(1, 4)), block(rnd.randint(1, 4))
+
+
+def test_blocks_aligned_side_by_side(monkeypatch):
+    """Many narrow pairs at a time give the rows of each alone, in bands of any width and however many go together."""
+    pairs = [block_pair(rnd.randint(1, 45)) for _ in range(150)] + [(["ACGT", "AC-T"], ["ACGT", "----"]), (["A"], ["A"]), block_pair(400)]
+    for radius, together in ((30, 1 << 22), (2, 1 << 12), (1, 1)):
+        monkeypatch.setattr(aligners, "TOGETHER", together)
+        assert aligners.align_many(pairs, radius) == [aligners.align_blocks(a, b, radius) for a, b in pairs]

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from genoweave.operators import aligners, intervals, kernels
-from genoweave.plans import calls
+from genoweave.plans import assess, calls
 
 rnd = random.Random(77)
 PAF = "id string, qname string, qs long, qe long, strand string, tname string, ts long, te long, blen long, mapq int, cs string"
@@ -101,3 +101,12 @@ def test_blocks_aligned_side_by_side(monkeypatch):
     for radius, together in ((30, 1 << 22), (2, 1 << 12), (1, 1)):
         monkeypatch.setattr(aligners, "TOGETHER", together)
         assert aligners.align_many(pairs, radius) == [aligners.align_blocks(a, b, radius) for a, b in pairs]
+
+
+def test_junctions_are_not_broadcast(spark):
+    """However small the planner takes the annotated junctions to be, their bins do not pass through the driver."""
+    j = spark.createDataFrame([("a", "c", 10, 5000), ("b", "c", 90, 400)], "id string, contig string, st long, en long")
+    ann = spark.createDataFrame([("c", 12, 4990), ("c", 300, 700)], "contig string, st long, en long")
+    found = assess.junction_hits(j, ann, 20)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r["id"], r["hit"]) for r in found.collect()} == {("a", 1), ("b", 0)}

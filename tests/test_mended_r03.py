@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from genoweave.operators import aligners, intervals, kernels
+from genoweave.operators import aligners, folds, intervals, kernels
 from genoweave.plans import assess, calls
 
 rnd = random.Random(77)
@@ -110,3 +110,29 @@ def test_junctions_are_not_broadcast(spark):
     found = assess.junction_hits(j, ann, 20)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert {(r["id"], r["hit"]) for r in found.collect()} == {("a", 1), ("b", 0)}
+
+
+def test_overlaps_of_many_keys_are_dropped_as_in_a_walk(spark, monkeypatch):
+    """Short and long keys, keys over the borders of tasks and of batches, a key over several tasks, equal rows; only rows of keys at borders are walked (before: all)."""
+    rows = [(f"k{rnd.randrange(90):02d}" if rnd.random() < 0.6 else rnd.choice(("k07", None)), f"i{i % 900}", s := rnd.randrange(3000), s + rnd.randrange(0, 40)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "sv string, id string, st long, en long")
+    want, last = [], {}
+    for k, i, s, e in sorted(rows, key=lambda r: (r[0] or "", r[2], r[3], r[1])):
+        p = last.get(k)
+        if not p or (min(e, p[1]) - max(s, p[0]) + 1) / (e - s + 1) <= 0.1:
+            want.append((k or "", s, e, i))
+            last[k] = (s, e)
+    walked = []
+    real = folds.walk
+    monkeypatch.setattr(folds, "walk", lambda d, *a, **k: walked.append(d.count()) or real(d, *a, **k))
+    for size in ("10000", "50"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        for parts in (1, 3, 12, 40):
+            found = folds.drop_overlaps_of_many(df, ["sv"], parts=parts)
+            assert sorted((r["sv"] or "", r["st"], r["en"], r["id"]) for r in found.collect()) == sorted(want)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert walked[1] < len(rows)
+    few = df.where("sv <> 'k07'")
+    n = len(walked)
+    folds.drop_overlaps_of_many(few, ["sv"], parts=3).count()
+    assert walked[n] < few.count() / 5

@@ -2,6 +2,7 @@
 
 import random
 
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from genoweave.operators import aligners, folds, intervals, kernels
@@ -136,3 +137,22 @@ def test_overlaps_of_many_keys_are_dropped_as_in_a_walk(spark, monkeypatch):
     n = len(walked)
     folds.drop_overlaps_of_many(few, ["sv"], parts=3).count()
     assert walked[n] < few.count() / 5
+
+
+def test_insertions_are_ruled_out_before_their_words_are_looked_up(spark, monkeypatch):
+    """What cannot share half of its 4-mers is not compared word by word (before: all of the last 21 are), and nothing that shares them is ruled out."""
+    text = lambda n: "".join(rnd.choice("ACGT" if rnd.random() < 0.9 else "AaN") for _ in range(n))
+    for _ in range(4000):
+        a = text(rnd.randrange(0, 60)) if rnd.random() < 0.7 else text(3) * rnd.randrange(1, 18)
+        b = a[: rnd.randrange(len(a) + 1)] + text(rnd.randrange(0, 30))
+        size = rnd.randrange(6, 50)
+        assert folds._may_share(a, size, b) or not folds.kmers_shared(a, b, 4, size) > 0.5
+    far = [(text(32), text(32)) for _ in range(500)]
+    assert sum(folds._may_share(a, 32, b) for a, b in far) < 50
+
+
+def test_each_stretch_of_a_walk_has_a_task(spark):
+    """Twelve stretches are walked by twelve tasks, or nearly (before: by hash, and put together while they are few bytes)."""
+    df = spark.range(6000).select(F.lit("k").alias("k"), F.col("id"))
+    found = folds.walk(df, ["k"], ["id"], lambda: None, lambda s, r: (None, TaskContext.get().partitionId()), "task", "int", ["id"], parts=12)
+    assert found.select("task").distinct().count() >= 9

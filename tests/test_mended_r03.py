@@ -6,7 +6,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from genoweave.operators import aligners, folds, intervals, kernels
-from genoweave.plans import assess, calls
+from genoweave.plans import assess, calls, catalog
 
 rnd = random.Random(77)
 PAF = "id string, qname string, qs long, qe long, strand string, tname string, ts long, te long, blen long, mapq int, cs string"
@@ -156,3 +156,17 @@ def test_each_stretch_of_a_walk_has_a_task(spark):
     df = spark.range(6000).select(F.lit("k").alias("k"), F.col("id"))
     found = folds.walk(df, ["k"], ["id"], lambda: None, lambda s, r: (None, TaskContext.get().partitionId()), "task", "int", ["id"], parts=12)
     assert found.select("task").distinct().count() >= 9
+
+
+def test_deletions_in_sql_are_walked_island_by_island(spark, tmp_path):
+    """No task has a contig's rows only because they are of one contig (before: PARTITION BY contig); clusters are those of one walk."""
+    rows = [(rnd.randrange(4), rnd.choice((1, 2, 3, 40, 41, 90)), i % 7, i, 1.0 + rnd.randrange(50), 1.0, "A", "2020-01-01") for i in range(300)]
+    kind = "l_suppkey long, l_partkey long, l_linenumber long, l_orderkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate string"
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(1).write.parquet(str(tmp_path / "part.parquet"))  # looked for, not read
+    got = catalog.QUERIES["deletions_in_sql"](spark, str(tmp_path))
+    assert "island" in got._jdf.queryExecution().analyzed().toString()
+    calls_ = spark.table("v_calls")
+    plain = spark.sql("SELECT * FROM merge_deletions(TABLE(SELECT contig, beg, end, len, id FROM v_calls) PARTITION BY contig ORDER BY (beg, end, len, id))")
+    assert calls_.select("contig", "island").distinct().count() > calls_.select("contig").distinct().count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions import cigar
 from genoweave.operators import folds, intervals
+from genoweave.operators.lineage import settled
 from genoweave.operators.seqs import chunked, letters
 from genoweave.operators.tiles import beside
 
@@ -326,13 +327,15 @@ def assembly_stats(paf: DataFrame, ref_len: int, segment: int = 10_000, most: fl
     breaks (further lines of a query after its first that counts), bp and bp10k (steps of 500 bases, and gaps of 10,000).
 
     Lines that count are primary, have `segment` query bases and a gap-compressed divergence of at most `most`."""
-    rows = paf.where(F.col("qlen") >= query)
+    # every part reads the lines again: they are put together, and their operations taken apart, once
+    parsed = paf.where(F.col("qlen") >= query).withColumn("__ops", cigar.ops(F.col("cg")))
+    gaps, opens = cigar.total_of(F.col("__ops"), "ID"), F.size(F.filter("__ops", lambda x: x["op"].isin("I", "D")))
+    diff = F.coalesce(cigar.compressed_divergence(F.col("nm"), gaps, opens, cigar.total_of(F.col("__ops"), "M")), F.lit(0.0))
+    counts = F.col("type").isin("P", "I") & (F.coalesce("tname", F.lit("*")) != "*")
+    rows = settled(parsed.select("qname", "qlen", "qs", "qe", "strand", "tname", "ts", "te", "no", counts.alias("primary"), ((diff <= most) & (F.col("qe") - F.col("qs") >= segment)).alias("ok")), "lines")
     lengths = rows.groupBy("qname").agg(F.max_by("qlen", "no").alias("len"))
     counted = lengths.groupBy("len").agg(F.count("*").alias("n"))
-    s = cigar.sums(F.col("cg"))
-    matched = cigar.total(F.col("cg"), "M")
-    diff = F.coalesce(cigar.compressed_divergence(F.col("nm"), s["gaps"], s["opens"], matched), F.lit(0.0))
-    primary_rows = rows.where(F.col("type").isin("P", "I") & (F.coalesce("tname", F.lit("*")) != "*")).withColumn("ok", (diff <= most) & (F.col("qe") - F.col("qs") >= segment))
+    primary_rows = rows.where("primary").drop("primary")
     used = primary_rows.where("ok").drop("ok")
     first = used.groupBy("qname").agg(F.min("no").alias("first"))
     breaks = primary_rows.join(first, "qname").agg(F.count_if(F.col("no") > F.col("first")).alias("breaks"))

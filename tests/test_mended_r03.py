@@ -5,8 +5,8 @@ import random
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from genoweave.operators import aligners, folds, intervals, kernels
-from genoweave.plans import assess, calls, catalog
+from genoweave.operators import aligners, folds, intervals, kernels, tiles
+from genoweave.plans import assess, calls, catalog, genotype
 
 rnd = random.Random(77)
 PAF = "id string, qname string, qs long, qe long, strand string, tname string, ts long, te long, blen long, mapq int, cs string"
@@ -170,3 +170,111 @@ def test_deletions_in_sql_are_walked_island_by_island(spark, tmp_path):
     plain = spark.sql("SELECT * FROM merge_deletions(TABLE(SELECT contig, beg, end, len, id FROM v_calls) PARTITION BY contig ORDER BY (beg, end, len, id))")
     assert calls_.select("contig", "island").distinct().count() > calls_.select("contig").distinct().count()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def _exchanges(df):
+    """The exchanges of whole rows in a plan, and its joins."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("RepartitionBy"), plan.count("Join")
+
+
+def test_flanks_by_one_exchange(spark, monkeypatch):
+    """Neighbours over many tiles, empty ones too, against a plain walk; rows are joined with nothing (before: a join for each side)."""
+    monkeypatch.setattr(intervals, "TILE", 64)
+    rows = [(f"i{k}", rnd.choice(["c", "d", None]), st, st + rnd.randint(1, 90), 0, 5000) for k, st in enumerate(rnd.choices([*range(300), *range(2000, 2300)], k=200))]
+    df = spark.createDataFrame(rows, "id string, contig string, st long, en long, lo int, hi int")
+    found = intervals.flanks(df, ("contig",), "lo", "hi")
+    assert _exchanges(found)[1] == 0
+    plain = {}
+    for c in ("c", "d", None):
+        own = sorted((r[2], r[3], r[0]) for r in rows if r[1] == c)
+        for k, (st, en, i) in enumerate(own):
+            plain[i] = (st - (own[k - 1][1] if k else 0), (own[k + 1][0] if k + 1 < len(own) else 5000) - en)
+    assert {r["id"]: (r["five"], r["three"]) for r in found.collect()} == plain
+
+
+def test_carries_without_a_join(spark):
+    """Sums, least and largest before and after each row, over tiles and a NULL group (before: rows were joined with their tiles)."""
+    rows = [(k, rnd.choice(["c", None]), rnd.randrange(400), rnd.randint(-5, 5)) for k in range(150)]
+    df = spark.createDataFrame(rows, "id long, contig string, pos long, x int")
+    for before in (True, False):
+        values = {"s": ("sum", F.col("x")), "hi": ("max", F.col("x")), "lo": ("min", F.struct("x", "id"))}
+        found = tiles.beside(df, ("contig",), "pos", ["pos", "id"], values, before=before, tile=16)
+        assert _exchanges(found)[1] == 0
+        for r in found.collect():
+            key = (r["pos"], r["id"])
+            other = [o for o in rows if o[1] == r["contig"] and ((o[2], o[0]) < key if before else (o[2], o[0]) > key)]
+            lo = min(((o[3], o[0]) for o in other), default=None)
+            assert (r["s"], r["hi"], r["lo"] and tuple(r["lo"])) == (sum(o[3] for o in other), max((o[3] for o in other), default=None), lo)
+
+
+def test_assembly_lines_are_read_once(spark):
+    """The lines are put together once, however many figures read them (before: once for each)."""
+    rows = [(f"q{k % 9}", 1000, 10 * k, 10 * k + 450, "+", "t", 40 * k, 40 * k + 450, "P", "440M5D10M", 7, k) for k in range(40)]
+    seen = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame(rows, "qname string, qlen long, qs long, qe long, strand string, tname string, ts long, te long, type string, cg string, nm int, no long")
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    calls.assembly_stats(df.mapInArrow(count, df.schema), 5000, segment=400, most=0.05).collect()
+    assert seen.value == len(rows)
+
+
+def test_indels_as_a_table(spark):
+    """Ends in runs of other bins, unmapped ends and variants that nothing holds, as pivot gives them; one reading of the variants and no join of the calls (before: two of each)."""
+    runs = [("S0", "c", 0, 1021, "q", 100, 1), ("S0", "c", 1022, 1100, "q", 1130, 1), ("S1", "c", 0, 3000, "q", 9000, -1), ("S2", "d", 5, 90, "q", 5, 1), ("S0", "c", 1030, 1040, "q", 500, 1)]
+    runs = spark.createDataFrame(runs, "sample string, contig string, t_from long, t_to long, q_name string, q_from long, step int")
+    rows = [("c", b, b + (n if kind == "DEL" else 0), n, kind) for b in (3, 1018, 1019, 1020, 1021, 1022, 1024, 1035, 2990, 4000) for n in (1, 3, 6) for kind in ("DEL", "INS")] + [("d", 1, 2, 1, "DEL"), (None, 4, 5, 1, "DEL")]
+    variants = spark.createDataFrame(rows, "contig string, beg long, fin long, len long, kind string")
+    samples = ["S0", "S1", "S2"]
+    table = genotype.indel_table(variants, runs, samples)
+    assert _exchanges(table)[1] == 1
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, table.collect()), key=key) == sorted([*map(tuple, genotype.pivot(genotype.genotype_indel(variants, runs), variants, samples).where("contig IS NOT NULL").collect()), (None, 4, 5, 1, "DEL", ".|.", ".|.", ".|.")], key=key)
+    ends = genotype._ends(variants, runs, F.when(F.col("kind") == "DEL", F.col("beg")).otherwise(F.col("beg") - 2), F.col("fin") + 2)
+    both = ends.groupBy(*genotype.KEY, "sample").agg(genotype._end(False).alias("a"), genotype._end(True).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    assert both.select(*genotype.KEY, "sample").exceptAll(genotype.genotype_indel(variants, runs).select(*genotype.KEY, "sample")).count() == 0
+
+
+def test_calls_meet_by_sign(spark):
+    """Calls of the two signs in one place, against all pairs; the sign is part of the join's key (before: a filter behind it)."""
+    rows = [(k, rnd.choice("cd"), st, st + rnd.randint(0, 60), rnd.choice((-1, 1)) * rnd.randint(0, 60)) for k, st in enumerate(rnd.choices(range(900), k=120))]
+    sides = [rows[:60], rows[60:]]
+    base, call = (spark.createDataFrame(r, "id long, contig string, st long, en long, change long") for r in sides)
+    found = assess._sv_matches(base, call, 50, 20, 0.5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and "__sign" in line for line in plan.split("\n"))
+    right = 0
+    for _, c, st, en, change in (r for r in sides[0] if abs(r[4]) >= 20):
+        w = 50 + abs(change) // 2
+        near = [abs(o[4]) for o in sides[1] if o[1] == c and o[4] * change > 0 and max(0, st - w) < o[3] and o[2] < en + w]
+        right += len(near) > 1 or (len(near) == 1 and (abs(near[0] - abs(change)) < 20 or abs(near[0] - abs(change)) / abs(change) < 0.5))
+    assert tuple(found.first()) == (sum(abs(r[4]) >= 20 for r in sides[0]), right)
+
+
+def test_segments_are_read_once(spark):
+    """The segments are put together once, whatever reads them (before: for the centromeres and for the rows)."""
+    rows = [(k, f"q{k % 5}", 10 * k, 10 * k + 9, rnd.choice("+-"), rnd.choice("tu"), 50 * k, 50 * k + 40, 45) for k in range(40)]
+    seen = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame(rows, "id long, qname string, qs long, qe long, strand string, tname string, ts long, te long, blen long")
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    cen = spark.createDataFrame([("t", 100, 400)], "contig string, st long, en long")
+    found = {tuple(r) for r in assess.misjoins(df.mapInArrow(count, df.schema), cen, least=40, far=20).collect()}
+    assert seen.value == len(rows)
+    plain = {(r["id"], r["kind"]) for r in assess.misjoins(df, None, least=40, far=20).collect()}
+    assert {f[:2] for f in found} == plain and any(f[2] for f in found) and not all(f[2] for f in found)
+
+
+def test_digests_travel_as_bytes(spark):
+    """Half the bytes of their digits (before: digits)."""
+    found = catalog.QUERIES["junction_fuzzy"](spark, "/root/testdata/sf0.001")
+    assert "unhex(" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert all(len(r["id"]) == 32 and r["id"] == r["id"].lower() for r in found.limit(50).collect())

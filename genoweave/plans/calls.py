@@ -182,7 +182,7 @@ def lift_regions(paf: DataFrame, regions: DataFrame, quality: int = 5, length: i
     if 0 <= divergence < 1:
         s = cigar.sums(F.col("cg"))
         used = used.where(~cigar.too_divergent(F.col("blen") - F.col("nmatch") - s["gaps"], s["opens"], F.col("nmatch"), divergence))
-    met = intervals.overlap_join(regions.select("contig", "st", "en"), used.select(F.col("qname").alias("contig"), "qlen", "qs", "qe", "strand", "tname", "ts", "te", "cg"), bin_size, b_iv=("qs", "qe"))
+    met = intervals.overlap_join(regions.select("contig", "st", "en"), used.select(F.col("qname").alias("contig"), "qlen", "qs", "qe", "strand", "tname", "ts", "te", cigar.ops(F.col("cg")).alias("__ops")), bin_size, b_iv=("qs", "qe"))
     minus = F.col("strand") == "-"
     first = F.when(minus, F.col("qlen") - F.col("en")).otherwise(F.col("st"))
     last = F.when(minus, F.col("qlen") - F.col("st") - 1).otherwise(F.col("en") - 1)
@@ -193,7 +193,7 @@ def lift_regions(paf: DataFrame, regions: DataFrame, quality: int = 5, length: i
         at = lambda p, old: F.when(old.isNull() & ~only_t & (acc["y"] <= p) & (p < acc["y"] + x["len"]), acc["x"] + F.when(both, p - acc["y"]).otherwise(0)).otherwise(old)
         return F.struct((acc["x"] + F.when(both | only_t, x["len"]).otherwise(0)).alias("x"), (acc["y"] + F.when(only_t, 0).otherwise(x["len"])).alias("y"), at(first, acc["a"]).alias("a"), at(last, acc["b"]).alias("b"))
 
-    hit = met.withColumn("h", F.aggregate(cigar.ops(F.col("cg")), start, step))
+    hit = met.withColumn("h", F.aggregate("__ops", start, step))
     name = F.concat(F.concat_ws("_", "contig", F.col("st").cast("string"), F.col("en").cast("string")), F.when(F.col("h.a").isNull(), "_t5").otherwise(""), F.when(F.col("h.b").isNull(), "_t3").otherwise(""))
     return hit.select(F.col("tname").alias("contig"), F.coalesce("h.a", "ts").alias("st"), F.coalesce(F.col("h.b") + 1, "te").alias("en"), name.alias("name"), "strand")
 

@@ -27,3 +27,15 @@ def test_reads_meet_their_first_alignment_without_a_join(spark):
     """The table is read once and the reads' places are told by the rows themselves (before: read twice, joined)."""
     plan = plan_of(catalog.QUERIES["map_eval"](spark, TINY))
     assert "Join" not in plan and plan.count("Relation [") == 1
+
+
+def test_inversions_are_summed_where_they_meet(spark):
+    """A member's rows go without a join with the members; a genome without members counts (before: joined again, all pairs exchanged)."""
+    v = spark.createDataFrame([(1, "c", 100, 200, ["A.x", "B.y"]), (2, "c", 1000, 1100, None)], "id long, contig string, st long, en long, members array<string>")
+    rows = [(s, q, "c", st, st + n, d) for s in "ABC" for q in ("p", "q") for st, n, d in ((50, 50, "+"), (100, 100 if q == "q" else 90, "-"), (200, 50, "+"), (1000, 100, "+"))]
+    df = spark.createDataFrame(rows, "sample string, q_name string, contig string, st long, en long, strand string")
+    found = genotype.genotype_inv(v, df)
+    want = {(1, "A", None, "1|1"), (1, "B", None, "1|1"), (1, "C", "q", "1|1"), *((2, s, "p", "0|0") for s in "ABC")}
+    assert {tuple(r) for r in found.collect()} == want
+    assert {tuple(r) for r in genotype.genotype_inv(v.drop("members"), df).collect()} == {(1, s, "q", "1|1") for s in "ABC"} | {(2, s, "p", "0|0") for s in "ABC"}
+    assert "LeftAnti" not in plan_of(found)

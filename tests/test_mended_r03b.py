@@ -65,3 +65,11 @@ def test_islands_by_one_exchange(spark, monkeypatch):
     assert sorted(map(list, found.collect()), key=str) == sorted(want, key=str)
     plan = plan_of(found)
     assert "__run" not in plan and not any("Aggregate [contig" in x and ", st#" in x.split("]")[0] for x in plan.splitlines())
+
+
+def test_insertions_deal_out_their_blocks(spark, monkeypatch):
+    """The blocks' file is few bytes, so one task made all runs (before)."""
+    seen, real = [], catalog.posmap.position_runs
+    monkeypatch.setattr(catalog.posmap, "position_runs", lambda b: seen.append(plan_of(b)) or real(b))
+    catalog.QUERIES["genotype_ins"](spark, TINY)
+    assert seen and seen[0].startswith("Repartition")
